@@ -7,12 +7,16 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat_formatting, media_columns, mixing, packing, quality_rules, secret_scans, toxicity, warc_derivatives
+from . import chat_formatting, media_columns, mixing, ngram_join, packing, quality_rules, secret_scans, toxicity, warc_derivatives
 from .common import table
 
 PROBE = r"\### Assistant: </turn> ok"
 
 
+def op1_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join.link_components(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
 def op2_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents").select("doc_id", "text"))
 
@@ -57,7 +61,7 @@ def op10_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
-    for f in (op2_best_fit_packing, op3_toxicity, op4_source_mixing, op5_warc_derivatives, op6_chat_formatting, op7_media_columns, op9_quality_rules, op10_secret_scans)
+    for f in (op1_ngram_join, op2_best_fit_packing, op3_toxicity, op4_source_mixing, op5_warc_derivatives, op6_chat_formatting, op7_media_columns, op9_quality_rules, op10_secret_scans)
 }
 
 ORACLES: dict[str, str] = {}
