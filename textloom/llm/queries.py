@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat_formatting, media_columns, mixing, ngram_join, packing, quality_rules, secret_scans, toxicity, warc_derivatives
+from . import chat_formatting, media_columns, mixing, ngram_join, packing, quality_rules, secret_scans, suffix_dedup, toxicity, warc_derivatives
 from .common import table
 
 PROBE = r"\### Assistant: </turn> ok"
@@ -47,6 +47,10 @@ def op7_media_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
     return media_columns.media_digests(table(spark, sf_dir, "documents"))
 
 
+def op8_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.remove_repeats(table(spark, sf_dir, "documents").select("doc_id", "text")).drop("spans")
+
+
 def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     led = quality_rules.ledger(table(spark, sf_dir, "documents").select("doc_id", "text"))
     return led.select(
@@ -61,7 +65,7 @@ def op10_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
-    for f in (op1_ngram_join, op2_best_fit_packing, op3_toxicity, op4_source_mixing, op5_warc_derivatives, op6_chat_formatting, op7_media_columns, op9_quality_rules, op10_secret_scans)
+    for f in (op1_ngram_join, op2_best_fit_packing, op3_toxicity, op4_source_mixing, op5_warc_derivatives, op6_chat_formatting, op7_media_columns, op8_suffix_dedup, op9_quality_rules, op10_secret_scans)
 }
 
 ORACLES: dict[str, str] = {}
