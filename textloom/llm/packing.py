@@ -14,12 +14,17 @@ one; an empty table gives no rows; other columns are left alone.
 
 from __future__ import annotations
 
+import bisect
+import json
 import os
+import unicodedata
 import zlib
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import regex
+import tiktoken
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -27,10 +32,10 @@ from .common import materialize
 
 CAPACITY = 4096
 END_ID = 1
-#: Words whose ids a worker remembers (about 60 MB).
-REMEMBERED = 400_000
 #: Nodes of the bin-completion search; the incumbent stands beyond.
-NODES = 20_000
+NODES = 1_000
+#: Every so many nodes best fit completes the search's state for a new incumbent.
+DIVE = 16
 #: Fillings tried at a node.
 FILLINGS = 8
 #: Rows of a length ranked in one group, about.
@@ -45,31 +50,49 @@ def tokenizer_path() -> str:
     return public_tokenizers.path("word_bpe_49k.json")
 
 
-class WordIds:
+class TokenIds:
     """Token ids of texts, as little-endian unsigned 32-bit bytes.
 
-    The vocabulary's pre-tokenizer never joins characters across white space, and neither do
-    its normalizers, so a text's ids are those of its white-space separated runs in order.
+    Texts of Latin letters and common signs are split here by the vocabulary's own pattern and
+    merged by tiktoken, whose ranks are the vocabulary's ids with each word's end as a NUL byte
+    (ids and merges must be in one order, which is checked). Other texts, and those that may hold
+    a special token, go through the tokenizer file itself.
     """
 
+    SAFE = regex.compile(r"[\t\n\r -~\u00a1-\u017f\u2013-\u2026]*")
+    PIECE = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|\p{L}+|\p{N}|[^\s\p{L}\p{N}]+")
+
     def __init__(self, path: str) -> None:
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer
 
-        self.encode = Tokenizer.from_file(path).encode_batch
-        self.known: dict[bytes, bytes] = {}
-
-    def __call__(self, texts: list[bytes]) -> list[bytes]:
-        split = [t.split() for t in texts]
-        known = self.known
-        new = list({w for ws in split for w in ws if w not in known})
-        if new:
-            if len(known) + len(new) > REMEMBERED:
-                known.clear()
-                new = list({w for ws in split for w in ws})
-            for w, e in zip(new, self.encode([w.decode() for w in new], add_special_tokens=False)):
-                known[w] = np.array(e.ids, "<u4").tobytes()
-        return [b"".join(map(known.__getitem__, ws)) for ws in split]
+        self.whole = Tokenizer.from_file(path)
+        with open(path, encoding="utf-8") as f:
+            model = json.load(f)["model"]
+        vocab, end = model["vocab"], model["end_of_word_suffix"]
+        merges = [m if isinstance(m, list) else m.split(" ") for m in model["merges"]]
+        first = len(vocab) - len(merges)
+        self.fast = None
+        if end and all(vocab.get(a + b) == first + i for i, (a, b) in enumerate(merges)):
+            # byte-level vocabularies write the printable bytes as themselves and the others from U+0100 on
+            shown = [*range(33, 127), *range(161, 173), *range(174, 256)]
+            byte = {chr(b): b for b in shown} | {chr(256 + i): b for i, b in enumerate(b for b in range(256) if b not in shown)}
+            ranks = {}
+            for token, i in vocab.items():
+                body = token.removesuffix(end)
+                ranks[bytes(byte[c] for c in body) + b"\0" * (body != token)] = i
+            if len(ranks) == len(vocab):
+                self.fast = tiktoken.Encoding("words", pat_str=r"[^\x00]+\x00", mergeable_ranks=ranks, special_tokens={})
+
+    def __call__(self, text: str | None) -> bytes:
+        text = text or ""
+        if self.fast is None or "<|" in text or not self.SAFE.fullmatch(text):
+            return np.array(self.whole.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
+        parts = self.PIECE.findall(unicodedata.normalize("NFC", text).lower())
+        if not parts:
+            return b""
+        parts.append("")
+        return self.fast.encode_to_numpy("\0".join(parts), disallowed_special=()).astype("<u4").tobytes()
 
 
 def pieces(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text", capacity: int = CAPACITY) -> DataFrame:
@@ -80,19 +103,17 @@ def pieces(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "
     kinds = [pa.int32(), pa.int64(), pa.int64(), pa.int64()]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        ids_of = WordIds(path)
-        for whole in batches:
-            for first in range(0, whole.num_rows, 256):
-                batch = whole.slice(first, 256)
-                rows, take = [], []
-                for i, ids in enumerate(ids_of([(x.as_py() or "").encode() for x in batch.column(1)])):
-                    ids += end
-                    for k, at in enumerate(range(0, len(ids), 4 * capacity)):
-                        part = ids[at : at + 4 * capacity]
-                        take.append(i)
-                        rows.append((k, at // 4, len(part) // 4, zlib.crc32(part)))
-                cols = list(zip(*rows)) or [()] * 4
-                yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(take, pa.int64())), *[pa.array(c, k) for c, k in zip(cols, kinds)]], names=["doc_id", *names])
+        ids_of = TokenIds(path)
+        for batch in batches:
+            rows, take = [], []
+            for i, x in enumerate(batch.column(1)):
+                ids = ids_of(x.as_py()) + end
+                for k, at in enumerate(range(0, len(ids), 4 * capacity)):
+                    part = ids[at : at + 4 * capacity]
+                    take.append(i)
+                    rows.append((k, at // 4, len(part) // 4, zlib.crc32(part)))
+            cols = list(zip(*rows)) or [()] * 4
+            yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(take, pa.int64())), *[pa.array(c, k) for c, k in zip(cols, kinds)]], names=["doc_id", *names])
 
     picked = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
     return picked.mapInArrow(run, f"doc_id {id_type}, piece int, start long, length long, ids_crc32 long")
@@ -100,8 +121,6 @@ def pieces(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "
 
 def best_fit(counts: dict[int, int], capacity: int) -> list[Pattern]:
     """Best-fit decreasing on a histogram: bins that are alike are filled together."""
-    import bisect
-
     open_bins: dict[int, list[tuple[tuple[tuple[int, int], ...], int]]] = {}
     rests: list[int] = []
     done: list[Pattern] = []
@@ -190,54 +209,50 @@ def bin_completion(counts: dict[int, int], capacity: int = CAPACITY, nodes: int
     best = best_fit(counts, capacity)
     n_best, bound = sum(n for _, n in best), lower_bound(counts, capacity)
     total = sum(s * n for s, n in counts.items())
-    left = nodes
+    # depth first with one state that is changed and restored: a level is (fillings left, pattern taken)
+    now, path, bins, waste, left = dict(counts), [], 0, 0, nodes
 
-    def search(now: dict[int, int], bins: int, waste: int, so_far: list[Pattern]) -> bool:
-        nonlocal best, n_best, left
-        left -= 1
-        if not now:
-            if bins < n_best:
-                best, n_best = list(so_far), bins
-            return n_best == bound
-        if left <= 0:
-            return True
-        rest_best = best_fit(now, capacity)
-        if bins + (n := sum(k for _, k in rest_best)) < n_best:
-            best, n_best = [*so_far, *rest_best], bins + n
-            if n_best == bound:
-                return True
+    def tried() -> Iterator[Pattern]:
         sizes = sorted(now, reverse=True)
         large = sizes[0]
-        now = now | {large: now[large] - 1}
-        free = [s for s in sizes if now[s]]
-        for filling in fillings(free, now, capacity - large) or [()]:
-            content = ((large, 1), *filling)
-            need: dict[int, int] = {}
-            for s, k in content:
-                need[s] = need.get(s, 0) + k
-            have = now | {large: now[large] + 1}
-            times = min(have[s] // k for s, k in need.items())
+        rest = now | {large: now[large] - 1}
+        for filling in fillings([s for s in sizes if rest[s]], rest, capacity - large) or [()]:
+            need = dict(filling)
+            need[large] = need.get(large, 0) + 1
+            times = min(now[s] // k for s, k in need.items())
             lost = capacity - sum(s * k for s, k in need.items())
-            # all waste that a better packing may have in its bins
-            room = (n_best - 1) * capacity - total
-            if waste + lost > room:
-                break
-            if lost:
-                times = min(times, max(1, (room - waste) // lost))
-            after = {s: m for s, c in have.items() if (m := c - times * need.get(s, 0))}
-            if search(after, bins + times, waste + times * lost, [*so_far, (tuple(need.items()), times)]):
-                return True
-        return False
-
-    if n_best > bound:
-        import sys
-
-        old = sys.getrecursionlimit()
-        sys.setrecursionlimit(max(old, 20_000))
-        try:
-            search(counts, 0, 0, [])
-        finally:
-            sys.setrecursionlimit(old)
+            # the waste that a better packing can still have
+            room = (n_best - 1) * capacity - total - waste
+            if lost > room:
+                return
+            yield tuple(sorted(need.items(), reverse=True)), min(times, max(1, room // lost)) if lost else times
+
+    def change(pattern: Pattern, sign: int) -> None:
+        nonlocal bins, waste
+        content, times = pattern
+        for s, k in content:
+            now[s] = now.get(s, 0) - sign * k * times
+            if not now[s]:
+                del now[s]
+        bins += sign * times
+        waste += sign * times * (capacity - sum(s * k for s, k in content))
+
+    levels: list[Iterator[Pattern]] = [tried()] if n_best > bound else []
+    while levels and left > 0 and n_best > bound:
+        left -= 1
+        pattern = next(levels[-1], None)
+        if pattern is None:
+            levels.pop()
+            if path:
+                change(path.pop(), -1)
+            continue
+        change(pattern, 1)
+        path.append(pattern)
+        if left % DIVE == 0 or not now:
+            rest_best = best_fit(now, capacity)
+            if bins + (n := sum(k for _, k in rest_best)) < n_best:
+                best, n_best = [*path, *rest_best], bins + n
+        levels.append(tried() if now else iter(()))
     return fixed + best
 
 
