@@ -1,15 +1,77 @@
-"""The document pipeline: rules, near duplicates, secrets, mixing, packing."""
+"""The document pipeline: quality rules, near duplicates, secrets, mixing, packing.
+
+Every stage takes (spark, docs, sf_dir), works on all documents its predecessor kept and gives
+a DataFrame; all but the last give the columns of documents.
+
+Defined results: null and empty texts fail the rules and go; of equal or linked documents the
+one with the smallest id stays, a null id counting as one id that is kept only where nothing
+else is linked; repeated rows count as copies; an empty table gives no rows.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from textloom.llm import mixing, ngram_join, packing, quality_rules, secret_scans
+from textloom.llm.common import materialize
+
+#: Rows of (id, count) up to this many are broadcast (about 16 bytes each), more are joined by shuffle.
+BROADCAST_ROWS = 2_000_000
+
+
+def _small(df: DataFrame) -> DataFrame:
+    return F.broadcast(df) if df.count() <= BROADCAST_ROWS else df
+
+
+def keep_by_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the rules' policy keeps."""
+    return quality_rules.filter_documents(docs, "v1")
+
+
+def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of linked documents."""
+    classes = materialize(ngram_join.link_components(docs), "pipeline-classes")
+    others = _small(classes.filter(~F.col("doc_id").eqNullSafe(F.col("component_id"))).select("doc_id").distinct())
+    left = docs.join(others, docs["doc_id"].eqNullSafe(others["doc_id"]), "left_anti")
+    again = _small(classes.groupBy("doc_id").count().filter("count > 1").select(F.col("doc_id").alias("_id")))
+    marked = left.join(again, left["doc_id"].eqNullSafe(again["_id"]), "left_semi").dropDuplicates(["doc_id"])
+    return left.join(again, left["doc_id"].eqNullSafe(again["_id"]), "left_anti").unionByName(marked)
+
+
+def mask_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """All documents, secrets in their texts masked."""
+    return secret_scans.redact_documents(docs)
+
+
+def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents as often as the mix takes them."""
+    taken = mixing.mix(docs.select("doc_id", "text", "source")).filter("taken > 0")
+    times = materialize(taken.groupBy(F.col("doc_id").alias("_id")).agg(F.max(F.col("taken") / F.col("size")).cast("int").alias("_times")), "pipeline-times")
+    both = docs.join(_small(times), F.col("doc_id").eqNullSafe(F.col("_id")))
+    return both.withColumn("_nth", F.explode(F.sequence(F.lit(1), F.col("_times")))).select(docs.columns)
+
+
+def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Places of all documents' pieces in sequences."""
+    return packing.pack(docs.select("doc_id", "text"))
+
 
-STAGES: list = []
+STAGES = [
+    ("quality rules", keep_by_rules),
+    ("n-gram Jaccard join", drop_near_duplicates),
+    ("secret scans", mask_secrets),
+    ("mixing sources to target weights", mix_sources),
+    ("best-fit packing", pack_sequences),
+]
+#: Tokenization can't be said in SQL; tests hold the pipeline against a brute-force version.
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    for _, stage in STAGES:
+    for k, (_, stage) in enumerate(STAGES):
         docs = stage(spark, docs, sf_dir)
+        if k < len(STAGES) - 1:
+            docs = materialize(docs, f"pipeline-{k}")
     return docs
