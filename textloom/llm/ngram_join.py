@@ -12,10 +12,11 @@ ever is.
 
 Groups of sets with a common signature give candidates, which are pruned by parity sketches
 (the number of different bits never exceeds the difference of the sets) and verified on the
-texts. Candidates come in two rounds: first each set against the first of its groups, then
-all pairs of a group that are not yet in one component. In a frequent signature's group a set
-is left out where its other signatures suffice without the frequent ones; so a passage that
-many documents share does not pair them all.
+texts. Candidates come in two rounds: first each set against the centres of its groups, then
+all pairs of a group that are not yet in one component. What a set has beyond its need lets it
+leave its most frequent signatures' groups in that round (two sets that link share more
+signatures than either leaves, and both leave by one order, so the rarest that they share
+stays); a passage that many documents share does not pair them all.
 
 Exact copies (equal sets) are one node throughout. Shingles are compared by 64-bit hashes.
 
@@ -47,12 +48,10 @@ REMEMBERED = 400_000
 ALLOCATIONS = ((0.47, 0), (0.47, 8), (0.56, 0), (0.56, 8), (0.75, 0), (0.75, 8), (math.inf, 0))
 #: Bands whose least size is below this have one shingle a segment.
 SMALL = 24
-#: Groups of more sets are frequent.
-FREQUENT = 40
 #: Candidate ids up to this many are broadcast (8 bytes each), more are joined by shuffle.
 BROADCAST_IDS = 2_000_000
 #: Signatures a task holds before it hands them on.
-FLUSH = 1_500_000
+FLUSH = 600_000
 
 U = np.uint64
 _C1, _C2, _C3 = U(0x9E3779B97F4A7C15), U(0xBF58476D1CE4E5B9), U(0x94D049BB133111EB)
@@ -170,14 +169,23 @@ def segments(s: np.ndarray, m: int) -> np.ndarray:
     return ((s >> U(20)) % U(m)).astype(np.int64)
 
 
-def account(s: np.ndarray, scheme: int, allocation: int) -> tuple[int, int]:
-    """What a set has beyond its need, and how many signatures it emits."""
-    m, wide = shape(scheme, allocation)
-    if not m:
-        return len(s) - needed(len(s), scheme), len(s)
-    held = np.bincount(segments(s, m), minlength=m)
-    n, twice = int(np.count_nonzero(held)), held[:wide]
-    return n + int(np.count_nonzero(twice >= 2)) - needed(len(s), scheme), n + int(twice[twice >= 2].sum())
+def accounts(s: np.ndarray, scheme: int) -> list[int]:
+    """For each allocation what a set has beyond its need, and how many signatures it emits."""
+    n, need = len(s), needed(len(s), scheme)
+    out, held = [], {}
+    for a in range(len(ALLOCATIONS)):
+        m, wide = shape(scheme, a)
+        if not m:
+            out += [n - need, n]
+            continue
+        if m not in held:
+            count = np.bincount(segments(s, m), minlength=m)
+            held[m] = count, int(np.count_nonzero(count))
+        count, some = held[m]
+        twice = count[:wide]
+        twice = twice[twice >= 2]
+        out += [some + len(twice) - need, some + int(twice.sum())]
+    return out
 
 
 def signatures(s: np.ndarray, scheme: int, allocation: int) -> np.ndarray:
@@ -203,7 +211,6 @@ def signatures(s: np.ndarray, scheme: int, allocation: int) -> np.ndarray:
 def describe(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """doc_id, node, n_shingles, band, sketch, and for the set's one or two schemes what each allocation would leave and cost."""
     id_type = docs.schema[id_col].dataType.simpleString()
-    k = len(ALLOCATIONS)
     names = ["doc_id", "node", "n_shingles", "band", "sketch", "own", "upper"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -215,7 +222,7 @@ def describe(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
                 if not len(s):
                     rows.append((None, 0, -1, None, None, None))
                     continue
-                both = [[v for a in range(k) for v in account(s, scheme, a)] for scheme in schemes_of(len(s))]
+                both = [accounts(s, scheme) for scheme in schemes_of(len(s))]
                 rows.append((node_of(s), len(s), band(len(s)), sketch(s), both[0], both[1] if len(both) > 1 else None))
             cols = list(zip(*rows)) or [()] * 6
             kinds = [pa.int64(), pa.int64(), pa.int32(), pa.binary(), pa.list_(pa.int32()), pa.list_(pa.int32())]
@@ -336,19 +343,87 @@ def shared_groups(packed: DataFrame) -> DataFrame:
     return got.groupBy("key").agg(F.first("scheme").alias("scheme"), F.sum("times").alias("times"), F.first("nodes").alias("nodes"))
 
 
+def fitting(pairs: np.ndarray, size: np.ndarray, sketches: list[bytes]) -> np.ndarray:
+    """Which pairs (rows of two places) sizes and sketches do not rule out."""
+    i, j = pairs[:, 0], pairs[:, 1]
+    fits = (4 * size[i] >= 3 * size[j]) & (4 * size[j] >= 3 * size[i])
+    most = size[i] + size[j] + 2 * (-3 * (size[i] + size[j]) // 7)
+    length = np.array([len(x) for x in sketches], np.int64)
+    at = np.zeros(len(sketches), np.int64)
+    rows: dict[int, np.ndarray] = {}
+    for n in np.unique(length).tolist():
+        own = np.flatnonzero(length == n)
+        at[own] = np.arange(len(own))
+        rows[n] = np.frombuffer(b"".join(sketches[k] for k in own.tolist()), np.uint8).reshape(len(own), n)
+
+    def folded(n: int, which: np.ndarray, to: int) -> np.ndarray:
+        x = rows[n][at[which]]
+        while x.shape[1] > to:
+            half = x.shape[1] // 2
+            x = x[:, :half] ^ x[:, half:]
+        return x
+
+    left = np.flatnonzero(fits)
+    both = length[i[left]] * (1 << 32) + length[j[left]]
+    for code in np.unique(both).tolist():
+        one, two = code >> 32, code & (1 << 32) - 1
+        every = left[both == code]
+        step = max(1, (8 << 20) // max(one, two))
+        for k in range(0, len(every), step):
+            part = every[k : k + step]
+            to = min(one, two)
+            differ = np.bitwise_count(folded(one, i[part], to) ^ folded(two, j[part], to)).sum(axis=1, dtype=np.int64)
+            fits[part] = differ <= most[part]
+    return fits
+
+
 def prune(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     """Pairs (a, b) that sizes and sketches do not rule out."""
     one = sets.select(F.col("node").alias("a"), F.col("n").alias("na"), F.col("sketch").alias("sa"))
     two = sets.select(F.col("node").alias("b"), F.col("n").alias("nb"), F.col("sketch").alias("sb"))
-    both = pairs.join(one, "a").join(two, "b").filter((4 * F.col("na") >= 3 * F.col("nb")) & (4 * F.col("nb") >= 3 * F.col("na")))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for x in batches:
-            c = x.to_pydict()
-            fits = [least_difference(sa, sb) <= na + nb - 2 * -(-3 * (na + nb) // 7) for na, nb, sa, sb in zip(c["na"], c["nb"], c["sa"], c["sb"])]
-            yield x.select(["a", "b"]).filter(pa.array(fits, pa.bool_()))
-
-    return both.select("a", "b", "na", "nb", "sa", "sb").mapInArrow(run, "a long, b long")
+            k = x.num_rows
+            if k:
+                size = np.concatenate([x.column(2).to_numpy(), x.column(3).to_numpy()])
+                fits = fitting(np.stack([np.arange(k), np.arange(k) + k], 1), size, x.column(4).to_pylist() + x.column(5).to_pylist())
+                yield x.select(["a", "b"]).filter(pa.array(fits, pa.bool_()))
+
+    return pairs.join(one, "a").join(two, "b").select("a", "b", "na", "nb", "sa", "sb").mapInArrow(run, "a long, b long")
+
+
+#: Pairs a task holds before it reduces them to different ones.
+HELD_PAIRS = 2_000_000
+
+
+def _open_pairs(table: pa.Table) -> pa.Table:
+    """Different fitting pairs (a, b) of the members of each group that are in different components."""
+    key, node = table.column("key").to_numpy(), table.column("node").to_numpy()
+    nodes, first, name = np.unique(node, return_index=True, return_inverse=True)
+    root = np.unique(table.column("root").to_numpy(), return_inverse=True)[1][first]
+    size = table.column("n").to_numpy()[first]
+    sketches = [x.as_py() for x in table.column("sketch").take(pa.array(first))]
+    order = np.lexsort((name, key))
+    key, name = key[order], name[order]
+    ends = np.flatnonzero(np.r_[True, key[1:] != key[:-1], True])
+    seen, codes, held = np.empty(0, np.int64), [], 0
+    for a, z in zip(ends[:-1].tolist(), ends[1:].tolist()):
+        m = name[a:z]
+        r = root[m]
+        inside = r == np.bincount(r).argmax()
+        big, m, r = m[inside], m[~inside], r[~inside]
+        # the largest component is never held against itself
+        for k in range(len(m)):
+            other = np.concatenate([big, m[k + 1 :][r[k + 1 :] != r[k]]])
+            codes.append(np.minimum(other, m[k]) * len(nodes) + np.maximum(other, m[k]))
+            held += len(other)
+            if held > HELD_PAIRS:
+                seen, codes, held = np.unique(np.concatenate([seen, *codes])), [], 0
+    seen = np.unique(np.concatenate([seen, *codes]))
+    pairs = np.stack([seen // len(nodes), seen % len(nodes)], 1)
+    pairs = pairs[fitting(pairs, size, sketches)] if len(pairs) else pairs
+    return pa.table({"a": pa.array(nodes[pairs[:, 0]], pa.int64()), "b": pa.array(nodes[pairs[:, 1]], pa.int64())})
 
 
 def verify(pairs: DataFrame, texts: DataFrame) -> DataFrame:
@@ -389,11 +464,12 @@ def link_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     members = groups.select("key", "scheme", "times", F.size("nodes").alias("size"), F.explode("nodes").alias("node"))
     sets = materialize(sets.join(members.select("node").distinct(), "node", "left_semi"), "ngram-candidates")
 
-    # round 1: every set against the firsts of its groups, those first with which it shares most
-    stars = groups.select("times", F.element_at("nodes", 1).alias("a"), F.explode(F.slice("nodes", 2, 1 << 30)).alias("b"))
-    stars = stars.groupBy("a", "b").agg(F.sum("times").alias("n"))
+    # round 1: every set against the centres of its groups (the member that shares most), those first with which it shares most
+    shares = members.groupBy("node").agg(F.sum(F.col("times") * (F.col("size") - 1)).alias("shares"))
+    centre = members.join(shares, "node").groupBy("key").agg(F.max(F.struct("shares", "node"))["node"].alias("a"))
+    stars = members.join(centre, "key").filter(F.col("node") != F.col("a")).groupBy("a", F.col("node").alias("b")).agg(F.sum("times").alias("n"))
     top = Window.partitionBy("b").orderBy(F.desc("n"), "a")
-    first = stars.withColumn("r", F.row_number().over(top)).filter(F.col("r") <= centres).select("a", "b")
+    first = stars.withColumn("r", F.row_number().over(top)).filter(F.col("r") <= centres).select(*_ordered(F.col("a"), F.col("b"))).distinct()
     first = materialize(prune(first, sets), "ngram-first")
 
     # texts of candidates: by broadcast of their ids if these are few
@@ -409,22 +485,22 @@ def link_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     links = materialize(verify(first, texts_of(first, "ngram-first")), "ngram-links")
     roots = materialize(components(links), "ngram-roots")
 
-    # round 2: pairs of a group in different components; sets that can do without frequent signatures leave those groups
+    # round 2: pairs of a group in different components, without the groups that a set need not be found in
     k = F.create_map(*[F.lit(v) for s, a in chosen.items() for v in (s, 2 * a)]) if chosen else F.lit(None).cast("map<int,int>")
     double = F.create_map(*[F.lit(v) for s, a in chosen.items() for v in (s, 1 + (shape(s, a)[1] > 0))]) if chosen else F.lit(None).cast("map<int,int>")
     member = members.join(sets.select("node", "band", "own", "upper"), "node")
     spare = F.when(F.col("band") == F.col("scheme"), F.get("own", F.try_element_at(k, F.col("scheme")))).otherwise(F.get("upper", F.try_element_at(k, F.col("scheme"))))
-    often = F.col("size") > FREQUENT
-    load = member.filter(often).groupBy("node", "scheme").agg(F.sum(F.col("times") * F.try_element_at(double, F.col("scheme"))).alias("load"), F.first(spare).alias("spare"))
-    free = load.filter(F.col("load") <= F.col("spare")).select("node", "scheme", F.lit(True).alias("free"))
-    kept = member.select("key", "scheme", "size", "node").join(free, ["node", "scheme"], "left").filter(~often | F.col("free").isNull())
+    # the same order of signatures for all sets, frequent ones first, so that the rarest that a pair shares stays in both
+    frequent = Window.partitionBy("node", "scheme").orderBy(F.desc("size"), "key").rowsBetween(Window.unboundedPreceding, 0)
+    load = F.sum(F.col("times") * F.try_element_at(double, F.col("scheme"))).over(frequent)
+    kept = member.withColumn("load", load).filter(F.col("load") > spare).select("key", "node")
     kept = kept.join(roots, "node", "left").select("key", "node", F.coalesce("root", "node").alias("root"))
     open_groups = kept.groupBy("key").agg(F.min("root").alias("low"), F.max("root").alias("high")).filter("low < high").select("key")
     kept = materialize(kept.join(open_groups, "key", "left_semi"), "ngram-open")
-    x, y = kept.alias("x"), kept.alias("y")
-    rest = x.join(y, (F.col("x.key") == F.col("y.key")) & (F.col("x.node") < F.col("y.node")) & (F.col("x.root") != F.col("y.root")))
-    rest = rest.select(F.col("x.node").alias("a"), F.col("y.node").alias("b")).distinct()
-    second = materialize(prune(rest, sets).join(first, ["a", "b"], "left_anti"), "ngram-second")
+    # groups of one family mostly have one first member: they meet in one task, which gives each pair once
+    start = kept.groupBy("key").agg(F.min("node").alias("start"))
+    rest = kept.join(start, "key").join(sets.select("node", "n", "sketch"), "node").groupBy("start").applyInArrow(_open_pairs, "a long, b long").distinct()
+    second = materialize(rest.join(first, ["a", "b"], "left_anti"), "ngram-second")
     more = verify(second, texts_of(second, "ngram-second"))
     roots = components(materialize(links.unionByName(more), "ngram-all-links"))
 
