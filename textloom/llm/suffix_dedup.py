@@ -21,6 +21,7 @@ no rows; other columns are left alone.
 from __future__ import annotations
 
 import hashlib
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -36,7 +37,9 @@ GRAM = 40
 #: Node ids up to this many are broadcast (8 bytes each), more are joined by shuffle.
 BROADCAST_IDS = 2_000_000
 #: Anchors, or bytes of surroundings, that a task holds before it hands them on.
-FLUSH, FLUSH_BYTES = 1_000_000, 24_000_000
+FLUSH, FLUSH_BYTES = 600_000, 24_000_000
+#: Bytes of surroundings in a bucket, about: sorting takes some hundred times as much memory.
+BUCKET_BYTES = 600_000
 
 U = np.uint64
 _P = 0x9E3779B97F4A7C15
@@ -201,14 +204,13 @@ def emit_surroundings(texts: DataFrame, buckets: int) -> DataFrame:
     names = ["bucket", "data", "sizes", "owners", "nodes", "docs", "starts"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        by_bucket: dict[int, tuple[dict[bytes, int], list]] = {}
+        by_bucket: dict[int, tuple] = {}  # different bytes; of each anchor: which bytes, node, document, start
         held = 0
 
         def flush() -> Iterator[pa.RecordBatch]:
             rows = []
-            for b, (parts, of) in by_bucket.items():
-                which, node, doc, start = (np.array(c) for c in zip(*of))
-                rows.append((b, b"".join(parts), np.array([len(p) for p in parts], "<u4").tobytes(), which.astype("<u4").tobytes(), node.astype("<i8").tobytes(), doc.astype("<i8").tobytes(), start.astype("<u4").tobytes()))
+            for b, (parts, *of) in by_bucket.items():
+                rows.append((b, b"".join(parts), np.array([len(p) for p in parts], "<u4").tobytes(), *[x.tobytes() for x in of]))
             if rows:
                 cols = list(zip(*rows))
                 yield pa.RecordBatch.from_arrays([pa.array(cols[0], pa.int32()), *[pa.array(c, pa.binary()) for c in cols[1:]]], names=names)
@@ -223,13 +225,16 @@ def emit_surroundings(texts: DataFrame, buckets: int) -> DataFrame:
                 to = (h >> U(40)) % U(buckets)
                 for a, z, b in zip(first[repeated].tolist(), after[repeated].tolist(), to[repeated].tolist()):
                     part = raw[a : z - 1 + LENGTH]
-                    parts, of = by_bucket.setdefault(b, ({}, []))
+                    if b not in by_bucket:
+                        by_bucket[b] = {}, array("I"), array("q"), array("q"), array("I")
+                    parts, *of = by_bucket[b]
                     i = parts.get(part)
                     if i is None:
                         i = parts[part] = len(parts)
-                        held += len(part)
+                        held += len(part) + 200
                     held += 24
-                    of.append((i, node, doc, a))
+                    for x, v in zip(of, (i, node, doc, a)):
+                        x.append(v)
                 if held > FLUSH_BYTES:
                     yield from flush()
                     by_bucket, held = {}, 0
@@ -323,7 +328,9 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     texts = named.join(ids.withColumnRenamed("doc", "doc_id"), ["node", "doc_id"]).dropDuplicates(["node"])
     texts = materialize(texts.select("node", "text").join(places, "node"), "suffix-texts")
 
-    around = emit_surroundings(texts, buckets)
+    # windows of an anchor start within LENGTH - GRAM bytes, half of them on average
+    repeated = places.agg(F.sum(F.aggregate("places", F.lit(0).cast("long"), lambda a, x: a + (F.octet_length(x) / 4).cast("long")))).first()[0] or 0
+    around = emit_surroundings(texts, max(buckets, int(repeated * 1.5 * LENGTH / BUCKET_BYTES)))
     runs = around.groupBy("bucket").applyInArrow(_matches(keep == "first"), "node long, runs binary")
     runs = runs.groupBy("node").agg(F.collect_list("runs").alias("runs"))
 
