@@ -34,9 +34,9 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
     classes = materialize(ngram_join.link_components(docs), "pipeline-classes")
     others = _small(classes.filter(~F.col("doc_id").eqNullSafe(F.col("component_id"))).select("doc_id").distinct())
     left = docs.join(others, docs["doc_id"].eqNullSafe(others["doc_id"]), "left_anti")
-    again = _small(classes.groupBy("doc_id").count().filter("count > 1").select(F.col("doc_id").alias("_id")))
-    marked = left.join(again, left["doc_id"].eqNullSafe(again["_id"]), "left_semi").dropDuplicates(["doc_id"])
-    return left.join(again, left["doc_id"].eqNullSafe(again["_id"]), "left_anti").unionByName(marked)
+    again = _small(classes.groupBy("doc_id").count().filter("count > 1").select(F.col("doc_id").alias("__again")))
+    marked = left.join(again, left["doc_id"].eqNullSafe(F.col("__again")), "left_semi").dropDuplicates(["doc_id"])
+    return left.join(again, left["doc_id"].eqNullSafe(F.col("__again")), "left_anti").unionByName(marked)
 
 
 def mask_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -47,9 +47,9 @@ def mask_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents as often as the mix takes them."""
     taken = mixing.mix(docs.select("doc_id", "text", "source")).filter("taken > 0")
-    times = materialize(taken.groupBy(F.col("doc_id").alias("_id")).agg(F.max(F.col("taken") / F.col("size")).cast("int").alias("_times")), "pipeline-times")
-    both = docs.join(_small(times), F.col("doc_id").eqNullSafe(F.col("_id")))
-    return both.withColumn("_nth", F.explode(F.sequence(F.lit(1), F.col("_times")))).select(docs.columns)
+    times = materialize(taken.groupBy(F.col("doc_id").alias("__mixed")).agg(F.max(F.col("taken") / F.col("size")).cast("int").alias("__times")), "pipeline-times")
+    both = docs.join(_small(times), F.col("doc_id").eqNullSafe(F.col("__mixed")))
+    return both.withColumn("__nth", F.explode(F.sequence(F.lit(1), F.col("__times")))).select(docs.columns)
 
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

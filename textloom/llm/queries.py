@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from . import chat_formatting, media_columns, mixing, ngram_join, packing, quality_rules, secret_scans, suffix_dedup, toxicity, warc_derivatives
 from .common import table
+from .oracles import ORACLES as ORACLES
 
 PROBE = r"\### Assistant: </turn> ok"
 
@@ -67,5 +68,3 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (op1_ngram_join, op2_best_fit_packing, op3_toxicity, op4_source_mixing, op5_warc_derivatives, op6_chat_formatting, op7_media_columns, op8_suffix_dedup, op9_quality_rules, op10_secret_scans)
 }
-
-ORACLES: dict[str, str] = {}
