@@ -16,9 +16,10 @@ every score is 0; other columns are left alone and never read.
 from __future__ import annotations
 
 import re
-from collections import Counter
-from collections.abc import Iterator
+from array import array
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
+from functools import cached_property
 
 import numpy as np
 import pyarrow as pa
@@ -29,6 +30,10 @@ from pyspark.sql import functions as F
 SAMPLE_ROWS = 8_000
 #: Characters of a labelled text that a fit reads at most; longer ones are left out of the fit.
 SAMPLE_CHARS = 200_000
+#: Letters of the beginnings of words that are features beside the words.
+BEGINNINGS = (3, 4, 5)
+#: Words whose weights a worker remembers (about 60 MB).
+REMEMBERED = 400_000
 #: One in FOLDS ids is held out.
 FOLDS = 5
 
@@ -40,15 +45,38 @@ def held_out(doc_id: Column) -> Column:
     return F.pmod(F.crc32(doc_id.cast("string")), F.lit(FOLDS)) == 0
 
 
+def features(word: str) -> list[str]:
+    """A word, its beginnings (insults are inflected and compounded), each marked by its kind."""
+    return [word, *[f"{word[:k]}-" for k in BEGINNINGS if len(word) > k]]
+
+
+class WordWeights(dict):
+    """Sum of a word's feature weights, remembered for up to REMEMBERED words."""
+
+    def __init__(self, weights: dict[str, float]) -> None:
+        super().__init__()
+        self.weights = weights
+
+    def __missing__(self, word: str) -> float:
+        if len(self) > REMEMBERED:
+            self.clear()
+        got = self[word] = sum(self.weights.get(f, 0.0) for f in features(word))
+        return got
+
+
 @dataclass(frozen=True)
 class Model:
     bias: float
     weights: dict[str, float]
 
+    @cached_property
+    def of_word(self) -> WordWeights:
+        return WordWeights(self.weights)
+
     def sentence_logits(self, text: str | None) -> list[tuple[int, int, float]]:
         """(start, end, logit) of every sentence; a text without any has one empty sentence."""
-        keys, weights, bias = self.weights.keys(), self.weights, self.bias
-        out = [(m.start(), m.end(), bias + sum(weights[w] for w in keys & set(WORD.findall(m[0].lower())))) for m in SENTENCE.finditer(text or "")]
+        of, bias = self.of_word.__getitem__, self.bias
+        out = [(m.start(), m.end(), bias + sum(map(of, set(WORD.findall(m[0].lower()))))) for m in SENTENCE.finditer(text or "")]
         return out or [(0, 0, bias)]
 
     def score(self, text: str | None) -> float:
@@ -60,56 +88,73 @@ class Model:
         return [(a, b, p) for a, b, z in self.sentence_logits(text) if (p := 1 / (1 + np.exp(-z))) >= least]
 
 
-def fit_texts(texts: list[str | None], toxic: list[int], rounds: int = 250, rate: float = 0.15, ridge: float = 2e-4, least_docs: int = 4) -> Model:
-    """Noisy-or regression by Adam on all sentences at once. Words in fewer documents than least_docs have no weight."""
-    y = np.array(toxic, bool)
+def fit_rows(rows: Iterable[tuple[str | None, int]], rounds: int = 150, rate: float = 0.1, ridge: float = 2e-4, least_docs: int = 5, shrink: float = 10.0) -> Model:
+    """Noisy-or regression on (text, label) rows by Adam on all sentences at once. Only features that speak for
+    toxicity get weights: those in least_docs documents at least whose shrunken log-odds are clearly positive."""
+    names: dict[str, int] = {}
+    n, hit, y = array("i"), array("i"), []
+    cols, ends, last = array("i"), array("i"), array("i")  # features, and where sentences and documents end
+    for text, label in rows:
+        first = len(cols)
+        for sentence in SENTENCE.findall(text or "") or [""]:
+            cols.extend({names.setdefault(f, len(names)) for w in WORD.findall(sentence.lower()) for f in features(w)})
+            ends.append(len(cols))
+        last.append(len(ends))
+        y.append(label > 0)
+        for k in (n, hit):
+            k.extend([0] * (len(names) - len(k)))
+        for f in set(cols[first:]):
+            n[f] += 1
+            hit[f] += label > 0
+    y = np.array(y, bool)
     if not y.any() or y.all():
         return Model(-40.0, {})
-    bags = [[set(WORD.findall(s.lower())) for s in SENTENCE.findall(t or "")] or [set()] for t in texts]
-    of_doc = Counter(w for b in bags for w in set().union(*b))
-    vocab = {w: i for i, w in enumerate(sorted(w for w, n in of_doc.items() if n >= least_docs))}
-    doc_of = np.repeat(np.arange(len(bags)), [len(b) for b in bags])
-    rows, cols, s = [], [], 0
-    for bag in bags:
-        for sentence in bag:
-            got = [vocab[w] for w in sentence if w in vocab]
-            rows += [s] * len(got)
-            cols += got
-            s += 1
-    rows, cols = np.array(rows, np.int64), np.array(cols, np.int64)
-    n = np.bincount(cols[np.unique(doc_of[rows] * len(vocab) + cols, return_index=True)[1]] if len(cols) else cols, minlength=len(vocab))
-    hit = np.zeros(len(vocab))
-    pairs = np.unique(doc_of[rows] * max(1, len(vocab)) + cols)
-    hit += np.bincount(pairs[y[pairs // max(1, len(vocab))]] % max(1, len(vocab)), minlength=len(vocab))
+    cols, ends, last, n, hit = (np.frombuffer(x, np.int32) if len(x) else np.empty(0, np.int32) for x in (cols, ends, last, n, hit))
     base = y.mean()
-    # start: shrunken log-odds of a document with the word
-    w = np.log((hit + 2 * base) / (n - hit + 2 * (1 - base))) - np.log(base / (1 - base))
-    w, b = np.where(w > 0, w, 0.0) * 1.5, -7.0
-    size = max(1, len(y))
+    # where weights start, and what the ridge pulls them to
+    prior = np.log((hit + shrink * base) / (n - hit + shrink * (1 - base))) - np.log(base / (1 - base))
+    keep = (n >= least_docs) & (prior > 0.5)
+    new = np.cumsum(keep, dtype=np.int32) - 1
+    vocab = {w: int(new[i]) for w, i in names.items() if keep[i]}
+    del names
+    s, size = len(ends), len(y)
+    doc_of = np.repeat(np.arange(size, dtype=np.int32), np.diff(np.r_[0, last]))
+    some = keep[cols]
+    in_row = np.diff(np.r_[0, np.cumsum(np.r_[0, some])[ends]])
+    rows, cols = np.repeat(np.arange(s, dtype=np.int32), in_row), new[cols[some]]
+    prior = 0.5 * prior[keep]
+    w, b = prior.copy(), -8.0
     m1, m2 = np.zeros(len(w) + 1), np.zeros(len(w) + 1)
     for t in range(1, rounds + 1):
         z = b + np.bincount(rows, w[cols], minlength=s)
         p = 1 / (1 + np.exp(-z))
-        clean = np.bincount(doc_of, np.logaddexp(0, z), minlength=len(y))  # -log of the chance that all are clean
+        clean = np.bincount(doc_of, np.logaddexp(0, z), minlength=size)  # -log of the chance that all are clean
+        # labels are not perfect: the pull of an unexplained positive is bounded by the floor
         p_doc = np.clip(-np.expm1(-clean), 1e-3, None)
-        # labels are not perfect: the pull of an unexplained positive is bounded by the floor above
         g = np.where(y[doc_of], p * (1 - p_doc[doc_of]) / p_doc[doc_of], -p)
-        grad = np.append(-np.bincount(cols, g[rows], minlength=len(w)) / size + ridge * w, -g.sum() / size)
+        grad = np.append(-np.bincount(cols, g[rows], minlength=len(w)) / size + ridge * (w - prior), -g.sum() / size)
         m1, m2 = 0.9 * m1 + 0.1 * grad, 0.99 * m2 + 0.01 * grad**2
         step = rate * (m1 / (1 - 0.9**t)) / (np.sqrt(m2 / (1 - 0.99**t)) + 1e-6)
         w, b = w - step[:-1], b - step[-1]
-        w[n == 0] = 0
     return Model(float(b), {k: float(w[i]) for k, i in vocab.items() if abs(w[i]) > 0.05})
 
 
 def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic", sample: int = SAMPLE_ROWS) -> Model:
+    """Fits on an executor, which gets the sample's rows in order of their ids; the driver gets the weights."""
     known = labels.filter(F.col(label_col).isNotNull() & F.col(id_col).isNotNull() & ~held_out(F.col(id_col)))
     known = known.groupBy(F.col(id_col).alias("_id")).agg(F.max(label_col).alias("_y"))
     chosen = known.orderBy(F.xxhash64("_id"), "_id").limit(sample)
     texts = docs.select(F.col(id_col).alias("_id"), F.col(text_col).alias("_t")).filter(F.coalesce(F.length("_t"), F.lit(0)) <= SAMPLE_CHARS)
-    got = texts.join(F.broadcast(chosen), "_id").toPandas()  # at most sample ids
-    got = got.sort_values(["_id"], kind="stable").drop_duplicates("_id")
-    return fit_texts(got["_t"].tolist(), [int(v > 0) for v in got["_y"]])
+    got = texts.join(F.broadcast(chosen), "_id").dropDuplicates(["_id"]).select("_id", F.col("_y").cast("int"), "_t")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        model = fit_rows((t.as_py(), y) for x in batches for y, t in zip(x.column(1).to_pylist(), x.column(2)))
+        rows = [("", model.bias), *model.weights.items()]
+        yield pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows], pa.string()), pa.array([r[1] for r in rows], pa.float64())], names=["feature", "weight"])
+
+    rows = got.repartition(1).sortWithinPartitions("_id").mapInArrow(run, "feature string, weight double").collect()  # as many as the sample has features
+    weights = {r["feature"]: r["weight"] for r in rows}
+    return Model(weights.pop("", -40.0), weights)
 
 
 def score_documents(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
