@@ -73,7 +73,10 @@ def is_key(data: bytes) -> bool:
                 return False
             at += 4 + int.from_bytes(data[at : at + 4], "big")
         return at + 4 <= len(data)
-    return len(data) >= 24 and data[0] == 0x30 and data[2 + (data[1] & 0x7F if data[1] & 0x80 else 0)] in (0x02, 0x30) and der_fills(data)
+    if len(data) < 24 or data[0] != 0x30:
+        return False
+    inside = 2 + (data[1] & 0x7F if data[1] & 0x80 else 0)
+    return inside < len(data) and data[inside] in (0x02, 0x30) and der_fills(data)
 
 
 def _decoded(run: str, url: bool = False) -> bytes:
