@@ -9,7 +9,8 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.ml.functions import vector_to_array
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .functions import text as tx
@@ -19,6 +20,7 @@ from .operators import counts, ranking, tfidf, vocabulary
 from .operators import opinions as ops
 from .operators import topics as tp
 from .plans import apps, articles
+from .sources.readers import parse_articles
 from .sources.sinks import to_json_line
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -299,6 +301,42 @@ def in_vocabulary(spark: SparkSession, sf_dir: str) -> DataFrame:
     return vocabulary.vocabulary_terms(plain_terms(spark, sf_dir), top).groupBy("doc_id").agg(F.count("*").alias("n_known"))
 
 
+@query(f"WITH {WORDS_SQL} SELECT sum(n)::BIGINT AS n_tokens FROM (SELECT count(*) AS n FROM terms GROUP BY term ORDER BY n DESC, term LIMIT 500)")
+def selected_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vocabulary.top_words(counts.word_count(documents(spark, sf_dir), "text"), 500).agg(F.sum("n").alias("n_tokens"))
+
+
+@query(f"WITH {WORDS_SQL}, top AS (SELECT term FROM terms GROUP BY term ORDER BY count(*) DESC, term LIMIT 500) SELECT doc_id, count(DISTINCT term) AS n_different, count(*) AS n_known FROM terms JOIN top USING (term) GROUP BY doc_id")
+def term_count_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    top = vocabulary.top_words(counts.word_count(documents(spark, sf_dir), "text"), 500)
+    words = [r["word"] for r in top.collect()]  # 500 words, which the model needs
+    docs = documents(spark, sf_dir).select("doc_id", tx.word_tokens(F.col("text")).alias("terms"))
+    vectors = vocabulary.term_vectors(docs, words).select("doc_id", F.filter(vector_to_array("features"), lambda x: x > 0).alias("v"))
+    total = F.aggregate("v", F.lit(0.0), lambda a, x: a + x).cast("long")
+    return vectors.select("doc_id", F.size("v").cast("long").alias("n_different"), total.alias("n_known")).filter("n_known > 0")
+
+
+@query(f"WITH {PLACED_SQL} SELECT doc_id, count(*) AS n_terms, md5(string_agg(term, ' ' ORDER BY term)) AS digest FROM placed WHERE place <= greatest(floor(k * 0.1::DOUBLE), 1) GROUP BY doc_id")
+def summary_terms(spark: SparkSession, sf_dir: str) -> DataFrame:
+    kept = ranking.retain_top_share(plain_scores(spark, sf_dir).withColumn("r", F.round("score", 9)), ["doc_id"], "r", 0.1).drop("r")
+    forms = kept.select(F.col("term").alias("stem"), F.col("term").alias("form")).distinct()
+    rows = tfidf.term_structs(kept, forms, ["doc_id"])
+    names = F.sort_array(F.transform("terms", lambda t: t["normalizedForm"]))
+    return rows.select("doc_id", F.size("terms").cast("long").alias("n_terms"), F.md5(F.array_join(names, " ")).alias("digest"))
+
+
+@query()
+def multi_word_tfidf(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir)
+    tf = tfidf.augmented_tf(tfidf.document_terms(docs, ["doc_id"], term_words=2), ["doc_id"])
+    return tfidf.tfidf(tf, docs, ["doc_id"], 2).groupBy("doc_id").agg(F.count("*").alias("n_terms"), F.round(F.max("score"), 6).alias("best"))
+
+
+@query()
+def document_frequency_sketch(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return tfidf.document_frequency_sketch(plain_tf(spark, sf_dir)).select(F.octet_length("sketch").cast("long").alias("n_bytes"))
+
+
 # ---------------------------------------------------------------- articles and comments
 
 THREADS_SQL = """
@@ -341,6 +379,17 @@ def commented_only_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return own.join(many, "article_id").select(F.col("article_id").cast("long").alias("article_id"), "n_chars", "n_comments")
 
 
+@query(
+    f"""WITH {THREADS_SQL} SELECT article_id, count(*) FILTER (comment_id >= 0) AS n_comments, coalesce(sum(length(text)) FILTER (comment_id >= 0), 0)::BIGINT AS votes,
+TIMESTAMP '2001-09-09 01:46:40' + to_hours(article_id::BIGINT) AS date_published FROM docs GROUP BY article_id"""
+)
+def json_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    made = conversation_articles(spark, sf_dir)
+    back = made.select(parse_articles(to_json_line(*made.columns)).alias("a")).select("a.*")
+    votes = F.aggregate("comments", F.lit(0).cast("long"), lambda a, c: a + F.coalesce(c["votes_up"], F.lit(0)))
+    return back.select(F.col("_id").cast("long").alias("article_id"), F.size("comments").cast("long").alias("n_comments"), votes.alias("votes"), "date_published")
+
+
 # ---------------------------------------------------------------- opinions
 
 OPINIONS_SQL = f"""
@@ -466,12 +515,16 @@ def lda_doc_topics(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tp.assignments(tp.document_topics(model, vectors, ["id"])).select("id", "topic_id", "score")
 
 
+@query()
+def lda_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    model, vectors, words = _lda(spark, sf_dir)
+    return tp.report(model, vectors, words)
+
+
 @query()
 def word_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
     sentences = documents(spark, sf_dir).select(tx.word_tokens(F.col("text")).alias("words"))
     vectors = tp.fit_word_vectors(sentences, size=16).getVectors()
-    from pyspark.ml.functions import vector_to_array
-
     return vectors.select("word", vector_to_array("vector").alias("vector"))
 
 
