@@ -31,8 +31,19 @@ def strip_punctuation(text: Column) -> Column:
     return F.regexp_replace(text, r"\p{Punct}+", " ")
 
 
+#: What punctuation, line ends and white space leave as one blank.
+SEPARATORS = r"[\p{Punct}\s\x{85}\x{2028}\x{2029}]+"
+
+
 def word_tokens(text: Column) -> Column:
-    return space_split(remove_linebreaks(strip_punctuation(text)))
+    """space_split(remove_linebreaks(strip_punctuation(text))) in one pass: an empty string stays at the front only."""
+
+    def ends(p: Column) -> Column:
+        n = F.size(p)
+        inner = F.when((n == 2) & (F.get(p, F.lit(0)) == ""), _strings()).otherwise(F.slice(p, 1, n - 1))
+        return F.when((n == 1) | (F.get(p, n - 1) != ""), p).otherwise(inner)
+
+    return _once(F.split(text, SEPARATORS), ends)
 
 
 # The money patterns in the order in which they are tried. A number is

@@ -20,7 +20,7 @@ from .operators import counts, ranking, tfidf, vocabulary
 from .operators import opinions as ops
 from .operators import topics as tp
 from .plans import apps, articles
-from .sources.readers import parse_articles
+from .sources.readers import parse_articles, spread
 from .sources.sinks import to_json_line
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -44,7 +44,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return table(spark, sf_dir, "documents").select("doc_id", "text")
+    return spread(table(spark, sf_dir, "documents").select("doc_id", "text"))
 
 
 # ---------------------------------------------------------------- parts of the SQL side
@@ -188,7 +188,7 @@ PRICE_SQL = "CASE l_linenumber % 7 " + " ".join(f"WHEN {i} THEN {t.format(k='CAS
 before AS (SELECT *, {money_sql('line')} AS m FROM lines) SELECT l_orderkey, l_linenumber, {amount_sql('m')} AS amount FROM before"""
 )
 def money_normalize(spark: SparkSession, sf_dir: str) -> DataFrame:
-    lines = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", F.expr(PRICE_SQL.replace("{S}", "STRING")).alias("line"))
+    lines = spread(table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey")).select("l_orderkey", "l_linenumber", F.expr(PRICE_SQL.replace("{S}", "STRING")).alias("line"))
     return lines.select("l_orderkey", "l_linenumber", tx.process_numbers(F.col("line")).alias("amount"))
 
 
@@ -226,7 +226,7 @@ SELECT page_id, md5(CASE WHEN {' OR '.join(f"starts_with(text, {lit(s)})" for s
 )
 def wiki_cleanup(spark: SparkSession, sf_dir: str) -> DataFrame:
     front = F.when(F.col("page_id") % 5 == 0, "#REDIRECT [[x]]").when(F.col("page_id") % 5 == 1, "[[Bern|Stadt Bern]] und [http://a.b c d] ").otherwise("")
-    return table(spark, sf_dir, "pages").select("page_id", F.md5(tx.clean_wiki(F.concat(front, F.col("html")))).alias("digest"))
+    return spread(table(spark, sf_dir, "pages").select("page_id", "html")).select("page_id", F.md5(tx.clean_wiki(F.concat(front, F.col("html")))).alias("digest"))
 
 
 # ---------------------------------------------------------------- weights and selection

@@ -9,6 +9,13 @@ from ..functions.text import space_split
 from .schemas import ARTICLE, WIKI_PAGE
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """The frame over as many partitions as there are cores, if its files give fewer (a file of one row group is one
+    task); otherwise as it is."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+
 def parse_articles(lines: Column) -> Column:
     """A JSON line as an article; malformed lines and those without _id raise, and the error names the line."""
     got = F.from_json(lines, ARTICLE, {"mode": "PERMISSIVE", "timeZone": "UTC"})
