@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from textloom.llm import mixing, ngram_join, packing, quality_rules, secret_scans
-from textloom.llm.common import materialize
+from textloom.llm.common import materialize, table
 
 #: Rows of (id, count) up to this many are broadcast (about 16 bytes each), more are joined by shuffle.
 BROADCAST_ROWS = 2_000_000
@@ -69,7 +69,7 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    docs = table(spark, sf_dir, "documents")
     for k, (_, stage) in enumerate(STAGES):
         docs = stage(spark, docs, sf_dir)
         if k < len(STAGES) - 1:

@@ -8,13 +8,17 @@ import uuid
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..sources.readers import spread
+
 #: ASCII white space as the contracts define it: blank and U+0009 to U+000D.
 WHITE = " \t\n\x0b\x0c\r"
 WHITE_RUN = r"[\x20\x09-\x0D]+"
 
 
-def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+def table(spark: SparkSession, sf_dir: str, name: str, *columns: str) -> DataFrame:
+    """A table, or some of its columns, over all cores."""
+    df = spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return spread(df.select(*columns) if columns else df)
 
 
 def shared_dir(spark: SparkSession) -> str:

@@ -15,21 +15,21 @@ PROBE = r"\### Assistant: </turn> ok"
 
 
 def op1_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return ngram_join.link_components(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return ngram_join.link_components(table(spark, sf_dir, "documents", "doc_id", "text"))
 
 
 def op2_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return packing.pack(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return packing.pack(table(spark, sf_dir, "documents", "doc_id", "text"))
 
 
 def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    model = toxicity.fit(docs, table(spark, sf_dir, "labels").select("doc_id", "toxic"))
+    docs = table(spark, sf_dir, "documents", "doc_id", "text")
+    model = toxicity.fit(docs, table(spark, sf_dir, "labels", "doc_id", "toxic"))
     return toxicity.score_documents(docs, model)
 
 
 def op4_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return mixing.mix(table(spark, sf_dir, "documents").select("doc_id", "text", "source")).drop("source")
+    return mixing.mix(table(spark, sf_dir, "documents", "doc_id", "text", "source")).drop("source")
 
 
 def op5_warc_derivatives(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -37,7 +37,7 @@ def op5_warc_derivatives(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op6_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
-    chats = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    chats = table(spark, sf_dir, "conversations", "conv_id", "turn", "role", "text")
     probe = spark.range(2).select(
         F.lit(-7).cast("long").alias("conv_id"), F.col("id").alias("turn"), F.when(F.col("id") == 0, "user").otherwise("assistant").alias("role"), F.lit(PROBE).alias("text")
     )
@@ -45,15 +45,15 @@ def op6_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op7_media_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return media_columns.media_digests(table(spark, sf_dir, "documents"))
+    return media_columns.media_digests(table(spark, sf_dir, "documents", "doc_id", "text"))
 
 
 def op8_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return suffix_dedup.remove_repeats(table(spark, sf_dir, "documents").select("doc_id", "text")).drop("spans")
+    return suffix_dedup.remove_repeats(table(spark, sf_dir, "documents", "doc_id", "text")).drop("spans")
 
 
 def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
-    led = quality_rules.ledger(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    led = quality_rules.ledger(table(spark, sf_dir, "documents", "doc_id", "text"))
     return led.select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
         quality_rules.rejects("base").alias("base_failed"), (~quality_rules.rejects("v1")).alias("kept"), "bits", "n_lines", "n_upper", "n_exclaim",
@@ -61,7 +61,7 @@ def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op10_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return secret_scans.secret_scan(table(spark, sf_dir, "documents"))
+    return secret_scans.secret_scan(table(spark, sf_dir, "documents", "doc_id", "text"))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
