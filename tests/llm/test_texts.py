@@ -294,6 +294,9 @@ def test_warc(spark):
         assert response["WARC-Block-Digest"] == warc_derivatives.digest(block)
         if r["page_id"] == 1:
             assert text.decode() == "A & B\nEins zwei\ndrei" and b"title: A & B\r\nlanguage: de\r\noutlinks: 1\r\n" in fields
+    whole = spark.createDataFrame([(b"".join(r["response"] for r in rows),), (None,), (b"",)], "w binary")
+    derived = warc_derivatives.derive_records(whole, "w").collect()
+    assert sorted(r["record"] for r in derived) == sorted(x for r in rows for x in (r["metadata"], r["conversion"]))
     index = warc_derivatives.record_index(pages).collect()
     assert len(index) == 5 and all(r["conversion_refers_to"] == r["response_id"] for r in index)
     assert warc_derivatives.record_index(pages.limit(0)).collect() == []

@@ -393,6 +393,8 @@ def prune(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     return pairs.join(one, "a").join(two, "b").select("a", "b", "na", "nb", "sa", "sb").mapInArrow(run, "a long, b long")
 
 
+#: Members of a family's groups that meet in one task, about.
+SHARD_ROWS = 4_000
 #: Pairs a task holds before it reduces them to different ones.
 HELD_PAIRS = 2_000_000
 
@@ -497,9 +499,12 @@ def link_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     kept = kept.join(roots, "node", "left").select("key", "node", F.coalesce("root", "node").alias("root"))
     open_groups = kept.groupBy("key").agg(F.min("root").alias("low"), F.max("root").alias("high")).filter("low < high").select("key")
     kept = materialize(kept.join(open_groups, "key", "left_semi"), "ngram-open")
-    # groups of one family mostly have one first member: they meet in one task, which gives each pair once
+    # groups of one family mostly have one first member: they meet in a few tasks, each of which gives a pair once
     start = kept.groupBy("key").agg(F.min("node").alias("start"))
-    rest = kept.join(start, "key").join(sets.select("node", "n", "sketch"), "node").groupBy("start").applyInArrow(_open_pairs, "a long, b long").distinct()
+    started = kept.join(start, "key")
+    parts = started.groupBy("start").agg(F.ceil(F.count("*") / SHARD_ROWS).alias("parts"))
+    sharded = started.join(parts, "start").withColumn("part", F.pmod(F.col("key"), F.col("parts")))
+    rest = sharded.join(sets.select("node", "n", "sketch"), "node").groupBy("start", "part").applyInArrow(_open_pairs, "a long, b long").distinct()
     second = materialize(rest.join(first, ["a", "b"], "left_anti"), "ngram-second")
     more = verify(second, texts_of(second, "ngram-second"))
     roots = components(materialize(links.unionByName(more), "ngram-all-links"))

@@ -39,7 +39,7 @@ DIVE = 16
 #: Fillings tried at a node.
 FILLINGS = 8
 #: Rows of a length ranked in one group, about.
-GROUP_ROWS = 4096
+GROUP_ROWS = 512
 
 Pattern = tuple[tuple[tuple[int, int], ...], int]
 

@@ -108,6 +108,24 @@ def derive(warc: bytes) -> list[bytes]:
     return out
 
 
+def derive_records(warcs: DataFrame, warc_col: str) -> DataFrame:
+    """Rows of WARC bytes (any number of records each) to one row for each derived record: type, record_id,
+    refers_to, target_uri and the record's bytes."""
+    names = ["type", "record_id", "refers_to", "target_uri", "record"]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            rows = []
+            for x in batch.column(0):
+                for record in derive(x.as_py() or b""):
+                    ((h, _),) = read_records(record)
+                    rows.append((h["WARC-Type"], h["WARC-Record-ID"], h["WARC-Refers-To"], h["WARC-Target-URI"], record))
+            cols = list(zip(*rows)) or [()] * 5
+            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, (*[pa.string()] * 4, pa.binary()))], names=names)
+
+    return warcs.select(F.col(warc_col)).mapInArrow(run, "type string, record_id string, refers_to string, target_uri string, record binary")
+
+
 RECORDS = "response binary, metadata binary, conversion binary"
 
 
