@@ -20,8 +20,12 @@ def document_terms(docs: DataFrame, keys: list[str], text: str = "text", term_wo
 
 
 def augmented_tf(terms: DataFrame, keys: list[str]) -> DataFrame:
-    """Occurrences of a term over those of the document's most frequent one: keys, term, n, tf."""
-    counts = terms.groupBy(*keys, "term").agg(F.count("*").alias("n"))
+    """Occurrences of a term over those of the document's most frequent one: keys, term, n, tf.
+
+    One shuffle, by document: rows so dealt serve the counts by document and term as well as the
+    maximum by document.
+    """
+    counts = terms.repartition(*keys).groupBy(*keys, "term").agg(F.count("*").alias("n"))
     return counts.withColumn("tf", F.col("n") / F.max("n").over(Window.partitionBy(*keys)))
 
 

@@ -9,11 +9,15 @@ from ..functions.text import space_split
 from .schemas import ARTICLE, WIKI_PAGE
 
 
+#: Inputs of fewer bytes than this for each core are dealt anew: their files may be single row groups, so single tasks.
+SMALL_SHARE = 4 << 20
+
+
 def spread(df: DataFrame) -> DataFrame:
-    """The frame over as many partitions as there are cores, if its files give fewer (a file of one row group is one
-    task); otherwise as it is."""
+    """A small input over as many partitions as there are cores; a larger one as its files give it."""
     cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+    size = int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
+    return df.repartition(cores) if size < SMALL_SHARE * cores else df
 
 
 def parse_articles(lines: Column) -> Column:
