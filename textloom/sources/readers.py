@@ -9,7 +9,8 @@ from ..functions.text import space_split
 from .schemas import ARTICLE, WIKI_PAGE
 
 
-#: Inputs of fewer bytes than this for each core are dealt anew: their files may be single row groups, so single tasks.
+#: Inputs of fewer bytes than this for each core, in fewer files than cores, are dealt anew: a file may be a single row
+#: group, so a single task.
 SMALL_SHARE = 4 << 20
 
 
@@ -17,7 +18,7 @@ def spread(df: DataFrame) -> DataFrame:
     """A small input over as many partitions as there are cores; a larger one as its files give it."""
     cores = df.sparkSession.sparkContext.defaultParallelism
     size = int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
-    return df.repartition(cores) if size < SMALL_SHARE * cores else df
+    return df.repartition(cores) if size < SMALL_SHARE * cores and len(df.inputFiles()) < cores else df
 
 
 def parse_articles(lines: Column) -> Column:
