@@ -39,10 +39,9 @@ from pyspark.sql import functions as F
 
 from .common import materialize, shuffle_partitions
 from .graph import components
+from .hashing import BASE, Ranges, U, mix
 
 N = 5
-#: Words whose hashes a worker remembers (about 50 MB).
-REMEMBERED = 400_000
 #: Segments per shingle of a band's least size, and the share of them with neighbourhoods. The
 #: last allocation, one shingle a segment, is always enough.
 ALLOCATIONS = ((0.47, 0), (0.47, 8), (0.56, 0), (0.56, 8), (0.75, 0), (0.75, 8), (math.inf, 0))
@@ -53,15 +52,8 @@ BROADCAST_IDS = 2_000_000
 #: Signatures a task holds before it hands them on.
 FLUSH = 600_000
 
-U = np.uint64
-_C1, _C2, _C3 = U(0x9E3779B97F4A7C15), U(0xBF58476D1CE4E5B9), U(0x94D049BB133111EB)
-
-
-def mix(x: np.ndarray) -> np.ndarray:
-    """A 64-bit finalizer, element by element."""
-    x = (x ^ (x >> U(30))) * _C2
-    x = (x ^ (x >> U(27))) * _C3
-    return x ^ (x >> U(31))
+_C1, _C2 = U(BASE), U(0xBF58476D1CE4E5B9)
+WHITE = np.isin(np.arange(256), [32, *range(9, 14)])
 
 
 class Shingles:
@@ -69,30 +61,26 @@ class Shingles:
 
     def __init__(self, n: int = N) -> None:
         self.n = n
-        self.known: dict[bytes, int] = {}
-        self.powers = [pow(int(_C1), k, 1 << 64) for k in range(n)]
+        self.powers = [U(pow(BASE, k, 1 << 64)) for k in range(n)]
 
     def __call__(self, text: str | None) -> np.ndarray:
-        words = (text or "").encode().lower().split()
-        if not words:
+        data = np.frombuffer((text or "").encode().lower(), np.uint8)  # of bytes, only A to Z change
+        inside = np.zeros(len(data) + 2, np.int8)
+        inside[1:-1] = ~WHITE[data]
+        step = np.diff(inside)
+        starts, ends = np.flatnonzero(step == 1), np.flatnonzero(step == -1)
+        k = len(starts)
+        if not k:
             return np.empty(0, U)
-        known = self.known
-        try:
-            h = np.fromiter(map(known.__getitem__, words), U, len(words))
-        except KeyError:
-            if len(known) > REMEMBERED:
-                known.clear()
-            for w in set(words):
-                if w not in known:
-                    known[w] = xxhash.xxh64_intdigest(w)
-            h = np.fromiter(map(known.__getitem__, words), U, len(words))
-        k = len(h)
+        h = Ranges(data).between(starts, ends)
         if k < self.n:
-            return mix(np.array([sum(int(x) * p for x, p in zip(h, self.powers)) + k & (1 << 64) - 1], U))
-        s = np.zeros(k - self.n + 1, U)
+            return mix(np.array([(h * np.array(self.powers[:k])).sum() + U(k)], U))
+        s = np.full(k - self.n + 1, U(self.n))
         for i, p in enumerate(self.powers):
-            s += h[i : k - self.n + 1 + i] * U(p)
-        return np.unique(mix(s + U(self.n)))
+            s += h[i : k - self.n + 1 + i] * p
+        s = mix(s)
+        s.sort()
+        return s[changes(s)]
 
 
 def node_of(s: np.ndarray) -> int:
@@ -166,23 +154,32 @@ def shape(scheme: int, allocation: int) -> tuple[int, int]:
 
 
 def segments(s: np.ndarray, m: int) -> np.ndarray:
-    return ((s >> U(20)) % U(m)).astype(np.int64)
+    """The segment of each shingle: its hash's place among m ranges, so in order where the hashes are."""
+    return ((s >> U(32)) * U(m)) >> U(32)
+
+
+def changes(x: np.ndarray) -> np.ndarray:
+    """Where a value differs from the one before, the first included."""
+    out = np.empty(len(x), bool)
+    out[:1] = True
+    np.not_equal(x[1:], x[:-1], out=out[1:])
+    return out
 
 
 def accounts(s: np.ndarray, scheme: int) -> list[int]:
     """For each allocation what a set has beyond its need, and how many signatures it emits."""
     n, need = len(s), needed(len(s), scheme)
-    out, held = [], {}
+    out, known = [], {}
     for a in range(len(ALLOCATIONS)):
         m, wide = shape(scheme, a)
         if not m:
             out += [n - need, n]
             continue
-        if m not in held:
-            count = np.bincount(segments(s, m), minlength=m)
-            held[m] = count, int(np.count_nonzero(count))
-        count, some = held[m]
-        twice = count[:wide]
+        if m not in known:
+            seg = segments(s, m)
+            known[m] = seg, 1 + int(np.count_nonzero(seg[1:] != seg[:-1]))
+        seg, some = known[m]
+        twice = np.bincount(seg[: np.searchsorted(seg, U(wide))].astype(np.int64)) if wide else np.empty(0, np.int64)
         twice = twice[twice >= 2]
         out += [some + len(twice) - need, some + int(twice.sum())]
     return out
@@ -193,14 +190,12 @@ def signatures(s: np.ndarray, scheme: int, allocation: int) -> np.ndarray:
     salt = U((scheme + 1) * 0x632BE59BD9B4E019 & (1 << 64) - 1)
     if not m:
         return mix(s ^ salt)
-    seg = segments(s, m)
-    order = np.argsort(seg, kind="stable")
-    seg, h = seg[order], mix(s[order] ^ _C1)
-    first = np.flatnonzero(np.r_[True, seg[1:] != seg[:-1]])
+    seg, h = segments(s, m), mix(s ^ _C1)
+    first = np.flatnonzero(changes(seg))
     sums = np.add.reduceat(h, first)
-    tag = salt + (seg.astype(U) + U(1)) * _C2
+    tag = salt + (seg + U(1)) * _C2
     out = mix(sums + tag[first])
-    if wide and (n := int(np.searchsorted(seg, wide))):
+    if wide and (n := int(np.searchsorted(seg, U(wide)))):
         held = np.diff(np.r_[first, len(seg)])
         own = np.repeat(np.arange(len(first)), held)[:n]
         less = mix(sums[own] - h[:n] + tag[:n])
@@ -394,7 +389,7 @@ def prune(pairs: DataFrame, sets: DataFrame) -> DataFrame:
 
 
 #: Members of a family's groups that meet in one task, about.
-SHARD_ROWS = 4_000
+SHARD_ROWS = 100_000
 #: Pairs a task holds before it reduces them to different ones.
 HELD_PAIRS = 2_000_000
 

@@ -30,6 +30,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import materialize, shuffle_partitions
+from .hashing import Ranges, U
 
 LENGTH = 200
 #: Bytes of an anchor's gram; a string of LENGTH bytes has LENGTH - GRAM + 1 of them.
@@ -41,36 +42,6 @@ FLUSH, FLUSH_BYTES = 600_000, 24_000_000
 #: Bytes of surroundings in a bucket, about: sorting takes some hundred times as much memory.
 BUCKET_BYTES = 600_000
 
-U = np.uint64
-_P = 0x9E3779B97F4A7C15
-_INVERSE = pow(_P, -1, 1 << 64)
-_powers = [np.ones(1, U), np.ones(1, U)]
-
-
-def _mix(x: np.ndarray) -> np.ndarray:
-    x = (x ^ (x >> U(30))) * U(0xBF58476D1CE4E5B9)
-    x = (x ^ (x >> U(27))) * U(0x94D049BB133111EB)
-    return x ^ (x >> U(31))
-
-
-def _power(n: int, which: int) -> np.ndarray:
-    have = _powers[which]
-    if len(have) < n:
-        base = U(_INVERSE if which else _P)
-        size = 1 << (n - 1).bit_length()
-        have = np.full(size, base, U)
-        have[0] = 1
-        _powers[which] = have = np.multiply.accumulate(have)
-    return have[:n]
-
-
-def grams(data: np.ndarray, k: int = GRAM) -> np.ndarray:
-    """A hash of every k bytes, from one prefix sum."""
-    sums = np.zeros(len(data) + 1, U)
-    np.cumsum((data.astype(U) + U(1)) * _power(len(data), 0), out=sums[1:])
-    return _mix((sums[k:] - sums[:-k]) * _power(len(data) - k + 1, 1))
-
-
 def anchors_of_windows(h: np.ndarray, width: int) -> np.ndarray:
     """For every run of width grams the place of the leftmost with the least hash (by its upper 32 bits)."""
     n = len(h)
@@ -84,7 +55,7 @@ def anchors_of_windows(h: np.ndarray, width: int) -> np.ndarray:
 
 def choose(data: np.ndarray, length: int = LENGTH, gram: int = GRAM) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """The anchors of a text: the first window start of each, its place, and its gram's hash. Windows follow in order."""
-    h = grams(data, gram)
+    h = Ranges(data).of_size(gram)
     at = anchors_of_windows(h, length - gram + 1)
     first = np.flatnonzero(np.r_[True, at[1:] != at[:-1]])
     return first, at[first], h[at[first]]
