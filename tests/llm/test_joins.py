@@ -6,6 +6,7 @@ import numpy as np
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 
 from textloom.llm import graph, ngram_join, suffix_dedup
 
@@ -60,6 +61,17 @@ def test_ngram_join_against_brute_force(spark):
     assert got == brute_components(texts)
 
 
+def test_null_ids(spark):
+    """Documents without an id still link others and repeat their bytes; a component of such alone has no id."""
+    base, other = prose(120, 1), prose(120, 2)
+    docs = docs_of(spark, [base, edited(base, 0.02, 1), edited(base, 0.02, 2), other, edited(other, 0.01, 3)]).replace({3: 99, 4: 99}, subset=["doc_id"])
+    docs = docs.withColumn("doc_id", F.when(F.col("doc_id").isin(0, 99), None).otherwise(F.col("doc_id")))
+    got = sorted(((r["doc_id"], r["component_id"]) for r in ngram_join.link_components(docs).collect()), key=str)
+    assert got == [(1, 1), (2, 1), (None, 1), (None, None), (None, None)]
+    rows = suffix_dedup.remove_repeats(docs).collect()
+    assert len(rows) == 5 and sum(r["n_removed"] for r in rows) == sum(r[1] for r in brute_removal([r["text"] for r in docs.collect()]).values())
+
+
 def test_ngram_join_of_nothing(spark):
     assert ngram_join.link_components(docs_of(spark, [])).collect() == []
     assert [r["component_id"] for r in ngram_join.link_components(docs_of(spark, [None, "", None])).orderBy("doc_id").collect()] == [0, 1, 2]

@@ -204,15 +204,15 @@ def signatures(s: np.ndarray, scheme: int, allocation: int) -> np.ndarray:
 
 
 def describe(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """doc_id, node, n_shingles, band, sketch, and for the set's one or two schemes what each allocation would leave and cost."""
+    """doc_id, text_hash, node, n_shingles, band, sketch, and for the set's one or two schemes what each allocation would leave and cost."""
     id_type = docs.schema[id_col].dataType.simpleString()
-    names = ["doc_id", "node", "n_shingles", "band", "sketch", "own", "upper"]
+    names = ["doc_id", "text_hash", "node", "n_shingles", "band", "sketch", "own", "upper"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         of = Shingles()
         for batch in batches:
             rows = []
-            for x in batch.column(1):
+            for x in batch.column(2):
                 s = of(x.as_py())
                 if not len(s):
                     rows.append((None, 0, -1, None, None, None))
@@ -221,10 +221,10 @@ def describe(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
                 rows.append((node_of(s), len(s), band(len(s)), sketch(s), both[0], both[1] if len(both) > 1 else None))
             cols = list(zip(*rows)) or [()] * 6
             kinds = [pa.int64(), pa.int64(), pa.int32(), pa.binary(), pa.list_(pa.int32()), pa.list_(pa.int32())]
-            yield pa.RecordBatch.from_arrays([batch.column(0), *[pa.array(c, t) for c, t in zip(cols, kinds)]], names=names)
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), *[pa.array(c, t) for c, t in zip(cols, kinds)]], names=names)
 
-    picked = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
-    return picked.mapInArrow(run, f"doc_id {id_type}, node long, n_shingles long, band int, sketch binary, own array<int>, upper array<int>")
+    picked = docs.select(F.col(id_col).alias("doc_id"), F.xxhash64(text_col).alias("text_hash"), F.col(text_col).alias("text"))
+    return picked.mapInArrow(run, f"doc_id {id_type}, text_hash long, node long, n_shingles long, band int, sketch binary, own array<int>, upper array<int>")
 
 
 def allocate(sets: DataFrame) -> dict[int, int]:
@@ -454,9 +454,9 @@ def link_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     packed = emit(docs, chosen, shuffle_partitions(spark), text_col)
     groups = materialize(shared_groups(packed), "ngram-groups")
 
-    # one row for each different set: its first document stands for it
+    # one row for each different set: one of its texts stands for it
     sets = described.filter("band >= 0").groupBy("node").agg(
-        F.min("doc_id").alias("doc"), F.first("n_shingles").alias("n"), F.first("band").alias("band"), F.first("sketch").alias("sketch"), F.first("own").alias("own"), F.first("upper").alias("upper")
+        F.min("text_hash").alias("text_hash"), F.first("n_shingles").alias("n"), F.first("band").alias("band"), F.first("sketch").alias("sketch"), F.first("own").alias("own"), F.first("upper").alias("upper")
     )
     members = groups.select("key", "scheme", "times", F.size("nodes").alias("size"), F.explode("nodes").alias("node"))
     sets = materialize(sets.join(members.select("node").distinct(), "node", "left_semi"), "ngram-candidates")
@@ -470,14 +470,13 @@ def link_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     first = materialize(prune(first, sets), "ngram-first")
 
     # texts of candidates: by broadcast of their ids if these are few
-    names = docs.select(F.col(id_col).alias("doc"), F.col(text_col).alias("text"))
+    texts = docs.select(F.xxhash64(text_col).alias("text_hash"), F.col(text_col).alias("text"))
 
     def texts_of(pairs: DataFrame, tag: str) -> DataFrame:
         wanted = pairs.select(F.col("a").alias("node")).unionByName(pairs.select(F.col("b").alias("node"))).distinct()
-        wanted = materialize(sets.select("node", "doc").join(wanted, "node", "left_semi"), f"{tag}-ids")
-        few = wanted.count() <= BROADCAST_IDS
-        got = names.join(F.broadcast(wanted) if few else wanted, "doc")
-        return materialize(got.groupBy("node").agg(F.first("text").alias("text")) if not few else got.select("node", "text").dropDuplicates(["node"]), f"{tag}-texts")
+        wanted = materialize(sets.select("node", "text_hash").join(wanted, "node", "left_semi"), f"{tag}-ids")
+        got = texts.join(F.broadcast(wanted) if wanted.count() <= BROADCAST_IDS else wanted, "text_hash")
+        return materialize(got.groupBy("node").agg(F.first("text").alias("text")), f"{tag}-texts")
 
     links = materialize(verify(first, texts_of(first, "ngram-first")), "ngram-links")
     roots = materialize(components(links), "ngram-roots")

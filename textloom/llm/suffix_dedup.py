@@ -9,8 +9,8 @@ are neighbours, and the previous and next smaller positions among them tell whet
 position's longest previous factor reaches LENGTH: all but the first then have an earlier
 match, and the first has a later one.
 
-``keep="first"`` removes later copies only and keeps the first (least document id, then least
-place); ``keep="none"`` removes every occurrence. Exact copies of a text are one node
+``keep="first"`` removes later copies only and keeps the first (least document id, null before
+all, ids that are no whole numbers by their hash; then least place); ``keep="none"`` removes every occurrence. Exact copies of a text are one node
 throughout, and equal surroundings of an anchor travel once for a task.
 
 Matches never cross documents. Defined results: null and empty texts have no bytes; texts
@@ -28,6 +28,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import IntegralType
 
 from .common import materialize, shuffle_partitions
 from .hashing import Ranges, U
@@ -287,17 +288,18 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     text = F.coalesce(F.col(text_col), F.lit(""))
     named = docs.select(F.col(id_col).alias("doc_id"), text.alias("text")).withColumn("node", F.xxhash64("text"))
     facts = materialize(named.select("doc_id", "node", F.octet_length("text").cast("long").alias("n_bytes"), F.sha2("text", 256).alias("sha")), "suffix-docs")
-    firsts = facts.groupBy("node").agg(F.min("doc_id").alias("doc"), F.count("*").alias("copies"))
+    whole_numbers = isinstance(facts.schema["doc_id"].dataType, IntegralType)
+    place = F.coalesce(F.col("doc_id").cast("long") if whole_numbers else F.xxhash64("doc_id"), F.lit(-(1 << 63)))
+    firsts = facts.groupBy("node").agg(F.min(place).alias("doc"), F.count("*").alias("copies"))
 
     packed = emit_anchors(named.filter(F.octet_length("text") >= LENGTH).select("node", "text"), buckets)
     places = packed.groupBy("bucket").applyInArrow(_repeated_anchors, "node long, places binary")
     places = materialize(places.groupBy("node").agg(F.collect_list("places").alias("places")).join(firsts, "node"), "suffix-places")
 
     few = places.count() <= BROADCAST_IDS
-    ids = places.select("node", "doc")
-    ids = F.broadcast(ids) if few else ids
-    texts = named.join(ids.withColumnRenamed("doc", "doc_id"), ["node", "doc_id"]).dropDuplicates(["node"])
-    texts = materialize(texts.select("node", "text").join(places, "node"), "suffix-texts")
+    ids = places.select("node")
+    texts = named.select("node", "text").join(F.broadcast(ids) if few else ids, "node").groupBy("node").agg(F.first("text").alias("text"))
+    texts = materialize(texts.join(places, "node"), "suffix-texts")
 
     # windows of an anchor start within LENGTH - GRAM bytes, half of them on average
     repeated = places.agg(F.sum(F.aggregate("places", F.lit(0).cast("long"), lambda a, x: a + (F.octet_length(x) / 4).cast("long")))).first()[0] or 0
@@ -320,7 +322,7 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     out = facts.join(copied, "node", "left").join(some, "node", "left")
     whole = F.col("copies").isNotNull() & (F.col("n_bytes") >= LENGTH)
     if keep == "first":
-        whole = whole & (F.col("doc_id") != F.col("doc"))
+        whole = whole & (place != F.col("doc"))
     nothing = F.array().cast("array<struct<start:bigint,end:bigint>>")
     all_of_it = F.array(F.struct(F.lit(0).cast("long").alias("start"), F.col("n_bytes").alias("end")))
     return out.select(
