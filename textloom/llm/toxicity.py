@@ -26,10 +26,10 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-#: Labelled rows that a fit reads at most (about 30 MB of the test tables' texts).
+#: Labelled rows that a fit reads at most (with SAMPLE_CHARS 160 MB of text at worst, some 500 MB of features).
 SAMPLE_ROWS = 8_000
 #: Characters of a labelled text that a fit reads at most; longer ones are left out of the fit.
-SAMPLE_CHARS = 200_000
+SAMPLE_CHARS = 20_000
 #: Letters of the beginnings of words that are features beside the words.
 BEGINNINGS = (3, 4, 5)
 #: Words whose weights a worker remembers (about 60 MB).
