@@ -135,7 +135,7 @@ def word_count_total(spark: SparkSession, sf_dir: str) -> DataFrame:
     return counts.total_words(documents(spark, sf_dir), "text")
 
 
-@query("SELECT sum(len(string_split(text, chr(10)))) AS n_lines FROM documents")
+@query("SELECT sum(len(string_split(text, chr(10))))::BIGINT AS n_lines FROM documents")
 def line_count(spark: SparkSession, sf_dir: str) -> DataFrame:
     return counts.line_count(documents(spark, sf_dir).select(F.explode(F.split("text", "\n")).alias("value")))
 
@@ -437,7 +437,7 @@ def buzz_meta_per_tag(spark: SparkSession, sf_dir: str) -> DataFrame:
     f"""WITH {WORDS_SQL}, said AS (SELECT DISTINCT doc_id, term FROM terms), sourced AS (SELECT source, lower(term) AS term, term AS form FROM said JOIN documents USING (doc_id)),
 forms AS (SELECT source, term, form, count(*) AS k FROM sourced GROUP BY ALL),
 best AS (SELECT source, term, sum(k)::BIGINT AS n, arg_min(form, (-k, form)) AS form FROM forms GROUP BY ALL),
-placed AS (SELECT source, form, n, row_number() OVER (PARTITION BY source ORDER BY n DESC, form, term) AS place FROM best) SELECT * FROM placed WHERE place <= 10"""
+placed AS (SELECT source, form, n, (row_number() OVER (PARTITION BY source ORDER BY n DESC, form, term))::INTEGER AS place FROM best) SELECT * FROM placed WHERE place <= 10"""
 )
 def opinion_top_terms(spark: SparkSession, sf_dir: str) -> DataFrame:
     said = plain_terms(spark, sf_dir).distinct().join(table(spark, sf_dir, "documents").select("doc_id", "source"), "doc_id")
