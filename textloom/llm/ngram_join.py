@@ -451,7 +451,7 @@ def link_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     spark = docs.sparkSession
     described = materialize(describe(docs, id_col, text_col), "ngram-sets")
     chosen = allocate(described)
-    packed = emit(docs, chosen, shuffle_partitions(spark), text_col)
+    packed = emit(docs, chosen, 2 * shuffle_partitions(spark), text_col)
     groups = materialize(shared_groups(packed), "ngram-groups")
 
     # one row for each different set: one of its texts stands for it

@@ -20,6 +20,7 @@ import os
 import unicodedata
 import zlib
 from collections.abc import Iterator
+from functools import cached_property, lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -63,10 +64,7 @@ class TokenIds:
     PIECE = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|\p{L}+|\p{N}|[^\s\p{L}\p{N}]+")
 
     def __init__(self, path: str) -> None:
-        os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
-        from tokenizers import Tokenizer
-
-        self.whole = Tokenizer.from_file(path)
+        self.path = path
         with open(path, encoding="utf-8") as f:
             model = json.load(f)["model"]
         vocab, end = model["vocab"], model["end_of_word_suffix"]
@@ -84,6 +82,13 @@ class TokenIds:
             if len(ranks) == len(vocab):
                 self.fast = tiktoken.Encoding("words", pat_str=r"[^\x00]+\x00", mergeable_ranks=ranks, special_tokens={})
 
+    @cached_property
+    def whole(self):  # noqa: ANN202
+        os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
+        from tokenizers import Tokenizer
+
+        return Tokenizer.from_file(self.path)
+
     def __call__(self, text: str | None) -> bytes:
         text = text or ""
         if self.fast is None or "<|" in text or not self.SAFE.fullmatch(text):
@@ -95,6 +100,12 @@ class TokenIds:
         return self.fast.encode_to_numpy("\0".join(parts), disallowed_special=()).astype("<u4").tobytes()
 
 
+@lru_cache(1)
+def token_ids(path: str) -> TokenIds:
+    """One for each worker: its tables are made once, and the tokenizer is loaded only where a text needs it."""
+    return TokenIds(path)
+
+
 def pieces(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text", capacity: int = CAPACITY) -> DataFrame:
     """doc_id, piece, start, length, ids_crc32 of every piece."""
     id_type = docs.schema[id_col].dataType.simpleString()
@@ -103,7 +114,7 @@ def pieces(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "
     kinds = [pa.int32(), pa.int64(), pa.int64(), pa.int64()]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        ids_of = TokenIds(path)
+        ids_of = token_ids(path)
         for batch in batches:
             rows, take = [], []
             for i, x in enumerate(batch.column(1)):

@@ -165,12 +165,17 @@ def secret_scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
 def redact_documents(docs: DataFrame, text_col: str = "text") -> DataFrame:
     """The documents with all secrets in their texts masked; n_chars, where there is one, follows."""
 
-    @F.pandas_udf("string")
-    def masked(texts):  # noqa: ANN001, ANN202
-        return texts.map(redact)
-
     names = docs.columns
-    out = docs.withColumn(text_col, masked(F.col(text_col)))
+    at = names.index(text_col)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for whole in batches:
+            for first in range(0, whole.num_rows, 512):
+                batch = whole.slice(first, 512)
+                texts = pa.array([redact(x.as_py()) for x in batch.column(at)], batch.column(at).type)
+                yield pa.RecordBatch.from_arrays([texts if i == at else c for i, c in enumerate(batch.columns)], schema=batch.schema)
+
+    out = docs.mapInArrow(run, docs.schema)
     if "n_chars" in names and text_col == "text":
         out = out.withColumn("n_chars", F.when(F.col("text").isNull(), F.col("n_chars")).otherwise(F.length("text").cast(docs.schema["n_chars"].dataType)))
     return out.select(names)
