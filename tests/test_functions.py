@@ -1,3 +1,4 @@
+import hashlib
 import math
 
 import pytest
@@ -89,6 +90,26 @@ def test_entities(spark):
     assert one(spark, "a_b", lambda c: de_stem(c, F.create_map(F.lit("a"), F.lit("Aa")))) == "Aa b"
 
 
+def test_entities_of_whole_texts(spark, tmp_path):
+    from textloom.queries import QUERIES
+
+    long = "und so weiter " * 6_000
+    texts = [None, "", "nichts", "sepp blatter", "x" * 75 + " sepp blatter war da", long + "in St. Gallen und New York, New York", f"Roger Federer {long}Johann Schneider-Ammann {long}Los-Ängeles", "x" * 70_000 + " st moritz new st gallen"]
+    spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").write.parquet(str(tmp_path / "documents.parquet"))
+
+    def brute(text):
+        words, out, i = normalize_term(text).strip(" ").split(" "), [], 0
+        while i < len(words):
+            k = next((k for k in (3, 2) if "_".join(words[i : i + k]) in entity_keys() and i + k <= len(words)), 1)
+            out.append("_".join(words[i : i + k]))
+            i += k
+        return sum("_" in w for w in out), hashlib.md5(" ".join(w for w in out if w).encode()).hexdigest()
+
+    got = {r["doc_id"]: (r["n_marked"], r["digest"]) for r in QUERIES["entities_marked"](spark, str(tmp_path)).collect()}
+    assert got == {i: brute(t) if t is not None else (None, None) for i, t in enumerate(texts)}
+    assert [got[i][0] for i in range(3, 8)] == [1, 1, 3, 3, 2]
+
+
 @pytest.mark.parametrize("hours, up, down, low, high", [(24, 1, None, 4, 5), (24, None, None, 3, 4), (24, 1_981_298_120, None, 3, 99), (31 * 24, 5, 5, 0, 0), (-5, 1, 1, 0, 0), (0, None, None, 6.5, 6.6)])
 def test_buzz(spark, hours, up, down, low, high):
     rows = spark.createDataFrame([(up, down)], "up int, down int")

@@ -23,12 +23,23 @@ def _is_mark(c: str) -> bool:
     return kind[0] == "M" or kind in ("Lm", "Sk")
 
 
+class _Marks(dict):
+    """For str.translate: no marks; characters are looked up once."""
+
+    def __missing__(self, c: int) -> int | None:
+        self[c] = None if _is_mark(chr(c)) else c
+        return self[c]
+
+
+_MARKS = _Marks()
+
+
 def normalize(text: str | None) -> str | None:
     """Lower case, no accents, everything but letters and digits as single hyphens, none at the end."""
     if text is None:
         return None
     plain = unicodedata.normalize("NFD", text.strip(_TRIMMED).lower())
-    plain = "".join(c for c in plain if not _is_mark(c))
+    plain = plain.translate(_MARKS)
     plain = plain.replace("'s", "").replace("ß", "ss").replace("ø", "o")
     plain = re.sub(r"-+", "-", re.sub(r"[^a-zA-Z0-9-]+", "-", plain))
     return plain.removesuffix("-")
@@ -102,17 +113,27 @@ def stem(term: str | None) -> str | None:
     return word.replace("gege", "ge", 1) if len(word) > 4 else word
 
 
-@lru_cache(200_000)
-def normalize_term(term: str | None) -> str | None:
-    """Stems of a term's normalised parts, joined by blanks. A part that was only marks at the front leaves a leading blank."""
-    if term is None:
-        return None
+#: Characters of the longest term whose form is remembered; whole texts are not kept in memory.
+KEPT_CHARS = 200
+
+
+def _term_of(term: str) -> str:
     parts = normalize(term).split("-")
     while len(parts) > 1 and not parts[-1]:
         parts.pop()
     return " ".join(stem(p) for p in parts)
 
 
+_kept_term = lru_cache(200_000)(_term_of)
+
+
+def normalize_term(term: str | None) -> str | None:
+    """Stems of a term's normalised parts, joined by blanks. A part that was only marks at the front leaves a leading blank."""
+    if term is None:
+        return None
+    return _kept_term(term) if len(term) <= KEPT_CHARS else _term_of(term)
+
+
 @F.pandas_udf(StringType())
 def _normalized(x: pd.Series) -> pd.Series:
     return x.map(normalize, na_action="ignore")

@@ -211,8 +211,10 @@ def letters_only_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query()
 def entities_marked(spark: SparkSession, sf_dir: str) -> DataFrame:
-    said = F.concat(F.lit("hello mr sepp blatter of st gallen, "), F.substring("text", 1, 80))
-    return documents(spark, sf_dir).select("doc_id", mark_entities(term_form(said)).alias("marked"))
+    marked = documents(spark, sf_dir).select("doc_id", mark_entities(term_form(F.col("text"))).alias("marked"))
+    # normal forms have no underscores but those of the marks
+    n = F.size(F.filter(F.split("marked", " "), lambda w: w.contains("_"))).cast("long")
+    return marked.select("doc_id", F.when(F.col("marked").isNotNull(), n).alias("n_marked"), F.md5("marked").alias("digest"))
 
 
 MARKUP_SQL = "text"
