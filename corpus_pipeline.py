@@ -4,8 +4,9 @@ Every stage takes (spark, docs, sf_dir), works on all documents its predecessor
 a DataFrame; all but the last give the columns of documents.
 
 Defined results: null and empty texts fail the rules and go; of equal or linked documents the
-one with the smallest id stays, a null id counting as one id that is kept only where nothing
-else is linked; repeated rows count as copies; an empty table gives no rows.
+one with the smallest id stays, one with a null id only where no linked one has an id; documents
+that share an id, or have none, are told apart by their texts; rows of the same id and text
+count as copies; an empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -16,7 +17,7 @@ from pyspark.sql import functions as F
 from textloom.llm import mixing, ngram_join, packing, quality_rules, secret_scans
 from textloom.llm.common import materialize, table
 
-#: Rows of (id, count) up to this many are broadcast (about 16 bytes each), more are joined by shuffle.
+#: Rows of an id, a hash of the text and the like up to this many are broadcast (some tens of bytes each), more are joined by shuffle.
 BROADCAST_ROWS = 2_000_000
 
 
@@ -31,12 +32,14 @@ def keep_by_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of linked documents."""
-    classes = materialize(ngram_join.link_components(docs), "pipeline-classes")
-    others = _small(classes.filter(~F.col("doc_id").eqNullSafe(F.col("component_id"))).select("doc_id").distinct())
-    left = docs.join(others, docs["doc_id"].eqNullSafe(others["doc_id"]), "left_anti")
-    again = _small(classes.groupBy("doc_id").count().filter("count > 1").select(F.col("doc_id").alias("__again")))
-    marked = left.join(again, left["doc_id"].eqNullSafe(F.col("__again")), "left_semi").dropDuplicates(["doc_id"])
-    return left.join(again, left["doc_id"].eqNullSafe(F.col("__again")), "left_anti").unionByName(marked)
+    classes = materialize(ngram_join.linked_rows(docs), "pipeline-classes")
+    same = F.col("doc_id").eqNullSafe(F.col("__id")) & (F.xxhash64("text") == F.col("__hash"))
+    named = [F.col("doc_id").alias("__id"), F.col("text_hash").alias("__hash")]
+    others = _small(classes.filter(~F.col("stays")).select(*named).distinct())
+    left = docs.join(others, same, "left_anti")
+    again = _small(classes.filter("stays").groupBy(*named).count().filter("count > 1").select("__id", "__hash"))
+    marked = left.join(again, same, "left_semi").dropDuplicates(["doc_id", "text"])
+    return left.join(again, same, "left_anti").unionByName(marked)
 
 
 def mask_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -46,9 +49,12 @@ def mask_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents as often as the mix takes them."""
-    taken = mixing.mix(docs.select("doc_id", "text", "source")).filter("taken > 0")
-    times = materialize(taken.groupBy(F.col("doc_id").alias("__mixed")).agg(F.max(F.col("taken") / F.col("size")).cast("int").alias("__times")), "pipeline-times")
-    both = docs.join(_small(times), F.col("doc_id").eqNullSafe(F.col("__mixed")))
+    named = docs.select("doc_id", "text", "source", F.xxhash64("text").alias("__hash"))
+    taken = mixing.mix(named, also=("__hash",)).filter("taken > 0")
+    rows = taken.groupBy(F.col("doc_id").alias("__id"), F.col("source").alias("__source"), "__hash")
+    times = materialize(rows.agg(F.max(F.col("taken") / F.col("size")).cast("int").alias("__times")), "pipeline-times")
+    same = F.col("doc_id").eqNullSafe(F.col("__id")) & F.col("source").eqNullSafe(F.col("__source")) & (F.xxhash64("text") == F.col("__hash"))
+    both = docs.join(_small(times), same)
     return both.withColumn("__nth", F.explode(F.sequence(F.lit(1), F.col("__times")))).select(docs.columns)
 
 

@@ -78,3 +78,21 @@ def test_repeated_ids_and_nothing(spark):
     for _, stage in corpus_pipeline.STAGES:
         left = stage(spark, left, "")
     assert left.collect() == []
+
+
+def test_rows_without_ids_of_their_own(spark):
+    apart = [prose(80, k) for k in range(8)]
+    copy = edited(apart[0], 0.01, 1)
+    texts = [apart[0], copy, *apart[1:], apart[2], apart[1]]
+    ids = [5, None, None, None, None, 7, 7, 5, None, None, 9]
+    docs = spark.createDataFrame([(i, *r[1:]) for i, r in zip(ids, docs_of(spark, texts, ["a", None]).collect())], docs_of(spark, []).schema)
+    kept = corpus_pipeline.drop_near_duplicates(spark, docs, "").collect()
+    # the copy goes for the text it is linked to, the repeated row as a copy, the text without an id for the same with one
+    expected = [(5, apart[0]), (9, apart[1]), (None, apart[2]), (None, apart[3]), (7, apart[4]), (7, apart[5]), (5, apart[6]), (None, apart[7])]
+    assert sorted(((r["doc_id"], r["text"]) for r in kept), key=str) == sorted(expected, key=str)
+    left = spark.createDataFrame(kept, docs.schema)
+    taken = corpus_pipeline.mix_sources(spark, left, "").collect()
+    times = Counter((r["doc_id"], r["text"], r["source"]) for r in taken)
+    assert set(times) <= {(r["doc_id"], r["text"], r["source"]) for r in kept}
+    # sources of equal size as the mix takes them: 1.5 times all words within half a document a source
+    assert abs(sum(80 * n for n in times.values()) - 1.5 * 80 * len(kept)) <= 80

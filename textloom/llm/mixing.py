@@ -61,11 +61,11 @@ def plan_targets(sizes: DataFrame, weights=WEIGHTS, share: float = SHARE, most:
     )
 
 
-def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", seed: int = 7) -> DataFrame:
-    """One row for each document: doc_id, size, source_size, target, taken."""
+def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", seed: int = 7, also: tuple[str, ...] = ()) -> DataFrame:
+    """One row for each document: doc_id, size, source_size, target, taken, source and the columns also."""
     size = F.size(words(F.col(text_col))).cast("long")
-    sized = docs.select(F.col(id_col).alias("doc_id"), F.col(source_col).alias("source"), size.alias("size"), F.col(text_col).alias("_t"))
-    sized = sized.select("doc_id", "source", "size", sampling_key(F.col("doc_id"), quality_weight(F.col("_t"), F.col("size")), seed).alias("key"))
+    sized = docs.select(F.col(id_col).alias("doc_id"), F.col(source_col).alias("source"), size.alias("size"), F.col(text_col).alias("_t"), *also)
+    sized = sized.select("doc_id", "source", "size", sampling_key(F.col("doc_id"), quality_weight(F.col("_t"), F.col("size")), seed).alias("key"), *also)
     sized = materialize(sized, "mix-sizes")
     plan = materialize(plan_targets(sized), "mix-plan")
     few = plan.count() <= BROADCAST_SOURCES
@@ -77,6 +77,7 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_
         "doc_id", "source", "size", "source_size", "target", "key", epochs.alias("epochs"),
         (F.col("target") - epochs * F.col("source_size")).alias("rest"),
         F.least(F.floor((F.lit(1.0) - F.exp(-F.col("key"))) * n_ranges), n_ranges - 1).cast("long").alias("range"),
+        *also,
     )
     ranges = both.groupBy("source", "range").agg(F.sum("size").alias("range_size"))
     ahead = F.sum("range_size").over(Window.partitionBy("source").orderBy("range").rowsBetween(Window.unboundedPreceding, -1))
@@ -88,4 +89,4 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_
     # a document whose larger half lies inside the rest is taken whole
     again = (F.lit(2) * start + F.col("size")).cast("double") <= F.lit(2.0) * F.col("rest")
     taken = F.col("size") * (F.col("epochs") + F.when(again & (F.col("epochs") < 2), F.lit(1)).otherwise(F.lit(0)))
-    return reached.select("doc_id", "size", "source_size", "target", taken.cast("long").alias("taken"), "source")
+    return reached.select("doc_id", "size", "source_size", "target", taken.cast("long").alias("taken"), "source", *also)

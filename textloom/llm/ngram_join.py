@@ -448,6 +448,15 @@ def _ordered(a, b):  # noqa: ANN001, ANN202
 
 def link_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", centres: int = 3) -> DataFrame:
     """doc_id, n_shingles and component_id (the smallest doc_id reachable by links) of every document."""
+    return linked_rows(docs, id_col, text_col, centres).select("doc_id", "n_shingles", "component_id")
+
+
+def linked_rows(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", centres: int = 3) -> DataFrame:
+    """link_components with the hash of each row's text and whether the row stays where one of each component does.
+
+    The row of the smallest doc_id stays, nulls last, of equal ones that of the smallest text_hash;
+    rows of the same doc_id and text all do. Rows without shingles stay.
+    """
     spark = docs.sparkSession
     described = materialize(describe(docs, id_col, text_col), "ngram-sets")
     chosen = allocate(described)
@@ -503,7 +512,9 @@ def link_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     more = verify(second, texts_of(second, "ngram-second"))
     roots = components(materialize(links.unionByName(more), "ngram-all-links"))
 
-    rooted = described.select("doc_id", "node", "n_shingles").join(roots, "node", "left")
-    rooted = rooted.withColumn("root", F.coalesce("root", "node"))
-    least = rooted.filter("root is not null").groupBy("root").agg(F.min("doc_id").alias("least"))
-    return rooted.join(least, "root", "left").select("doc_id", "n_shingles", F.coalesce("least", "doc_id").alias("component_id"))
+    rooted = described.select("doc_id", "text_hash", "node", "n_shingles").join(roots, "node", "left")
+    rooted = rooted.withColumn("root", F.coalesce("root", "node")).withColumn("place", F.struct(F.col("doc_id").isNull(), "doc_id", "text_hash"))
+    least = rooted.filter("root is not null").groupBy("root").agg(F.min("doc_id").alias("least"), F.min("place").alias("first"))
+    out = rooted.join(least, "root", "left")
+    stays = F.col("root").isNull() | F.col("place").eqNullSafe(F.col("first"))
+    return out.select("doc_id", "n_shingles", F.coalesce("least", "doc_id").alias("component_id"), "text_hash", stays.alias("stays"))
