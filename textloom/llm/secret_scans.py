@@ -4,12 +4,14 @@ Three base kinds are reported as matched: ``assign`` (a secret-like name and its
 ``access`` (AKIA identifiers) and ``hex`` (32 or more hex digits). Further spans are reported
 only if their decoded bytes have the structure of a secret: ``jwt`` (a base64url header that
 is a JSON object with "alg"), ``pem`` (a PRIVATE KEY block whose base64 decodes to DER with
-consistent nested lengths, or to an openssh-key-v1 container) and ``der`` (a bare base64 or
-hex run that does so).
+consistent nested lengths or to an openssh-key-v1 container, or whose header lines name a
+cipher that the length of the body fits; line ends may be written as \\n) and ``der`` (a bare
+run of base64, base64url or hex digits of either case that decodes to such a key).
 
 Spans are half-open and count code points. Defined results: null and empty texts have no
-spans; repeated rows are scanned one by one; an empty table gives no rows; other columns are
-left alone.
+spans; a text of any length is scanned whole, in time proportional to it, also where key
+blocks or tokens are cut off; equal starts go by kind; repeated rows are scanned one by one;
+an empty table gives no rows; other columns, whatever their names, are left alone.
 """
 
 from __future__ import annotations
@@ -31,12 +33,16 @@ BASE_KINDS = KINDS[:3]
 ASSIGN = re.compile(r"""(?ai:(password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""")
 ACCESS = re.compile(r"AKIA[A-Z0-9]+")
 HEX = re.compile(r"[0-9a-f]+")
-#: Every hex run of 32, base64 run of 40 and signed token lies within such a run.
+#: Every hex run of 32 and base64 run of 40 lies within such a run.
 LONG = re.compile(r"[A-Za-z0-9+/=_.-]{32,}")
 NAMES = ("passw", "secret", "token", "apikey", "api_key")
-JWT = re.compile(r"eyJ[A-Za-z0-9_-]+\.[A-Za-z0-9_-]+\.[A-Za-z0-9_-]*")
+#: Runs that may hold signed tokens: three parts with dots between.
+DOTTED = re.compile(r"[A-Za-z0-9_.-]+")
 BASE64 = re.compile(r"[A-Za-z0-9+/]{40,}={0,2}")
-PEM = re.compile(r"-----BEGIN ((?:[A-Z0-9]+ )*PRIVATE KEY)-----\s*((?:[A-Za-z0-9+/=]+\s*)+)-----END \1-----")
+BASE64_URL = re.compile(r"[A-Za-z0-9_-]{40,}={0,2}")
+ANY_HEX = re.compile(r"[0-9A-Fa-f]{48,}")
+BEGIN = re.compile(r"-----BEGIN ([A-Z0-9 ]*PRIVATE KEY)-----")
+CIPHER = re.compile(r"DEK-Info: ?[A-Z0-9-]+,([0-9A-Fa-f]+)")
 OPENSSH = b"openssh-key-v1\0"
 
 
@@ -88,12 +94,63 @@ def _decoded(run: str, url: bool = False) -> bytes:
         return b""
 
 
-def is_signed_token(token: str) -> bool:
+def is_signed_token(header: str) -> bool:
+    """Whether a token's first part is a JSON object that names an algorithm."""
+    data = _decoded(header, url=True)
+    if b'"alg"' not in data:
+        return False
     try:
-        header = json.loads(_decoded(token.partition(".")[0], url=True))
-    except ValueError:
+        got = json.loads(data)
+    except (ValueError, RecursionError):
         return False
-    return isinstance(header, dict) and isinstance(header.get("alg"), str)
+    return isinstance(got, dict) and isinstance(got.get("alg"), str)
+
+
+def signed_tokens(run: str) -> Iterator[tuple[int, int]]:
+    """Places of tokens in a run of dotted parts. Each part is decoded once at most."""
+    parts = run.split(".")
+    starts = [0]
+    for x in parts:
+        starts.append(starts[-1] + len(x) + 1)
+    i = 0
+    while i + 2 < len(parts):
+        at = parts[i].find("eyJ")
+        if at >= 0 and parts[i + 1] and is_signed_token(parts[i][at:]):
+            yield starts[i] + at, starts[i + 2] + len(parts[i + 2])
+            i += 2
+        i += 1
+
+
+def is_key_block(body: str) -> bool:
+    """Whether what stands between a key's BEGIN and END marks is a key: header lines, an empty line and base64, or base64 alone."""
+    lines = [x.strip() for x in body.replace("\\r", "\n").replace("\\n", "\n").split("\n")]
+    heads = [x for x in lines if ":" in x]
+    data = _decoded("".join(x for x in lines if ":" not in x).replace(" ", ""))
+    if any(x.startswith("Proc-Type:") and x.endswith("ENCRYPTED") for x in heads):
+        iv = next((m[1] for x in heads if (m := CIPHER.fullmatch(x))), "")
+        # the initial vector is as long as a block of the cipher
+        return len(iv) in (16, 32) and len(data) > 0 and len(data) % (len(iv) // 2) == 0
+    return is_key(data)
+
+
+def key_blocks(text: str) -> Iterator[tuple[int, int]]:
+    """Places of PEM keys: nothing between the marks has five dashes, so the next five must begin the END mark."""
+    for m in BEGIN.finditer(text):
+        end, mark = text.find("-----", m.end()), f"-----END {m[1]}-----"
+        if end >= 0 and text.startswith(mark, end) and is_key_block(text[m.end() : end]):
+            yield m.start(), end + len(mark)
+
+
+def bare_keys(run: str) -> Iterator[tuple[int, int]]:
+    """Places of keys in a run of base64 or hex digits. Bytes that begin a key's SEQUENCE are 30, so its base64 begins with M."""
+    for m in ANY_HEX.finditer(run):
+        if m[0].startswith("30") and len(m[0]) % 2 == 0 and is_key(bytes.fromhex(m[0])):
+            yield m.span()
+    for pattern, url in ((BASE64, False), (BASE64_URL, True)):
+        if not url or "-" in run or "_" in run:
+            for m in pattern.finditer(run):
+                if m[0].startswith(("M", "b3BlbnNzaC1r")) and (not url or "-" in m[0] or "_" in m[0]) and is_key(_decoded(m[0], url)):
+                    yield m.span()
 
 
 def scan(text: str | None) -> list[tuple[int, int, int]]:
@@ -107,20 +164,14 @@ def scan(text: str | None) -> list[tuple[int, int, int]]:
         found += [(m.start(), 1, m.end()) for m in ACCESS.finditer(text) if m.end() - m.start() >= 16]
     for run in LONG.finditer(text):
         at, part = run.start(), run[0]
-        for m in HEX.finditer(part):
-            # a run may go on to neither side: all its characters are in LONG's class
-            if m.end() - m.start() >= 32:
-                found.append((at + m.start(), 2, at + m.end()))
-                if m[0].startswith("30") and len(m[0]) % 2 == 0 and is_key(bytes.fromhex(m[0])):
-                    found.append((at + m.start(), 5, at + m.end()))
-        if "eyJ" in part:
-            found += [(at + m.start(), 3, at + m.end()) for m in JWT.finditer(part) if is_signed_token(m[0])]
+        # a run of hex digits goes on to neither side: all its characters are in LONG's class
+        found += [(at + m.start(), 2, at + m.end()) for m in HEX.finditer(part) if m.end() - m.start() >= 32]
         if len(part) >= 40:
-            for m in BASE64.finditer(part):
-                if (m[0][0] == "M" or m[0].startswith("b3BlbnNzaC1r")) and is_key(_decoded(m[0])):
-                    found.append((at + m.start(), 5, at + m.end()))
+            found += [(at + a, 5, at + z) for a, z in bare_keys(part)]
+    if "eyJ" in text:
+        found += [(m.start() + a, 3, m.start() + z) for m in DOTTED.finditer(text) if "eyJ" in m[0] for a, z in signed_tokens(m[0])]
     if "PRIVATE KEY-----" in text:
-        found += [(m.start(), 4, m.end()) for m in PEM.finditer(text) if is_key(_decoded(re.sub(r"\s", "", m[2])))]
+        found += [(a, 4, z) for a, z in key_blocks(text)]
     return sorted(found)
 
 
