@@ -1,6 +1,7 @@
 import hashlib
 import random
 import re
+import struct
 import zlib
 from collections import Counter
 
@@ -237,6 +238,29 @@ def test_chat_formatting(spark):
 # ---------------------------------------------------------------- media
 
 
+def brute_feature(payload):
+    """Difference hash and checksum of the tile, from shares of every pixel in every area."""
+    gray = [[0.299 * payload[192 * y + 3 * x] + 0.587 * payload[192 * y + 3 * x + 1] + 0.114 * payload[192 * y + 3 * x + 2] for x in range(64)] for y in range(len(payload) // 192)]
+    share = lambda n, parts, k: [max(0.0, min(i + 1, (k + 1) * n / parts) - max(i, k * n / parts)) for i in range(n)]
+    down, over = [np.array(share(len(gray), 8, k)) for k in range(8)], [np.array(share(64, 9, k)) for k in range(9)]
+    tile = np.array([[d @ np.array(gray) @ o / (d.sum() * o.sum()) for o in over] for d in down])
+    bits = "".join("01"[int(tile[y, x + 1] - tile[y, x] > 1e-6)] for y in range(8) for x in range(8))
+    out = np.lib.format.magic(1, 0)
+    header = b"{'descr': '|u1', 'fortran_order': False, 'shape': (8, 9), }"
+    header = header.ljust(-(-(len(out) + 3 + len(header)) // 64) * 64 - len(out) - 3, b" ") + b"\n"
+    return f"{int(bits, 2):016x}:{zlib.crc32(out + struct.pack('<H', len(header)) + header + np.rint(tile).astype(np.uint8).tobytes()):08x}"
+
+
+def test_headers_take_linear_time():
+    import time
+
+    for data in (b"P5" + b" " * 1_000_000 + b"x", b"P5" + b"#" * 1_000_000, b"P5 " + b"# \n" * 300_000, b"P5 " + b"1" * 1_000_000, b"P2 1 1 255 " + b"#" * 1_000_000):
+        began = time.process_time()
+        with pytest.raises(ValueError):
+            media_columns.decode(data)
+        assert time.process_time() - began < 1
+
+
 def test_media(spark):
     rng = np.random.default_rng(1)
     for h, w in ((1, 1), (5, 7), (64, 3), (33, 20)):
@@ -247,12 +271,21 @@ def test_media(spark):
                 media_columns.decode(data[:-1])
         assert (media_columns.decode(media_columns.encode_netpbm(image[..., 0])) == image[..., 0]).all()
     assert (media_columns.decode(b"P5 # c\n2 1\n# d\n255\nab") == np.frombuffer(b"ab", np.uint8)).all()
-    with pytest.raises(ValueError):
-        media_columns.decode(b"GIF89a")
+    for bad in (b"GIF89a", b"", None, b"P5", b"P5 1", b"P5 0 1 255 ", b"P5 1 1 70000 aa", b"P5 99999 99999 255 ", b"P7 1 1", b"P2 2 1 255 1", b"P1 2 1 1", b"BM" + bytes(60), b"P5 1 1 255"):
+        with pytest.raises(ValueError):
+            media_columns.decode(bad)
+    assert media_columns.decode(b"P1\n3 2 # c\n10 1\n0#1\n1 0").tolist() == [[0, 255, 0], [255, 0, 255]]
+    assert media_columns.decode(b"P4 3 1\n\xa0").tolist() == [[0, 255, 0]]
+    assert media_columns.decode(b"P2 2 1 300 7 300").tolist() == [[7, 300]] and media_columns.decode(b"P3 1 1 9 1 2 3").tolist() == [[[1, 2, 3]]]
+    assert media_columns.decode(b"P5 2 1 65535 \x01\x02\xff\xff").tolist() == [[258, 65535]]
+    assert np.allclose(media_columns.tile_of(media_columns.decode(b"P5 1 1 65535 \xff\xff")), 255)
+    head = lambda w, h, depth, colours, start: struct.pack("<2sIHHIIiiHHIIiiII", b"BM", 0, 0, 0, start, 40, w, h, 1, depth, 0, 0, 0, 0, colours, 0)
+    assert media_columns.decode(head(2, -1, 8, 2, 62) + bytes([1, 2, 3, 0, 4, 5, 6, 0]) + b"\1\0\0\0").tolist() == [[[6, 5, 4], [3, 2, 1]]]
+    assert media_columns.decode(head(1, 2, 32, 0, 54) + bytes([1, 2, 3, 9, 4, 5, 6, 9])).tolist() == [[[6, 5, 4]], [[3, 2, 1]]]
     gray = rng.random((16, 18))
     assert np.allclose(media_columns.area_resize(gray, 8, 9), gray.reshape(8, 2, 9, 2).mean(axis=(1, 3)))
     assert np.allclose(media_columns.area_resize(gray, 5, 7).mean(), gray.mean())
-    texts = [*ODD, "é" * 96, "é" * 97]
+    texts = [*ODD, "é" * 96, "é" * 97, *[prose(k, k) for k in range(40)]]
     rows = {r["doc_id"]: r for r in media_columns.media_digests(docs_of(spark, texts)).collect()}
     for i, t in enumerate(texts):
         data = (t or "").encode()
@@ -261,13 +294,18 @@ def test_media(spark):
         assert (r["n_bytes"], r["payload_bytes"], r["payload_sha256"], r["tail_crc32"]) == (len(data), len(padded), hashlib.sha256(padded).hexdigest(), zlib.crc32(padded[-16:]))
         stored = media_columns.store_text(t)
         assert (r["media_bytes"], r["media_sha256"]) == (len(stored), hashlib.sha256(stored).hexdigest())
+        assert r["feature"] == brute_feature(padded)
+    assert {media_columns.store_text(t)[:2] for t in texts} == {b"P6", b"BM"}
     assert rows[3]["feature"] == rows[4]["feature"]
     assert media_columns.media_digests(docs_of(spark, [])).collect() == []
     tiles = media_columns.media_tiles(media_columns.store_documents(docs_of(spark, texts)), "id", "media").collect()
     import io
 
     for r in tiles:
-        assert np.load(io.BytesIO(r["tile_npy"])).shape == media_columns.TILE and rows[r["id"]]["feature"].startswith(r["dhash"])
+        assert np.load(io.BytesIO(r["tile_npy"])).shape == media_columns.TILE and rows[r["id"]]["feature"].startswith(r["dhash"]) and r["error"] is None
+    broken = spark.createDataFrame([(1, b"GIF89a", "x"), (2, None, "x"), (3, b"P5 2 2 255 abc", "x"), (4, b"P5 1 1 255 a", "x")], "k long, m binary, error string")
+    got = {r["id"]: r for r in media_columns.media_tiles(broken, "k", "m").collect()}
+    assert {k: r["error"] is None and r["tile_npy"] is not None for k, r in got.items()} == {1: False, 2: False, 3: False, 4: True}
 
 
 # ---------------------------------------------------------------- toxicity

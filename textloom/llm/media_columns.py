@@ -1,18 +1,19 @@
 """Media columns: Netpbm and BMP bytes as numpy arrays, NPY tiles and difference hashes.
 
-Images are decoded losslessly (PGM/PPM of 8-bit samples, uncompressed 24-bit BMP), resized by
-area with integral images, and written as NPY tiles.
-
-Defined results: a null or empty text is stored as one row of blanks; equal texts have equal
-values; repeated rows are stored one by one; an empty table gives no rows; other columns are
-left alone. A broken image raises ValueError.
+Images are decoded losslessly (all six Netpbm formats, samples of up to 16 bits, bit maps as 0
+and 255; uncompressed BMP of 8, 24 or 32 bits, whose fourth byte is left out), resized by area
+with integral images, and written as NPY tiles.
+
+Defined results: a null or empty text is stored as one row of blanks; a text of any length is
+one image of as many rows as it needs; equal texts have equal values; repeated rows are stored
+one by one; an empty table gives no rows; other columns, whatever their names, are left alone.
+A broken, cut or unknown image, or none, has no tile and no hash, and ``error`` says why.
 """
 
 from __future__ import annotations
 
 import hashlib
 import io
-import re
 import struct
 import zlib
 from collections.abc import Iterator
@@ -27,7 +28,9 @@ ROW = 192
 #: Tile written as NPY: rows, columns. One column more than hash bits in a row.
 TILE = (8, 9)
 
-NETPBM = re.compile(rb"(P[56])(?:\s+|#[^\n]*\n)+(\d+)(?:\s+|#[^\n]*\n)+(\d+)(?:\s+|#[^\n]*\n)+(\d+)\s")
+#: Pixels of the largest image that is decoded.
+MOST_PIXELS = 1 << 28
+BLANKS = b" \t\n\v\f\r"
 
 
 def encode_netpbm(image: np.ndarray) -> bytes:
@@ -45,27 +48,103 @@ def encode_bmp(image: np.ndarray) -> bytes:
     return struct.pack("<2sIHHI", b"BM", 54 + h * stride, 0, 0, 54) + struct.pack("<IiiHHIIiiII", 40, w, h, 1, 24, 0, h * stride, 2835, 2835, 0, 0) + rows.tobytes()
 
 
-def decode(data: bytes) -> np.ndarray:
-    if data[:2] == b"BM":
-        start, (w, h), (planes, depth, packed) = *struct.unpack_from("<I", data, 10), struct.unpack_from("<ii", data, 18), struct.unpack_from("<HHI", data, 26)
-        if planes != 1 or depth != 24 or packed:
-            raise ValueError("only uncompressed 24-bit BMP is read")
-        stride = (3 * w + 3) // 4 * 4
-        if len(data) < start + abs(h) * stride:
-            raise ValueError("BMP is cut short")
-        rows = np.frombuffer(data, np.uint8, abs(h) * stride, start).reshape(abs(h), stride)[:, : 3 * w].reshape(abs(h), w, 3)
-        return (rows[::-1] if h > 0 else rows)[:, :, ::-1]
-    m = NETPBM.match(data)
-    if not m:
-        raise ValueError("neither Netpbm nor BMP")
-    w, h, most = int(m[2]), int(m[3]), int(m[4])
-    if most != 255:
-        raise ValueError("only 8-bit samples are read")
-    shape = (h, w) if m[1] == b"P5" else (h, w, 3)
-    n = int(np.prod(shape))
-    if len(data) < m.end() + n:
+class _Header:
+    """Reads the tokens of a Netpbm header from left to right; comments end with their line."""
+
+    def __init__(self, data: bytes) -> None:
+        self.data, self.at = data, 2
+
+    def number(self) -> int:
+        data, at = self.data, self.at
+        while at < len(data) and (data[at] in BLANKS or data[at] == 35):
+            if data[at] == 35:
+                at = data.find(b"\n", at)
+                at = len(data) if at < 0 else at
+            else:
+                at += 1
+        first = at
+        while at < len(data) and at - first < 10 and 48 <= data[at] <= 57:
+            at += 1
+        if at == first:
+            raise ValueError("a number is missing in the Netpbm header")
+        self.at = at
+        return int(data[first:at])
+
+
+def _shape(width: int, height: int) -> tuple[int, int]:
+    if width < 1 or height < 1 or width * height > MOST_PIXELS:
+        raise ValueError(f"an image of {width} x {height} pixels is not decoded")
+    return height, width
+
+
+def _decode_netpbm(data: bytes) -> np.ndarray:
+    kind, header = data[1] - 48, _Header(data)
+    width, height = header.number(), header.number()
+    shape = _shape(width, height)
+    most = 1 if kind in (1, 4) else header.number()
+    if not 1 <= most < 65536:
+        raise ValueError(f"samples up to {most} are not decoded")
+    if kind in (3, 6):
+        shape = (*shape, 3)
+    n, at = int(np.prod(shape)), header.at
+    if kind > 3:
+        if at >= len(data) or data[at] not in BLANKS:
+            raise ValueError("the Netpbm header does not end")
+        at += 1
+    if kind == 4:
+        stride = (width + 7) // 8
+        if len(data) < at + height * stride:
+            raise ValueError("Netpbm is cut short")
+        bits = np.unpackbits(np.frombuffer(data, np.uint8, height * stride, at).reshape(height, stride), axis=1)[:, :width]
+        return np.where(bits, 0, 255).astype(np.uint8)
+    if kind > 4:
+        sample = np.dtype(np.uint8 if most < 256 else ">u2")
+        if len(data) < at + n * sample.itemsize:
+            raise ValueError("Netpbm is cut short")
+        out = np.frombuffer(data, sample, n, at).reshape(shape)
+        return out if most < 256 else out.astype(np.uint16)
+    body = b"\n".join(x.partition(b"#")[0] for x in data[at:].split(b"\n"))
+    if kind == 1:  # digits may touch
+        digits = np.frombuffer(body, np.uint8)
+        digits = digits[(digits == 48) | (digits == 49)][:n]
+        if len(digits) < n:
+            raise ValueError("Netpbm is cut short")
+        return np.where(digits == 49, 0, 255).astype(np.uint8).reshape(shape)
+    words = body.split(None, n)[:n]
+    if len(words) < n:
         raise ValueError("Netpbm is cut short")
-    return np.frombuffer(data, np.uint8, n, m.end()).reshape(shape)
+    return np.array([int(x) for x in words], np.uint8 if most < 256 else np.uint16).reshape(shape)
+
+
+def _decode_bmp(data: bytes) -> np.ndarray:
+    if len(data) < 54:
+        raise ValueError("BMP is cut short")
+    (start,), (head, w, h), (planes, depth, packed) = struct.unpack_from("<I", data, 10), struct.unpack_from("<Iii", data, 14), struct.unpack_from("<HHI", data, 26)
+    if head < 40 or planes != 1 or depth not in (8, 24, 32) or packed:
+        raise ValueError("only uncompressed BMP of 8, 24 or 32 bits is decoded")
+    rows, _ = _shape(w, abs(h))
+    stride = (w * depth // 8 + 3) // 4 * 4
+    if len(data) < start + rows * stride:
+        raise ValueError("BMP is cut short")
+    raw = np.frombuffer(data, np.uint8, rows * stride, start).reshape(rows, stride)[:, : w * depth // 8]
+    raw = raw[::-1] if h > 0 else raw
+    if depth != 8:
+        return raw.reshape(rows, w, depth // 8)[:, :, 2::-1]
+    colours = struct.unpack_from("<I", data, 46)[0] or 256
+    if colours > 256 or len(data) < 14 + head + 4 * colours:
+        raise ValueError("the BMP's palette is cut short")
+    palette = np.zeros((256, 3), np.uint8)
+    palette[:colours] = np.frombuffer(data, np.uint8, 4 * colours, 14 + head).reshape(colours, 4)[:, 2::-1]
+    return palette[raw]
+
+
+def decode(data: bytes | None) -> np.ndarray:
+    """(h, w) or (h, w, 3) samples. Raises ValueError where data is no image that is read here."""
+    if data and data[:2] == b"BM":
+        return _decode_bmp(data)
+    if data and data[:1] == b"P" and data[1:2] in (b"1", b"2", b"3", b"4", b"5", b"6") and data[2:3] and data[2] in BLANKS + b"#":
+        return _decode_netpbm(data)
+    raise ValueError("neither Netpbm nor BMP")
 
 
 def area_resize(gray: np.ndarray, height: int, width: int) -> np.ndarray:
@@ -92,36 +171,44 @@ def npy(tile: np.ndarray) -> bytes:
 
 
 def tile_of(image: np.ndarray) -> np.ndarray:
+    """The tile of an image: gray means of areas, samples of 16 bits brought to 0 to 255."""
+    image = image if image.dtype == np.uint8 else image / 257.0
     gray = image if image.ndim == 2 else image @ np.array([0.299, 0.587, 0.114])
     return area_resize(gray.astype(np.float64), *TILE)
 
 
 def difference_hash(tile: np.ndarray) -> int:
-    """64 bits, row by row: 1 where a tile's pixel is darker than its right neighbour."""
-    return int.from_bytes(np.packbits(tile[:, :-1] < tile[:, 1:]).tobytes(), "big")
+    """64 bits, row by row: 1 where a tile's pixel is darker than its right neighbour, by more than the rounding of sums."""
+    return int.from_bytes(np.packbits(tile[:, 1:] - tile[:, :-1] > 1e-6).tobytes(), "big")
 
 
 def store_text(text: str | None) -> bytes:
-    """UTF-8, blanks up to a positive multiple of ROW, as a PPM of 64 pixels a row."""
+    """UTF-8, blanks up to a positive multiple of ROW, as an image of 64 pixels a row: BMP or PPM by the payload's checksum."""
     data = (text or "").encode()
     data = data.ljust(max(1, -(-len(data) // ROW)) * ROW, b" ")
-    return encode_netpbm(np.frombuffer(data, np.uint8).reshape(-1, ROW // 3, 3))
+    image = np.frombuffer(data, np.uint8).reshape(-1, ROW // 3, 3)
+    return encode_bmp(image) if zlib.crc32(data) & 1 else encode_netpbm(image)
+
+
+MEDIA = "media binary, tile_npy binary, dhash string, error string"
 
 
-MEDIA = "media binary, tile_npy binary, dhash string"
+def _tile(media: bytes | None) -> tuple[bytes | None, str | None, str | None]:
+    try:
+        tile = tile_of(decode(media))
+    except ValueError as e:
+        return None, None, str(e)
+    return npy(np.rint(tile).astype(np.uint8)), f"{difference_hash(tile):016x}", None
 
 
 def media_tiles(images: DataFrame, id_col: str, media_col: str) -> DataFrame:
-    """Stored images with their NPY tile and difference hash: id, media, tile_npy, dhash."""
+    """Stored images with their NPY tile and difference hash, or why there are none: id, media, tile_npy, dhash, error."""
     id_type = images.schema[id_col].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            tiles = [tile_of(decode(x.as_py())) for x in batch.column(1)]
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), batch.column(1), pa.array([npy(np.rint(t).astype(np.uint8)) for t in tiles], pa.binary()), pa.array([f"{difference_hash(t):016x}" for t in tiles], pa.string())],
-                names=["id", "media", "tile_npy", "dhash"],
-            )
+            cols = list(zip(*[_tile(x.as_py()) for x in batch.column(1)])) or [()] * 3
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), *[pa.array(c, k) for c, k in zip(cols, (pa.binary(), pa.string(), pa.string()))]], names=["id", "media", "tile_npy", "dhash", "error"])
 
     return images.select(F.col(id_col).alias("id"), F.col(media_col).alias("media")).mapInArrow(run, f"id {id_type}, {MEDIA}")
 
