@@ -151,6 +151,8 @@ def repeats():
     texts += [f"{prose(30, 10 + k)} {passage} {prose(20, 50 + k)}" for k in range(6)]
     texts += [prose(100, 70), prose(100, 70), edited(prose(100, 70), 0.03, 4), f"{line}{prose(10, 80)}{line}", line[:200], line[1:201], prose(80, 90)]
     texts += [passage[:200], passage[:199], "ä" + passage[:260], passage[40:300] + " " + passage[:230]]
+    frequent = prose(45, 123)
+    texts += [f"{prose(15, 600 + k)} {frequent} {prose(15, 700 + k // 2)}" for k in range(12)]
     return texts
 
 
@@ -170,11 +172,34 @@ def test_suffix_dedup_of_nothing(spark):
         suffix_dedup.remove_repeats(docs_of(spark, []), keep="last")
 
 
-def test_suffix_classes():
+def test_suffix_order_and_factors():
     r = random.Random(2)
-    data = np.frombuffer(bytes(r.choice(b"ab") for _ in range(400)) * 2 + bytes(100), np.uint8)
-    starts = np.arange(len(data) - 200 + 1)
-    order, new = suffix_dedup.suffix_classes(data, starts)
-    windows = [data[s : s + 200].tobytes() for s in starts[order]]
-    assert windows == sorted(windows)
-    assert new.tolist() == [True] + [a != b for a, b in zip(windows, windows[1:])]
+    for data in (bytes(r.choice(b"ab") for _ in range(400)) * 2 + bytes(100), b"x" * 700, bytes(r.randrange(256) for _ in range(600)), b"abc" * 250):
+        data = np.frombuffer(data, np.uint8)
+        starts = np.arange(0, len(data) - 200 + 1, 1 + len(data) % 2)
+        order, common = suffix_dedup.suffix_order(data, starts)
+        windows = [data[s : s + 200].tobytes() for s in starts[order]]
+        assert [(w, s) for w, s in zip(windows, starts[order])] == sorted((data[s : s + 200].tobytes(), s) for s in starts)
+        prefix = lambda a, b: next((k for k in range(200) if a[k] != b[k]), 200)
+        assert common.tolist() == [0] + [prefix(a, b) for a, b in zip(windows, windows[1:])]
+        for least in (1, 40, 200):
+            factor, source = suffix_dedup.previous_factors(starts[order], common, least)
+            by_place = sorted(zip(starts[order].tolist(), range(len(order))))
+            for n, (_, k) in enumerate(by_place[:: 1 + len(by_place) // 150]):
+                earlier = [j for s, j in by_place if s < starts[order][k]]
+                best = max([prefix(windows[k], windows[j]) for j in earlier], default=0)
+                assert factor[k] == (best if best >= least else 0)
+                assert not factor[k] or (starts[order][source[k]] < starts[order][k] and prefix(windows[k], windows[source[k]]) == best)
+
+
+def test_suffix_dedup_of_repeated_ids(spark):
+    """Texts that share an id are told apart; of equal texts those with the least id stay, others go."""
+    passage = prose(60, 1)
+    docs = docs_of(spark, [f"{passage} {prose(30, 5)}", f"{prose(30, 6)} {passage}", f"{passage} {prose(30, 5)}", f"{passage} {prose(30, 5)}"])
+    docs = docs.withColumn("doc_id", F.when(F.col("doc_id") < 3, F.lit(7)).otherwise(F.lit(9)).cast("long"))
+    rows = suffix_dedup.remove_repeats(docs, keep="first").collect()
+    long_one, other = len(f"{passage} {prose(30, 5)}"), len(f"{prose(30, 6)} {passage}")
+    removed = sorted((r["doc_id"], r["n_bytes"], r["n_removed"]) for r in rows)
+    assert (9, long_one, long_one) in removed and sum(x[2] == 0 for x in removed) in (1, 2)
+    # the passage stays once: in the copies of id 7 or in the other text
+    assert {x[2] >= len(passage) for x in removed if x[:2] == (7, long_one)} != {x[2] >= len(passage) for x in removed if x[:2] == (7, other)}

@@ -52,7 +52,7 @@ def _least(k):
 
 
 def test_suffix_dedup(spark, monkeypatch):
-    for name, value in (("BROADCAST_IDS", -1), ("FLUSH", 10), ("FLUSH_BYTES", 2_000), ("BUCKET_BYTES", 1_000)):
+    for name, value in (("BROADCAST_IDS", -1), ("FLUSH", 10), ("FLUSH_BYTES", 2_000), ("BUCKET_BYTES", 1_000), ("HOT", 3), ("MANY_COPIES", 1), ("ANCHOR_BYTES", 1_000)):
         monkeypatch.setattr(suffix_dedup, name, value)
     for keep in ("none", "first"):
         got = suffix_dedup.remove_repeats(docs_of(spark, repeats()), keep=keep).collect()

@@ -3,19 +3,25 @@
 Equal strings of LENGTH bytes choose the same anchor inside them (the gram of least hash, a
 function of the string alone), so all occurrences of a string meet in the bucket of its
 anchor. First only the anchors travel; those that occur once cannot lie in a repeated string.
-For the others, the texts around them are suffix-sorted in their bucket, to a depth of LENGTH
-bytes, by tripling the depth that ranks stand for. In suffix order the occurrences of a string
-are neighbours, and the previous and next smaller positions among them tell whether a
-position's longest previous factor reaches LENGTH: all but the first then have an earlier
-match, and the first has a later one.
+Strings of an anchor that occurs very often choose again, among longer grams, so that what
+differs around a frequent line parts; at last a string is its own anchor (GRAMS).
+
+The texts around repeated anchors are laid out in their bucket in order of document and place,
+and suffix-sorted to a depth of LENGTH bytes by tripling the depth that ranks stand for, with
+the common prefixes of neighbours. The previous and next smaller positions in suffix order give
+each position's longest previous factor: where it reaches LENGTH, there is an earlier match, so
+the string is a later copy; the positions that are so pointed to are the first ones.
 
 ``keep="first"`` removes later copies only and keeps the first (least document id, null before
-all, ids that are no whole numbers by their hash; then least place); ``keep="none"`` removes every occurrence. Exact copies of a text are one node
-throughout, and equal surroundings of an anchor travel once for a task.
+all, ids that are no whole numbers by their hash; ties by the text's hash; then least place);
+``keep="none"`` removes every occurrence. Exact copies of a text (equal by SHA-256) are one
+node throughout, and equal surroundings of an anchor travel once for a task.
 
 Matches never cross documents. Defined results: null and empty texts have no bytes; texts
-shorter than LENGTH lose none; repeated rows are copies of each other; an empty table gives
-no rows; other columns are left alone.
+shorter than LENGTH lose none; texts of any length are read whole, in time proportional to it;
+repeated rows are copies of each other, with ``keep="first"`` all rows of the least document id
+keep the text; an empty table gives no rows; other columns, whatever their names, are left
+alone.
 """
 
 from __future__ import annotations
@@ -26,7 +32,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import IntegralType
 
@@ -34,14 +40,21 @@ from .common import materialize, shuffle_partitions
 from .hashing import Ranges, U
 
 LENGTH = 200
-#: Bytes of an anchor's gram; a string of LENGTH bytes has LENGTH - GRAM + 1 of them.
-GRAM = 40
+#: Bytes of an anchor's gram; a string of LENGTH bytes has LENGTH - gram + 1 of them. Strings of anchors with more
+#: than HOT occurrences go on to the next length; the last one is the string itself.
+GRAMS = (40, 160, LENGTH)
+HOT = 4_000
 #: Node ids up to this many are broadcast (8 bytes each), more are joined by shuffle.
 BROADCAST_IDS = 2_000_000
 #: Anchors, or bytes of surroundings, that a task holds before it hands them on.
 FLUSH, FLUSH_BYTES = 600_000, 24_000_000
 #: Bytes of surroundings in a bucket, about: sorting takes some hundred times as much memory.
 BUCKET_BYTES = 600_000
+#: Bytes of text for each bucket of anchors, which has some sixteenth as many of them.
+ANCHOR_BYTES = 64_000_000
+#: A text with more copies than this, or than so many millionths of all rows, is joined to its rows by broadcast.
+MANY_COPIES, COPIES_SHARE = 500, 10
+
 
 def anchors_of_windows(h: np.ndarray, width: int) -> np.ndarray:
     """For every run of width grams the place of the leftmost with the least hash (by its upper 32 bits)."""
@@ -54,28 +67,56 @@ def anchors_of_windows(h: np.ndarray, width: int) -> np.ndarray:
     return (np.minimum(after[: n - width + 1], before[width - 1 : n]) & U(0xFFFFFFFF)).astype(np.int64)
 
 
-def choose(data: np.ndarray, length: int = LENGTH, gram: int = GRAM) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """The anchors of a text: the first window start of each, its place, and its gram's hash. Windows follow in order."""
+def choose(data: np.ndarray, length: int = LENGTH, gram: int = GRAMS[0]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The anchors of a text: the first string start of each, its place, and its gram's hash. Strings follow in order."""
     h = Ranges(data).of_size(gram)
     at = anchors_of_windows(h, length - gram + 1)
-    first = np.flatnonzero(np.r_[True, at[1:] != at[:-1]])
+    first = np.flatnonzero(changes(at))
     return first, at[first], h[at[first]]
 
 
-def suffix_classes(data: np.ndarray, starts: np.ndarray, depth: int = LENGTH) -> tuple[np.ndarray, np.ndarray]:
-    """Window starts in suffix order to a depth, and for each whether it begins with other bytes than the one before."""
+def changes(x: np.ndarray) -> np.ndarray:
+    """Where a value differs from the one before, the first included."""
+    out = np.empty(len(x), bool)
+    out[:1] = True
+    np.not_equal(x[1:], x[:-1], out=out[1:])
+    return out
+
+
+def intervals(data: np.ndarray, chain: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """String starts [lo, hi) by their anchor, and its hash, among the GRAMS after chain, which has for each
+    of the lengths before the lo of those intervals that went on."""
+    lo, hi = np.zeros(1, np.int64), np.array([len(data) - LENGTH + 1], np.int64)
+    for level, gram in enumerate(GRAMS[: len(chain) + 1]):
+        first, _, h = choose(data, LENGTH, gram)
+        # both are rows of intervals: cut the anchors' at the ends of those that are left
+        cuts = np.unique(np.concatenate([first, lo, hi]))
+        owner = np.searchsorted(lo, cuts, "right") - 1
+        inside = (owner >= 0) & (cuts < hi[np.maximum(owner, 0)])
+        ends = np.r_[cuts[1:], len(data) - LENGTH + 1]
+        lo, hi, h = cuts[inside], ends[inside], h[np.searchsorted(first, cuts[inside], "right") - 1]
+        if level < len(chain):
+            left = np.isin(lo, chain[level])
+            lo, hi = lo[left], hi[left]
+    return lo, hi, h
+
+
+def suffix_order(data: np.ndarray, starts: np.ndarray, depth: int = LENGTH) -> tuple[np.ndarray, np.ndarray]:
+    """Starts in suffix order to a depth, equal ones by place, and the common prefix, up to the depth, of each with the one
+    before. Every start has depth bytes."""
 
     def dense(key: np.ndarray) -> np.ndarray:
         order = np.argsort(key)
-        key = key[order]
         rank = np.empty(len(order), np.uint32)
-        rank[order] = np.cumsum(np.r_[False, key[1:] != key[:-1]], dtype=np.uint32)
+        rank[order] = np.cumsum(changes(key[order]), dtype=np.uint32) - np.uint32(1)
         return rank
 
     x = np.concatenate([data, np.zeros(8, np.uint8)]).astype(U)
     x = x[:-1] << U(8) | x[1:]
     x = x[:-2] << U(16) | x[2:]
-    rank, reach, n = dense((x[:-4] << U(32) | x[4:])[: len(data)]), 8, len(data)
+    eight = (x[:-4] << U(32) | x[4:])[: len(data)]
+    rank, reach, n = dense(eight), 8, len(data)
+    ranks = [(reach, rank)]
     bits = U(max(1, int(n).bit_length()))
     times = 3 if 3 * int(bits) <= 64 else 2
 
@@ -91,10 +132,51 @@ def suffix_classes(data: np.ndarray, starts: np.ndarray, depth: int = LENGTH) ->
     while times * reach < depth:
         rank = dense(key_of(slice(None), [reach * i for i in range(times)]))
         reach *= times
+        ranks.append((reach, rank))
     key = key_of(starts, [min(reach * i, depth - reach) for i in range(-(-depth // reach))]) if reach < depth else rank[starts].astype(U)
     order = np.lexsort((starts, key))
-    key = key[order]
-    return order, np.r_[True, key[1:] != key[:-1]]
+    place, key = starts[order], key[order]
+    common = np.zeros(len(order), np.int64)
+    common[1:][key[1:] == key[:-1]] = depth
+    # where the whole depth differs, the longest steps that agree, then single bytes
+    left = np.flatnonzero(changes(key))[1:]
+    a, b, so_far = place[left - 1], place[left], np.zeros(len(left), np.int64)
+    for step, rank in reversed(ranks):
+        for _ in range(times):
+            fits = so_far + step <= depth
+            same = fits & (rank[np.where(fits, a + so_far, a)] == rank[np.where(fits, b + so_far, b)])
+            so_far += step * same
+    at = np.minimum(so_far, depth - 1)
+    differ = eight[a + at] ^ eight[b + at]
+    for k in range(7):
+        so_far += differ >> U(56 - 8 * k) == 0
+    common[left] = np.minimum(so_far, depth)
+    return order, common
+
+
+def smaller_before(place: np.ndarray, common: np.ndarray, least: int) -> tuple[np.ndarray, np.ndarray]:
+    """For suffixes in order the nearest one before whose place is smaller, and their common prefix; 0 where it is below least.
+
+    All pointers move at once: whatever stands between one and its target is larger than both.
+    """
+    to, low = np.arange(len(place)) - 1, common.copy()
+    open_ = np.flatnonzero((to >= 0) & (low >= least))
+    open_ = open_[place[to[open_]] > place[open_]]
+    while len(open_):
+        over = to[open_]
+        low[open_], to[open_] = np.minimum(low[open_], low[over]), to[over]
+        open_ = open_[(to[open_] >= 0) & (low[open_] >= least)]
+        open_ = open_[place[to[open_]] > place[open_]]
+    return to, np.where((to >= 0) & (low >= least), low, 0)
+
+
+def previous_factors(place: np.ndarray, common: np.ndarray, least: int = LENGTH) -> tuple[np.ndarray, np.ndarray]:
+    """For suffixes in order the length of the longest factor that also begins at a smaller place (0: shorter than least), and
+    the suffix that has it."""
+    before, one = smaller_before(place, common, least)
+    after, two = smaller_before(place[::-1], np.r_[np.zeros(1, common.dtype), common[:0:-1]], least)
+    after, two = len(place) - 1 - after[::-1], two[::-1]
+    return np.maximum(one, two), np.where(one >= two, before, after)
 
 
 def covered(starts: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray]:
@@ -109,8 +191,13 @@ def _bytes_of(x: pa.Scalar) -> np.ndarray:
     return np.frombuffer((x.as_py() or "").encode(), np.uint8)
 
 
-def emit_anchors(texts: DataFrame, buckets: int) -> DataFrame:
-    """texts: node, text. Packed rows: bucket, nodes, places, hashes."""
+def _unpacked(parts: list[bytes]) -> np.ndarray:
+    return np.concatenate([np.frombuffer(p, "<u4") for p in parts]).astype(np.int64)
+
+
+def emit_anchors(texts: DataFrame, buckets: int, levels: int = 0) -> DataFrame:
+    """texts: node, text and for each level before a list of packed places. Packed rows: bucket, nodes, places, hashes."""
+    chained = [f"hot{k}" for k in range(levels)]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         nodes, places, hashes, held = [], [], [], 0
@@ -132,48 +219,57 @@ def emit_anchors(texts: DataFrame, buckets: int) -> DataFrame:
 
         seen: set[int] = set()
         for batch in batches:
-            for node, x in zip(batch.column(0).to_pylist(), batch.column(1)):
+            for row, node in enumerate(batch.column(0).to_pylist()):
                 if node in seen:
                     continue
                 seen.add(node)
-                data = _bytes_of(x)
+                data = _bytes_of(batch.column(1)[row])
                 if len(data) < LENGTH:
                     continue
-                _, place, h = choose(data)
+                lo, _, h = intervals(data, [_unpacked(batch.column(2 + k)[row].as_py()) for k in range(levels)])
                 nodes.append(node)
-                places.append(place)
+                places.append(lo)
                 hashes.append(h)
-                held += len(place)
+                held += len(lo)
                 if held > FLUSH:
                     yield from flush()
                     nodes, places, hashes, held = [], [], [], 0
                     seen.clear()
         yield from flush()
 
-    return texts.mapInArrow(run, "bucket int, nodes binary, places binary, hashes binary")
-
-
-def _repeated_anchors(table: pa.Table) -> pa.Table:
-    """node, places: the anchors of a bucket that occur at two places or more."""
-    node = np.concatenate([np.frombuffer(x.as_py(), np.int64) for x in table.column("nodes")])
-    place = np.concatenate([np.frombuffer(x.as_py(), "<u4") for x in table.column("places")])
-    h = np.concatenate([np.frombuffer(x.as_py(), "<u4") for x in table.column("hashes")])
-    order = np.lexsort((place, node, h))
-    node, place, h = node[order], place[order], h[order]
-    new = np.r_[True, (h[1:] != h[:-1]) | (node[1:] != node[:-1]) | (place[1:] != place[:-1])]
-    node, place, h = node[new], place[new], h[new]
-    same = h[1:] == h[:-1]
-    keep = np.r_[False, same] | np.r_[same, False]
-    node, place = node[keep], place[keep]
-    order = np.lexsort((place, node))
-    node, place = node[order], place[order]
-    first = np.flatnonzero(np.r_[True, node[1:] != node[:-1]]) if len(node) else np.empty(0, np.int64)
-    return pa.table({"node": pa.array(node[first], pa.int64()), "places": pa.array([p.tobytes() for p in np.split(place.astype("<u4"), first[1:])] if len(first) else [], pa.binary())})
-
-
-def emit_surroundings(texts: DataFrame, buckets: int) -> DataFrame:
-    """texts: node, doc, text, places (a list of packed places). Packed rows of the bytes around repeated anchors."""
+    return texts.select("node", "text", *chained).mapInArrow(run, "bucket int, nodes binary, places binary, hashes binary")
+
+
+def _repeated_anchors(most: float):  # noqa: ANN202
+    def run(table: pa.Table) -> pa.Table:
+        """node, places, hot: the anchors of a bucket that occur at two places or more, apart those at more than most."""
+        node = np.concatenate([np.frombuffer(x.as_py(), np.int64) for x in table.column("nodes")])
+        place = np.concatenate([np.frombuffer(x.as_py(), "<u4") for x in table.column("places")])
+        h = np.concatenate([np.frombuffer(x.as_py(), "<u4") for x in table.column("hashes")])
+        order = np.lexsort((place, node, h))
+        node, place, h = node[order], place[order], h[order]
+        new = np.r_[True, (h[1:] != h[:-1]) | (node[1:] != node[:-1]) | (place[1:] != place[:-1])]
+        node, place, h = node[new], place[new], h[new]
+        first = np.flatnonzero(changes(h))
+        often = np.diff(np.r_[first, len(h)])
+        count = np.repeat(often, often)
+        out = []
+        for keep, hot in (((count > 1) & (count <= most), False), (count > most, True)):
+            own, at = node[keep], place[keep]
+            order = np.lexsort((at, own))
+            own, at = own[order], at[order].astype("<u4")
+            first = np.flatnonzero(changes(own))
+            out.append((own[first], [p.tobytes() for p in np.split(at, first[1:])] if len(first) else [], np.full(len(first), hot)))
+        return pa.table({"node": pa.array(np.concatenate([x[0] for x in out]), pa.int64()), "places": pa.array([p for x in out for p in x[1]], pa.binary()), "hot": pa.array(np.concatenate([x[2] for x in out]), pa.bool_())})
+
+    return run
+
+
+def emit_surroundings(texts: DataFrame, buckets: int, levels: int = 0) -> DataFrame:
+    """texts: node, doc, text, places (a list of packed places) and for each level before a list of such. Packed rows of the
+    bytes around repeated anchors."""
     names = ["bucket", "data", "sizes", "owners", "nodes", "docs", "starts"]
+    chained = [f"hot{k}" for k in range(levels)]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         by_bucket: dict[int, tuple] = {}  # different bytes; of each anchor: which bytes, node, document, start
@@ -188,14 +284,13 @@ def emit_surroundings(texts: DataFrame, buckets: int) -> DataFrame:
                 yield pa.RecordBatch.from_arrays([pa.array(cols[0], pa.int32()), *[pa.array(c, pa.binary()) for c in cols[1:]]], names=names)
 
         for batch in batches:
-            for node, doc, x, packed in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2), batch.column(3).to_pylist()):
-                raw = (x.as_py() or "").encode()
+            for row, (node, doc) in enumerate(zip(batch.column(0).to_pylist(), batch.column(1).to_pylist())):
+                raw = (batch.column(2)[row].as_py() or "").encode()
                 data = np.frombuffer(raw, np.uint8)
-                first, place, h = choose(data)
-                after = np.r_[first[1:], len(data) - LENGTH + 1]
-                repeated = np.isin(place, np.concatenate([np.frombuffer(p, "<u4") for p in packed]))
+                lo, hi, h = intervals(data, [_unpacked(batch.column(4 + k)[row].as_py()) for k in range(levels)])
+                repeated = np.isin(lo, _unpacked(batch.column(3)[row].as_py()))
                 to = (h >> U(40)) % U(buckets)
-                for a, z, b in zip(first[repeated].tolist(), after[repeated].tolist(), to[repeated].tolist()):
+                for a, z, b in zip(lo[repeated].tolist(), hi[repeated].tolist(), to[repeated].tolist()):
                     part = raw[a : z - 1 + LENGTH]
                     if b not in by_bucket:
                         by_bucket[b] = {}, array("I"), array("q"), array("q"), array("I")
@@ -212,12 +307,12 @@ def emit_surroundings(texts: DataFrame, buckets: int) -> DataFrame:
                     by_bucket, held = {}, 0
         yield from flush()
 
-    return texts.select("node", "doc", "text", "places").mapInArrow(run, "bucket int, data binary, sizes binary, owners binary, nodes binary, docs binary, starts binary")
+    return texts.select("node", "doc", "text", "places", *chained).mapInArrow(run, "bucket int, data binary, sizes binary, owners binary, nodes binary, docs binary, starts binary")
 
 
 def _matches(keep_first: bool):  # noqa: ANN202
     def run(table: pa.Table) -> pa.Table:
-        """node, runs: covered bytes of each node's windows in one bucket, as packed starts and ends."""
+        """node, runs: covered bytes of each node's strings in one bucket, as packed starts and ends."""
         parts: dict[bytes, int] = {}
         which, node, doc, start = [], [], [], []
         for row in table.to_pylist():
@@ -230,38 +325,43 @@ def _matches(keep_first: bool):  # noqa: ANN202
             doc.append(np.frombuffer(row["docs"], "<i8"))
             start.append(np.frombuffer(row["starts"], "<u4").astype(np.int64))
         which, node, doc, start = map(np.concatenate, (which, node, doc, start))
-        size = np.array([len(p) for p in parts], np.int64)
-        offset = np.r_[0, np.cumsum(size)[:-1]]
-        windows = size - LENGTH + 1
-        inside = np.arange(windows.sum()) - np.repeat(np.cumsum(windows) - windows, windows)
-        part_of = np.repeat(np.arange(len(size)), windows)
-        order, new = suffix_classes(np.frombuffer(b"".join(parts), np.uint8), offset[part_of] + inside)
-        name = np.empty(len(order), np.int64)
-        name[order] = np.cumsum(new) - 1  # class of each window of the different parts
-        times = np.bincount(which, minlength=len(size))
-        total = np.bincount(name, times[part_of])  # occurrences of each class
-        repeated = total[name] > 1
-        base = np.cumsum(windows) - windows
-        first_doc = first_place = None
-        if keep_first:
-            # the least (document, place) of each class has no previous factor
-            count = windows[which]
-            w = base[which].repeat(count) + np.arange(count.sum()) - np.repeat(np.cumsum(count) - count, count)
-            cls, d, s = name[w], doc.repeat(count), start.repeat(count) + inside[w]
-            o = np.lexsort((s, d, cls))
-            lead = o[np.flatnonzero(np.r_[True, cls[o][1:] != cls[o][:-1]])]
-            first_doc, first_place = np.empty(len(total), np.int64), np.empty(len(total), np.int64)
-            first_doc[cls[lead]], first_place[cls[lead]] = d[lead], s[lead]
+        # each part stands for its first owner, and the parts are laid out in their order
+        order = np.lexsort((start, node, doc))
+        which, node, start = which[order], node[order], start[order]
+        part, lead = np.unique(which, return_index=True)
+        laid = part[np.argsort(lead)]
+        name = np.empty(len(parts), np.int64)
+        name[laid] = np.arange(len(laid))
+        which = name[which]
+        content = list(parts)
+        content = [content[i] for i in laid.tolist()]
+        del parts, table
+        size = np.array([len(p) for p in content], np.int64)
+        offset = np.cumsum(size) - size
+        strings = size - LENGTH + 1
+        base = np.cumsum(strings) - strings
+        starts = np.arange(strings.sum()) + np.repeat(offset - base, strings)
+        order, common = suffix_order(np.frombuffer(b"".join(content), np.uint8), starts)
+        factor, source = previous_factors(starts[order], common)
+        later = factor >= LENGTH
+        removed = np.zeros(len(starts), bool)
+        removed[order[later]] = True
+        if not keep_first:
+            removed[order[source[later]]] = True
+        is_first = np.zeros(len(which), bool)
+        is_first[np.sort(lead)] = True
+        copied = np.bincount(which, minlength=len(size)) > 1
         out_node, out_runs = [], []
-        for i, n, d, a in zip(which.tolist(), node.tolist(), doc.tolist(), start.tolist()):
-            span = slice(base[i], base[i] + windows[i])
-            hit = repeated[span]
-            if keep_first:
-                hit = hit & ~((first_doc[name[span]] == d) & (first_place[name[span]] == a + inside[span]))
-            if hit.any():
-                lo, hi = covered(np.flatnonzero(hit) + a, LENGTH)
-                out_node.append(n)
-                out_runs.append(np.stack([lo, hi], 1).astype("<u4").tobytes())
+        for i, n, a, first in zip(which.tolist(), node.tolist(), start.tolist(), is_first.tolist()):
+            if not first or (copied[i] and not keep_first):
+                lo, hi = np.array([a]), np.array([a + size[i]])
+            else:
+                hit = np.flatnonzero(removed[base[i] : base[i] + strings[i]])
+                if not len(hit):
+                    continue
+                lo, hi = covered(hit + a, LENGTH)
+            out_node.append(n)
+            out_runs.append(np.stack([lo, hi], 1).astype("<u4").tobytes())
         return pa.table({"node": pa.array(out_node, pa.int64()), "runs": pa.array(out_runs, pa.binary())})
 
     return run
@@ -279,32 +379,61 @@ def cut(raw: bytes, runs: list[bytes]) -> tuple[int, int, bytes, list[tuple[int,
     return int((hi - lo).sum()), len(lo), left, list(zip(lo.tolist(), hi.tolist()))
 
 
+def node_of_sha() -> Column:
+    """64 bits of the text's SHA-256 as a signed long."""
+    high, low = (F.conv(F.substring("sha", k, 8), 16, 10).cast("long") for k in (1, 9))
+    return F.shiftleft(high, 32).bitwiseOR(low)
+
+
+def _n_packed(name: str) -> Column:
+    return F.aggregate(name, F.lit(0).cast("long"), lambda a, x: a + (F.octet_length(x) / 4).cast("long"))
+
+
 def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", keep: str = "none") -> DataFrame:
     """doc_id, n_bytes, n_removed, n_spans, kept_sha256 and spans (half-open byte ranges) of every document."""
     if keep not in ("none", "first"):
         raise ValueError(f"keep is 'none' or 'first', not {keep!r}")
     spark = docs.sparkSession
-    buckets = 4 * shuffle_partitions(spark)
     text = F.coalesce(F.col(text_col), F.lit(""))
-    named = docs.select(F.col(id_col).alias("doc_id"), text.alias("text")).withColumn("node", F.xxhash64("text"))
-    facts = materialize(named.select("doc_id", "node", F.octet_length("text").cast("long").alias("n_bytes"), F.sha2("text", 256).alias("sha")), "suffix-docs")
+    # the node is 64 bits of the text's SHA-256, of which two texts that share them are told apart by the rest
+    named = docs.select(F.col(id_col).alias("doc_id"), text.alias("text")).withColumn("sha", F.sha2("text", 256))
+    facts = materialize(named.select("doc_id", "sha", F.octet_length("text").cast("long").alias("n_bytes")).withColumn("node", node_of_sha()), "suffix-docs")
+    total, n_rows = facts.agg(F.coalesce(F.sum("n_bytes"), F.lit(0)), F.count("*")).first()
+    buckets = max(4 * shuffle_partitions(spark), total // ANCHOR_BYTES)
     whole_numbers = isinstance(facts.schema["doc_id"].dataType, IntegralType)
     place = F.coalesce(F.col("doc_id").cast("long") if whole_numbers else F.xxhash64("doc_id"), F.lit(-(1 << 63)))
-    firsts = facts.groupBy("node").agg(F.min(place).alias("doc"), F.count("*").alias("copies"))
-
-    packed = emit_anchors(named.filter(F.octet_length("text") >= LENGTH).select("node", "text"), buckets)
-    places = packed.groupBy("bucket").applyInArrow(_repeated_anchors, "node long, places binary")
-    places = materialize(places.groupBy("node").agg(F.collect_list("places").alias("places")).join(firsts, "node"), "suffix-places")
-
-    few = places.count() <= BROADCAST_IDS
-    ids = places.select("node")
-    texts = named.select("node", "text").join(F.broadcast(ids) if few else ids, "node").groupBy("node").agg(F.first("text").alias("text"))
-    texts = materialize(texts.join(places, "node"), "suffix-texts")
-
-    # windows of an anchor start within LENGTH - GRAM bytes, half of them on average
-    repeated = places.agg(F.sum(F.aggregate("places", F.lit(0).cast("long"), lambda a, x: a + (F.octet_length(x) / 4).cast("long")))).first()[0] or 0
-    around = emit_surroundings(texts, max(buckets, int(repeated * 1.5 * LENGTH / BUCKET_BYTES)))
-    runs = around.groupBy("bucket").applyInArrow(_matches(keep == "first"), "node long, runs binary")
+    firsts = materialize(facts.groupBy("node").agg(F.min(place).alias("doc"), F.count("*").alias("copies"), F.min("sha").alias("sha"), F.max("sha").alias("other")), "suffix-nodes")
+    if firsts.filter("sha <> other").limit(1).count():
+        raise RuntimeError("two texts share 64 bits of their SHA-256")
+
+    long_ones = named.filter(F.octet_length("text") >= LENGTH).select(node_of_sha().alias("node"), "text")
+    packed = emit_anchors(long_ones, buckets)
+    runs, level = None, 0
+    while True:
+        # the last gram is the string itself, of which nothing goes on
+        found = packed.groupBy("bucket").applyInArrow(_repeated_anchors(HOT if level + 1 < len(GRAMS) else float("inf")), "node long, places binary, hot boolean")
+        gathered = [F.collect_list(F.when(F.col("hot") == hot, F.col("places"))).alias(c) for c, hot in (("places", False), ("hot", True))]
+        found = materialize(found.groupBy("node").agg(*gathered), f"suffix-places-{level}")
+        if not level:
+            found = materialize(found.join(firsts.select("node", "doc"), "node"), "suffix-places")
+            few = found.count() <= BROADCAST_IDS
+            ids = found.select("node")
+            texts = long_ones.join(F.broadcast(ids) if few else ids, "node").groupBy("node").agg(F.first("text").alias("text"))
+            texts = all_texts = materialize(texts.join(found, "node").withColumnRenamed("hot", "hot0"), "suffix-texts")
+        else:
+            texts = materialize(texts.drop("places").join(found.withColumnRenamed("hot", f"hot{level}"), "node"), f"suffix-texts-{level}")
+        # strings of an anchor start within LENGTH - gram bytes, half of them on average
+        some = texts.filter(F.size("places") > 0)
+        n, hot = texts.agg(F.sum(_n_packed("places")), F.sum(_n_packed(f"hot{level}"))).first()
+        span = 1.5 if not level else 1 + (LENGTH - GRAMS[level]) / LENGTH / 2
+        around = emit_surroundings(some, max(4 * shuffle_partitions(spark), int((n or 0) * span * LENGTH / BUCKET_BYTES)), level)
+        got = around.groupBy("bucket").applyInArrow(_matches(keep == "first"), "node long, runs binary")
+        runs = got if runs is None else runs.unionByName(got)
+        if not hot:
+            break
+        texts = texts.filter(F.size(f"hot{level}") > 0)
+        level += 1
+        packed = emit_anchors(texts, max(buckets, hot * (LENGTH // 10) // FLUSH), level)
     runs = runs.groupBy("node").agg(F.collect_list("runs").alias("runs"))
 
     def finish(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -317,9 +446,16 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
             span = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))
             yield pa.RecordBatch.from_arrays([batch.column(0), *[pa.array(c, t) for c, t in zip(cols, (pa.int64(), pa.int64(), pa.string(), span))]], names=["node", "removed", "n", "left_sha", "cut_spans"])
 
-    some = texts.select("node", "text").join(runs, "node").mapInArrow(finish, "node long, removed long, n long, left_sha string, cut_spans array<struct<start:bigint,end:bigint>>")
-    copied = firsts.filter("copies > 1")
-    out = facts.join(copied, "node", "left").join(some, "node", "left")
+    some = all_texts.select("node", "text").join(runs, "node").mapInArrow(finish, "node long, removed long, n long, left_sha string, cut_spans array<struct<start:bigint,end:bigint>>")
+    # rows of a text with very many copies are not dealt by its node: there are few such texts
+    many = firsts.filter(F.col("copies") > max(MANY_COPIES, n_rows * COPIES_SHARE // 1_000_000)).select("node", F.col("doc").alias("many_doc"))
+    facts = facts.join(F.broadcast(many), "node", "left")
+    later = F.col("many_doc").isNotNull() & (F.lit(keep == "none") | (place != F.col("many_doc")))
+    crowd = facts.filter(later).select("doc_id", "node", "n_bytes", "sha", F.lit(2).cast("long").alias("copies"), F.col("many_doc").alias("doc"))
+    crowd = crowd.select("*", *[F.lit(None).cast(t).alias(c) for c, t in (("removed", "long"), ("n", "long"), ("left_sha", "string"), ("cut_spans", "array<struct<start:bigint,end:bigint>>"))])
+    copied = firsts.filter("copies > 1").select("node", "copies", "doc")
+    rest = facts.filter(~later).drop("many_doc").join(copied, "node", "left").join(some, "node", "left")
+    out = rest.unionByName(crowd)
     whole = F.col("copies").isNotNull() & (F.col("n_bytes") >= LENGTH)
     if keep == "first":
         whole = whole & (place != F.col("doc"))
