@@ -61,6 +61,24 @@ def test_ngram_join_against_brute_force(spark):
     assert got == brute_components(texts)
 
 
+def test_all_links(spark):
+    """Every link between different sets, also those inside a component."""
+    texts = corpus()
+    sets = {}
+    for i, t in enumerate(texts):
+        if shingles(t):
+            sets.setdefault(frozenset(shingles(t)), []).append(i)
+    every = list(sets)
+    expected = {frozenset((sets[a][0], sets[b][0])) for k, a in enumerate(every) for b in every[:k] if 100 * len(a & b) >= 75 * len(a | b)}
+    links, members = ngram_join.link_pairs(docs_of(spark, texts))
+    least = {}
+    for r in members.collect():
+        if r["node"] is not None:
+            least[r["node"]] = min(r["doc_id"], least.get(r["node"], r["doc_id"]))
+    got = [frozenset((least[r["a"]], least[r["b"]])) for r in links.collect()]
+    assert len(got) == len(set(got)) and set(got) == expected and len(expected) > 300
+
+
 def test_null_ids(spark):
     """Documents without an id still link others and repeat their bytes; a component of such alone has no id."""
     base, other = prose(120, 1), prose(120, 2)
@@ -88,12 +106,17 @@ def test_linked_sets_share_a_signature(n, only_a, only_b, seed):
         return
     common = set(ngram_join.schemes_of(len(a))) & set(ngram_join.schemes_of(len(b)))
     assert common
-    shared = 0
-    for scheme in common:
+    for k in range(len(ngram_join.ALLOCATIONS)):
+        shared = 0
+        for scheme in common:
+            two = dict(ngram_join.emitted(b, scheme, k))
+            shared += sum(len(np.intersect1d(x, two[tag])) for tag, x in ngram_join.emitted(a, scheme, k) if tag in two)
+        assert shared
+    for scheme in ngram_join.schemes_of(len(a)):
         for k in range(len(ngram_join.ALLOCATIONS)):
-            if min(ngram_join.accounts(a, scheme)[2 * k], ngram_join.accounts(b, scheme)[2 * k]) >= 0:
-                shared = max(shared, len(np.intersect1d(ngram_join.signatures(a, scheme, k), ngram_join.signatures(b, scheme, k))))
-    assert shared
+            spare, cost = ngram_join.accounts(a, scheme)[2 * k : 2 * k + 2]
+            made = ngram_join.emitted(a, scheme, k)
+            assert cost == sum(len(x) for _, x in made) and (len(made) > 1) == (spare < 0)
     assert ngram_join.least_difference(ngram_join.sketch(a), ngram_join.sketch(b)) <= len(np.setxor1d(a, b))
 
 

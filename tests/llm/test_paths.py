@@ -2,6 +2,8 @@
 
 from collections import Counter
 
+import pytest
+
 import corpus_pipeline
 from textloom.llm import mixing, ngram_join, packing, suffix_dedup
 
@@ -10,7 +12,7 @@ from .test_joins import brute_components, brute_removal, corpus, repeats
 
 
 def test_ngram_join(spark, monkeypatch):
-    for name, value in (("BROADCAST_IDS", -1), ("SHARD_ROWS", 3), ("FLUSH", 40)):
+    for name, value in (("BROADCAST_IDS", -1), ("SHARD_ROWS", 6), ("FLUSH", 40), ("BUCKET_SIGNATURES", 50)):
         monkeypatch.setattr(ngram_join, name, value)
     texts = corpus()
     got = {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in ngram_join.link_components(docs_of(spark, texts)).collect()}
@@ -24,31 +26,14 @@ def test_ngram_join_without_first_round(spark):
     assert got == brute_components(texts)
 
 
-def test_every_allocation(spark, monkeypatch):
-    """Any allocation that leaves no set short gives the same links, also with neighbourhoods."""
+@pytest.mark.parametrize("allocation", [0, 1, 2])
+def test_every_allocation(spark, monkeypatch, allocation):
+    """Any allocation gives the same links: with neighbourhoods, and with sets that are short in it."""
     texts = corpus()
-    expected = brute_components(texts)
     real = ngram_join.allocate
-
-    def wide(sets):
-        cheapest = real(sets)
-        spare = {r["band"]: r for r in sets.filter("band >= 0").groupBy("band").agg(*[f.alias(n) for n, f in _least(len(ngram_join.ALLOCATIONS))]).collect()}
-        out = {}
-        for scheme in cheapest:
-            fits = [a for a in range(len(ngram_join.ALLOCATIONS)) if all(spare[b][f"{c}{a}"] is None or spare[b][f"{c}{a}"] >= 0 for b, c in ((scheme, "own"), (scheme + 1, "upper")) if b in spare)]
-            with_neighbours = [a for a in fits if ngram_join.shape(scheme, a)[1]]
-            out[scheme] = (with_neighbours or fits)[0]
-        return out
-
-    monkeypatch.setattr(ngram_join, "allocate", wide)
-    got = {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in ngram_join.link_components(docs_of(spark, texts)).collect()}
-    assert got == expected
-
-
-def _least(k):
-    from pyspark.sql import functions as F
-
-    return [(f"{c}{a}", F.min(F.get(F.col(c), F.lit(2 * a)))) for c in ("own", "upper") for a in range(k)]
+    monkeypatch.setattr(ngram_join, "allocate", lambda sets: (dict.fromkeys(real(sets)[0], allocation), 10**6))
+    got = {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in ngram_join.link_components(docs_of(spark, texts), centres=1).collect()}
+    assert got == brute_components(texts)
 
 
 def test_suffix_dedup(spark, monkeypatch):

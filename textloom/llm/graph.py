@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import materialize
+from .common import discard, materialize
 
 
 def components(edges: DataFrame, rounds: int = 60) -> DataFrame:
@@ -28,7 +28,8 @@ def components(edges: DataFrame, rounds: int = 60) -> DataFrame:
         down = large.groupBy("u").agg(F.min("v").alias("m"))
         small = large.join(down, "u").select(F.explode(F.array(F.struct(F.col("u"), F.col("m").alias("v")), F.struct(F.col("v").alias("u"), F.col("m").alias("v")))).alias("e"))
         small = small.select("e.u", "e.v").filter(F.col("u") != F.col("v")).distinct()
-        edges = materialize(small, "stars")
+        old, edges = edges, materialize(small, "stars", 2 * before[0])
+        discard(old)
         after = mark(edges)
         if after == before:
             break
@@ -37,4 +38,6 @@ def components(edges: DataFrame, rounds: int = 60) -> DataFrame:
         raise RuntimeError(f"components have not settled after {rounds} rounds")
     pairs = edges.select(F.col("u").alias("node"), F.col("v").alias("root"))
     roots = edges.select(F.col("v").alias("node"), F.col("v").alias("root")).distinct()
-    return pairs.unionByName(roots)
+    out = materialize(pairs.unionByName(roots), "roots", 2 * before[0])
+    discard(edges)
+    return out

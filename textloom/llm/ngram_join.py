@@ -3,26 +3,31 @@
 A document is its set of hashed 5-word shingles. Sets go to size bands; the scheme of band j
 joins band j with itself and with band j + 1, beyond which the similarity cannot be reached.
 A scheme deals the shingle universe to m segments by hash. Two sets that link differ in at
-most H shingles, so if a set has more than H segments with a shingle in them, at least one of
-these is the same in both: its subset's hash is a signature that both emit. A segment that
-also emits its one-deletion neighbourhood counts twice. How many segments a scheme has, and
-in how many of them neighbourhoods are emitted, is the allocation with the fewest signatures
-over all documents that leaves no document short of H + 1; with one shingle a segment, none
-ever is.
+most H shingles, so if one of them has more than H segments with a shingle in them, at least
+one of these is the same in both: its subset's hash is a signature that both emit. A segment
+that also emits its one-deletion neighbourhood counts twice, as there one shingle may differ.
+It is enough that one of the two has so many; sets that have too few are short, and emit each
+shingle for itself besides, which joins them with each other. How many segments a scheme has,
+and in how many of them neighbourhoods are emitted, is the allocation of the fewest signatures
+over all documents, those of short sets included.
 
 Groups of sets with a common signature give candidates, which are pruned by parity sketches
 (the number of different bits never exceeds the difference of the sets) and verified on the
 texts. Candidates come in two rounds: first each set against the centres of its groups, then
-all pairs of a group that are not yet in one component. What a set has beyond its need lets it
-leave its most frequent signatures' groups in that round (two sets that link share more
-signatures than either leaves, and both leave by one order, so the rarest that they share
-stays); a passage that many documents share does not pair them all.
+all pairs of a group that are not yet in one component, in blocks of members. What a set has
+beyond its need lets it leave its most frequent signatures' groups in that round (two sets
+that link share more signatures than a set that is not short leaves, all leave by one order
+and short ones leave none, so the rarest that they share stays); a passage that many documents
+share does not pair them all.
 
 Exact copies (equal sets) are one node throughout. Shingles are compared by 64-bit hashes.
 
 Defined results: null texts and texts without words have n_shingles 0 and link with nothing,
-not with each other; texts of fewer than five words are one shingle; repeated rows are
-copies; an empty table gives no rows; other columns are left alone.
+not with each other; texts of fewer than five words are one shingle; a text of any length is
+one set of all its shingles; repeated rows are copies; of equal least doc_ids in a component
+it does not matter which gives component_id; documents without an id link like others, and a
+component of such alone has none; an empty table gives no rows; other columns, whatever their
+names, are left alone.
 """
 
 from __future__ import annotations
@@ -37,14 +42,19 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import materialize, shuffle_partitions
+from .common import discard, materialize, shuffle_partitions
 from .graph import components
 from .hashing import BASE, Ranges, U, mix
 
 N = 5
-#: Segments per shingle of a band's least size, and the share of them with neighbourhoods. The
-#: last allocation, one shingle a segment, is always enough.
-ALLOCATIONS = ((0.47, 0), (0.47, 8), (0.56, 0), (0.56, 8), (0.75, 0), (0.75, 8), (math.inf, 0))
+#: Segments per shingle of a band's least size, and one in how many of them has neighbourhoods. The
+#: last allocation, one shingle a segment, leaves no set short.
+ALLOCATIONS = ((0.34, 2), (0.42, 4), (0.45, 0), (0.47, 0), (0.5, 0), (0.56, 0), (0.75, 0), (math.inf, 0))
+LAST = len(ALLOCATIONS) - 1
+#: What is added to a scheme's number for the shingles of its short sets; there are fewer schemes.
+SHORT = 128
+#: Signatures in a bucket, about.
+BUCKET_SIGNATURES = 300_000
 #: Bands whose least size is below this have one shingle a segment.
 SMALL = 24
 #: Candidate ids up to this many are broadcast (8 bytes each), more are joined by shuffle.
@@ -167,7 +177,7 @@ def changes(x: np.ndarray) -> np.ndarray:
 
 
 def accounts(s: np.ndarray, scheme: int) -> list[int]:
-    """For each allocation what a set has beyond its need, and how many signatures it emits."""
+    """For each allocation what a set has beyond its need (below 0: it is short), and how many signatures it emits."""
     n, need = len(s), needed(len(s), scheme)
     out, known = [], {}
     for a in range(len(ALLOCATIONS)):
@@ -181,28 +191,43 @@ def accounts(s: np.ndarray, scheme: int) -> list[int]:
         seg, some = known[m]
         twice = np.bincount(seg[: np.searchsorted(seg, U(wide))].astype(np.int64)) if wide else np.empty(0, np.int64)
         twice = twice[twice >= 2]
-        out += [some + len(twice) - need, some + int(twice.sum())]
+        spare, cost = some + len(twice) - need, some + int(twice.sum())
+        out += [spare, cost if spare >= 0 else cost + n]
     return out
 
 
-def signatures(s: np.ndarray, scheme: int, allocation: int) -> np.ndarray:
+def signatures(s: np.ndarray, scheme: int, allocation: int, tag: int | None = None) -> np.ndarray:
     m, wide = shape(scheme, allocation)
-    salt = U((scheme + 1) * 0x632BE59BD9B4E019 & (1 << 64) - 1)
+    salt = U(((scheme if tag is None else tag) + 1) * 0x632BE59BD9B4E019 & (1 << 64) - 1)
     if not m:
         return mix(s ^ salt)
     seg, h = segments(s, m), mix(s ^ _C1)
     first = np.flatnonzero(changes(seg))
     sums = np.add.reduceat(h, first)
-    tag = salt + (seg + U(1)) * _C2
-    out = mix(sums + tag[first])
+    place = salt + (seg + U(1)) * _C2
+    out = mix(sums + place[first])
     if wide and (n := int(np.searchsorted(seg, U(wide)))):
         held = np.diff(np.r_[first, len(seg)])
         own = np.repeat(np.arange(len(first)), held)[:n]
-        less = mix(sums[own] - h[:n] + tag[:n])
+        less = mix(sums[own] - h[:n] + place[:n])
         out = np.concatenate([out, less[held[own] >= 2]])
     return out
 
 
+def emitted(s: np.ndarray, scheme: int, allocation: int) -> list[tuple[int, np.ndarray]]:
+    """(scheme or SHORT + scheme, signatures) of a set."""
+    out = [(scheme, signatures(s, scheme, allocation))]
+    m, wide = shape(scheme, allocation)
+    if m:
+        seg = segments(s, m)
+        count = 1 + int(np.count_nonzero(seg[1:] != seg[:-1]))
+        if wide:
+            count += int(np.count_nonzero(np.bincount(seg[: np.searchsorted(seg, U(wide))].astype(np.int64)) >= 2))
+        if count < needed(len(s), scheme):
+            out.append((SHORT + scheme, signatures(s, scheme, LAST, SHORT + scheme)))
+    return out
+
+
 def describe(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """doc_id, text_hash, node, n_shingles, band, sketch, and for the set's one or two schemes what each allocation would leave and cost."""
     id_type = docs.schema[id_col].dataType.simpleString()
@@ -227,21 +252,17 @@ def describe(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     return picked.mapInArrow(run, f"doc_id {id_type}, text_hash long, node long, n_shingles long, band int, sketch binary, own array<int>, upper array<int>")
 
 
-def allocate(sets: DataFrame) -> dict[int, int]:
-    """The cheapest sufficient allocation of each scheme. The driver gets a row for each size band."""
+def allocate(sets: DataFrame) -> tuple[dict[int, int], int]:
+    """The cheapest allocation of each scheme, and how many signatures there will be. The driver gets a row for each size band."""
     k = len(ALLOCATIONS)
-    aggs = [f(F.get(F.col(c), F.lit(2 * a + i))).alias(f"{c}{i}{a}") for c in ("own", "upper") for a in range(k) for i, f in ((0, F.min), (1, F.sum))]
+    aggs = [F.sum(F.get(F.col(c), F.lit(2 * a + 1))).alias(f"{c}{a}") for c in ("own", "upper") for a in range(k)]
     rows = {r["band"]: r for r in sets.filter("band >= 0").groupBy("band").agg(*aggs).collect()}
-    out = {}
+    out, total = {}, 0
     for scheme in {j for b in rows for j in (b, b - 1) if j >= 0}:
-        best = (math.inf, k - 1)
-        for a in range(k):
-            parts = [(rows[b][f"{c}0{a}"], rows[b][f"{c}1{a}"]) for b, c in ((scheme, "own"), (scheme + 1, "upper")) if b in rows]
-            parts = [p for p in parts if p[0] is not None]
-            if all(p[0] >= 0 for p in parts):
-                best = min(best, (sum(p[1] for p in parts), a))
-        out[scheme] = best[1]
-    return out
+        cost = lambda a: sum(rows[b][f"{c}{a}"] or 0 for b, c in ((scheme, "own"), (scheme + 1, "upper")) if b in rows)  # noqa: B023, E731
+        out[scheme] = min(range(k), key=lambda a: (cost(a), a))
+        total += cost(out[scheme])
+    return out, total
 
 
 def emit(docs: DataFrame, chosen: dict[int, int], buckets: int, text_col: str) -> DataFrame:
@@ -283,11 +304,11 @@ def emit(docs: DataFrame, chosen: dict[int, int], buckets: int, text_col: str) -
                     continue
                 seen.add(node)
                 for scheme in schemes_of(len(s)):
-                    got = signatures(s, scheme, chosen[scheme])
-                    nodes.append(node)
-                    scheme_of.append(scheme)
-                    sigs.append(got)
-                    held += len(got)
+                    for tag, got in emitted(s, scheme, chosen[scheme]):
+                        nodes.append(node)
+                        scheme_of.append(tag)
+                        sigs.append(got)
+                        held += len(got)
                 if held > FLUSH:
                     yield from flush()
                     nodes, scheme_of, sigs, held = [], [], [], 0
@@ -388,31 +409,35 @@ def prune(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     return pairs.join(one, "a").join(two, "b").select("a", "b", "na", "nb", "sa", "sb").mapInArrow(run, "a long, b long")
 
 
-#: Members of a family's groups that meet in one task, about.
-SHARD_ROWS = 100_000
+#: Members of a family's groups that meet in one task, about. Groups of more members are dealt in pairs of blocks.
+SHARD_ROWS = 4_000
 #: Pairs a task holds before it reduces them to different ones.
-HELD_PAIRS = 2_000_000
+HELD_PAIRS = 1_000_000
 
 
 def _open_pairs(table: pa.Table) -> pa.Table:
-    """Different fitting pairs (a, b) of the members of each group that are in different components."""
-    key, node = table.column("key").to_numpy(), table.column("node").to_numpy()
+    """Different fitting pairs (a, b) of the members of each group that are in different components, and, where two blocks
+    of a group meet, in different blocks."""
+    key, node, block = (table.column(c).to_numpy() for c in ("key", "node", "block"))
     nodes, first, name = np.unique(node, return_index=True, return_inverse=True)
     root = np.unique(table.column("root").to_numpy(), return_inverse=True)[1][first]
     size = table.column("n").to_numpy()[first]
     sketches = [x.as_py() for x in table.column("sketch").take(pa.array(first))]
     order = np.lexsort((name, key))
-    key, name = key[order], name[order]
+    key, name, block = key[order], name[order], block[order]
     ends = np.flatnonzero(np.r_[True, key[1:] != key[:-1], True])
     seen, codes, held = np.empty(0, np.int64), [], 0
     for a, z in zip(ends[:-1].tolist(), ends[1:].tolist()):
-        m = name[a:z]
+        m, blocks = name[a:z], block[a:z]
         r = root[m]
         inside = r == np.bincount(r).argmax()
-        big, m, r = m[inside], m[~inside], r[~inside]
         # the largest component is never held against itself
-        for k in range(len(m)):
-            other = np.concatenate([big, m[k + 1 :][r[k + 1 :] != r[k]]])
+        m, r, blocks = (np.concatenate([x[~inside], x[inside]]) for x in (m, r, blocks))
+        for k in range(int((~inside).sum())):
+            open_ = r[k + 1 :] != r[k]
+            if blocks[k] >= 0:
+                open_ &= blocks[k + 1 :] != blocks[k]
+            other = m[k + 1 :][open_]
             codes.append(np.minimum(other, m[k]) * len(nodes) + np.maximum(other, m[k]))
             held += len(other)
             if held > HELD_PAIRS:
@@ -423,6 +448,28 @@ def _open_pairs(table: pa.Table) -> pa.Table:
     return pa.table({"a": pa.array(nodes[pairs[:, 0]], pa.int64()), "b": pa.array(nodes[pairs[:, 1]], pa.int64())})
 
 
+def sharded(open_: DataFrame) -> DataFrame:
+    """Members of groups (key, node, root) dealt to shards: shard, key, node, root, block.
+
+    Groups of one family mostly have one least member: they meet in a few shards, each of which
+    gives a pair once. A group of more than SHARD_ROWS / 2 members is cut into blocks, and each
+    pair of blocks is a group of its own (block -1: all pairs count, else those of two blocks).
+    """
+    half = max(1, SHARD_ROWS // 2)
+    about = open_.groupBy("key").agg(F.min("node").alias("start"), F.count("*").alias("size"))
+    rows = about.filter(F.col("size") <= half).groupBy("start").agg(F.ceil(F.sum("size") / SHARD_ROWS).alias("parts"))
+    few = about.filter(F.col("size") <= half).join(rows, "start")
+    few = few.select("key", F.xxhash64("start", F.pmod(F.col("key"), F.col("parts"))).alias("shard"))
+    small = open_.join(few, "key").select("shard", "key", "node", "root", F.lit(-1).alias("block"))
+    many = about.filter(F.col("size") > half).select("key", F.ceil(F.col("size") / F.lit(half)).cast("int").alias("blocks"))
+    own = F.pmod(F.xxhash64("node", "key"), F.col("blocks")).cast("int")
+    cut = open_.join(many, "key").withColumn("own", own).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    pair = F.xxhash64("key", F.least("own", "other"), F.greatest("own", "other"))
+    apart = F.when(F.col("own") == F.col("other"), F.lit(-1)).otherwise(F.col("own"))
+    large = cut.select(pair.alias("shard"), pair.alias("key"), "node", "root", apart.alias("block"))
+    return small.unionByName(large)
+
+
 def verify(pairs: DataFrame, texts: DataFrame) -> DataFrame:
     """Pairs (a, b) whose texts (node, text) link."""
     one = texts.select(F.col("node").alias("a"), F.col("text").alias("ta"))
@@ -451,68 +498,97 @@ def link_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     return linked_rows(docs, id_col, text_col, centres).select("doc_id", "n_shingles", "component_id")
 
 
+def link_pairs(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> tuple[DataFrame, DataFrame]:
+    """All links between different sets, also inside components: (a, b) with a < b, and the node of every document
+    (doc_id, node, n_shingles). Every pair of a group is held against each other, so a family of k different near
+    copies costs k * k / 2 pairs of sketches and a verification for each that fits."""
+    found = _Found(docs, id_col, text_col)
+    pairs = found.keep(found.second_round(None, None), "ngram-second")
+    links = materialize(found.verified(pairs, "ngram-second"), "ngram-all-links")
+    discard(*found.tables)
+    return links, found.described.select("doc_id", "node", "n_shingles")
+
+
+class _Found:
+    """The sets of documents and the groups that share signatures."""
+
+    def __init__(self, docs: DataFrame, id_col: str, text_col: str) -> None:
+        self.docs, self.text_col, self.tables = docs, text_col, []
+        self.described = materialize(describe(docs, id_col, text_col), "ngram-sets")
+        self.chosen, total = allocate(self.described)
+        packed = emit(docs, self.chosen, max(2 * shuffle_partitions(docs.sparkSession), total // BUCKET_SIGNATURES), text_col)
+        self.members = self.keep(shared_groups(packed), "ngram-groups").select("key", "scheme", "times", F.size("nodes").alias("size"), F.explode("nodes").alias("node"))
+        # one row for each different set: one of its texts stands for it
+        sets = self.described.filter("band >= 0").groupBy("node").agg(
+            F.min("text_hash").alias("text_hash"), F.first("n_shingles").alias("n"), F.first("band").alias("band"), F.first("sketch").alias("sketch"), F.first("own").alias("own"), F.first("upper").alias("upper")
+        )
+        self.sets = self.keep(sets.join(self.members.select("node").distinct(), "node", "left_semi"), "ngram-candidates")
+        self.n_sets = self.sets.count()
+
+    def keep(self, df: DataFrame, tag: str, rows: int | None = None) -> DataFrame:
+        self.tables.append(materialize(df, tag, rows))
+        return self.tables[-1]
+
+    def first_round(self, centres: int) -> DataFrame:
+        """Every set against the centres of its groups (the member that shares most), those first with which it shares most."""
+        members = self.members
+        shares = members.groupBy("node").agg(F.sum(F.col("times") * (F.col("size") - 1)).alias("shares"))
+        centre = members.join(shares, "node").groupBy("key").agg(F.max(F.struct("shares", "node"))["node"].alias("a"))
+        stars = members.join(centre, "key").filter(F.col("node") != F.col("a")).groupBy("a", F.col("node").alias("b")).agg(F.sum("times").alias("n"))
+        top = Window.partitionBy("b").orderBy(F.desc("n"), "a")
+        first = stars.withColumn("r", F.row_number().over(top)).filter(F.col("r") <= centres).select(*_ordered(F.col("a"), F.col("b"))).distinct()
+        return prune(first, self.sets)
+
+    def second_round(self, roots: DataFrame | None, done: DataFrame | None) -> DataFrame:
+        """Pairs of a group in different components, without the groups that a set need not be found in."""
+        chosen, sets = self.chosen, self.sets
+        k = F.create_map(*[F.lit(v) for s, a in chosen.items() for v in (s, 2 * a)]) if chosen else F.lit(None).cast("map<int,int>")
+        double = F.create_map(*[F.lit(v) for s, a in chosen.items() for v in (s, 1 + (shape(s, a)[1] > 0))]) if chosen else F.lit(None).cast("map<int,int>")
+        member = self.members.join(sets.select("node", "band", "own", "upper"), "node")
+        is_short, scheme = F.col("scheme") >= SHORT, F.col("scheme") % SHORT
+        place = F.when(is_short, F.lit(2 * LAST)).otherwise(F.try_element_at(k, scheme))
+        spare = F.when(F.col("band") == scheme, F.get("own", place)).otherwise(F.get("upper", place))
+        # the same order of signatures for all sets, frequent ones first, so that the rarest that a pair shares stays in both
+        frequent = Window.partitionBy("node", "scheme").orderBy(F.desc("size"), "key").rowsBetween(Window.unboundedPreceding, 0)
+        load = F.sum(F.col("times") * F.when(is_short, F.lit(1)).otherwise(F.try_element_at(double, scheme))).over(frequent)
+        kept = member.withColumn("load", load).filter(F.col("load") > spare).select("key", "node")
+        if roots is None:
+            kept = kept.withColumn("root", F.col("node"))
+        else:
+            kept = kept.join(roots, "node", "left").select("key", "node", F.coalesce("root", "node").alias("root"))
+        open_groups = kept.groupBy("key").agg(F.min("root").alias("low"), F.max("root").alias("high")).filter("low < high").select("key")
+        kept = self.keep(kept.join(open_groups, "key", "left_semi"), "ngram-open")
+        rest = sharded(kept).join(sets.select("node", "n", "sketch"), "node").groupBy("shard").applyInArrow(_open_pairs, "a long, b long").distinct()
+        return rest if done is None else rest.join(done, ["a", "b"], "left_anti")
+
+    def verified(self, pairs: DataFrame, tag: str) -> DataFrame:
+        """Pairs that link. Texts come by broadcast of their hashes if these are few."""
+        wanted = pairs.select(F.col("a").alias("node")).unionByName(pairs.select(F.col("b").alias("node"))).distinct()
+        wanted = self.keep(self.sets.select("node", "text_hash").join(wanted, "node", "left_semi"), f"{tag}-ids", self.n_sets)
+        texts = self.docs.select(F.xxhash64(self.text_col).alias("text_hash"), F.col(self.text_col).alias("text"))
+        got = texts.join(F.broadcast(wanted) if wanted.count() <= BROADCAST_IDS else wanted, "text_hash")
+        return verify(pairs, self.keep(got.groupBy("node").agg(F.first("text").alias("text")), f"{tag}-texts"))
+
+
 def linked_rows(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", centres: int = 3) -> DataFrame:
     """link_components with the hash of each row's text and whether the row stays where one of each component does.
 
     The row of the smallest doc_id stays, nulls last, of equal ones that of the smallest text_hash;
     rows of the same doc_id and text all do. Rows without shingles stay.
     """
-    spark = docs.sparkSession
-    described = materialize(describe(docs, id_col, text_col), "ngram-sets")
-    chosen = allocate(described)
-    packed = emit(docs, chosen, 2 * shuffle_partitions(spark), text_col)
-    groups = materialize(shared_groups(packed), "ngram-groups")
-
-    # one row for each different set: one of its texts stands for it
-    sets = described.filter("band >= 0").groupBy("node").agg(
-        F.min("text_hash").alias("text_hash"), F.first("n_shingles").alias("n"), F.first("band").alias("band"), F.first("sketch").alias("sketch"), F.first("own").alias("own"), F.first("upper").alias("upper")
-    )
-    members = groups.select("key", "scheme", "times", F.size("nodes").alias("size"), F.explode("nodes").alias("node"))
-    sets = materialize(sets.join(members.select("node").distinct(), "node", "left_semi"), "ngram-candidates")
-
-    # round 1: every set against the centres of its groups (the member that shares most), those first with which it shares most
-    shares = members.groupBy("node").agg(F.sum(F.col("times") * (F.col("size") - 1)).alias("shares"))
-    centre = members.join(shares, "node").groupBy("key").agg(F.max(F.struct("shares", "node"))["node"].alias("a"))
-    stars = members.join(centre, "key").filter(F.col("node") != F.col("a")).groupBy("a", F.col("node").alias("b")).agg(F.sum("times").alias("n"))
-    top = Window.partitionBy("b").orderBy(F.desc("n"), "a")
-    first = stars.withColumn("r", F.row_number().over(top)).filter(F.col("r") <= centres).select(*_ordered(F.col("a"), F.col("b"))).distinct()
-    first = materialize(prune(first, sets), "ngram-first")
-
-    # texts of candidates: by broadcast of their ids if these are few
-    texts = docs.select(F.xxhash64(text_col).alias("text_hash"), F.col(text_col).alias("text"))
-
-    def texts_of(pairs: DataFrame, tag: str) -> DataFrame:
-        wanted = pairs.select(F.col("a").alias("node")).unionByName(pairs.select(F.col("b").alias("node"))).distinct()
-        wanted = materialize(sets.select("node", "text_hash").join(wanted, "node", "left_semi"), f"{tag}-ids")
-        got = texts.join(F.broadcast(wanted) if wanted.count() <= BROADCAST_IDS else wanted, "text_hash")
-        return materialize(got.groupBy("node").agg(F.first("text").alias("text")), f"{tag}-texts")
-
-    links = materialize(verify(first, texts_of(first, "ngram-first")), "ngram-links")
-    roots = materialize(components(links), "ngram-roots")
-
-    # round 2: pairs of a group in different components, without the groups that a set need not be found in
-    k = F.create_map(*[F.lit(v) for s, a in chosen.items() for v in (s, 2 * a)]) if chosen else F.lit(None).cast("map<int,int>")
-    double = F.create_map(*[F.lit(v) for s, a in chosen.items() for v in (s, 1 + (shape(s, a)[1] > 0))]) if chosen else F.lit(None).cast("map<int,int>")
-    member = members.join(sets.select("node", "band", "own", "upper"), "node")
-    spare = F.when(F.col("band") == F.col("scheme"), F.get("own", F.try_element_at(k, F.col("scheme")))).otherwise(F.get("upper", F.try_element_at(k, F.col("scheme"))))
-    # the same order of signatures for all sets, frequent ones first, so that the rarest that a pair shares stays in both
-    frequent = Window.partitionBy("node", "scheme").orderBy(F.desc("size"), "key").rowsBetween(Window.unboundedPreceding, 0)
-    load = F.sum(F.col("times") * F.try_element_at(double, F.col("scheme"))).over(frequent)
-    kept = member.withColumn("load", load).filter(F.col("load") > spare).select("key", "node")
-    kept = kept.join(roots, "node", "left").select("key", "node", F.coalesce("root", "node").alias("root"))
-    open_groups = kept.groupBy("key").agg(F.min("root").alias("low"), F.max("root").alias("high")).filter("low < high").select("key")
-    kept = materialize(kept.join(open_groups, "key", "left_semi"), "ngram-open")
-    # groups of one family mostly have one first member: they meet in a few tasks, each of which gives a pair once
-    start = kept.groupBy("key").agg(F.min("node").alias("start"))
-    started = kept.join(start, "key")
-    parts = started.groupBy("start").agg(F.ceil(F.count("*") / SHARD_ROWS).alias("parts"))
-    sharded = started.join(parts, "start").withColumn("part", F.pmod(F.col("key"), F.col("parts")))
-    rest = sharded.join(sets.select("node", "n", "sketch"), "node").groupBy("start", "part").applyInArrow(_open_pairs, "a long, b long").distinct()
-    second = materialize(rest.join(first, ["a", "b"], "left_anti"), "ngram-second")
-    more = verify(second, texts_of(second, "ngram-second"))
-    roots = components(materialize(links.unionByName(more), "ngram-all-links"))
-
-    rooted = described.select("doc_id", "text_hash", "node", "n_shingles").join(roots, "node", "left")
+    found = _Found(docs, id_col, text_col)
+    first = found.keep(found.first_round(centres), "ngram-first", centres * found.n_sets)
+    links = found.verified(first, "ngram-first")
+    roots = components(links)
+    second = found.keep(found.second_round(roots, first), "ngram-second")
+    if second.limit(1).count():
+        # the components so far are stars, which stand for their links
+        more = found.verified(second, "ngram-second").unionByName(roots.select(F.col("node").alias("a"), F.col("root").alias("b")))
+        old, roots = roots, components(more)
+        discard(old)
+    discard(*found.tables)
+
+    rooted = found.described.select("doc_id", "text_hash", "node", "n_shingles").join(roots, "node", "left")
     rooted = rooted.withColumn("root", F.coalesce("root", "node")).withColumn("place", F.struct(F.col("doc_id").isNull(), "doc_id", "text_hash"))
     least = rooted.filter("root is not null").groupBy("root").agg(F.min("doc_id").alias("least"), F.min("place").alias("first"))
     out = rooted.join(least, "root", "left")
