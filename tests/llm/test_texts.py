@@ -339,7 +339,51 @@ def test_toxicity(spark):
     assert model.offending(texts[found])[0][:2] == (rows[found]["worst_start"], rows[found]["worst_end"])
     assert toxicity.score_documents(docs.limit(0), model).collect() == []
     nothing = toxicity.fit(docs.limit(0), labels.limit(0))
-    assert nothing.score("idiot") < 0.5
+    assert nothing.score("idiot") < 0.5 and toxicity.fit(docs, labels.filter("toxic = 0")).score("idiot") < 0.5
+    # the rows of a repeated id, and where they stand, change nothing
+    again = toxicity.fit(docs.unionByName(docs).repartition(7), labels.unionByName(labels))
+    assert again == model
+
+
+def test_toxicity_score_against_brute_force(spark):
+    """The noisy-or of the different sentences, from the model's weights alone."""
+    texts, toxic = labelled(300, 3)
+    docs = docs_of(spark, [*texts, *ODD])
+    model = toxicity.fit(docs, spark.createDataFrame(list(enumerate(toxic)), "doc_id long, toxic int"))
+    assert model.weights
+    rows = {r["doc_id"]: r for r in toxicity.score_documents(docs, model).collect()}
+    for i, t in enumerate([*texts, *ODD]):
+        clean, at = 1 / (1 + np.exp(model.chance)), []
+        for words in {frozenset(re.findall(r"[^\W\d_]+", x.lower())) for x in re.split(r"[.!?\n]+", t or "") if x}:
+            z = model.bias + sum(model.weights.get(f, 0.0) for w in words for f in [w, *(w[:k] + "-" for k in (3, 4, 5) if len(w) > k)])
+            at.append(z)
+            clean *= 1 / (1 + np.exp(z)) if z > max(np.log(0.05 / 0.95), model.bias) else 1
+        assert abs(rows[i]["score"] - (1 - clean)) < 1e-9
+        assert (rows[i]["n_offending"] > 0) == (max(at, default=-1) >= 0)
+
+
+def test_toxicity_does_not_follow_length(spark):
+    """Held-out recall by length; clean texts stay clean however long they are made."""
+    r = random.Random(7)
+    lengths = [r.choice([1, 3, 10, 60, 250]) for _ in range(1500)]
+    texts, toxic = [], []
+    for k, n in enumerate(lengths):
+        sentences = [prose(8, 40_000 + 300 * k + j, 3000) for j in range(n)]
+        toxic.append(int(r.random() < 0.15))
+        if toxic[-1]:
+            sentences[r.randrange(n)] += " " + r.choice(["idiot", "moron", "stupidly"])
+        texts.append(". ".join(sentences))
+    model = toxicity.fit(docs_of(spark, texts), spark.createDataFrame(list(enumerate(toxic)), "doc_id long, toxic int"))
+    held = [i for i in range(len(texts)) if zlib.crc32(str(i).encode()) % 5 == 0]
+    for low, high in ((1, 3), (10, 10), (60, 250)):
+        found = [model.score(texts[i]) >= 0.5 for i in held if toxic[i] and low <= lengths[i] <= high]
+        assert len(found) >= 5 and sum(found) >= 0.9 * len(found)
+    clean = [texts[i] for i in held if not toxic[i]]
+    assert sum(model.score(t) >= 0.5 for t in clean) <= 0.01 * len(clean)
+    for t in clean[:40]:
+        once = model.score(t)
+        assert abs(model.score("\n".join([t] * 100)) - once) < 1e-9 and once < 0.5
+    assert model.score("\n".join(clean)) < 0.5
 
 
 # ---------------------------------------------------------------- WARC
