@@ -3,13 +3,17 @@
 Documents become token ids and an end id; only those above the capacity are cut. Which
 lengths share a sequence is decided on the histogram of lengths, which has at most
 ``capacity`` rows however large the input is: best fit in batches gives the incumbent, and
-bin completion (undominated fillings around the largest length, pruned by the waste that the
-incumbent leaves) improves it unless it meets the lower bound. The documents then take their
-places by their rank within their length; ranks are counted in two levels, so that a
-frequent length is not sorted in one task.
-
-Defined results: null and empty texts are the end id alone; repeated rows are packed one by
-one; an empty table gives no rows; other columns are left alone.
+bin completion improves it unless it meets the lower bound. The bin of the largest length is
+completed by every undominated filling, least waste first, by every number of such bins, and
+pruned by the waste that a better packing can still have; all fillings are enumerated one by one
+as the search asks for them, so that without a budget the search ends with the optimum. The
+documents then take their places by their rank within their length; ranks are counted in two
+levels, so that a frequent length is not sorted in one task.
+
+Defined results: null and empty texts are the end id alone; texts of any length are tokenized
+whole and cut into pieces; pieces of one length go by doc_id, then piece, then checksum within
+their group, equal ones in any order; repeated rows are packed one by one; an empty table gives
+no rows; other columns, whatever their names, are left alone.
 """
 
 from __future__ import annotations
@@ -33,12 +37,10 @@ from .common import materialize
 
 CAPACITY = 4096
 END_ID = 1
-#: Nodes of the bin-completion search; the incumbent stands beyond.
-NODES = 1_000
+#: Nodes of the bin-completion search, for each different length beyond these; the incumbent stands beyond.
+NODES, NODES_A_LENGTH = 1_000, 2
 #: Every so many nodes best fit completes the search's state for a new incumbent.
 DIVE = 16
-#: Fillings tried at a node.
-FILLINGS = 8
 #: Rows of a length ranked in one group, about.
 GROUP_ROWS = 512
 
@@ -55,23 +57,38 @@ class TokenIds:
     """Token ids of texts, as little-endian unsigned 32-bit bytes.
 
     Texts of Latin letters and common signs are split here by the vocabulary's own pattern and
-    merged by tiktoken, whose ranks are the vocabulary's ids with each word's end as a NUL byte
-    (ids and merges must be in one order, which is checked). Other texts, and those that may hold
-    a special token, go through the tokenizer file itself.
+    merged by tiktoken, whose ranks are the vocabulary's ids with each word's end as a NUL byte.
+    That holds only for files that normalise and split as NORMAL and SPLIT say, and whose ids and
+    merges are in one order, which is checked. Other texts, those that may hold a special token,
+    and all texts with other files, go through the tokenizer file itself.
     """
 
+    NORMAL = {"type": "Sequence", "normalizers": [{"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": "\\s+"}, "content": " "}, {"type": "Lowercase"}]}
+    SPLIT = {
+        "type": "Sequence",
+        "pretokenizers": [
+            {"type": "Split", "pattern": {"Regex": r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"}, "behavior": "Removed", "invert": True},
+            {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": False},
+        ],
+    }
+
     SAFE = regex.compile(r"[\t\n\r -~\u00a1-\u017f\u2013-\u2026]*")
     PIECE = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|\p{L}+|\p{N}|[^\s\p{L}\p{N}]+")
 
     def __init__(self, path: str) -> None:
         self.path = path
         with open(path, encoding="utf-8") as f:
-            model = json.load(f)["model"]
-        vocab, end = model["vocab"], model["end_of_word_suffix"]
-        merges = [m if isinstance(m, list) else m.split(" ") for m in model["merges"]]
+            whole = json.load(f)
+        model = whole["model"]
+        vocab, end = model.get("vocab", {}), model.get("end_of_word_suffix")
+        merges = [m if isinstance(m, list) else m.split(" ") for m in model.get("merges", [])]
         first = len(vocab) - len(merges)
+        plain = {"dropout": None, "unk_token": None, "continuing_subword_prefix": None, "byte_fallback": False, "ignore_merges": False}
+        known = model.get("type") == "BPE" and whole["normalizer"] == self.NORMAL and whole["pre_tokenizer"] == self.SPLIT
+        known = known and all(model.get(k) == v for k, v in plain.items()) and all("<|" in x["content"] for x in whole["added_tokens"])
+        known = known and not whole.get("truncation") and not whole.get("post_processor")
         self.fast = None
-        if end and all(vocab.get(a + b) == first + i for i, (a, b) in enumerate(merges)):
+        if known and end and all(vocab.get(a + b) == first + i for i, (a, b) in enumerate(merges)):
             # byte-level vocabularies write the printable bytes as themselves and the others from U+0100 on
             shown = [*range(33, 127), *range(161, 173), *range(174, 256)]
             byte = {chr(b): b for b in shown} | {chr(256 + i): b for i, b in enumerate(b for b in range(256) if b not in shown)}
@@ -170,73 +187,96 @@ def best_fit(counts: dict[int, int], capacity: int) -> list[Pattern]:
 
 def lower_bound(counts: dict[int, int], capacity: int) -> int:
     """The larger of total over capacity and, for each k, large items plus what the middle ones need."""
-    total = sum(s * n for s, n in counts.items())
-    best = -(-total // capacity)
-    for k in sorted({s for s in counts if 2 * s <= capacity} | {0})[:64]:
-        alone = sum(n for s, n in counts.items() if s > capacity - k)
-        halves = [(s, n) for s, n in counts.items() if capacity - k >= s > capacity / 2]
-        small = sum(s * n for s, n in counts.items() if capacity / 2 >= s >= k)
-        n_half = sum(n for _, n in halves)
-        room = n_half * capacity - sum(s * n for s, n in halves)
-        best = max(best, alone + n_half + max(0, -(-(small - room) // capacity)))
+    size = np.array(sorted(counts), np.int64)
+    n = np.array([counts[s] for s in size.tolist()], np.int64)
+    items, room = np.r_[0, np.cumsum(n)], np.r_[0, np.cumsum(n * size)]
+    best = -(-int(room[-1]) // capacity)
+    half = int(np.searchsorted(size, capacity // 2, "right"))
+    for k in [0, *size[:half].tolist()]:
+        far, near = max(half, int(np.searchsorted(size, capacity - k, "right"))), int(np.searchsorted(size, k))
+        halves = int(items[far] - items[half])
+        small = int(room[half] - room[near])
+        free = halves * capacity - int(room[far] - room[half])
+        best = max(best, int(items[-1] - items[half]) + max(0, -(-(small - free) // capacity)))
     return best
 
 
-def fillings(sizes: list[int], counts: dict[int, int], rest: int) -> list[tuple[tuple[int, int], ...]]:
-    """Undominated fillings of the rest, least waste first: to none can another item be added, and none
-    has an item that a larger free one could replace within the rest."""
-    found: list[tuple[int, tuple[int, ...]]] = []
-    steps = 0
-
-    def grow(at: int, rest: int, chosen: tuple[int, ...]) -> None:
-        nonlocal steps
-        steps += 1
-        if steps > 4000 or len(found) >= 64:
+def reachable(sizes: list[int], counts: dict[int, int], rest: int) -> list[int]:
+    """For each k the sums up to rest, as bits, that items of sizes[k:] can have."""
+    mask, out = (1 << rest + 1) - 1, [1]
+    for s in reversed(sizes):
+        bits, left, step = out[-1], min(counts[s], rest // s), 1
+        while left:
+            take = min(step, left)
+            bits |= bits << s * take
+            left, step = left - take, 2 * step
+        out.append(bits & mask)
+    return out[::-1]
+
+
+def exact_fillings(sizes: list[int], counts: dict[int, int], reach: list[int], total: int, at: int = 0) -> Iterator[tuple[tuple[int, int], ...]]:
+    """All choices of items with that total, as (size, number), larger sizes first."""
+    if not total:
+        yield ()
+        return
+    for i in range(at, len(sizes)):
+        if not reach[i] >> total & 1:
             return
-        closed = True
-        for i in range(at, len(sizes)):
-            s = sizes[i]
-            if s <= rest and chosen.count(s) < counts[s]:
-                closed = False
-                grow(i, rest - s, (*chosen, s))
-                if found and found[-1][0] == 0:
-                    return
-        if closed:
-            smaller = [s for s in sizes[:at] if s <= rest and chosen.count(s) < counts[s]]
-            swap = any(chosen.count(b) < counts[b] for c in set(chosen) for b in sizes if c < b <= c + rest)
-            if not smaller and not swap:
-                found.append((rest, chosen))
-
-    grow(0, rest, ())
-    best = sorted(set(found), key=lambda x: (x[0], len(x[1]), [-s for s in x[1]]))[:FILLINGS]
-    return [tuple((s, c.count(s)) for s in sorted(set(c), reverse=True)) for _, c in best]
-
-
-def bin_completion(counts: dict[int, int], capacity: int = CAPACITY, nodes: int = NODES) -> list[Pattern]:
-    """Patterns (content of a bin, number of such bins) that hold all items in as few bins as found."""
+        s = sizes[i]
+        for k in range(min(counts[s], total // s), 0, -1):
+            if reach[i + 1] >> total - k * s & 1:
+                for more in exact_fillings(sizes, counts, reach, total - k * s, i + 1):
+                    yield ((s, k), *more)
+
+
+def fillings(sizes: list[int], counts: dict[int, int], rest: int, most_waste: int) -> Iterator[tuple[int, tuple[tuple[int, int], ...]]]:
+    """(waste, filling) of all undominated fillings of the rest up to a waste, least waste first: to none can another
+    item be added, and none has an item that a larger free one could replace within the rest."""
+    sizes = [s for s in sizes if s <= rest]
+    reach = reachable(sizes, counts, rest)
+    rising = sizes[::-1]
+    for waste in range(min(rest, most_waste) + 1):
+        if reach[0] >> rest - waste & 1:
+            for filling in exact_fillings(sizes, counts, reach, rest - waste):
+                used = dict(filling)
+                free = lambda s: used.get(s, 0) < counts[s]  # noqa: B023, E731
+                if waste and any(free(s) for s in rising[: bisect.bisect_right(rising, waste)]):
+                    continue
+                if waste and any(free(b) for c in used for b in rising[bisect.bisect_right(rising, c) : bisect.bisect_right(rising, c + waste)]):
+                    continue
+                yield waste, filling
+
+
+def bin_completion(counts: dict[int, int], capacity: int = CAPACITY, nodes: float | None = None) -> list[Pattern]:
+    """Patterns (content of a bin, number of such bins) that hold all items in as few bins as found. nodes: None for
+    NODES and NODES_A_LENGTH, math.inf for a search that ends with the optimum."""
     counts = {s: n for s, n in counts.items() if n}
     fixed = [(((s, 1),), n) for s, n in counts.items() if s == capacity]
     counts.pop(capacity, None)
     best = best_fit(counts, capacity)
     n_best, bound = sum(n for _, n in best), lower_bound(counts, capacity)
     total = sum(s * n for s, n in counts.items())
+    left = NODES + NODES_A_LENGTH * len(counts) if nodes is None else nodes
     # depth first with one state that is changed and restored: a level is (fillings left, pattern taken)
-    now, path, bins, waste, left = dict(counts), [], 0, 0, nodes
+    now, path, bins, waste, step = dict(counts), [], 0, 0, 0
+
+    def room() -> int:
+        """The waste that a better packing can still have."""
+        return (n_best - 1) * capacity - total - waste
 
     def tried() -> Iterator[Pattern]:
         sizes = sorted(now, reverse=True)
         large = sizes[0]
         rest = now | {large: now[large] - 1}
-        for filling in fillings([s for s in sizes if rest[s]], rest, capacity - large) or [()]:
+        for lost, filling in fillings([s for s in sizes if rest[s]], rest, capacity - large, room()):
             need = dict(filling)
             need[large] = need.get(large, 0) + 1
-            times = min(now[s] // k for s, k in need.items())
-            lost = capacity - sum(s * k for s, k in need.items())
-            # the waste that a better packing can still have
-            room = (n_best - 1) * capacity - total - waste
-            if lost > room:
-                return
-            yield tuple(sorted(need.items(), reverse=True)), min(times, max(1, room // lost)) if lost else times
+            pattern = tuple(sorted(need.items(), reverse=True))
+            for times in range(min(now[s] // k for s, k in pattern), 0, -1):
+                if lost > room():
+                    return
+                if lost * times <= room():
+                    yield pattern, times
 
     def change(pattern: Pattern, sign: int) -> None:
         nonlocal bins, waste
@@ -249,8 +289,8 @@ def bin_completion(counts: dict[int, int], capacity: int = CAPACITY, nodes: int
         waste += sign * times * (capacity - sum(s * k for s, k in content))
 
     levels: list[Iterator[Pattern]] = [tried()] if n_best > bound else []
-    while levels and left > 0 and n_best > bound:
-        left -= 1
+    while levels and step < left and n_best > bound:
+        step += 1
         pattern = next(levels[-1], None)
         if pattern is None:
             levels.pop()
@@ -259,7 +299,7 @@ def bin_completion(counts: dict[int, int], capacity: int = CAPACITY, nodes: int
             continue
         change(pattern, 1)
         path.append(pattern)
-        if left % DIVE == 0 or not now:
+        if step % DIVE == 0 or not now:
             rest_best = best_fit(now, capacity)
             if bins + (n := sum(k for _, k in rest_best)) < n_best:
                 best, n_best = [*path, *rest_best], bins + n
@@ -289,7 +329,7 @@ def pack(docs: DataFrame, path: str | None = None, id_col: str = "doc_id", text_
     histogram = {r["length"]: r["n"] for r in cut.groupBy("length").agg(F.count("*").alias("n")).collect()}  # at most capacity rows
     plan = places(spark, bin_completion(histogram, capacity))
     groups = max(1, -(-max(histogram.values(), default=0) // GROUP_ROWS))
-    group = F.pmod(F.xxhash64("doc_id", "piece"), F.lit(groups)).alias("group")
+    group = F.pmod(F.xxhash64("doc_id", "piece", "ids_crc32"), F.lit(groups))
     grouped = cut.withColumn("group", group)
     sizes = grouped.groupBy("length", "group").agg(F.count("*").alias("n"))
     ahead = F.sum("n").over(Window.partitionBy("length").orderBy("group").rowsBetween(Window.unboundedPreceding, -1))
@@ -297,6 +337,7 @@ def pack(docs: DataFrame, path: str | None = None, id_col: str = "doc_id", text_
     mine = F.row_number().over(Window.partitionBy("length", "group").orderBy("doc_id", "piece", "ids_crc32")) - 1
     ranked = grouped.withColumn("mine", mine).join(sizes, ["length", "group"]).withColumn("rank", F.col("ahead") + F.col("mine"))
     p = plan.withColumnRenamed("length", "_l")
+    # each pattern has some rows, and there are some patterns for each different length, of which there are at most capacity
     placed = ranked.join(F.broadcast(p), (F.col("length") == F.col("_l")) & (F.col("rank") >= F.col("first")) & (F.col("rank") < F.col("last")))
     nth = F.col("rank") - F.col("first")
     return placed.select(
