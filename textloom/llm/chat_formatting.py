@@ -7,8 +7,9 @@ the backslashes before it get one backslash more, which the parser takes away) a
 is parsed again. The parser always unescapes, so that it is one grammar for both.
 
 Defined results: null text and null role are empty; turns go by ``turn``, ties by role and
-text; repeated rows are repeated turns; a null conv_id is one conversation; an empty table
-gives no rows; other columns are left alone. All of it is Spark SQL.
+text; texts of any length and any number of turns are one conversation and one row, so one
+task's; repeated rows are repeated turns; a null conv_id is one conversation; an empty table
+gives no rows; other columns, whatever their names, are left alone. All of it is Spark SQL.
 """
 
 from __future__ import annotations

@@ -6,11 +6,13 @@ source's target, the documents so reached are taken once more. Targets share 150
 sizes by weight; none exceeds twice its source's size, the excess goes to the others by weight.
 
 Prefix sums run in two levels (key ranges of a source, rows of a range), so that a source
-that holds a third of all rows is not sorted in one task.
+that holds a third of all rows is not sorted in one task. The plan has a row for each source;
+its few sums run in one task, which some millions of sources are no burden for.
 
-Defined results: null text has size 0; a null source is one source, last in order; documents
-of size 0 take 0 words; repeated rows have equal keys and are taken in any order among
-themselves; an empty table gives no rows; other columns are left alone.
+Defined results: null text has size 0; texts of any length are counted whole; a null source is
+one source, last in order; documents of size 0 take 0 words; ties of the key go by doc_id, then
+by size; repeated rows have equal keys and are taken in any order among themselves; an empty
+table gives no rows; other columns, whatever their names, are left alone.
 """
 
 from __future__ import annotations
@@ -24,8 +26,10 @@ from .common import materialize, n_of, words
 WEIGHTS, SHARE, MOST = (3, 1, 2), 1.5, 2.0
 #: Above this many sources the plan is joined by shuffle, not broadcast (about 1 MB).
 BROADCAST_SOURCES = 10_000
-#: Rows of a key range, about; a range is what one task sorts.
+#: Rows of a key range, about, some four times as many at most; a range is what one task sorts.
 RANGE_ROWS = 4096
+#: Quality weights by which key ranges are laid out; the lowest and the highest are among them.
+RANGE_WEIGHTS = (1.0, 0.5, 0.25)
 
 
 def quality_weight(text: Column, size: Column) -> Column:
@@ -73,10 +77,12 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_
     both = sized.join(F.broadcast(p) if few else p, F.col("source").eqNullSafe(F.col("_s")))
     epochs = F.when(F.col("source_size") > 0, F.floor(F.col("target") / F.col("source_size"))).otherwise(F.lit(0)).cast("long")
     n_ranges = F.ceil(F.col("n_docs") / F.lit(float(RANGE_ROWS)))
+    # the share of keys below this one, were the weights an even mix of those
+    below = F.lit(1.0) - sum((F.exp(-F.col("key") * F.lit(w)) for w in RANGE_WEIGHTS), F.lit(0.0)) / F.lit(float(len(RANGE_WEIGHTS)))
     both = both.select(
         "doc_id", "source", "size", "source_size", "target", "key", epochs.alias("epochs"),
         (F.col("target") - epochs * F.col("source_size")).alias("rest"),
-        F.least(F.floor((F.lit(1.0) - F.exp(-F.col("key"))) * n_ranges), n_ranges - 1).cast("long").alias("range"),
+        F.greatest(F.lit(0), F.least(F.floor(below * n_ranges), n_ranges - 1)).cast("long").alias("range"),
         *also,
     )
     ranges = both.groupBy("source", "range").agg(F.sum("size").alias("range_size"))

@@ -58,7 +58,7 @@ BUCKET_SIGNATURES = 300_000
 #: Bands whose least size is below this have one shingle a segment.
 SMALL = 24
 #: Candidate ids up to this many are broadcast (8 bytes each), more are joined by shuffle.
-BROADCAST_IDS = 2_000_000
+BROADCAST_IDS = 500_000
 #: Signatures a task holds before it hands them on.
 FLUSH = 600_000
 

@@ -4,9 +4,10 @@ Every rule is evaluated once for each document. The ledger keeps the measurement
 long whose bit i says that rule i failed. A policy is a mask of bits, so applying another
 policy version or an ablation never touches the text again.
 
-Defined results: null and empty texts count no words and fail ``few_words``; repeated rows
-are judged one by one and alike; an empty table gives an empty ledger; other columns of the
-input are left alone (only ``id_col`` and ``text_col`` are read).
+Defined results: null and empty texts count no words and fail ``few_words``; texts of any
+length are measured whole; a rule fails beyond its limit, not at it; repeated rows are judged
+one by one and alike; an empty table gives an empty ledger; other columns of the input, whatever
+their names, are left alone (only ``id_col`` and ``text_col`` are read).
 """
 
 from __future__ import annotations

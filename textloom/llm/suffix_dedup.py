@@ -45,7 +45,7 @@ LENGTH = 200
 GRAMS = (40, 160, LENGTH)
 HOT = 4_000
 #: Node ids up to this many are broadcast (8 bytes each), more are joined by shuffle.
-BROADCAST_IDS = 2_000_000
+BROADCAST_IDS = 500_000
 #: Anchors, or bytes of surroundings, that a task holds before it hands them on.
 FLUSH, FLUSH_BYTES = 600_000, 24_000_000
 #: Bytes of surroundings in a bucket, about: sorting takes some hundred times as much memory.
