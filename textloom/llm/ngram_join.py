@@ -410,23 +410,33 @@ def prune(pairs: DataFrame, sets: DataFrame) -> DataFrame:
 
 
 #: Members of a family's groups that meet in one task, about. Groups of more members are dealt in pairs of blocks.
-SHARD_ROWS = 4_000
+SHARD_ROWS = 2_000
+#: Of each member's groups, so many least ones are known where it meets others: a pair that shares one of them, less
+#: than the group at hand, is left to that one.
+KNOWN_KEYS = 8
 #: Pairs a task holds before it reduces them to different ones.
 HELD_PAIRS = 1_000_000
 
 
 def _open_pairs(table: pa.Table) -> pa.Table:
     """Different fitting pairs (a, b) of the members of each group that are in different components, and, where two blocks
-    of a group meet, in different blocks."""
-    key, node, block = (table.column(c).to_numpy() for c in ("key", "node", "block"))
+    of a group meet, in different blocks. Pairs that are known to meet in a lesser group are left out."""
+    key, node, block, origin = (table.column(c).to_numpy() for c in ("key", "node", "block", "origin"))
     nodes, first, name = np.unique(node, return_index=True, return_inverse=True)
     root = np.unique(table.column("root").to_numpy(), return_inverse=True)[1][first]
     size = table.column("n").to_numpy()[first]
     sketches = [x.as_py() for x in table.column("sketch").take(pa.array(first))]
-    order = np.lexsort((name, key))
-    key, name, block = key[order], name[order], block[order]
+    known = np.frombuffer(b"".join(x.as_py() for x in table.column("known").take(pa.array(first))), ">i8").reshape(len(first), KNOWN_KEYS).astype(np.int64)
+    order = np.lexsort((name, key, origin))
+    key, name, block, origin = key[order], name[order], block[order], origin[order]
     ends = np.flatnonzero(np.r_[True, key[1:] != key[:-1], True])
-    seen, codes, held = np.empty(0, np.int64), [], 0
+    # pairs as codes, and the least group in which each meets here
+    seen, least, codes, groups, held = np.empty(0, np.int64), np.empty(0, np.int64), [], [], 0
+
+    def merged() -> tuple[np.ndarray, np.ndarray]:
+        every, at = np.unique(np.concatenate([seen, *codes]), return_index=True)
+        return every, np.concatenate([least, *groups])[at]
+
     for a, z in zip(ends[:-1].tolist(), ends[1:].tolist()):
         m, blocks = name[a:z], block[a:z]
         r = root[m]
@@ -439,17 +449,35 @@ def _open_pairs(table: pa.Table) -> pa.Table:
                 open_ &= blocks[k + 1 :] != blocks[k]
             other = m[k + 1 :][open_]
             codes.append(np.minimum(other, m[k]) * len(nodes) + np.maximum(other, m[k]))
+            groups.append(np.full(len(other), origin[a]))
             held += len(other)
             if held > HELD_PAIRS:
-                seen, codes, held = np.unique(np.concatenate([seen, *codes])), [], 0
-    seen = np.unique(np.concatenate([seen, *codes]))
+                (seen, least), codes, groups, held = merged(), [], [], 0
+    seen, least = merged()
     pairs = np.stack([seen // len(nodes), seen % len(nodes)], 1)
-    pairs = pairs[fitting(pairs, size, sketches)] if len(pairs) else pairs
+    if len(pairs):
+        fits = fitting(pairs, size, sketches)
+        pairs, least = pairs[fits], least[fits]
+    elsewhere = np.zeros(len(pairs), bool)
+    for k in range(KNOWN_KEYS):
+        mine = known[pairs[:, 0], k]
+        elsewhere |= (mine < least) & (known[pairs[:, 1]] == mine[:, None]).any(axis=1)
+    pairs = pairs[~elsewhere]
     return pa.table({"a": pa.array(nodes[pairs[:, 0]], pa.int64()), "b": pa.array(nodes[pairs[:, 1]], pa.int64())})
 
 
+def known_keys(open_: DataFrame) -> DataFrame:
+    """node, known: its KNOWN_KEYS least groups as packed longs, the last one again where there are fewer."""
+    nth = F.row_number().over(Window.partitionBy("node").orderBy("key"))
+    few = open_.select("node", "key").withColumn("nth", nth).filter(F.col("nth") <= KNOWN_KEYS)
+    # sixteen hex digits of each key, in order
+    rows = few.groupBy("node").agg(F.sort_array(F.collect_list(F.struct("nth", "key"))).alias("k"))
+    digits = F.transform(F.sequence(F.lit(1), F.lit(KNOWN_KEYS)), lambda i: F.lpad(F.hex(F.element_at("k", F.least(i, F.size("k")))["key"]), 16, "0"))
+    return rows.select("node", F.unhex(F.array_join(digits, "")).alias("known"))
+
+
 def sharded(open_: DataFrame) -> DataFrame:
-    """Members of groups (key, node, root) dealt to shards: shard, key, node, root, block.
+    """Members of groups (key, node, root) dealt to shards: shard, key, node, root, block, and the group's own key as origin.
 
     Groups of one family mostly have one least member: they meet in a few shards, each of which
     gives a pair once. A group of more than SHARD_ROWS / 2 members is cut into blocks, and each
@@ -460,13 +488,13 @@ def sharded(open_: DataFrame) -> DataFrame:
     rows = about.filter(F.col("size") <= half).groupBy("start").agg(F.ceil(F.sum("size") / SHARD_ROWS).alias("parts"))
     few = about.filter(F.col("size") <= half).join(rows, "start")
     few = few.select("key", F.xxhash64("start", F.pmod(F.col("key"), F.col("parts"))).alias("shard"))
-    small = open_.join(few, "key").select("shard", "key", "node", "root", F.lit(-1).alias("block"))
+    small = open_.join(few, "key").select("shard", "key", "node", "root", F.lit(-1).alias("block"), F.col("key").alias("origin"))
     many = about.filter(F.col("size") > half).select("key", F.ceil(F.col("size") / F.lit(half)).cast("int").alias("blocks"))
     own = F.pmod(F.xxhash64("node", "key"), F.col("blocks")).cast("int")
     cut = open_.join(many, "key").withColumn("own", own).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
     pair = F.xxhash64("key", F.least("own", "other"), F.greatest("own", "other"))
     apart = F.when(F.col("own") == F.col("other"), F.lit(-1)).otherwise(F.col("own"))
-    large = cut.select(pair.alias("shard"), pair.alias("key"), "node", "root", apart.alias("block"))
+    large = cut.select(pair.alias("shard"), pair.alias("key"), "node", "root", apart.alias("block"), F.col("key").alias("origin"))
     return small.unionByName(large)
 
 
@@ -558,7 +586,8 @@ class _Found:
             kept = kept.join(roots, "node", "left").select("key", "node", F.coalesce("root", "node").alias("root"))
         open_groups = kept.groupBy("key").agg(F.min("root").alias("low"), F.max("root").alias("high")).filter("low < high").select("key")
         kept = self.keep(kept.join(open_groups, "key", "left_semi"), "ngram-open")
-        rest = sharded(kept).join(sets.select("node", "n", "sketch"), "node").groupBy("shard").applyInArrow(_open_pairs, "a long, b long").distinct()
+        facts = sets.select("node", "n", "sketch").join(known_keys(kept), "node")
+        rest = sharded(kept).join(facts, "node").groupBy("shard").applyInArrow(_open_pairs, "a long, b long").distinct()
         return rest if done is None else rest.join(done, ["a", "b"], "left_anti")
 
     def verified(self, pairs: DataFrame, tag: str) -> DataFrame:
