@@ -3,8 +3,8 @@
 Equal strings of LENGTH bytes choose the same anchor inside them (the gram of least hash, a
 function of the string alone), so all occurrences of a string meet in the bucket of its
 anchor. First only the anchors travel; those that occur once cannot lie in a repeated string.
-Strings of an anchor that occurs very often choose again, among longer grams, so that what
-differs around a frequent line parts; at last a string is its own anchor (GRAMS).
+Strings of an anchor with very many different surroundings choose again, among longer grams, so
+that what differs around a frequent line parts; at last a string is its own anchor (GRAMS).
 
 The texts around repeated anchors are laid out in their bucket in order of document and place,
 and suffix-sorted to a depth of LENGTH bytes by tripling the depth that ranks stand for, with
@@ -36,14 +36,14 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import IntegralType
 
-from .common import materialize, shuffle_partitions
-from .hashing import Ranges, U
+from .common import discard, materialize, shuffle_partitions
+from .hashing import Ranges, U, mix
 
 LENGTH = 200
 #: Bytes of an anchor's gram; a string of LENGTH bytes has LENGTH - gram + 1 of them. Strings of anchors with more
-#: than HOT occurrences go on to the next length; the last one is the string itself.
+#: than HOT different surroundings go on to the next length; the last one is the string itself.
 GRAMS = (40, 160, LENGTH)
-HOT = 4_000
+HOT = 2_000
 #: Node ids up to this many are broadcast (8 bytes each), more are joined by shuffle.
 BROADCAST_IDS = 500_000
 #: Anchors, or bytes of surroundings, that a task holds before it hands them on.
@@ -67,12 +67,12 @@ def anchors_of_windows(h: np.ndarray, width: int) -> np.ndarray:
     return (np.minimum(after[: n - width + 1], before[width - 1 : n]) & U(0xFFFFFFFF)).astype(np.int64)
 
 
-def choose(data: np.ndarray, length: int = LENGTH, gram: int = GRAMS[0]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """The anchors of a text: the first string start of each, its place, and its gram's hash. Strings follow in order."""
-    h = Ranges(data).of_size(gram)
+def choose(ranges: Ranges, length: int = LENGTH, gram: int = GRAMS[0]) -> tuple[np.ndarray, np.ndarray]:
+    """The anchors of a text: the first string start of each, and its gram's hash. Strings follow in order."""
+    h = ranges.of_size(gram)
     at = anchors_of_windows(h, length - gram + 1)
     first = np.flatnonzero(changes(at))
-    return first, at[first], h[at[first]]
+    return first, h[at[first]]
 
 
 def changes(x: np.ndarray) -> np.ndarray:
@@ -83,12 +83,13 @@ def changes(x: np.ndarray) -> np.ndarray:
     return out
 
 
-def intervals(data: np.ndarray, chain: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """String starts [lo, hi) by their anchor, and its hash, among the GRAMS after chain, which has for each
-    of the lengths before the lo of those intervals that went on."""
+def intervals(data: np.ndarray, chain: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """String starts [lo, hi) by their anchor, its hash, and a hash of their bytes, among the GRAMS after chain, which
+    has for each of the lengths before the lo of those intervals that went on."""
+    ranges = Ranges(data)
     lo, hi = np.zeros(1, np.int64), np.array([len(data) - LENGTH + 1], np.int64)
     for level, gram in enumerate(GRAMS[: len(chain) + 1]):
-        first, _, h = choose(data, LENGTH, gram)
+        first, h = choose(ranges, LENGTH, gram)
         # both are rows of intervals: cut the anchors' at the ends of those that are left
         cuts = np.unique(np.concatenate([first, lo, hi]))
         owner = np.searchsorted(lo, cuts, "right") - 1
@@ -98,7 +99,7 @@ def intervals(data: np.ndarray, chain: list[np.ndarray]) -> tuple[np.ndarray, np
         if level < len(chain):
             left = np.isin(lo, chain[level])
             lo, hi = lo[left], hi[left]
-    return lo, hi, h
+    return lo, hi, h, ranges.between(lo, hi - 1 + LENGTH)
 
 
 def suffix_order(data: np.ndarray, starts: np.ndarray, depth: int = LENGTH) -> tuple[np.ndarray, np.ndarray]:
@@ -191,21 +192,21 @@ def _bytes_of(x: pa.Scalar) -> np.ndarray:
     return np.frombuffer((x.as_py() or "").encode(), np.uint8)
 
 
-def _unpacked(parts: list[bytes]) -> np.ndarray:
-    return np.concatenate([np.frombuffer(p, "<u4") for p in parts]).astype(np.int64)
+def _unpacked(places: pa.Scalar) -> np.ndarray:
+    return np.frombuffer(places.as_py(), "<u4").astype(np.int64)
 
 
 def emit_anchors(texts: DataFrame, buckets: int, levels: int = 0) -> DataFrame:
-    """texts: node, text and for each level before a list of packed places. Packed rows: bucket, nodes, places, hashes."""
+    """texts: node, text and for each level before packed places. Packed rows: bucket, nodes, places, hashes, around."""
     chained = [f"hot{k}" for k in range(levels)]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        nodes, places, hashes, held = [], [], [], 0
+        nodes, places, hashes, arounds, held = [], [], [], [], 0
 
         def flush() -> Iterator[pa.RecordBatch]:
             if not places:
                 return
-            node, place, h = np.repeat(np.array(nodes, np.int64), [len(p) for p in places]), np.concatenate(places), np.concatenate(hashes)
+            node, place, h, around = np.repeat(np.array(nodes, np.int64), [len(p) for p in places]), np.concatenate(places), np.concatenate(hashes), np.concatenate(arounds)
             to = ((h >> U(40)) % U(buckets)).astype(np.int32)
             order = np.argsort(to, kind="stable")
             ends = np.searchsorted(to[order], np.arange(buckets + 1))
@@ -213,9 +214,9 @@ def emit_anchors(texts: DataFrame, buckets: int, levels: int = 0) -> DataFrame:
             for b in range(buckets):
                 i = order[ends[b] : ends[b + 1]]
                 if len(i):
-                    rows.append((b, node[i].tobytes(), place[i].astype("<u4").tobytes(), (h[i] & U(0xFFFFFFFF)).astype("<u4").tobytes()))
+                    rows.append((b, node[i].tobytes(), place[i].astype("<u4").tobytes(), (h[i] & U(0xFFFFFFFF)).astype("<u4").tobytes(), (around[i] >> U(32)).astype("<u4").tobytes()))
             cols = list(zip(*rows))
-            yield pa.RecordBatch.from_arrays([pa.array(cols[0], pa.int32()), *[pa.array(c, pa.binary()) for c in cols[1:]]], names=["bucket", "nodes", "places", "hashes"])
+            yield pa.RecordBatch.from_arrays([pa.array(cols[0], pa.int32()), *[pa.array(c, pa.binary()) for c in cols[1:]]], names=["bucket", "nodes", "places", "hashes", "around"])
 
         seen: set[int] = set()
         for batch in batches:
@@ -226,48 +227,67 @@ def emit_anchors(texts: DataFrame, buckets: int, levels: int = 0) -> DataFrame:
                 data = _bytes_of(batch.column(1)[row])
                 if len(data) < LENGTH:
                     continue
-                lo, _, h = intervals(data, [_unpacked(batch.column(2 + k)[row].as_py()) for k in range(levels)])
+                lo, _, h, around = intervals(data, [_unpacked(batch.column(2 + k)[row]) for k in range(levels)])
                 nodes.append(node)
                 places.append(lo)
                 hashes.append(h)
+                arounds.append(around)
                 held += len(lo)
                 if held > FLUSH:
                     yield from flush()
-                    nodes, places, hashes, held = [], [], [], 0
+                    nodes, places, hashes, arounds, held = [], [], [], [], 0
                     seen.clear()
         yield from flush()
 
-    return texts.select("node", "text", *chained).mapInArrow(run, "bucket int, nodes binary, places binary, hashes binary")
+    return texts.select("node", "text", *chained).mapInArrow(run, "bucket int, nodes binary, places binary, hashes binary, around binary")
 
 
-def _repeated_anchors(most: float):  # noqa: ANN202
+def _repeated_anchors(most: float, shards: int):  # noqa: ANN202
     def run(table: pa.Table) -> pa.Table:
-        """node, places, hot: the anchors of a bucket that occur at two places or more, apart those at more than most."""
+        """The anchors of a bucket that occur at two places or more, packed by shards of their nodes: shard, hot (more than
+        most different surroundings), nodes, places."""
         node = np.concatenate([np.frombuffer(x.as_py(), np.int64) for x in table.column("nodes")])
-        place = np.concatenate([np.frombuffer(x.as_py(), "<u4") for x in table.column("places")])
-        h = np.concatenate([np.frombuffer(x.as_py(), "<u4") for x in table.column("hashes")])
-        order = np.lexsort((place, node, h))
-        node, place, h = node[order], place[order], h[order]
-        new = np.r_[True, (h[1:] != h[:-1]) | (node[1:] != node[:-1]) | (place[1:] != place[:-1])]
-        node, place, h = node[new], place[new], h[new]
-        first = np.flatnonzero(changes(h))
+        place, h, around = (np.concatenate([np.frombuffer(x.as_py(), "<u4") for x in table.column(c)]) for c in ("places", "hashes", "around"))
+        order = np.lexsort((place, node, around, h))
+        node, place, h, around = node[order], place[order], h[order], around[order]
+        begins = changes(h)
+        new = begins | changes(node) | changes(place)
+        node, place, h, around, begins = node[new], place[new], h[new], around[new], changes(h[new])
+        first = np.flatnonzero(begins)
         often = np.diff(np.r_[first, len(h)])
-        count = np.repeat(often, often)
-        out = []
-        for keep, hot in (((count > 1) & (count <= most), False), (count > most, True)):
-            own, at = node[keep], place[keep]
-            order = np.lexsort((at, own))
-            own, at = own[order], at[order].astype("<u4")
-            first = np.flatnonzero(changes(own))
-            out.append((own[first], [p.tobytes() for p in np.split(at, first[1:])] if len(first) else [], np.full(len(first), hot)))
-        return pa.table({"node": pa.array(np.concatenate([x[0] for x in out]), pa.int64()), "places": pa.array([p for x in out for p in x[1]], pa.binary()), "hot": pa.array(np.concatenate([x[2] for x in out]), pa.bool_())})
+        different = np.add.reduceat((begins | changes(around)).astype(np.int64), first) if len(first) else often
+        keep = np.repeat(often > 1, often)
+        hot = np.repeat(different > most, often)[keep]
+        node, place = node[keep], place[keep]
+        shard = (mix(node.view(U)) % U(shards)).astype(np.int64)
+        order = np.lexsort((shard, hot))
+        node, place, hot, shard = node[order], place[order], hot[order], shard[order]
+        ends = np.flatnonzero(np.r_[True, (shard[1:] != shard[:-1]) | (hot[1:] != hot[:-1]), True]) if len(shard) else np.zeros(1, np.int64)
+        rows = [(int(shard[a]), bool(hot[a]), node[a:z].tobytes(), place[a:z].astype("<u4").tobytes()) for a, z in zip(ends[:-1].tolist(), ends[1:].tolist())]
+        cols = list(zip(*rows)) or [()] * 4
+        return pa.table({c: pa.array(x, k) for c, x, k in zip(("shard", "hot", "nodes", "places"), cols, (pa.int32(), pa.bool_(), pa.binary(), pa.binary()))})
 
     return run
 
 
+def _by_node(table: pa.Table) -> pa.Table:
+    """node, places, hot: for each node of a shard its repeated anchors, packed, apart those that are hot."""
+    node = np.concatenate([np.frombuffer(x.as_py(), np.int64) for x in table.column("nodes")])
+    place = np.concatenate([np.frombuffer(x.as_py(), "<u4") for x in table.column("places")])
+    hot = np.repeat(table.column("hot").to_numpy(zero_copy_only=False), [len(x.as_py()) // 8 for x in table.column("nodes")])
+    order = np.lexsort((place, hot, node))
+    node, place, hot = node[order], place[order], hot[order]
+    first = np.flatnonzero(changes(node))
+    cold, warm = [], []
+    for a, z in zip(first.tolist(), [*first[1:].tolist(), len(node)]):
+        k = a + int(np.count_nonzero(~hot[a:z]))
+        cold.append(place[a:k].astype("<u4").tobytes())
+        warm.append(place[k:z].astype("<u4").tobytes())
+    return pa.table({"node": pa.array(node[first], pa.int64()), "places": pa.array(cold, pa.binary()), "hot": pa.array(warm, pa.binary())})
+
+
 def emit_surroundings(texts: DataFrame, buckets: int, levels: int = 0) -> DataFrame:
-    """texts: node, doc, text, places (a list of packed places) and for each level before a list of such. Packed rows of the
-    bytes around repeated anchors."""
+    """texts: node, doc, text, packed places, and those for each level before. Packed rows of the bytes around repeated anchors."""
     names = ["bucket", "data", "sizes", "owners", "nodes", "docs", "starts"]
     chained = [f"hot{k}" for k in range(levels)]
 
@@ -287,8 +307,8 @@ def emit_surroundings(texts: DataFrame, buckets: int, levels: int = 0) -> DataFr
             for row, (node, doc) in enumerate(zip(batch.column(0).to_pylist(), batch.column(1).to_pylist())):
                 raw = (batch.column(2)[row].as_py() or "").encode()
                 data = np.frombuffer(raw, np.uint8)
-                lo, hi, h = intervals(data, [_unpacked(batch.column(4 + k)[row].as_py()) for k in range(levels)])
-                repeated = np.isin(lo, _unpacked(batch.column(3)[row].as_py()))
+                lo, hi, h, _ = intervals(data, [_unpacked(batch.column(4 + k)[row]) for k in range(levels)])
+                repeated = np.isin(lo, _unpacked(batch.column(3)[row]))
                 to = (h >> U(40)) % U(buckets)
                 for a, z, b in zip(lo[repeated].tolist(), hi[repeated].tolist(), to[repeated].tolist()):
                     part = raw[a : z - 1 + LENGTH]
@@ -385,10 +405,6 @@ def node_of_sha() -> Column:
     return F.shiftleft(high, 32).bitwiseOR(low)
 
 
-def _n_packed(name: str) -> Column:
-    return F.aggregate(name, F.lit(0).cast("long"), lambda a, x: a + (F.octet_length(x) / 4).cast("long"))
-
-
 def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", keep: str = "none") -> DataFrame:
     """doc_id, n_bytes, n_removed, n_spans, kept_sha256 and spans (half-open byte ranges) of every document."""
     if keep not in ("none", "first"):
@@ -411,29 +427,32 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     runs, level = None, 0
     while True:
         # the last gram is the string itself, of which nothing goes on
-        found = packed.groupBy("bucket").applyInArrow(_repeated_anchors(HOT if level + 1 < len(GRAMS) else float("inf")), "node long, places binary, hot boolean")
-        gathered = [F.collect_list(F.when(F.col("hot") == hot, F.col("places"))).alias(c) for c, hot in (("places", False), ("hot", True))]
-        found = materialize(found.groupBy("node").agg(*gathered), f"suffix-places-{level}")
+        most = HOT if level + 1 < len(GRAMS) else float("inf")
+        found = packed.groupBy("bucket").applyInArrow(_repeated_anchors(most, buckets // 4), "shard int, hot boolean, nodes binary, places binary")
+        found = found.groupBy("shard").applyInArrow(_by_node, "node long, places binary, hot binary")
         if not level:
             found = materialize(found.join(firsts.select("node", "doc"), "node"), "suffix-places")
             few = found.count() <= BROADCAST_IDS
             ids = found.select("node")
             texts = long_ones.join(F.broadcast(ids) if few else ids, "node").groupBy("node").agg(F.first("text").alias("text"))
-            texts = all_texts = materialize(texts.join(found, "node").withColumnRenamed("hot", "hot0"), "suffix-texts")
+            texts = all_texts = materialize(texts.join(found.withColumnRenamed("hot", "hot0"), "node"), "suffix-texts")
+            discard(found)
         else:
-            texts = materialize(texts.drop("places").join(found.withColumnRenamed("hot", f"hot{level}"), "node"), f"suffix-texts-{level}")
+            found = found.withColumnRenamed("hot", f"hot{level}")
+            texts = materialize(texts.drop("places").join(found, "node"), f"suffix-texts-{level}")
         # strings of an anchor start within LENGTH - gram bytes, half of them on average
-        some = texts.filter(F.size("places") > 0)
-        n, hot = texts.agg(F.sum(_n_packed("places")), F.sum(_n_packed(f"hot{level}"))).first()
+        some = texts.filter(F.octet_length("places") > 0)
+        n, hot = texts.agg(*[F.sum(F.octet_length(c).cast("long") / 4).cast("long") for c in ("places", f"hot{level}")]).first()
         span = 1.5 if not level else 1 + (LENGTH - GRAMS[level]) / LENGTH / 2
         around = emit_surroundings(some, max(4 * shuffle_partitions(spark), int((n or 0) * span * LENGTH / BUCKET_BYTES)), level)
         got = around.groupBy("bucket").applyInArrow(_matches(keep == "first"), "node long, runs binary")
         runs = got if runs is None else runs.unionByName(got)
         if not hot:
             break
-        texts = texts.filter(F.size(f"hot{level}") > 0)
+        texts = texts.filter(F.octet_length(f"hot{level}") > 0)
         level += 1
-        packed = emit_anchors(texts, max(buckets, hot * (LENGTH // 10) // FLUSH), level)
+        # an interval has some of the next anchors, at last one for each string
+        packed = emit_anchors(texts, max(buckets, hot * LENGTH // FLUSH), level)
     runs = runs.groupBy("node").agg(F.collect_list("runs").alias("runs"))
 
     def finish(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
