@@ -37,8 +37,8 @@ from .common import materialize
 
 CAPACITY = 4096
 END_ID = 1
-#: Nodes of the bin-completion search, for each different length beyond these; the incumbent stands beyond.
-NODES, NODES_A_LENGTH = 1_000, 2
+#: Nodes of the bin-completion search; the incumbent stands beyond.
+NODES = 1_000
 #: Every so many nodes best fit completes the search's state for a new incumbent.
 DIVE = 16
 #: Rows of a length ranked in one group, about.
@@ -249,34 +249,41 @@ def fillings(sizes: list[int], counts: dict[int, int], rest: int, most_waste: in
 
 def bin_completion(counts: dict[int, int], capacity: int = CAPACITY, nodes: float | None = None) -> list[Pattern]:
     """Patterns (content of a bin, number of such bins) that hold all items in as few bins as found. nodes: None for
-    NODES and NODES_A_LENGTH, math.inf for a search that ends with the optimum."""
+    NODES, math.inf for a search that ends with the optimum."""
     counts = {s: n for s, n in counts.items() if n}
     fixed = [(((s, 1),), n) for s, n in counts.items() if s == capacity]
     counts.pop(capacity, None)
     best = best_fit(counts, capacity)
     n_best, bound = sum(n for _, n in best), lower_bound(counts, capacity)
     total = sum(s * n for s, n in counts.items())
-    left = NODES + NODES_A_LENGTH * len(counts) if nodes is None else nodes
-    # depth first with one state that is changed and restored: a level is (fillings left, pattern taken)
+    left = NODES if nodes is None else nodes
+    # depth first with one state that is changed and restored: a level is the pattern taken, from which its fillings go on;
+    # only those of the last level are held
     now, path, bins, waste, step = dict(counts), [], 0, 0, 0
 
     def room() -> int:
         """The waste that a better packing can still have."""
         return (n_best - 1) * capacity - total - waste
 
-    def tried() -> Iterator[Pattern]:
+    def tried(after: Pattern | None = None) -> Iterator[Pattern]:
+        """What the bins of the largest length can hold, and how many of them, after what was tried last."""
         sizes = sorted(now, reverse=True)
         large = sizes[0]
         rest = now | {large: now[large] - 1}
         for lost, filling in fillings([s for s in sizes if rest[s]], rest, capacity - large, room()):
             need = dict(filling)
             need[large] = need.get(large, 0) + 1
-            pattern = tuple(sorted(need.items(), reverse=True))
-            for times in range(min(now[s] // k for s, k in pattern), 0, -1):
+            content = tuple(sorted(need.items(), reverse=True))
+            most = min(now[s] // k for s, k in content)
+            if after:
+                if content != after[0]:
+                    continue
+                most, after = after[1] - 1, None
+            for times in range(most, 0, -1):
                 if lost > room():
                     return
                 if lost * times <= room():
-                    yield pattern, times
+                    yield content, times
 
     def change(pattern: Pattern, sign: int) -> None:
         nonlocal bins, waste
@@ -288,14 +295,15 @@ def bin_completion(counts: dict[int, int], capacity: int = CAPACITY, nodes: floa
         bins += sign * times
         waste += sign * times * (capacity - sum(s * k for s, k in content))
 
-    levels: list[Iterator[Pattern]] = [tried()] if n_best > bound else []
-    while levels and step < left and n_best > bound:
+    ahead = tried() if n_best > bound else None
+    while ahead and step < left and n_best > bound:
         step += 1
-        pattern = next(levels[-1], None)
+        pattern = next(ahead, None)
         if pattern is None:
-            levels.pop()
-            if path:
-                change(path.pop(), -1)
+            if not path:
+                break
+            change(path[-1], -1)
+            ahead = tried(path.pop())
             continue
         change(pattern, 1)
         path.append(pattern)
@@ -303,7 +311,7 @@ def bin_completion(counts: dict[int, int], capacity: int = CAPACITY, nodes: floa
             rest_best = best_fit(now, capacity)
             if bins + (n := sum(k for _, k in rest_best)) < n_best:
                 best, n_best = [*path, *rest_best], bins + n
-        levels.append(tried() if now else iter(()))
+        ahead = tried() if now else iter(())
     return fixed + best
 
 
