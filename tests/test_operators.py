@@ -5,6 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from textloom.functions.text import single_terms
+from textloom.functions.words import written_forms
 from textloom.operators import counts, ranking, tfidf, vocabulary
 from textloom.operators import opinions as ops
 from textloom.operators import topics as tp
@@ -15,7 +16,7 @@ from textloom.streaming.activity import daily_activity
 
 def scores(spark, corpus, min_df):
     docs = spark.createDataFrame(list(enumerate(corpus)), "doc long, text string")
-    tf = tfidf.augmented_tf(docs.select("doc", F.explode(tfidf_words(F.col("text"))).alias("term")), ["doc"])
+    tf = tfidf.augmented_tf(docs.select("doc", tfidf_words(F.col("text")).alias("terms")), ["doc"])
     return {(r["doc"], r["term"]): r["score"] for r in tfidf.tfidf(tf, docs, ["doc"], min_df).collect()}
 
 
@@ -134,6 +135,54 @@ def test_assembly_and_sinks(spark, tmp_path):
     series = [s for t in topics for s in t["timeseries"] or []]
     assert series and all(s["interactionCount"] == 2 * s["opinionCount"] for s in series)
     assert [tuple(r) for r in spark.read.json(str(tmp_path / "out/tags")).select("_id", "score").collect()] == [("zurich", len(items))]
+    report = result.report.first()
+    assert report["n_topics"] == 3 and 0 < report["n_docs"] <= 24
+    result.release()
+    (tmp_path / "stop").write_text("Wasser teuer")
+    fewer = articles.assemble(made, F.lit("2015-06-16 10:00:00").cast("timestamp"), articles.Options(topics=2, iterations=2, retain_top=1.0, summary_top=1.0, stop_words=str(tmp_path / "stop")))
+    assert not {t for r in fewer.topics.collect() for t in r["topicTerms"]} & {"Wasser", "teuer"}
+    fewer.release()
+
+
+def test_run_lengths(spark):
+    rows = spark.createDataFrame([(1, ["b", "a", "b", "b"]), (2, []), (3, None), (4, ["x"])], "d int, terms array<string>")
+    got = {(r["d"], r["term"]): (r["n"], r["tf"]) for r in tfidf.augmented_tf(rows, ["d"]).collect()}
+    assert got == {(1, "b"): (3, 1.0), (1, "a"): (1, 1 / 3), (4, "x"): (1, 1.0)}
+
+
+def test_comments_without_ids_of_their_own(spark):
+    comment = lambda i, t: (i, None, None, t, 1, 0)
+    rows = spark.createDataFrame([("u", None, None, None, None, None, None, None, None, "Text", [comment(None, "eins"), comment("c", "zwei"), comment("c", "drei"), comment("d", None)])], readers.ARTICLE)
+    assert sorted((r["comment_no"], r["comment_id"] or "", r["text"].strip()) for r in articles.create_docs(rows).collect()) == [(-1, "", "Text"), (0, "", "eins"), (1, "c", "zwei"), (2, "c", "drei")]
+    terms = articles.create_docs(rows).select("article_id", "comment_no", F.array(F.struct(F.col("text").alias("normalizedForm"), F.array("text").alias("originalForms"), F.lit(1.0).alias("score"))).alias("terms"))
+    got = articles.opinions_of(rows, terms.filter("comment_no >= 0")).select("opinion.id", F.col("opinion.terms")[0]["normalizedForm"].alias("t")).collect()
+    assert sorted((r["id"] or "", r["t"]) for r in got) == [("", "eins"), ("c", "drei"), ("c", "zwei")]
+
+
+def test_written_forms(spark):
+    forms = spark.createDataFrame([("mensch", "Menschen"), ("hau", "Haus")], "stem string, form string")
+    stems = spark.createDataFrame([("mensch",), ("mensch_x_hau",), ("y",)], "stem string")
+    assert {r["stem"]: r["written"] for r in written_forms(stems, forms).collect()} == {"mensch": "Menschen", "mensch_x_hau": "Menschen x Haus", "y": "y"}
+
+
+def test_limits_are_errors(spark):
+    words = spark.createDataFrame([(w,) for w in "abc"], "word string")
+    assert sorted(vocabulary.driver_words(words, 3)) == ["a", "b", "c"]
+    with pytest.raises(ValueError, match="more than 2 words"):
+        vocabulary.driver_words(words, 2)
+    for bad in ({"doc_concentration": 0.1}, {"topic_concentration": 1.0}):
+        with pytest.raises(ValueError, match="above 1"):
+            tp.fit_lda(words, 2, 1, **bad)
+
+
+def test_unique_articles(spark):
+    rows = spark.createDataFrame([("a", 2, "x"), ("a", 1, "z"), ("b", 3, None)], "_id string, n int, t string")
+    assert sorted(tuple(r) for r in readers.unique_articles(rows.repartition(3)).collect()) == [("a", 1, "z"), ("b", 3, None)]
+
+
+def test_sketch(spark):
+    tf = spark.createDataFrame([(d, t) for d in range(9) for t in ("a", "b")[: 1 + d % 2]], "d int, term string")
+    assert {r["term"]: r["estimate"] for r in tfidf.sketched_frequency(tf, ["a", "b", "c"], eps=1e-3).collect()} == {"a": 9, "b": 4, "c": 0}
 
 
 def test_activity(spark):
@@ -164,7 +213,9 @@ def test_apps(spark, tmp_path):
     apps.count_all(spark, str(tmp_path / "l.txt"), str(tmp_path / "n"))
     assert spark.read.text(str(tmp_path / "n")).first()[0] == "63"
     (tmp_path / "stop").write_text("wasser\n")
-    topics = apps.run_lda(spark, [str(tmp_path / "l.txt")], apps.LdaOptions(k=2, iterations=3, stop_words=str(tmp_path / "stop"))).collect()
+    run = apps.run_lda(spark, [str(tmp_path / "l.txt")], apps.LdaOptions(k=2, iterations=3, stop_words=str(tmp_path / "stop")))
+    assert run.report.first()["n_docs"] == 18 and run.report.first()["n_words"] == 5 and min(run.seconds) > 0
+    topics = run.topics.collect()
     assert {r["topic_id"] for r in topics} == {0, 1} and "wasser" not in {r["term"] for r in topics}
     apps.word_vectors(spark, str(tmp_path / "l.txt"), str(tmp_path / "v"))
     assert spark.read.parquet(str(tmp_path / "v/vectors")).count() == 6

@@ -10,7 +10,7 @@ def _strings() -> Column:
     return F.array().cast("array<string>")
 
 
-def _once(value: Column, body) -> Column:  # noqa: ANN001
+def once(value: Column, body) -> Column:  # noqa: ANN001
     """body(value), value computed once for a row."""
     return F.element_at(F.transform(F.array(value), body), 1)
 
@@ -43,7 +43,7 @@ def word_tokens(text: Column) -> Column:
         inner = F.when((n == 2) & (F.get(p, F.lit(0)) == ""), _strings()).otherwise(F.slice(p, 1, n - 1))
         return F.when((n == 1) | (F.get(p, n - 1) != ""), p).otherwise(inner)
 
-    return _once(F.split(text, SEPARATORS), ends)
+    return once(F.split(text, SEPARATORS), ends)
 
 
 # The money patterns in the order in which they are tried. A number is
@@ -80,7 +80,7 @@ def process_numbers(text: Column) -> Column:
             out = out.when(t.rlike(whole), F.regexp_replace(t, whole, new))
         return out.otherwise(t)
 
-    text = _once(text, amount)
+    text = once(text, amount)
     for pattern, new in AFTER_MONEY:
         text = F.regexp_replace(text, pattern, new)
     return text
@@ -93,7 +93,7 @@ def single_terms(text: Column) -> Column:
 
 def ngrams(words: Column, n: int) -> Column:
     """Sliding runs of n words; a text of fewer words is one run, an empty one none."""
-    return _once(
+    return once(
         words,
         lambda w: F.when(F.size(w) == 0, _strings())
         .when(F.size(w) < n, F.array(F.array_join(w, " ")))
@@ -104,7 +104,7 @@ def ngrams(words: Column, n: int) -> Column:
 def multi_terms(text: Column, longest: int) -> Column:
     """Terms of one to longest words, by length and then in order."""
     words = word_tokens(text)
-    return _once(words, lambda w: F.concat(w, *[ngrams(w, n) for n in range(2, longest + 1)]))
+    return once(words, lambda w: F.concat(w, *[ngrams(w, n) for n in range(2, longest + 1)]))
 
 
 def letter_words(text: Column, least: int = 3) -> Column:

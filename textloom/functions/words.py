@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import re
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .normalize import normalize_term
@@ -51,13 +51,16 @@ def entity_keys(entities=ENTITIES) -> dict[str, str]:  # noqa: ANN001
     return out
 
 
+def entity_order(entities=ENTITIES) -> list[str]:  # noqa: ANN001
+    """Keys of entities of two or three words in the order in which they are looked for: longest first."""
+    return sorted((k for k in entity_keys(entities) if 1 <= k.count("_") <= 2), key=lambda k: (-k.count("_"), -len(k), k))
+
+
 def mark_entities(text: Column, entities=ENTITIES) -> Column:  # noqa: ANN001
     """Known entities of up to three words in a normalised text become one word; longest first, single blanks."""
-    keys = sorted(entity_keys(entities), key=lambda k: (-k.count("_"), -len(k), k))
     out = F.regexp_replace(text, " +", " ")
-    for key in keys:
-        if 1 <= key.count("_") <= 2:
-            out = F.regexp_replace(out, rf"(?<!\S){re.escape(key.replace('_', ' '))}(?!\S)", key)
+    for key in entity_order(entities):
+        out = F.regexp_replace(out, rf"(?<!\S){re.escape(key.replace('_', ' '))}(?!\S)", key)
     return F.trim(out)
 
 
@@ -70,3 +73,11 @@ def replace_terms(term: Column, replacements=None) -> Column:  # noqa: ANN001
 def de_stem(stem: Column, originals: Column) -> Column:
     """Written form of a stem from a map column; parts of a compound one by one, unknown ones as they are."""
     return F.array_join(F.transform(F.split(stem, "_"), lambda p: F.coalesce(F.try_element_at(originals, p), p)), " ")
+
+
+def written_forms(stems: DataFrame, forms: DataFrame) -> DataFrame:
+    """stem, written: de_stem against a dictionary of any size (forms: stem, form), part by part."""
+    parts = stems.select("stem", F.posexplode(F.split("stem", "_")).alias("place", "part"))
+    found = parts.join(forms.select(F.col("stem").alias("part"), "form"), "part", "left")
+    rows = found.groupBy("stem").agg(F.sort_array(F.collect_list(F.struct("place", F.coalesce("form", "part").alias("form")))).alias("_p"))
+    return rows.select("stem", F.array_join(F.transform("_p", lambda p: p["form"]), " ").alias("written"))

@@ -6,27 +6,53 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.normalize import term_form
-from ..functions.text import multi_terms, single_terms
+from ..functions.text import multi_terms, once, single_terms
 
 
-def document_terms(docs: DataFrame, keys: list[str], text: str = "text", term_words: int = 1, strict: bool = False) -> DataFrame:
-    """Terms of each document, one row for each occurrence. More than one word: runs of words, as stems. Unless
+def document_tf(docs: DataFrame, keys: list[str], text: str = "text", term_words: int = 1, strict: bool = False) -> DataFrame:
+    """keys, term, n, tf of documents' texts. Terms of several words are stems, counted after stemming."""
+    tf = augmented_tf(term_arrays(docs, keys, text, term_words, strict), keys)
+    return tf if term_words <= 1 else stemmed_terms(tf, keys, strict)
+
+
+def run_lengths(values: Column) -> Column:
+    """The different values of an array with their numbers, in order of the values: array of (term, n)."""
+
+    def runs(s: Column) -> Column:
+        first = F.filter(F.sequence(F.lit(0), F.size(s) - 1), lambda i: (i == 0) | (F.get(s, i) != F.get(s, i - 1)))
+        first = F.when(F.size(s) > 0, first).otherwise(F.array().cast("array<int>"))
+        return once(
+            F.struct(s.alias("s"), first.alias("f")),
+            lambda x: F.transform(x["f"], lambda i, k: F.struct(F.get(x["s"], i).alias("term"), (F.coalesce(F.get(x["f"], k + 1), F.size(x["s"])) - i).cast("long").alias("n"))),
+        )
+
+    return once(F.sort_array(values), runs)
+
+
+def term_arrays(docs: DataFrame, keys: list[str], text: str = "text", term_words: int = 1, strict: bool = False) -> DataFrame:
+    """Terms of each document as an array: keys, terms. More than one word: runs of words, as they are written. Unless
     strict, empty terms go."""
     found = single_terms(F.col(text)) if term_words <= 1 else multi_terms(F.col(text), term_words)
-    rows = docs.select(*keys, F.explode(found).alias("term"))
-    if term_words > 1:
-        rows = rows.withColumn("term", term_form(F.col("term"), strict))
-    return rows if strict else rows.filter(F.col("term") != "")
+    return docs.select(*keys, (found if strict else F.filter(found, lambda t: t != "")).alias("terms"))
 
 
-def augmented_tf(terms: DataFrame, keys: list[str]) -> DataFrame:
+def augmented_tf(docs: DataFrame, keys: list[str]) -> DataFrame:
     """Occurrences of a term over those of the document's most frequent one: keys, term, n, tf.
 
-    One shuffle, by document: rows so dealt serve the counts by document and term as well as the
-    maximum by document.
+    docs: keys, terms (an array). A row is a document; it is counted where it is, without a shuffle.
     """
-    counts = terms.repartition(*keys).groupBy(*keys, "term").agg(F.count("*").alias("n"))
-    return counts.withColumn("tf", F.col("n") / F.max("n").over(Window.partitionBy(*keys)))
+    counted = docs.select(*keys, run_lengths(F.col("terms")).alias("_r"))
+    most = counted.withColumn("_m", F.array_max(F.transform("_r", lambda x: x["n"])))
+    rows = most.select(*keys, "_m", F.explode("_r").alias("_x"))
+    return rows.select(*keys, F.col("_x.term").alias("term"), F.col("_x.n").alias("n"), (F.col("_x.n") / F.col("_m")).alias("tf"))
+
+
+def stemmed_terms(counts: DataFrame, keys: list[str], strict: bool = False) -> DataFrame:
+    """Counts of written terms (keys, term, n) as those of their stems, with tf anew."""
+    stems = counts.withColumn("term", term_form(F.col("term"), strict))
+    stems = stems if strict else stems.filter(F.col("term") != "")
+    summed = stems.groupBy(*keys, "term").agg(F.sum("n").alias("n"))
+    return summed.withColumn("tf", F.col("n") / F.max("n").over(Window.partitionBy(*keys)))
 
 
 def surface_forms(tf: DataFrame, strict: bool = False) -> DataFrame:
@@ -50,11 +76,22 @@ def document_frequency(tf: DataFrame) -> DataFrame:
     return tf.groupBy("term").agg(F.count("*").alias("df"))
 
 
-def document_frequency_sketch(tf: DataFrame, eps: float = 4e-6, confidence: float = 0.99902, seed: int = 13) -> DataFrame:
+#: Error and confidence of the sketch: 500,000 columns of 10 rows, 40 MB whatever the number of terms.
+SKETCH = (4e-6, 0.99902, 13)
+
+
+def document_frequency_sketch(tf: DataFrame, eps: float = SKETCH[0], confidence: float = SKETCH[1], seed: int = SKETCH[2]) -> DataFrame:
     """The same as one count-min sketch, which can only count too many: column sketch."""
     return tf.agg(F.count_min_sketch("term", F.lit(eps), F.lit(confidence), F.lit(seed)).alias("sketch"))
 
 
+def sketched_frequency(tf: DataFrame, terms: list[str], eps: float = SKETCH[0], confidence: float = SKETCH[1], seed: int = SKETCH[2], tasks: int = 2) -> DataFrame:
+    """term, estimate of some terms by the sketch: what a driver with the sketch alone knows of them. Each of the tasks
+    that count makes a sketch of full size, so there are few."""
+    sketch = tf.select("term").coalesce(tasks)._jdf.stat().countMinSketch("term", eps, confidence, seed)
+    return tf.sparkSession.createDataFrame([(t, int(sketch.estimateCount(t))) for t in terms], "term string, estimate long")
+
+
 def idf_value(n_docs: Column, df: Column) -> Column:
     return F.log((n_docs + 1.0) / (df + 1.0))
 

@@ -16,12 +16,20 @@ def without_stop_words(terms: DataFrame, stop_words: DataFrame | list[str], term
 
 
 def vocabulary(terms: DataFrame) -> DataFrame:
-    """Different terms with dense ids in order of their names: term, term_id. Ids are dealt by term ranges, not in one task."""
-    parts = terms.select("term").distinct().withColumn("part", F.substring("term", 1, 2))
-    sizes = parts.groupBy("part").agg(F.count("*").alias("n"))  # as many rows as there are pairs of first letters
-    ahead = sizes.select("part", (F.sum("n").over(Window.orderBy("part").rowsBetween(Window.unboundedPreceding, 0)) - F.col("n")).alias("ahead"))
-    own = F.row_number().over(Window.partitionBy("part").orderBy("term")) - 1
-    return parts.withColumn("own", own).join(ahead, "part").select("term", (F.col("ahead") + F.col("own")).alias("term_id"))
+    """Different terms with dense ids in order of their names: term, term_id.
+
+    A term's id is the number of terms before its first two letters, before its first four among
+    those, and before itself among those: no task sorts more than the terms of four letters, but
+    one that sums up as many rows as there are pairs of letters.
+    """
+    parts = terms.select("term").distinct().select("term", F.substring("term", 1, 2).alias("two"), F.substring("term", 1, 4).alias("four"))
+    fours = parts.groupBy("two", "four").agg(F.count("*").alias("n"))
+    twos = fours.groupBy("two").agg(F.sum("n").alias("n"))
+    before = lambda *by: F.coalesce(F.sum("n").over(Window.partitionBy(*by[:-1]).orderBy(by[-1]).rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    ahead = fours.withColumn("inside", before("two", "four")).join(twos.withColumn("ahead", before("two")).drop("n"), "two")
+    own = F.row_number().over(Window.partitionBy("two", "four").orderBy("term")) - 1
+    placed = parts.withColumn("own", own).join(ahead.drop("n"), ["two", "four"])
+    return placed.select("term", (F.col("ahead") + F.col("inside") + F.col("own")).alias("term_id"))
 
 
 def top_words(counts: DataFrame, size: int = -1, count: str = "n", word: str = "word") -> DataFrame:
@@ -29,6 +37,18 @@ def top_words(counts: DataFrame, size: int = -1, count: str = "n", word: str = "
     return counts if size == -1 else counts.orderBy(F.desc(count), F.asc(word)).limit(size)
 
 
+#: Words that a driver can hold for a model; more are an error, not cut off.
+MOST_WORDS = 5_000_000
+
+
+def driver_words(words: DataFrame, most: int = MOST_WORDS) -> list[str]:
+    """A column of words as a list, which LDA and count vectors need on the driver. Raises ValueError above most."""
+    got = [r[0] for r in words.limit(most + 1).collect()]
+    if len(got) > most:
+        raise ValueError(f"the vocabulary has more than {most} words; select fewer")
+    return got
+
+
 def term_vectors(docs: DataFrame, words: list[str], column: str = "terms", out: str = "features", binary: bool = False) -> DataFrame:
     """Sparse count vectors of array columns over a given vocabulary; other words are left out."""
     spark_model = CountVectorizerModel.from_vocabulary(words, column, out)

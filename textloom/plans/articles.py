@@ -2,23 +2,25 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.normalize import normalized
 from ..functions.words import stop_stems
 from ..operators import opinions as ops
 from ..operators.ranking import retain_top_share
-from ..operators.tfidf import augmented_tf, document_terms, stemmed_tf, surface_forms, term_structs, tfidf
-from ..operators.topics import assignments, document_topics, fit_lda, topic_terms
-from ..operators.vocabulary import term_vectors, without_stop_words
+from ..operators.tfidf import document_tf, stemmed_tf, surface_forms, term_structs, tfidf
+from ..operators.topics import assignments, document_topics, fit_lda, report, topic_terms
+from ..operators.vocabulary import MOST_WORDS, driver_words, term_vectors, without_stop_words
+from ..sources.readers import read_word_list
 from ..sources.sinks import write_json
 
-KEYS = ["article_id", "comment_id"]
-#: Null-safe stand-in of an article's own comment id in joins and groups.
-OWN = ""
+#: A text's article and its place among the article's comments: ids of comments may be null or repeat.
+KEYS = ["article_id", "comment_no"]
+#: The place of an article's own text, and its comment_id.
+OWN, OWN_ID = -1, ""
 
 
 @dataclass(frozen=True)
@@ -31,22 +33,25 @@ class Options:
     summary_top: float = 0.1
     least_topic_score: float = 0.05
     tags: int = 100
-    vocabulary: int = 200_000
+    #: Path of a list of stop words; the built-in one if empty.
+    stop_words: str = ""
+    #: A vocabulary of more words is an error: LDA needs its words on the driver.
+    most_words: int = MOST_WORDS
     keep_uncommented: bool = False
     strict: bool = False
     seed: int = 1
 
 
-def create_docs(articles: DataFrame) -> DataFrame:
-    """Article and comment texts: article_id, comment_id ('' for the article's own text), text. Comments without text are left out."""
-    part = lambda c: F.coalesce(F.col(c), F.lit(""))
-    own = articles.select(F.col("_id").alias("article_id"), F.lit(OWN).alias("comment_id"), F.concat_ws(" ", part("title"), part("lead"), part("text")).alias("text"))
-    each = articles.select(F.col("_id").alias("article_id"), F.explode("comments").alias("c")).filter(F.col("c.text").isNotNull())
-    return own.unionByName(each.select("article_id", F.col("c.id").alias("comment_id"), F.col("c.text").alias("text")))
+def comments_of(articles: DataFrame) -> DataFrame:
+    each = articles.select(F.col("_id").alias("article_id"), F.posexplode("comments").alias("comment_no", "c"))
+    return each.select("article_id", "comment_no", F.col("c.id").alias("comment_id"), "c.date_created", "c.author", "c.text", "c.votes_up", "c.votes_down")
 
 
-def comments_of(articles: DataFrame) -> DataFrame:
-    return articles.select(F.col("_id").alias("article_id"), F.explode("comments").alias("c")).select("article_id", F.col("c.id").alias("comment_id"), "c.date_created", "c.author", "c.text", "c.votes_up", "c.votes_down")
+def create_docs(articles: DataFrame) -> DataFrame:
+    """Article and comment texts: article_id, comment_no (-1 for the article's own text), comment_id ('' for it), text. Comments without text are left out."""
+    part = lambda c: F.coalesce(F.col(c), F.lit(""))
+    own = articles.select(F.col("_id").alias("article_id"), F.lit(OWN).alias("comment_no"), F.lit(OWN_ID).alias("comment_id"), F.concat_ws(" ", part("title"), part("lead"), part("text")).alias("text"))
+    return own.unionByName(comments_of(articles).filter(F.col("text").isNotNull()).select(*KEYS, "comment_id", "text"))
 
 
 def opinions_of(articles: DataFrame, terms: DataFrame) -> DataFrame:
@@ -56,6 +61,31 @@ def opinions_of(articles: DataFrame, terms: DataFrame) -> DataFrame:
     return both.select("article_id", opinion.alias("opinion"))
 
 
+def gathered(rows: DataFrame, by: str, value: str, name: str) -> DataFrame:
+    """All values of a group as one sorted array: by, name."""
+    return rows.groupBy(by).agg(F.sort_array(F.collect_list(value)).alias(name))
+
+
+def with_comments(own: DataFrame, grouped: DataFrame, keep_uncommented: bool = False) -> DataFrame:
+    """Articles joined with what their comments gather to; those without any are left out unless kept."""
+    return own.join(grouped, "article_id", "left" if keep_uncommented else "inner")
+
+
+def by_topic_and_tag(by_topic: DataFrame, known: DataFrame, value: str) -> DataFrame:
+    """topic_id, tag, value of rows (topic_id, an id, value and an array of tags) for each known tag that a row has, once
+    for each of its normal forms. known: a column tag of a bounded number of rows."""
+    each = by_topic.select("topic_id", "_id", value, F.explode(F.array_distinct("tags")).alias("raw"))
+    named = each.select("topic_id", "_id", value, normalized(F.col("raw")).alias("tag")).dropDuplicates(["topic_id", "_id", "tag"])
+    return named.join(F.broadcast(known.select("tag")), "tag").select("topic_id", "tag", value)
+
+
+def cogroup(first: DataFrame, *others: DataFrame, on: str = "topic_id") -> DataFrame:
+    """All rows of frames with one row for each key, by the key; what a frame lacks is null."""
+    for other in others:
+        first = first.join(other, on, "full")
+    return first
+
+
 def _buzz(by: list[str], opinions: DataFrame, as_of: Column) -> DataFrame:
     """by, buzzMeta of opinions (by, opinion)."""
     flat = opinions.select(*by, "opinion.date_published", "opinion.votes_up", "opinion.votes_down")
@@ -72,47 +102,50 @@ class Result:
     items: DataFrame
     topics: DataFrame
     tags: DataFrame
+    #: One row about the topic model and its corpus.
+    report: DataFrame | None = None
+    cached: list[DataFrame] = field(default_factory=list)
+
+    def release(self) -> None:
+        """Gives back what is cached; what is not yet read is computed anew."""
+        for df in self.cached:
+            df.unpersist()
 
 
-def summarise(articles: DataFrame, options: Options = Options()) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """TF-IDF of all documents, the written forms of stems, and each document's summary terms."""
+def summarise(articles: DataFrame, options: Options = Options()) -> tuple[DataFrame, DataFrame, DataFrame, list[DataFrame]]:
+    """TF-IDF of all documents, the written forms of stems, each document's summary terms, and what is cached."""
     docs = create_docs(articles)
-    tf = augmented_tf(document_terms(docs, KEYS, term_words=options.term_words, strict=options.strict), KEYS).persist()
-    forms = surface_forms(tf, options.strict)
+    tf = document_tf(docs, KEYS, term_words=options.term_words, strict=options.strict).persist()
+    forms = surface_forms(tf, options.strict).persist()
     scored = tfidf(stemmed_tf(tf, KEYS, options.strict), docs, KEYS, options.min_doc_freq).persist()
-    return scored, forms, term_structs(retain_top_share(scored, KEYS, "score", options.summary_top), forms, KEYS)
+    summaries = term_structs(retain_top_share(scored, KEYS, "score", options.summary_top), forms, KEYS).persist()
+    return scored, forms, summaries, [tf, forms, scored, summaries]
 
 
 def assemble(articles: DataFrame, as_of: Column, options: Options = Options()) -> Result:
     """Topic items, topics and tags of articles. Articles without a commented summary are left out unless kept."""
-    spark = articles.sparkSession
-    scored, forms, summaries = summarise(articles, options)
-    own = summaries.filter(F.col("comment_id") == OWN).select("article_id", "terms")
-    opinions = opinions_of(articles, summaries.filter(F.col("comment_id") != OWN)).persist()
-
-    vocabulary = without_stop_words(retain_top_share(scored, KEYS, "score", options.retain_top), stop_stems())
-    counted = vocabulary.groupBy("term").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "term").limit(options.vocabulary)
-    words = sorted(r["term"] for r in counted.select("term").collect())  # at most options.vocabulary words, which the model needs
-    bags = vocabulary.filter(F.col("comment_id") == OWN).groupBy("article_id").agg(F.collect_set("term").alias("terms"))
-    vectors = term_vectors(bags, words, binary=True)
+    scored, forms, summaries, cached = summarise(articles, options)
+    own = summaries.filter(F.col("comment_no") == OWN).select("article_id", "terms")
+    opinions = opinions_of(articles, summaries.filter(F.col("comment_no") != OWN)).persist()
+
+    stop = read_word_list(articles.sparkSession, options.stop_words) if options.stop_words else None
+    stems = stop_stems([r["word"] for r in stop.collect()]) if stop else stop_stems()  # a word list
+    vocabulary = without_stop_words(retain_top_share(scored, KEYS, "score", options.retain_top), stems).persist()
+    words = sorted(driver_words(vocabulary.select("term").distinct(), options.most_words))
+    bags = vocabulary.filter(F.col("comment_no") == OWN).groupBy("article_id").agg(F.collect_set("term").alias("terms"))
+    vectors = term_vectors(bags, words, binary=True).persist()
     model = fit_lda(vectors, options.topics, options.iterations, seed=options.seed)
 
-    how = "left" if options.keep_uncommented else "inner"
-    gathered = opinions.groupBy("article_id").agg(F.sort_array(F.collect_list("opinion")).alias("opinions"))
-    items = (
-        articles.withColumnRenamed("_id", "article_id")
-        .select("article_id", "date_published", "authors", "tags", "title", "lead")
-        .join(own, "article_id", how)
-        .join(gathered, "article_id", how)
-        .join(document_topics(model, vectors, ["article_id"]), "article_id")
-        .join(_buzz(["article_id"], opinions, as_of), "article_id", "left")
-    )
+    items = with_comments(articles.withColumnRenamed("_id", "article_id").select("article_id", "date_published", "authors", "tags", "title", "lead"), own, options.keep_uncommented)
+    items = with_comments(items, gathered(opinions, "article_id", "opinion", "opinions"), options.keep_uncommented)
+    items = items.join(document_topics(model, vectors, ["article_id"]), "article_id").join(_buzz(["article_id"], opinions, as_of), "article_id", "left")
     items = items.select(F.col("article_id").alias("_id"), F.col("article_id").alias("url"), "date_published", "authors", "tags", "topics", "terms", "title", "lead", "opinions", "buzzMeta").persist()
-    tags = ops.tag_counts(items, n=options.tags)
-    return Result(items, _topics(spark, items, tags, topic_terms(model, words), forms, as_of, options), tags.select(F.col("tag").alias("_id"), F.col("score").cast("int").alias("score")))
+    tags = ops.tag_counts(items, n=options.tags).persist()
+    topics = _topics(items, tags, topic_terms(model, words), forms, as_of, options)
+    return Result(items, topics, tags.select(F.col("tag").alias("_id"), F.col("score").cast("int").alias("score")), report(model, vectors, words), [*cached, opinions, vocabulary, vectors, items, tags])
 
 
-def _topics(spark: SparkSession, items: DataFrame, tags: DataFrame, terms: DataFrame, forms: DataFrame, as_of: Column, options: Options) -> DataFrame:
+def _topics(items: DataFrame, tags: DataFrame, terms: DataFrame, forms: DataFrame, as_of: Column, options: Options) -> DataFrame:
     by_topic = assignments(items, options.least_topic_score)
     opinions = by_topic.select("topic_id", F.explode("opinions").alias("opinion"))
     named = terms.join(forms, terms["term"] == forms["stem"], "left")
@@ -123,10 +156,10 @@ def _topics(spark: SparkSession, items: DataFrame, tags: DataFrame, terms: DataF
     )
     day = F.struct(F.col("day").alias("date"), F.col("opinion_count").cast("int").alias("opinionCount"), F.col("interaction_count").cast("int").alias("interactionCount"))
     series = ops.activity(sums, "topic_id").groupBy("topic_id").agg(F.sort_array(F.collect_list(day)).alias("timeseries"))
-    tagged = by_topic.select("topic_id", "_id", "opinions", F.explode(F.array_distinct("tags")).alias("raw")).select("topic_id", "_id", "opinions", normalized(F.col("raw")).alias("tag")).dropDuplicates(["topic_id", "_id", "tag"])
-    tagged = tagged.join(F.broadcast(tags.select("tag")), "tag").select("topic_id", "tag", F.explode("opinions").alias("opinion"))  # tags: at most options.tags rows
+    # there are options.tags known tags at most
+    tagged = by_topic_and_tag(by_topic, tags, "opinions").select("topic_id", "tag", F.explode("opinions").alias("opinion"))
     per_tag = _buzz(["topic_id", "tag"], tagged, as_of).groupBy("topic_id").agg(F.map_from_entries(F.sort_array(F.collect_list(F.struct("tag", "buzzMeta")))).alias("buzzMetaPerTag"))
-    topics = words.join(_buzz(["topic_id"], opinions, as_of), "topic_id", "full").join(per_tag, "topic_id", "full").join(series, "topic_id", "full")
+    topics = cogroup(words, _buzz(["topic_id"], opinions, as_of), per_tag, series)
     return topics.select(F.col("topic_id").alias("id"), F.lit(None).cast("string").alias("label"), "topicTerms", "buzzMeta", "buzzMetaPerTag", "timeseries")
 
 

@@ -14,8 +14,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .functions import text as tx
-from .functions.normalize import normalized, term_form
-from .functions.words import STOP_WORDS, de_stem, mark_entities
+from .functions.normalize import CODES, DOUBLED, ENDINGS, normalized, term_form
+from .functions.words import STOP_WORDS, entity_order, mark_entities, written_forms
 from .operators import counts, ranking, tfidf, vocabulary
 from .operators import opinions as ops
 from .operators import topics as tp
@@ -109,13 +109,48 @@ placed AS (SELECT *, rank() OVER (PARTITION BY doc_id ORDER BY round(score, 9) D
 )
 
 
+# Terms to their stems, for a CTE given(term): normal forms, their parts, and the parts' letters coded one by one,
+# endings taken off one by one, and written out again. Normal forms are lower case, so no part is a noun.
+
+
+def endings_sql(name: str, start: str) -> str:
+    fits = [f"ends_with(w, '{e}')" + (f" AND length(w) + saved > {n}" if n else "") for e, n in ENDINGS]
+    beyond = " OR ".join(f"({x})" for x in fits)
+    cut = "CASE " + " ".join(f"WHEN {x} THEN left(w, length(w) - {len(e)})" for x, (e, _) in zip(fits, ENDINGS)) + " END"
+    return f"{name}(part, w, saved) AS ({start} UNION ALL SELECT part, {cut}, saved FROM {name} WHERE length(w) > 3 AND ({beyond}))"
+
+
+CODED = " ".join(f"WHEN starts_with(part[i:], '{g}') THEN '{k}'" for g, k in CODES)
+CODED_LENGTH = " ".join(f"WHEN starts_with(part[i:], '{g}') THEN {len(g)}" for g, _ in CODES)
+CODED_SAVED = " ".join(f"WHEN starts_with(part[i:], '{g}') THEN {'2' if len(g) == 3 else 'saved + 1'}" for g, _ in CODES)
+DECODED = "regexp_replace({0}, '([a-z])\\*', '\\1\\1', 'g')"
+for _group, _code in CODES:
+    DECODED = f"replace({DECODED}, '{_code}', '{_group}')"
+NORMAL_SQL = "regexp_replace(regexp_replace(regexp_replace(replace(replace(replace(strip_accents(lower(trim({0}))), '''s', ''), 'ß', 'ss'), 'ø', 'o'), '[^a-zA-Z0-9-]+', '-', 'g'), '-+', '-', 'g'), '-$', '')"
+STEMS_SQL = f"""
+normals AS (SELECT term, {NORMAL_SQL.format('term')} AS normal FROM given),
+term_parts AS (SELECT term, unnest(string_split(normal, '-')) AS part, generate_subscripts(string_split(normal, '-'), 1) AS place FROM normals),
+different_parts AS (SELECT DISTINCT part FROM term_parts),
+coded AS (SELECT part, 1 AS i, '' AS w, 0 AS saved FROM different_parts WHERE regexp_full_match(part, '[a-z]+')
+  UNION ALL SELECT part, CASE WHEN part[i] = right(w, 1) THEN i + 1 ELSE i + (CASE {CODED_LENGTH} ELSE 1 END) END,
+    CASE WHEN part[i] = right(w, 1) THEN w || '{DOUBLED}' ELSE w || (CASE {CODED} ELSE part[i] END) END,
+    CASE WHEN part[i] = right(w, 1) THEN saved ELSE (CASE {CODED_SAVED} ELSE saved END) END FROM coded WHERE i <= length(part)),
+{endings_sql('cut_once', 'SELECT part, w, saved FROM coded WHERE i > length(part)')},
+once_cut AS (SELECT part, arg_min(w, length(w)) AS w, min(saved) AS saved FROM cut_once GROUP BY part),
+{endings_sql('cut_again', "SELECT part, CASE WHEN length(w) > 5 AND ends_with(w, 'erin*') THEN left(w, length(w) - 1) ELSE w END, saved FROM once_cut")},
+bare AS (SELECT part, regexp_replace(arg_min(w, length(w)), 'z$', 'x') AS w FROM cut_again GROUP BY part),
+stems AS (SELECT part, CASE WHEN length(w) > 4 THEN regexp_replace(w, 'gege', 'ge') ELSE w END AS stem FROM (SELECT part, {DECODED.format('w')} AS w FROM bare)),
+formed AS (SELECT term, trim(string_agg(coalesce(stem, part), ' ' ORDER BY place)) AS stem FROM term_parts LEFT JOIN stems USING (part) GROUP BY term)"""
+
+
 def plain_terms(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = documents(spark, sf_dir)
     return docs.select("doc_id", F.explode(tx.word_tokens(F.col("text"))).alias("term")).filter(F.col("term") != "")
 
 
 def plain_tf(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return tfidf.augmented_tf(plain_terms(spark, sf_dir), ["doc_id"])
+    words = F.filter(tx.word_tokens(F.col("text")), lambda t: t != "")
+    return tfidf.augmented_tf(documents(spark, sf_dir).select("doc_id", words.alias("terms")), ["doc_id"])
 
 
 def plain_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -192,24 +227,42 @@ def money_normalize(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lines.select("l_orderkey", "l_linenumber", tx.process_numbers(F.col("line")).alias("amount"))
 
 
-@query()
+@query(f"WITH RECURSIVE {WORDS_SQL}, given AS (SELECT DISTINCT term FROM terms), {STEMS_SQL} SELECT term, normal, stem FROM normals JOIN formed USING (term)")
 def normalize_terms(spark: SparkSession, sf_dir: str) -> DataFrame:
     terms = plain_terms(spark, sf_dir).select("term").distinct()
     return terms.select("term", normalized(F.col("term")).alias("normal"), term_form(F.col("term")).alias("stem"))
 
 
-@query()
+FORMS_SQL = f"""{TF_SQL}, totals AS (SELECT term, sum(tf) AS total FROM tf GROUP BY term), given AS (SELECT term FROM totals), {STEMS_SQL},
+forms AS (SELECT stem, arg_max(term, (round(total, 9), term)) AS form, max(round(total, 9)) AS total FROM totals JOIN formed USING (term) WHERE stem <> '' GROUP BY stem)"""
+
+
+@query(f"WITH RECURSIVE {FORMS_SQL} SELECT stem, form, round(total, 3) AS total FROM forms")
 def surface_form_dict(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return tfidf.surface_forms(plain_tf(spark, sf_dir)).select("stem", "form", F.round("total", 6).alias("total"))
+    return tfidf.surface_forms(plain_tf(spark, sf_dir)).select("stem", "form", F.round("total", 3).alias("total"))
 
 
-@query()
+@query(
+    # marks between two letters join them, so that neither is a word of letters
+    r"""WITH joined AS (SELECT regexp_replace(regexp_replace(text, '(\pL)[.:''’](\pL)', '\1_\2', 'g'), '(\pL)[.:''’](\pL)', '\1_\2', 'g') AS t FROM documents),
+found AS (SELECT unnest(regexp_extract_all(t, '[\pL\pN\pM_]+')) AS w FROM joined)
+SELECT lower(w) AS word, count(*) AS n FROM found WHERE regexp_full_match(w, '\pL{3,}') GROUP BY 1"""
+)
 def letters_only_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = documents(spark, sf_dir).select(F.explode(tx.letter_words(F.col("text"))).alias("word"))
     return rows.groupBy("word").agg(F.count("*").alias("n"))
 
 
-@query()
+MARKED_SQL = "' ' || replace(trim(regexp_replace(stem, ' +', ' ', 'g')), ' ', '  ') || ' '"
+for _key in entity_order():
+    MARKED_SQL = f"replace({MARKED_SQL}, {lit(' ' + _key.replace('_', '  ') + ' ')}, {lit(' ' + _key + ' ')})"
+
+
+@query(
+    f"""WITH RECURSIVE given AS (SELECT DISTINCT text AS term FROM documents WHERE text IS NOT NULL), {STEMS_SQL},
+marked AS (SELECT term, trim(regexp_replace({MARKED_SQL}, ' +', ' ', 'g')) AS m FROM formed)
+SELECT doc_id, len(list_filter(string_split(m, ' '), lambda w: contains(w, '_')))::BIGINT AS n_marked, md5(m) AS digest FROM documents LEFT JOIN marked ON text = term"""
+)
 def entities_marked(spark: SparkSession, sf_dir: str) -> DataFrame:
     marked = documents(spark, sf_dir).select("doc_id", mark_entities(term_form(F.col("text"))).alias("marked"))
     # normal forms have no underscores but those of the marks
@@ -327,16 +380,27 @@ def summary_terms(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("doc_id", F.size("terms").cast("long").alias("n_terms"), F.md5(F.array_join(names, " ")).alias("digest"))
 
 
-@query()
+@query(
+    f"""WITH RECURSIVE {WORDS_SQL}, runs AS (SELECT doc_id, w, [array_to_string(w[i:i+1], ' ') FOR i IN range(1, len(w))] AS two FROM words),
+said AS (SELECT doc_id, unnest(list_concat(w, CASE WHEN len(w) = 1 THEN w ELSE two END)) AS term FROM runs),
+given AS (SELECT DISTINCT term FROM said), {STEMS_SQL},
+counted AS (SELECT doc_id, stem, count(*) AS n FROM said JOIN formed USING (term) WHERE stem <> '' GROUP BY ALL),
+tf AS (SELECT doc_id, stem, n::DOUBLE / max(n) OVER (PARTITION BY doc_id) AS tf FROM counted),
+idf AS (SELECT stem, ln(((SELECT count(*) FROM documents) + 1.0::DOUBLE) / (count(*) + 1.0::DOUBLE)) AS idf FROM tf GROUP BY stem HAVING count(*) >= 2)
+SELECT doc_id, count(*) AS n_terms, round(max(tf * idf), 6) AS best FROM tf JOIN idf USING (stem) WHERE tf * idf > 0 GROUP BY doc_id"""
+)
 def multi_word_tfidf(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = documents(spark, sf_dir)
-    tf = tfidf.augmented_tf(tfidf.document_terms(docs, ["doc_id"], term_words=2), ["doc_id"])
+    tf = tfidf.document_tf(docs, ["doc_id"], term_words=2)
     return tfidf.tfidf(tf, docs, ["doc_id"], 2).groupBy("doc_id").agg(F.count("*").alias("n_terms"), F.round(F.max("score"), 6).alias("best"))
 
 
-@query()
+@query(f"WITH {IDF_SQL} SELECT term, df, df AS estimate FROM freq ORDER BY df DESC, term LIMIT 300")
 def document_frequency_sketch(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return tfidf.document_frequency_sketch(plain_tf(spark, sf_dir)).select(F.octet_length("sketch").cast("long").alias("n_bytes"))
+    """The sketch's estimates of the 300 most frequent terms beside exact counts; too high where terms collide in all rows."""
+    tf = plain_tf(spark, sf_dir)
+    top = tfidf.document_frequency(tf).orderBy(F.desc("df"), "term").limit(300)
+    return top.join(tfidf.sketched_frequency(tf, [r["term"] for r in top.collect()]), "term")
 
 
 # ---------------------------------------------------------------- articles and comments
@@ -369,16 +433,18 @@ def thread_docs(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(f"WITH {THREADS_SQL} SELECT article_id, count(*) AS n_comments, string_agg(comment_id::VARCHAR, ',' ORDER BY comment_id) AS comments FROM docs WHERE comment_id >= 0 GROUP BY article_id")
 def comments_grouped(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = articles.comments_of(conversation_articles(spark, sf_dir)).groupBy("article_id").agg(F.sort_array(F.collect_list(F.col("comment_id").cast("long"))).alias("c"))
+    comments = articles.comments_of(conversation_articles(spark, sf_dir)).withColumn("comment_id", F.col("comment_id").cast("long"))
+    rows = articles.gathered(comments, "article_id", "comment_id", "c")
     return rows.select(F.col("article_id").cast("long").alias("article_id"), F.size("c").cast("long").alias("n_comments"), F.array_join(F.col("c").cast("array<string>"), ",").alias("comments"))
 
 
 @query(f"WITH {THREADS_SQL} SELECT a.article_id, length(a.text) AS n_chars, c.n AS n_comments FROM docs a JOIN (SELECT article_id, count(*) AS n FROM docs WHERE comment_id >= 0 GROUP BY 1) c USING (article_id) WHERE a.comment_id = -1")
 def commented_only_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = articles.create_docs(conversation_articles(spark, sf_dir))
-    own = docs.filter(F.col("comment_id") == "").select("article_id", F.length("text").cast("long").alias("n_chars"))
-    many = docs.filter(F.col("comment_id") != "").groupBy("article_id").agg(F.count("*").alias("n_comments"))
-    return own.join(many, "article_id").select(F.col("article_id").cast("long").alias("article_id"), "n_chars", "n_comments")
+    own = docs.filter(F.col("comment_no") == articles.OWN).select("article_id", F.length("text").cast("long").alias("n_chars"))
+    many = articles.gathered(docs.filter(F.col("comment_no") != articles.OWN), "article_id", "comment_no", "c")
+    both = articles.with_comments(own, many)
+    return both.select(F.col("article_id").cast("long").alias("article_id"), "n_chars", F.size("c").cast("long").alias("n_comments"))
 
 
 @query(
@@ -429,9 +495,12 @@ def buzz_meta(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ops.buzz_meta(rows, ["topic_id"], as_of()).withColumn("buzz_score", F.round("buzz_score", 4))
 
 
-@query(f"WITH {OPINIONS_SQL} SELECT o_custkey % {TOPICS} AS topic_id, o_orderpriority AS tag, round(sum(value), 4) AS buzz_score, count(*) AS opinion_count, sum(up + down)::BIGINT AS opinion_votes FROM valued JOIN orders ON item = o_orderkey GROUP BY 1, 2")
+@query(f"WITH {OPINIONS_SQL} SELECT o_custkey % {TOPICS} AS topic_id, {NORMAL_SQL.format('o_orderpriority')} AS tag, round(sum(value), 4) AS buzz_score, count(*) AS opinion_count, sum(up + down)::BIGINT AS opinion_votes FROM valued JOIN orders ON item = o_orderkey GROUP BY 1, 2")
 def buzz_meta_per_tag(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = opinions(spark, sf_dir).join(ordered(spark, sf_dir).select("item", "topic_id", "tag"), "item")
+    by_topic = ordered(spark, sf_dir).select(F.col("item").alias("_id"), "item", "topic_id", F.array("tag", F.upper("tag")).alias("tags"))
+    known = ops.tag_counts(by_topic)
+    tagged = articles.by_topic_and_tag(by_topic, known, "item")
+    rows = opinions(spark, sf_dir).join(tagged, "item")
     return ops.buzz_meta(rows, ["topic_id", "tag"], as_of()).withColumn("buzz_score", F.round("buzz_score", 4))
 
 
@@ -461,9 +530,13 @@ def event_timeseries(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ops.activity(items, "event_type")
 
 
-@query("SELECT lower(o_orderpriority) AS tag, count(*) AS score FROM orders GROUP BY 1 ORDER BY score DESC, tag LIMIT 100")
+@query(
+    f"""WITH tags AS (SELECT unnest([o_orderpriority, 'Kunde ' || (o_custkey % 211) || ' & Söhne']) AS tag FROM orders)
+SELECT {NORMAL_SQL.format('tag')} AS tag, count(*) AS score FROM tags GROUP BY 1 ORDER BY score DESC, tag LIMIT 100"""
+)
 def tag_counts_top100(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return ops.tag_counts(table(spark, sf_dir, "orders").select(F.array(F.lower("o_orderpriority")).alias("tags")), plain=True)
+    customer = F.concat(F.lit("Kunde "), (F.col("o_custkey") % 211).cast("string"), F.lit(" & Söhne"))
+    return ops.tag_counts(table(spark, sf_dir, "orders").select(F.array("o_orderpriority", customer).alias("tags")))
 
 
 # ---------------------------------------------------------------- topics
@@ -495,14 +568,15 @@ def topic_cogroup(spark: SparkSession, sf_dir: str) -> DataFrame:
     words = table(spark, sf_dir, "part").select((F.col("p_partkey") % 13).alias("topic_id"), "p_brand").groupBy("topic_id").agg(F.array_join(F.slice(F.sort_array(F.collect_set("p_brand")), 1, 10), ",").alias("terms"))
     items = table(spark, sf_dir, "orders").groupBy((F.col("o_custkey") % 11).alias("topic_id")).agg(F.count("*").alias("n_items"))
     days = table(spark, sf_dir, "events").groupBy((F.col("user_id") % 17).alias("topic_id")).agg(F.countDistinct(F.date_trunc("DAY", "ts")).alias("n_days"))
-    every = words.join(items, "topic_id", "full").join(days, "topic_id", "full")
+    every = articles.cogroup(words, items, days)
     return every.select("topic_id", "terms", F.coalesce("n_items", F.lit(0)).alias("n_items"), F.coalesce("n_days", F.lit(0)).alias("n_days"))
 
 
 def _lda(spark: SparkSession, sf_dir: str):  # noqa: ANN202
-    options = apps.LdaOptions(k=5, iterations=5, vocab_size=2_000)
-    vectors, words = apps.lda_corpus(documents(spark, sf_dir), options, "text")
-    return tp.fit_lda(vectors.persist(), options.k, options.iterations, seed=1), vectors, words
+    options = apps.LdaOptions()
+    vectors, words = apps.lda_corpus(documents(spark, sf_dir), options, "text", key="doc_id")
+    vectors = vectors.persist()
+    return tp.fit_lda(vectors, options.k, options.iterations, seed=1), vectors, words
 
 
 @query()
@@ -514,7 +588,7 @@ def lda_topics(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query()
 def lda_doc_topics(spark: SparkSession, sf_dir: str) -> DataFrame:
     model, vectors, _ = _lda(spark, sf_dir)
-    return tp.assignments(tp.document_topics(model, vectors, ["id"])).select("id", "topic_id", "score")
+    return tp.assignments(tp.document_topics(model, vectors, ["id"])).select(F.col("id").alias("doc_id"), "topic_id", "score")
 
 
 @query()
@@ -526,7 +600,7 @@ def lda_report(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query()
 def word_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
     sentences = documents(spark, sf_dir).select(tx.word_tokens(F.col("text")).alias("words"))
-    vectors = tp.fit_word_vectors(sentences, size=16).getVectors()
+    vectors = tp.fit_word_vectors(sentences).getVectors()
     return vectors.select("word", vector_to_array("vector").alias("vector"))
 
 
@@ -547,11 +621,16 @@ def article_topics(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topics.select("id", to_json_line(*topics.columns).alias("line"))
 
 
-@query()
+@query(
+    f"""WITH RECURSIVE {FORMS_SQL}, asked AS (SELECT stem, term FROM (SELECT stem, unnest([stem, stem || '_' || reverse(stem), stem || '_' || left(stem, 3) || '_' || form]) AS term FROM forms)),
+each AS (SELECT DISTINCT a.term, unnest(string_split(a.term, '_')) AS part, generate_subscripts(string_split(a.term, '_'), 1) AS place FROM asked a)
+SELECT term AS stem, string_agg(coalesce(form, part), ' ' ORDER BY place) AS written FROM each LEFT JOIN forms ON part = forms.stem GROUP BY term"""
+)
 def de_stemmed_terms(spark: SparkSession, sf_dir: str) -> DataFrame:
-    forms = tfidf.surface_forms(plain_tf(spark, sf_dir))
-    known = F.create_map(F.col("stem"), F.col("form"))
-    return forms.select("stem", de_stem(F.col("stem"), known).alias("written"))
+    """Stems, and compounds of stems with known and unknown parts, against the dictionary of all stems."""
+    forms = tfidf.surface_forms(plain_tf(spark, sf_dir)).persist()
+    compounds = F.array("stem", F.concat_ws("_", "stem", F.reverse("stem")), F.concat_ws("_", "stem", F.substring("stem", 1, 3), "form"))
+    return written_forms(forms.select(F.explode(compounds).alias("stem")).distinct(), forms)
 
 
 def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -29,15 +29,16 @@ def parse_articles(lines: Column) -> Column:
 
 
 def read_articles(spark: SparkSession, path: str | list[str], partitions: int | None = None) -> DataFrame:
-    """Articles from JSON lines (a file, folder, glob or compressed files). One row stays of each _id."""
+    """Articles from JSON lines (a file, folder, glob or compressed files), a row for each line; unique_articles keeps one of each _id."""
     lines = spark.read.text(path).filter(F.trim("value") != "")
     articles = lines.select(parse_articles(F.col("value")).alias("a")).select("a.*")
     return articles.repartition(partitions) if partitions else articles
 
 
 def unique_articles(articles: DataFrame) -> DataFrame:
-    """One article of each _id."""
-    return articles.dropDuplicates(["_id"])
+    """One article of each _id: the one whose line is the first in order of its JSON."""
+    line = F.to_json(F.struct(*articles.columns))
+    return articles.groupBy("_id").agg(F.min_by(F.struct(*articles.columns), line).alias("a")).select("a.*")
 
 
 def read_lines(spark: SparkSession, *paths: str) -> DataFrame:
