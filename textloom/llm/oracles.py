@@ -76,10 +76,31 @@ SELECT doc_id, (length(h) // 2)::BIGINT AS n_bytes, coalesce(n, 0)::BIGINT AS n_
   sha256(unhex(CASE WHEN k IS NULL THEN h ELSE front || substr(h, 2 * last + 1) END)) AS kept_sha256 FROM bytes LEFT JOIN cut USING (doc_id)
 """
 
+OP11 = r"""
+WITH said AS (SELECT coalesce(lang, 'und') AS lang, translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS t FROM documents),
+pieces AS (SELECT lang, unnest(regexp_split_to_array(t, '[.,;:!?\x0A-\x0D]')) AS piece FROM said),
+split AS (SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS w FROM pieces),
+runs AS (SELECT lang, unnest(list_concat([w[i:i] FOR i IN range(1, len(w) + 1)], [w[i:i+1] FOR i IN range(1, len(w))], [w[i:i+2] FOR i IN range(1, len(w) - 1)], [w[i:i+3] FOR i IN range(1, len(w) - 2)])) AS g FROM split),
+counted AS (SELECT lang, g, count(*) AS f FROM runs GROUP BY ALL),
+totals AS (SELECT lang, sum(len(w))::BIGINT AS n FROM split GROUP BY lang),
+candidates AS (SELECT lang, g, f AS a FROM counted WHERE len(g) > 1 AND f >= 30),
+cuts AS (SELECT lang, g, a, unnest(range(1, len(g))) AS k FROM candidates),
+sides AS (SELECT c.lang, c.g, c.a, c.k, x.f AS l, y.f AS r, ((2000000::HUGEINT * c.a) // (x.f + y.f))::BIGINT AS score
+  FROM cuts c JOIN counted x ON x.lang = c.lang AND x.g = c.g[1:c.k] JOIN counted y ON y.lang = c.lang AND y.g = c.g[c.k+1:]),
+lowest AS (SELECT lang, g, a, arg_min({'l': l, 'r': r, 'score': score}, (score, k)) AS cut FROM sides GROUP BY ALL),
+inner_ones AS (SELECT lang, a, unnest(list_concat([g[i:i+1] FOR i IN range(1, len(g))], CASE WHEN len(g) = 4 THEN [g[1:3], g[2:4]] ELSE [] END)) AS g FROM candidates WHERE len(g) > 2),
+contained AS (SELECT lang, g, max(a) AS longer FROM inner_ones GROUP BY ALL),
+kept AS (SELECT w.lang, array_to_string(w.g, ' ') AS phrase, w.a, cut.l AS l, cut.r AS r, cut.score AS score FROM lowest w LEFT JOIN contained c ON c.lang = w.lang AND c.g = w.g
+  WHERE longer IS NULL OR 100::HUGEINT * longer < 80::HUGEINT * w.a),
+placed AS (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank FROM kept)
+SELECT lang, rank, phrase, a, l, r, n, score FROM placed JOIN totals USING (lang) WHERE rank <= 2000
+"""
+
 ORACLES = {
     "op1_ngram_join": OP1,
     "op4_source_mixing": OP4,
     "op6_chat_formatting": OP6,
     "op8_suffix_dedup": OP8,
     "op9_quality_rules": OP9,
+    "op11_phrase_collocations": OP11,
 }

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat_formatting, media_columns, mixing, ngram_join, packing, quality_rules, secret_scans, suffix_dedup, toxicity, warc_derivatives
+from . import chat_formatting, collocations, media_columns, mixing, ngram_join, packing, quality_rules, secret_scans, suffix_dedup, token_files, toxicity, warc_derivatives, whitening
 from .common import table
 from .oracles import ORACLES as ORACLES
 
@@ -64,7 +64,24 @@ def op10_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_scans.secret_scan(table(spark, sf_dir, "documents", "doc_id", "text"))
 
 
+def op11_phrase_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.collocations(table(spark, sf_dir, "documents", "text", "lang"))
+
+
+def op12_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    folder = token_files.write_ids(table(spark, sf_dir, "documents", "doc_id", "text"))
+    return token_files.read_ids(spark, folder)
+
+
+def op13_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = whitening.whiten(table(spark, sf_dir, "embeddings", "vec_id", "embedding"))
+    return rows.withColumn("deviation", F.col("deviation").cast("long"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
-    for f in (op1_ngram_join, op2_best_fit_packing, op3_toxicity, op4_source_mixing, op5_warc_derivatives, op6_chat_formatting, op7_media_columns, op8_suffix_dedup, op9_quality_rules, op10_secret_scans)
+    for f in (
+        op1_ngram_join, op2_best_fit_packing, op3_toxicity, op4_source_mixing, op5_warc_derivatives, op6_chat_formatting, op7_media_columns, op8_suffix_dedup, op9_quality_rules,
+        op10_secret_scans, op11_phrase_collocations, op12_token_files, op13_embedding_whitening,
+    )
 }
