@@ -3,6 +3,7 @@ import hashlib
 import random
 import re
 import struct
+import time
 import zlib
 from collections import Counter
 from html import unescape
@@ -179,6 +180,27 @@ def test_fillings(items, rest):
             expected.append((waste, tuple((s, k) for s, k in zip(sizes, ks) if k)))
     got = list(packing.fillings(sizes, counts, rest, rest))
     assert sorted(got) == sorted(expected) and [w for w, _ in got] == sorted(w for w, _ in got)
+    for i, one in enumerate(got):
+        assert list(packing.fillings(sizes, counts, rest, rest, after=one)) == got[i + 1 :]
+
+
+@pytest.mark.parametrize("low, width", [(850, 150), (600, 300), (900, 50), (500, 400), (1000, 400), (100, 400)])
+def test_lengths_of_a_narrow_band_end_soon(low, width):
+    """Dominated fillings and dead ends count as work too, so similar lengths do not stop the driver."""
+    for n in (40, 500, 5_000):
+        r = random.Random(n)
+        counts = Counter(r.randint(low, low + width) for _ in range(n))
+        began = time.process_time()
+        assert packed_all(packing.bin_completion(dict(counts)), counts, 4096)
+        assert time.process_time() - began < 5
+
+
+def test_spent_budgets():
+    counts = Counter(random.Random(2).randint(600, 900) for _ in range(300))
+    fit = sum(n for _, n in packing.best_fit(dict(counts), 4096))
+    for steps in (0, 1, 100, 5_000, 100_000):
+        patterns = packing.bin_completion(dict(counts), steps=steps)
+        assert packed_all(patterns, counts, 4096) and sum(n for _, n in patterns) <= fit
 
 
 def test_bin_completion_of_many():

@@ -6,8 +6,9 @@ lengths share a sequence is decided on the histogram of lengths, which has at mo
 bin completion improves it unless it meets the lower bound. The bin of the largest length is
 completed by every undominated filling, least waste first, by every number of such bins, and
 pruned by the waste that a better packing can still have; all fillings are enumerated one by one
-as the search asks for them, so that without a budget the search ends with the optimum. The
-documents then take their places by their rank within their length; ranks are counted in two
+as the search asks for them, so that without a budget the search ends with the optimum. The budget
+is of work: NODES patterns taken, and STEPS looks at an item or a number of items, whether they lead
+to a filling or not; whichever is spent first, the best packing found so far stands. The documents then take their places by their rank within their length; ranks are counted in two
 levels, so that a frequent length is not sorted in one task.
 
 Defined results: null and empty texts are the end id alone; texts of any length are tokenized
@@ -20,6 +21,7 @@ from __future__ import annotations
 
 import bisect
 import json
+import math
 import os
 import unicodedata
 import zlib
@@ -37,8 +39,8 @@ from .common import materialize
 
 CAPACITY = 4096
 END_ID = 1
-#: Nodes of the bin-completion search; the incumbent stands beyond.
-NODES = 1_000
+#: Nodes of the bin-completion search, and steps of its enumeration (some seconds); the incumbent stands beyond.
+NODES, STEPS = 1_000, 1_000_000
 #: Every so many nodes best fit completes the search's state for a new incumbent.
 DIVE = 16
 #: Rows of a length ranked in one group, about.
@@ -214,42 +216,77 @@ def reachable(sizes: list[int], counts: dict[int, int], rest: int) -> list[int]:
     return out[::-1]
 
 
-def exact_fillings(sizes: list[int], counts: dict[int, int], reach: list[int], total: int, at: int = 0) -> Iterator[tuple[tuple[int, int], ...]]:
-    """All choices of items with that total, as (size, number), larger sizes first."""
+class Spent(Exception):
+    """The search has looked at all that its budget allows."""
+
+
+class Budget:
+    """What a search may look at: steps of the enumeration, dominated and dead ends too, and what preparing them takes."""
+
+    def __init__(self, steps: float) -> None:
+        self.left = steps
+
+    def take(self, steps: int = 1) -> None:
+        self.left -= steps
+        if self.left < 0:
+            raise Spent
+
+
+Filling = tuple[tuple[int, int], ...]
+
+
+def exact_fillings(
+    sizes: list[int], counts: dict[int, int], reach: list[int], total: int, waste: int, budget: Budget, after: Filling | None = None, at: int = 0, free: int = 1 << 62
+) -> Iterator[Filling]:
+    """All undominated choices of items with that total, as (size, number), larger sizes first; those behind `after` in
+    this order, if given. free: the smallest size so far of which items are left."""
     if not total:
-        yield ()
+        # of the sizes that are left, and so free, none may fit into the waste or take the place of a smaller one
+        if after is None and not (waste and at < len(sizes) and sizes[-1] <= waste):
+            yield ()
         return
     for i in range(at, len(sizes)):
+        budget.take()
         if not reach[i] >> total & 1:
             return
         s = sizes[i]
-        for k in range(min(counts[s], total // s), 0, -1):
-            if reach[i + 1] >> total - k * s & 1:
-                for more in exact_fillings(sizes, counts, reach, total - k * s, i + 1):
-                    yield ((s, k), *more)
+        if after and s > after[0][0]:
+            free = s
+            continue
+        resumed = after is not None and bool(after) and s == after[0][0]
+        # an item that a larger free one could replace within the waste is dominated; so is a free one that fits into it
+        if free - s > waste:
+            for k in range(after[0][1] if resumed else min(counts[s], total // s), 0, -1):
+                budget.take()
+                left = k < counts[s]
+                if not (left and s <= waste) and reach[i + 1] >> total - k * s & 1:
+                    for more in exact_fillings(sizes, counts, reach, total - k * s, waste, budget, after[1:] if resumed else None, i + 1, s if left else free):
+                        yield ((s, k), *more)
+                resumed = False
+        after = None
+        if s <= waste:
+            return
+        free = s
 
 
-def fillings(sizes: list[int], counts: dict[int, int], rest: int, most_waste: int) -> Iterator[tuple[int, tuple[tuple[int, int], ...]]]:
+def fillings(sizes: list[int], counts: dict[int, int], rest: int, most_waste: int, budget: Budget | None = None, after: tuple[int, Filling] | None = None) -> Iterator[tuple[int, Filling]]:
     """(waste, filling) of all undominated fillings of the rest up to a waste, least waste first: to none can another
-    item be added, and none has an item that a larger free one could replace within the rest."""
+    item be added, and none has an item that a larger free one could replace within the rest. after: goes on behind that one."""
+    budget = budget or Budget(math.inf)
     sizes = [s for s in sizes if s <= rest]
+    budget.take(len(sizes))
     reach = reachable(sizes, counts, rest)
-    rising = sizes[::-1]
-    for waste in range(min(rest, most_waste) + 1):
+    for waste in range(after[0] if after else 0, min(rest, most_waste) + 1):
+        budget.take()
         if reach[0] >> rest - waste & 1:
-            for filling in exact_fillings(sizes, counts, reach, rest - waste):
-                used = dict(filling)
-                free = lambda s: used.get(s, 0) < counts[s]  # noqa: B023, E731
-                if waste and any(free(s) for s in rising[: bisect.bisect_right(rising, waste)]):
-                    continue
-                if waste and any(free(b) for c in used for b in rising[bisect.bisect_right(rising, c) : bisect.bisect_right(rising, c + waste)]):
-                    continue
+            for filling in exact_fillings(sizes, counts, reach, rest - waste, waste, budget, after[1] if after else None):
                 yield waste, filling
+        after = None
 
 
-def bin_completion(counts: dict[int, int], capacity: int = CAPACITY, nodes: float | None = None) -> list[Pattern]:
-    """Patterns (content of a bin, number of such bins) that hold all items in as few bins as found. nodes: None for
-    NODES, math.inf for a search that ends with the optimum."""
+def bin_completion(counts: dict[int, int], capacity: int = CAPACITY, nodes: float | None = None, steps: float | None = None) -> list[Pattern]:
+    """Patterns (content of a bin, number of such bins) that hold all items in as few bins as found. nodes, steps: None
+    for NODES and for STEPS; with nodes of math.inf the search ends with the optimum."""
     counts = {s: n for s, n in counts.items() if n}
     fixed = [(((s, 1),), n) for s, n in counts.items() if s == capacity]
     counts.pop(capacity, None)
@@ -257,6 +294,7 @@ def bin_completion(counts: dict[int, int], capacity: int = CAPACITY, nodes: floa
     n_best, bound = sum(n for _, n in best), lower_bound(counts, capacity)
     total = sum(s * n for s, n in counts.items())
     left = NODES if nodes is None else nodes
+    budget = Budget(steps if steps is not None else math.inf if left == math.inf else STEPS)
     # depth first with one state that is changed and restored: a level is the pattern taken, from which its fillings go on;
     # only those of the last level are held
     now, path, bins, waste, step = dict(counts), [], 0, 0, 0
@@ -270,18 +308,20 @@ def bin_completion(counts: dict[int, int], capacity: int = CAPACITY, nodes: floa
         sizes = sorted(now, reverse=True)
         large = sizes[0]
         rest = now | {large: now[large] - 1}
-        for lost, filling in fillings([s for s in sizes if rest[s]], rest, capacity - large, room()):
+        behind = None
+        if after:
+            content, times = after
+            lost = capacity - sum(s * k for s, k in content)
+            behind = lost, tuple((s, k - (s == large)) for s, k in content if k > (s == large))
+            yield from ((content, t) for t in range(times - 1, 0, -1) if lost * t <= room())
+        for lost, filling in fillings([s for s in sizes if rest[s]], rest, capacity - large, room(), budget, behind):
             need = dict(filling)
             need[large] = need.get(large, 0) + 1
             content = tuple(sorted(need.items(), reverse=True))
             most = min(now[s] // k for s, k in content)
-            if after:
-                if content != after[0]:
-                    continue
-                most, after = after[1] - 1, None
-            for times in range(most, 0, -1):
-                if lost > room():
-                    return
+            if lost > room():
+                return
+            for times in range(min(most, room() // lost) if lost else most, 0, -1):
                 if lost * times <= room():
                     yield content, times
 
@@ -295,23 +335,30 @@ def bin_completion(counts: dict[int, int], capacity: int = CAPACITY, nodes: floa
         bins += sign * times
         waste += sign * times * (capacity - sum(s * k for s, k in content))
 
+    def dive() -> None:
+        nonlocal best, n_best
+        rest_best = best_fit(now, capacity)
+        if bins + (n := sum(k for _, k in rest_best)) < n_best:
+            best, n_best = [*path, *rest_best], bins + n
+
     ahead = tried() if n_best > bound else None
-    while ahead and step < left and n_best > bound:
-        step += 1
-        pattern = next(ahead, None)
-        if pattern is None:
-            if not path:
-                break
-            change(path[-1], -1)
-            ahead = tried(path.pop())
-            continue
-        change(pattern, 1)
-        path.append(pattern)
-        if step % DIVE == 0 or not now:
-            rest_best = best_fit(now, capacity)
-            if bins + (n := sum(k for _, k in rest_best)) < n_best:
-                best, n_best = [*path, *rest_best], bins + n
-        ahead = tried() if now else iter(())
+    try:
+        while ahead and step < left and n_best > bound:
+            step += 1
+            pattern = next(ahead, None)
+            if pattern is None:
+                if not path:
+                    break
+                change(path[-1], -1)
+                ahead = tried(path.pop())
+                continue
+            change(pattern, 1)
+            path.append(pattern)
+            if step % DIVE == 0 or not now:
+                dive()
+            ahead = tried() if now else iter(())
+    except Spent:
+        dive()
     return fixed + best
 
 
