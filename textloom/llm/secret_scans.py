@@ -6,7 +6,10 @@ only if their decoded bytes have the structure of a secret: ``jwt`` (a base64url
 is a JSON object with "alg"), ``pem`` (a PRIVATE KEY block whose base64 decodes to DER with
 consistent nested lengths or to an openssh-key-v1 container, or whose header lines name a
 cipher that the length of the body fits; line ends may be written as \\n) and ``der`` (a bare
-run of base64, base64url or hex digits of either case that decodes to such a key).
+run of base64, base64url or hex digits of either case that holds such a key; base64 may go over
+lines and stand behind other characters). A key is a private one of PKCS#1, SEC1, DSA, PKCS#8 in
+the clear or encrypted, or OpenSSH's, of at most MOST_KEY bytes in base64: public keys,
+certificates, digests and signatures are none.
 
 Spans are half-open and count code points. Defined results: null and empty texts have no
 spans; a text of any length is scanned whole, in time proportional to it, also where key
@@ -18,6 +21,7 @@ from __future__ import annotations
 
 import base64
 import binascii
+import bisect
 import hashlib
 import json
 import re
@@ -38,8 +42,17 @@ LONG = re.compile(r"[A-Za-z0-9+/=_.-]{32,}")
 NAMES = ("passw", "secret", "token", "apikey", "api_key")
 #: Runs that may hold signed tokens: three parts with dots between.
 DOTTED = re.compile(r"[A-Za-z0-9_.-]+")
-BASE64 = re.compile(r"[A-Za-z0-9+/]{40,}={0,2}")
-BASE64_URL = re.compile(r"[A-Za-z0-9_-]{40,}={0,2}")
+#: Runs of base64 of either alphabet, over line ends of one kind if the first line is long.
+LINES = re.compile(r"[A-Za-z0-9+/_-]{48,}(?:(?:\n[A-Za-z0-9+/_-]+)+|(?:\r\n[A-Za-z0-9+/_-]+)+)?|[A-Za-z0-9+/_-]{32,47}")
+KEY = re.compile(r"M[A-I]|b3BlbnNzaC1r")
+URL_SAFE = str.maketrans("-_", "+/")
+PADDING = re.compile(r"={0,2}")
+#: Bytes of a key: what two bytes of length can say.
+MOST_KEY = 1 << 16
+#: Base64 of the beginnings of a JSON object; characters of a header; an object's first name.
+OBJECT = re.compile(r"ey[IJA]|ew[0ko]")
+HEADER = 1 << 14
+NAMED = re.compile(rb'\{\s*"(?:[^"\\]|\\.)*(?:"\s*(?::|\Z)|\Z)', re.S)
 ANY_HEX = re.compile(r"[0-9A-Fa-f]{48,}")
 BEGIN = re.compile(r"-----BEGIN ([A-Z0-9 ]*PRIVATE KEY)-----")
 CIPHER = re.compile(r"DEK-Info: ?[A-Z0-9-]+,([0-9A-Fa-f]+)")
@@ -70,19 +83,70 @@ def der_fills(data: bytes, depth: int = 0) -> bool:
     return True
 
 
+def members(data: bytes) -> list[tuple[int, bytes]] | None:
+    """Tags and contents of the values of a SEQUENCE that is all of data; None where data is none."""
+    if len(data) < 24 or data[0] != 0x30 or not der_fills(data):
+        return None
+    out, at = [], 2 + (data[1] & 0x7F if data[1] & 0x80 else 0)
+    if at + (data[1] if at == 2 else int.from_bytes(data[2:at], "big")) != len(data):
+        return None  # more values follow
+    while at < len(data):
+        tag, length = data[at], data[at + 1]
+        at += 2
+        if length & 0x80:
+            k = length & 0x7F
+            length = int.from_bytes(data[at : at + k], "big")
+            at += k
+        out.append((tag, data[at : at + length]))
+        at += length
+    return out
+
+
+INTEGER, OCTETS, OID, SEQUENCE = 0x02, 0x04, 0x06, 0x30
+
+
 def is_key(data: bytes) -> bool:
-    """A DER SEQUENCE of two values or more whose lengths all fit, or an OpenSSH key container."""
+    """A private key, by its structure: PKCS#1, DSA, SEC1, PKCS#8 in the clear or encrypted, or an OpenSSH container."""
     if data.startswith(OPENSSH):
-        at = len(OPENSSH)
-        for _ in range(3):  # cipher, key derivation and its options
-            if at + 4 > len(data):
-                return False
-            at += 4 + int.from_bytes(data[at : at + 4], "big")
-        return at + 4 <= len(data)
-    if len(data) < 24 or data[0] != 0x30:
+        return 0 < openssh_size(data) <= len(data)
+    got = members(data)
+    if not got:
         return False
-    inside = 2 + (data[1] & 0x7F if data[1] & 0x80 else 0)
-    return inside < len(data) and data[inside] in (0x02, 0x30) and der_fills(data)
+    tags, first = [t for t, _ in got], got[0][1]
+    if tags[0] == INTEGER:
+        if all(t == INTEGER for t in tags):
+            return len(tags) == 9 and first in (b"\0", b"\1") or len(tags) == 6 and first == b"\0"
+        if tags == [INTEGER] * 9 + [SEQUENCE]:  # more than two primes
+            return first == b"\1"
+        options = tags[3:] if tags[1] == SEQUENCE else tags[2:]
+        if not all(t & 0xC0 == 0x80 for t in options):
+            return False
+        if tags[1] == OCTETS:
+            return first == b"\1"
+        return len(tags) > 2 and tags[1:3] == [SEQUENCE, OCTETS] and first in (b"\0", b"\1") and got[1][1][:1] == bytes([OID])
+    # encrypted: an algorithm with parameters (a digest's are null), then the sealed bytes
+    if tags == [SEQUENCE, OCTETS] and first[:1] == bytes([OID]) and len(first) > 2:
+        return first[2 + first[1] :][:1] == bytes([SEQUENCE])
+    return False
+
+
+def openssh_size(data: bytes) -> int:
+    """Bytes of the container at the start of data: names of cipher and derivation, its options, keys, sealed part; 0 if there is none."""
+    at, left = len(OPENSSH), 3
+    while left:
+        if at + 4 > len(data):
+            return 0
+        at += 4 + int.from_bytes(data[at : at + 4], "big")
+        left -= 1
+    keys = int.from_bytes(data[at : at + 4], "big")
+    at += 4
+    if at > len(data) or not 0 < keys <= 16:
+        return 0
+    for _ in range(keys + 1):
+        if at + 4 > len(data):
+            return 0
+        at += 4 + int.from_bytes(data[at : at + 4], "big")
+    return at
 
 
 def _decoded(run: str, url: bool = False) -> bytes:
@@ -107,17 +171,20 @@ def is_signed_token(header: str) -> bool:
 
 
 def signed_tokens(run: str) -> Iterator[tuple[int, int]]:
-    """Places of tokens in a run of dotted parts. Each part is decoded once at most."""
+    """Places of tokens in a run of dotted parts. A header may stand behind other characters of its part, within HEADER of its end."""
     parts = run.split(".")
     starts = [0]
     for x in parts:
         starts.append(starts[-1] + len(x) + 1)
     i = 0
     while i + 2 < len(parts):
-        at = parts[i].find("eyJ")
-        if at >= 0 and parts[i + 1] and is_signed_token(parts[i][at:]):
-            yield starts[i] + at, starts[i + 2] + len(parts[i + 2])
-            i += 2
+        part = parts[i]
+        for m in OBJECT.finditer(part, max(0, len(part) - HEADER)) if parts[i + 1] else ():
+            # an object begins with a name and a colon, which most of a repeated beginning does not have
+            if NAMED.match(_decoded(part[m.start() : m.start() + 64], url=True)) and is_signed_token(part[m.start() :]):
+                yield starts[i] + m.start(), starts[i + 2] + len(parts[i + 2])
+                i += 2
+                break
         i += 1
 
 
@@ -141,16 +208,57 @@ def key_blocks(text: str) -> Iterator[tuple[int, int]]:
             yield m.start(), end + len(mark)
 
 
-def bare_keys(run: str) -> Iterator[tuple[int, int]]:
-    """Places of keys in a run of base64 or hex digits. Bytes that begin a key's SEQUENCE are 30, so its base64 begins with M."""
+def bare_hex_keys(run: str) -> Iterator[tuple[int, int]]:
+    """Places of keys in a run of hex digits."""
     for m in ANY_HEX.finditer(run):
         if m[0].startswith("30") and len(m[0]) % 2 == 0 and is_key(bytes.fromhex(m[0])):
             yield m.span()
-    for pattern, url in ((BASE64, False), (BASE64_URL, True)):
-        if not url or "-" in run or "_" in run:
-            for m in pattern.finditer(run):
-                if m[0].startswith(("M", "b3BlbnNzaC1r")) and (not url or "-" in m[0] or "_" in m[0]) and is_key(_decoded(m[0], url)):
-                    yield m.span()
+
+
+def _key_at(run: str, at: int) -> int:
+    """Where the key that begins at a place of a base64 run ends; 0 if none does. What a key says of its length tells how much to decode."""
+    head = _decoded(run[at : at + 16])
+    if head.startswith(OPENSSH[:12]):
+        size = openssh_size(_decoded(run[at : at + min(4 * MOST_KEY // 3, len(run) - at) // 4 * 4]))
+    elif len(head) < 12 or head[0] != SEQUENCE:
+        return 0
+    else:
+        k = head[1] & 0x7F if head[1] & 0x80 else 0
+        inner = head[2 + k : 5 + k]
+        if k > 2 or not (inner[:2] == b"\2\1" and inner[2] < 2 or inner[:1] == bytes([SEQUENCE])):
+            return 0
+        size = 2 + k + (int.from_bytes(head[2 : 2 + k], "big") if k else head[1])
+    end = at + -(-4 * size // 3)
+    if not 0 < size <= MOST_KEY or end > len(run) or not is_key(_decoded(run[at:end])[:size]):
+        return 0
+    return end
+
+
+def bare_keys(text: str) -> Iterator[tuple[int, int]]:
+    """Places of keys in base64 or base64url without marks: within one run, also behind other characters of it, or over lines."""
+    for m in LINES.finditer(text):
+        raw, run, starts = m[0], m[0], [0]
+        if "\n" in raw:
+            lines = raw.splitlines(keepends=True)
+            run = "".join(x.rstrip("\r\n") for x in lines)
+            for x in lines:
+                starts.append(starts[-1] + len(x.rstrip("\r\n")))
+        plain, at = run.translate(URL_SAFE), 0
+        # a key's bytes begin with 30 and a length, or with OpenSSH's name
+        while found := KEY.search(plain, at):
+            if end := _key_at(plain, found.start()):
+                place = lambda p: m.start() + p + (_breaks(raw, starts, p) if run is not raw else 0)  # noqa: B023, E731
+                last = place(end - 1) + 1
+                yield place(found.start()), last + len(PADDING.match(text, last)[0])
+                at = end
+            else:
+                at = found.start() + 1
+
+
+def _breaks(raw: str, starts: list[int], place: int) -> int:
+    """Characters of line ends before a place of the joined lines."""
+    line = bisect.bisect_right(starts, place) - 1
+    return line * (2 if "\r\n" in raw else 1)
 
 
 def scan(text: str | None) -> list[tuple[int, int, int]]:
@@ -162,14 +270,17 @@ def scan(text: str | None) -> list[tuple[int, int, int]]:
         found += [(m.start(), 0, m.end()) for m in ASSIGN.finditer(text) if len(m[2]) >= 8]
     if "AKIA" in text:
         found += [(m.start(), 1, m.end()) for m in ACCESS.finditer(text) if m.end() - m.start() >= 16]
+    long = False
     for run in LONG.finditer(text):
-        at, part = run.start(), run[0]
+        at, part, long = run.start(), run[0], True
         # a run of hex digits goes on to neither side: all its characters are in LONG's class
         found += [(at + m.start(), 2, at + m.end()) for m in HEX.finditer(part) if m.end() - m.start() >= 32]
-        if len(part) >= 40:
-            found += [(at + a, 5, at + z) for a, z in bare_keys(part)]
-    if "eyJ" in text:
-        found += [(m.start() + a, 3, m.start() + z) for m in DOTTED.finditer(text) if "eyJ" in m[0] for a, z in signed_tokens(m[0])]
+        if len(part) >= 48:
+            found += [(at + a, 5, at + z) for a, z in bare_hex_keys(part)]
+    if long:
+        found += [(a, 5, z) for a, z in bare_keys(text)]
+    if OBJECT.search(text):
+        found += [(m.start() + a, 3, m.start() + z) for m in DOTTED.finditer(text) if OBJECT.search(m[0]) for a, z in signed_tokens(m[0])]
     if "PRIVATE KEY-----" in text:
         found += [(a, 4, z) for a, z in key_blocks(text)]
     return sorted(found)
