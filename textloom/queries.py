@@ -15,8 +15,8 @@ from pyspark.sql import functions as F
 
 from .functions import text as tx
 from .functions.normalize import CODES, DOUBLED, ENDINGS, normalized, term_form
-from .functions.words import STOP_WORDS, entity_order, mark_entities, written_forms
-from .operators import counts, ranking, tfidf, vocabulary
+from .functions.words import ENTITIES, STOP_WORDS, entity_order, written_forms
+from .operators import counts, phrases, ranking, tfidf, vocabulary
 from .operators import opinions as ops
 from .operators import topics as tp
 from .plans import apps, articles
@@ -264,12 +264,40 @@ marked AS (SELECT term, trim(regexp_replace({MARKED_SQL}, ' +', ' ', 'g')) AS m
 SELECT doc_id, len(list_filter(string_split(m, ' '), lambda w: contains(w, '_')))::BIGINT AS n_marked, md5(m) AS digest FROM documents LEFT JOIN marked ON text = term"""
 )
 def entities_marked(spark: SparkSession, sf_dir: str) -> DataFrame:
-    marked = documents(spark, sf_dir).select("doc_id", mark_entities(term_form(F.col("text"))).alias("marked"))
+    names = phrases.name_dictionary(spark.createDataFrame([(e,) for e in ENTITIES], "name string"))
+    texts = documents(spark, sf_dir).select("doc_id", term_form(F.col("text")).alias("text"))
+    return marked_digest(phrases.mark_phrases(texts, names))
+
+
+def marked_digest(marked: DataFrame) -> DataFrame:
     # normal forms have no underscores but those of the marks
     n = F.size(F.filter(F.split("marked", " "), lambda w: w.contains("_"))).cast("long")
     return marked.select("doc_id", F.when(F.col("marked").isNotNull(), n).alias("n_marked"), F.md5("marked").alias("digest"))
 
 
+@query(
+    f"""WITH RECURSIVE given AS (SELECT DISTINCT text AS term FROM documents WHERE text IS NOT NULL), {STEMS_SQL},
+said AS (SELECT md5(term) AS id, list_filter(string_split(stem, ' '), lambda x: x <> '') AS w FROM formed),
+names AS (SELECT DISTINCT array_to_string(r, '_') AS key, len(r) AS n FROM (SELECT unnest([w[1:2], w[11:13]]) AS r FROM said) WHERE len(r) > 1),
+runs AS (SELECT id, w, n, unnest(range(1, len(w) - n + 2)) AS i FROM said, (VALUES (2), (3)) t(n)),
+hits AS (SELECT id, i, max(names.n) AS n FROM runs JOIN names ON names.n = runs.n AND names.key = array_to_string(w[i:i + runs.n - 1], '_') GROUP BY id, i),
+kept(id, i, n) AS (SELECT id, min(i), arg_min(n, i) FROM hits GROUP BY id
+  UNION ALL SELECT h.id, min(h.i), arg_min(h.n, h.i) FROM kept k JOIN hits h ON h.id = k.id AND h.i >= k.i + k.n GROUP BY h.id),
+inner_words AS (SELECT id, unnest(range(i + 1, i + n)) AS i FROM kept),
+words AS (SELECT id, w, unnest(range(1, len(w) + 1)) AS i FROM said),
+marks AS (SELECT words.id, string_agg(CASE WHEN n IS NULL THEN w[words.i] ELSE array_to_string(w[words.i:words.i + n - 1], '_') END, ' ' ORDER BY words.i) AS m, count(n) AS k
+  FROM words LEFT JOIN kept USING (id, i) WHERE NOT EXISTS (FROM inner_words x WHERE x.id = words.id AND x.i = words.i) GROUP BY words.id)
+SELECT doc_id, CASE WHEN text IS NOT NULL THEN coalesce(k, 0) END AS n_marked, CASE WHEN text IS NOT NULL THEN md5(coalesce(m, '')) END AS digest FROM documents LEFT JOIN marks ON id = md5(text)"""
+)
+def phrases_marked(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Names of two and three words that the documents themselves give (their first two words, and the eleventh to the thirteenth), marked in all documents."""
+    texts = documents(spark, sf_dir).select("doc_id", term_form(F.col("text")).alias("text"))
+    words = phrases.words_of(F.col("text"))
+    runs = texts.select(F.explode(F.array(F.slice(words, 1, 2), F.slice(words, 11, 3))).alias("r")).filter(F.size("r") > 1)
+    names = phrases.phrase_index(runs.select(F.array_join("r", "_").alias("key")).distinct())
+    return marked_digest(phrases.mark_phrases(texts, names))
+
+
 MARKUP_SQL = "text"
 for _pattern, _new in tx.WIKI_MARKUP:
     MARKUP_SQL = f"regexp_replace({MARKUP_SQL}, {lit(_pattern.replace(chr(92) + '!', '!'))}, {lit(dollar(_new))}, 'g')"
