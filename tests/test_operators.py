@@ -170,8 +170,8 @@ def test_limits_are_errors(spark):
     assert sorted(vocabulary.driver_words(words, 3)) == ["a", "b", "c"]
     with pytest.raises(ValueError, match="more than 2 words"):
         vocabulary.driver_words(words, 2)
-    for bad in ({"doc_concentration": 0.1}, {"topic_concentration": 1.0}):
-        with pytest.raises(ValueError, match="above 1"):
+    for bad in ({"doc_concentration": 0}, {"topic_concentration": -0.5}):
+        with pytest.raises(ValueError, match="above 0"):
             tp.fit_lda(words, 2, 1, **bad)
 
 
@@ -182,7 +182,16 @@ def test_unique_articles(spark):
 
 def test_sketch(spark):
     tf = spark.createDataFrame([(d, t) for d in range(9) for t in ("a", "b")[: 1 + d % 2]], "d int, term string")
-    assert {r["term"]: r["estimate"] for r in tfidf.sketched_frequency(tf, ["a", "b", "c"], eps=1e-3).collect()} == {"a": 9, "b": 4, "c": 0}
+    asked = spark.createDataFrame([("a",), ("b",), ("c",), ("a",)], "term string")
+    assert {r["term"]: r["estimate"] for r in tfidf.sketched_frequency(tfidf.sketch_counters(tf), asked).collect()} == {"a": 9, "b": 4, "c": 0}
+    # too narrow for its terms: never below the exact count, and merged parts are the whole
+    many = spark.createDataFrame([(d, f"t{d * d % 97}") for d in range(400)], "d int, term string")
+    exact = dict(tfidf.document_frequency(many).collect())
+    whole = tfidf.sketch_counters(many, 2, 20)
+    merged = tfidf.merge_sketches(*[tfidf.sketch_counters(many.filter(F.col("d") % 3 == k), 2, 20) for k in range(3)])
+    assert sorted(map(tuple, whole.collect())) == sorted(map(tuple, merged.collect())) and whole.count() <= 40
+    got = {r["term"]: r["estimate"] for r in tfidf.sketched_frequency(merged, many, 2, 20).collect()}
+    assert got.keys() == exact.keys() and all(got[t] >= n for t, n in exact.items()) and got != exact
 
 
 def test_activity(spark):

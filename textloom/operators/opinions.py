@@ -4,10 +4,11 @@ from __future__ import annotations
 
 import math
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.normalize import normalized
+from .ranking import first_rows
 
 #: Days after which an opinion counts for nothing.
 DAYS = 30
@@ -45,8 +46,7 @@ def opinion_terms(terms: DataFrame, by: list[str], n: int = 10) -> DataFrame:
     by, term and form."""
     forms = terms.groupBy(*by, "term", "form").agg(F.count("*").alias("k"))
     best = forms.groupBy(*by, "term").agg(F.sum("k").alias("n"), F.min(F.struct((-F.col("k")).alias("k"), "form"))["form"].alias("form"))
-    place = F.row_number().over(Window.partitionBy(*by).orderBy(F.desc("n"), "form", "term"))
-    return best.withColumn("place", place).filter(F.col("place") <= n).select(*by, "form", "n", "place")
+    return first_rows(best, by, [F.desc("n"), F.asc("form"), F.asc("term")], n, ["term"]).select(*by, "form", "n", "place")
 
 
 def activity(items: DataFrame, by: str, date: str = "date_published") -> DataFrame:

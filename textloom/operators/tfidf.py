@@ -76,20 +76,36 @@ def document_frequency(tf: DataFrame) -> DataFrame:
     return tf.groupBy("term").agg(F.count("*").alias("df"))
 
 
-#: Error and confidence of the sketch: 500,000 columns of 10 rows, 40 MB whatever the number of terms.
-SKETCH = (4e-6, 0.99902, 13)
+#: Rows, columns and seed of the sketch: an estimate is too high by more than (total of all counts) * e / columns with a chance of e ** -rows.
+DEPTH, WIDTH, SEED = 10, 500_000, 13
 
 
-def document_frequency_sketch(tf: DataFrame, eps: float = SKETCH[0], confidence: float = SKETCH[1], seed: int = SKETCH[2]) -> DataFrame:
-    """The same as one count-min sketch, which can only count too many: column sketch."""
-    return tf.agg(F.count_min_sketch("term", F.lit(eps), F.lit(confidence), F.lit(seed)).alias("sketch"))
+def _sketch_places(terms: DataFrame, depth: int, width: int, seed: int) -> DataFrame:
+    """term, row, column: a term's counter in each row, from two numbers of 48 bits of its digest."""
+    digest = F.md5(F.concat(F.lit(f"{seed}:"), F.col("term")))
+    number = lambda at: F.conv(F.substring(digest, at, 12), 16, 10).cast("long")
+    rows = terms.select("term", number(1).alias("_a"), number(13).alias("_b")).select("term", "_a", "_b", F.explode(F.sequence(F.lit(0), F.lit(depth - 1))).alias("row"))
+    return rows.select("term", "row", F.pmod(F.col("_a") + F.col("row") * F.col("_b"), F.lit(width)).alias("column"))
 
 
-def sketched_frequency(tf: DataFrame, terms: list[str], eps: float = SKETCH[0], confidence: float = SKETCH[1], seed: int = SKETCH[2], tasks: int = 2) -> DataFrame:
-    """term, estimate of some terms by the sketch: what a driver with the sketch alone knows of them. Each of the tasks
-    that count makes a sketch of full size, so there are few."""
-    sketch = tf.select("term").coalesce(tasks)._jdf.stat().countMinSketch("term", eps, confidence, seed)
-    return tf.sparkSession.createDataFrame([(t, int(sketch.estimateCount(t))) for t in terms], "term string, estimate long")
+def sketch_counters(tf: DataFrame, depth: int = DEPTH, width: int = WIDTH, seed: int = SEED) -> DataFrame:
+    """A count-min sketch of the rows' terms as a table: row, column, n. There are depth * width counters at most, whatever the
+    number of terms; tables of parts of a corpus are merged by merge_sketches."""
+    return _sketch_places(tf.select("term"), depth, width, seed).groupBy("row", "column").agg(F.count("*").alias("n"))
+
+
+def merge_sketches(first: DataFrame, *others: DataFrame) -> DataFrame:
+    """One sketch of the rows of several, of one depth, width and seed."""
+    for other in others:
+        first = first.unionByName(other)
+    return first.groupBy("row", "column").agg(F.sum("n").alias("n"))
+
+
+def sketched_frequency(counters: DataFrame, terms: DataFrame, depth: int = DEPTH, width: int = WIDTH, seed: int = SEED) -> DataFrame:
+    """term, estimate of terms by a sketch: the least of a term's counters, 0 where one of them is missing; never below the exact count."""
+    asked = _sketch_places(terms.select("term").distinct(), depth, width, seed)
+    found = asked.join(counters, ["row", "column"], "left")
+    return found.groupBy("term").agg(F.min(F.coalesce("n", F.lit(0))).cast("long").alias("estimate"))
 
 
 def idf_value(n_docs: Column, df: Column) -> Column:

@@ -3,9 +3,11 @@
 from __future__ import annotations
 
 from pyspark.ml.feature import CountVectorizerModel
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .ids import dense_ids
+
 
 def without_stop_words(terms: DataFrame, stop_words: DataFrame | list[str], term: str = "term") -> DataFrame:
     """Rows whose term is no stop word; counts of the others stay as they are."""
@@ -16,20 +18,8 @@ def without_stop_words(terms: DataFrame, stop_words: DataFrame | list[str], term
 
 
 def vocabulary(terms: DataFrame) -> DataFrame:
-    """Different terms with dense ids in order of their names: term, term_id.
-
-    A term's id is the number of terms before its first two letters, before its first four among
-    those, and before itself among those: no task sorts more than the terms of four letters, but
-    one that sums up as many rows as there are pairs of letters.
-    """
-    parts = terms.select("term").distinct().select("term", F.substring("term", 1, 2).alias("two"), F.substring("term", 1, 4).alias("four"))
-    fours = parts.groupBy("two", "four").agg(F.count("*").alias("n"))
-    twos = fours.groupBy("two").agg(F.sum("n").alias("n"))
-    before = lambda *by: F.coalesce(F.sum("n").over(Window.partitionBy(*by[:-1]).orderBy(by[-1]).rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    ahead = fours.withColumn("inside", before("two", "four")).join(twos.withColumn("ahead", before("two")).drop("n"), "two")
-    own = F.row_number().over(Window.partitionBy("two", "four").orderBy("term")) - 1
-    placed = parts.withColumn("own", own).join(ahead.drop("n"), ["two", "four"])
-    return placed.select("term", (F.col("ahead") + F.col("inside") + F.col("own")).alias("term_id"))
+    """Different terms with dense ids in order of their names: term, term_id. No task sorts more than one range of them."""
+    return dense_ids(terms.select("term").distinct(), ["term"], "term_id")
 
 
 def top_words(counts: DataFrame, size: int = -1, count: str = "n", word: str = "word") -> DataFrame:

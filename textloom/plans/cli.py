@@ -24,7 +24,7 @@ def parser() -> argparse.ArgumentParser:
         a.add_argument(f"--{name}", action="store_true")
     a.add_argument("--asOf", default=None, help="time that opinions' ages are measured at; now if left out")
     lda = sub.add_parser("lda", help="topics of plain-text lines")
-    for name, kind, value in (("k", int, 20), ("maxIterations", int, 10), ("topicSmoothing", float, -1.0), ("termSmoothing", float, -1.0), ("vocabSize", int, 10_000), ("stopwordFile", str, "")):
+    for name, kind, value in (("k", int, 20), ("maxIterations", int, 10), ("topicSmoothing", float, 0.1), ("termSmoothing", float, 0.1), ("vocabSize", int, 10_000), ("stopwordFile", str, "")):
         lda.add_argument(f"--{name}", type=kind, default=value)
     lda.add_argument("inputs", nargs="+")
     for name in ("wordcount", "totalcount", "linecount", "wiki", "vectors"):

@@ -16,9 +16,10 @@ from pyspark.sql import functions as F
 from .functions import text as tx
 from .functions.normalize import CODES, DOUBLED, ENDINGS, normalized, term_form
 from .functions.words import ENTITIES, STOP_WORDS, entity_order, written_forms
-from .operators import counts, phrases, ranking, tfidf, vocabulary
+from .operators import counts, phrases, ranking, tfidf, vectors, vocabulary
 from .operators import opinions as ops
 from .operators import topics as tp
+from .operators.ids import dense_ids
 from .plans import apps, articles
 from .sources.readers import parse_articles, spread
 from .sources.sinks import to_json_line
@@ -423,12 +424,72 @@ def multi_word_tfidf(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tfidf.tfidf(tf, docs, ["doc_id"], 2).groupBy("doc_id").agg(F.count("*").alias("n_terms"), F.round(F.max("score"), 6).alias("best"))
 
 
-@query(f"WITH {IDF_SQL} SELECT term, df, df AS estimate FROM freq ORDER BY df DESC, term LIMIT 300")
+def sketch_sql(depth: int = tfidf.DEPTH, width: int = tfidf.WIDTH, seed: int = tfidf.SEED) -> str:
+    return f"""places AS (SELECT term, r, (('0x' || substr(md5('{seed}:' || term), 1, 12))::BIGINT + r * ('0x' || substr(md5('{seed}:' || term), 13, 12))::BIGINT) % {width} AS c FROM freq, range({depth}) t(r)),
+counters AS (SELECT r, c, sum(df) AS n FROM places JOIN freq USING (term) GROUP BY r, c),
+estimates AS (SELECT term, min(n)::BIGINT AS estimate FROM places JOIN counters USING (r, c) GROUP BY term)"""
+
+
+@query(f"WITH {IDF_SQL}, {sketch_sql()} SELECT term, df, estimate FROM freq JOIN estimates USING (term)")
 def document_frequency_sketch(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The sketch's estimates of the 300 most frequent terms beside exact counts; too high where terms collide in all rows."""
+    """The sketch's estimates of all terms beside exact counts; too high where a term collides in all rows."""
     tf = plain_tf(spark, sf_dir)
-    top = tfidf.document_frequency(tf).orderBy(F.desc("df"), "term").limit(300)
-    return top.join(tfidf.sketched_frequency(tf, [r["term"] for r in top.collect()]), "term")
+    exact = tfidf.document_frequency(tf)
+    return exact.join(tfidf.sketched_frequency(tfidf.sketch_counters(tf), exact), "term")
+
+
+@query(f"WITH {IDF_SQL}, {sketch_sql(4, 2_000)} SELECT term, df, estimate FROM freq JOIN estimates USING (term)")
+def document_frequency_small_sketch(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """As document_frequency_sketch in so small a sketch that most terms collide; two halves of the corpus are counted and merged."""
+    tf = plain_tf(spark, sf_dir)
+    half = F.pmod(F.xxhash64("doc_id"), F.lit(2)) == 0
+    counters = tfidf.merge_sketches(tfidf.sketch_counters(tf.filter(half), 4, 2_000), tfidf.sketch_counters(tf.filter(~half), 4, 2_000))
+    exact = tfidf.document_frequency(tf)
+    return exact.join(tfidf.sketched_frequency(counters, exact, 4, 2_000), "term")
+
+
+@query(
+    f"""WITH {TF_SQL}, vocabulary AS (SELECT term, row_number() OVER (ORDER BY term) - 1 AS id FROM (SELECT DISTINCT term FROM terms))
+SELECT doc_id, count(*) AS n_different, sum(n)::BIGINT AS n_words, md5(string_agg(id || ':' || n, ' ' ORDER BY id)) AS digest FROM counted JOIN vocabulary USING (term) GROUP BY doc_id"""
+)
+def sparse_term_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's sparse vector over the whole vocabulary, none of which the driver sees."""
+    ids = vocabulary.vocabulary(plain_terms(spark, sf_dir))
+    rows = vectors.sparse_rows(plain_tf(spark, sf_dir), ids, ["doc_id"])
+    named = F.array_join(F.transform("ids", lambda x, i: F.concat(x.cast("string"), F.lit(":"), F.get("counts", i).cast("long").cast("string"))), " ")
+    total = F.aggregate("counts", F.lit(0.0), lambda a, x: a + x).cast("long")
+    return rows.select("doc_id", F.size("ids").cast("long").alias("n_different"), total.alias("n_words"), F.md5(named).alias("digest"))
+
+
+@query(
+    """WITH lines AS (SELECT doc_id, unnest(string_split(text, chr(10))) AS line, generate_subscripts(string_split(text, chr(10)), 1) - 1 AS place FROM documents)
+SELECT doc_id, place::INTEGER AS place, length(line)::BIGINT AS n_chars, row_number() OVER (ORDER BY doc_id, place) - 1 AS line_id FROM lines"""
+)
+def line_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    lines = documents(spark, sf_dir).select("doc_id", F.posexplode(F.split("text", "\n")).alias("place", "line"))
+    return dense_ids(lines.select("doc_id", "place", F.length("line").cast("long").alias("n_chars")), ["doc_id", "place"], "line_id")
+
+
+@query(
+    """WITH placed AS (SELECT l_returnflag, l_orderkey, l_linenumber, l_extendedprice AS price, rank() OVER (PARTITION BY l_returnflag ORDER BY l_extendedprice DESC) AS place FROM lineitem)
+SELECT l_returnflag, l_orderkey, l_linenumber, price FROM placed WHERE place <= 200"""
+)
+def retain_top_n_hot(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The dearest line items of each return flag, of which there are three."""
+    return ranking.retain_top_hot(_prices(spark, sf_dir), ["l_returnflag"], "price", 200)
+
+
+@query(
+    """WITH placed AS (SELECT l_returnflag, l_orderkey, l_linenumber, l_quantity AS price, rank() OVER w AS place, count(*) OVER (PARTITION BY l_returnflag) AS k FROM lineitem WINDOW w AS (PARTITION BY l_returnflag ORDER BY l_quantity DESC))
+SELECT l_returnflag, l_orderkey, l_linenumber, price FROM placed WHERE place <= greatest(floor(k * 0.05::DOUBLE), 1)"""
+)
+def retain_top_percent_hot(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The largest twentieth of each return flag's line items; quantities are few, so there are many ties."""
+    return ranking.retain_top_share_hot(_prices(spark, sf_dir, "l_quantity"), ["l_returnflag"], "price", 0.05)
+
+
+def _prices(spark: SparkSession, sf_dir: str, column: str = "l_extendedprice") -> DataFrame:
+    return table(spark, sf_dir, "lineitem").select("l_returnflag", "l_orderkey", "l_linenumber", F.col(column).alias("price"))
 
 
 # ---------------------------------------------------------------- articles and comments
@@ -600,11 +661,17 @@ def topic_cogroup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return every.select("topic_id", "terms", F.coalesce("n_items", F.lit(0)).alias("n_items"), F.coalesce("n_days", F.lit(0)).alias("n_days"))
 
 
-def _lda(spark: SparkSession, sf_dir: str):  # noqa: ANN202
-    options = apps.LdaOptions()
+def _lda(spark: SparkSession, sf_dir: str, options: apps.LdaOptions = apps.LdaOptions()):  # noqa: ANN202
     vectors, words = apps.lda_corpus(documents(spark, sf_dir), options, "text", key="doc_id")
     vectors = vectors.persist()
-    return tp.fit_lda(vectors, options.k, options.iterations, seed=1), vectors, words
+    return tp.fit_lda(vectors, options.k, options.iterations, options.doc_concentration, options.topic_concentration, seed=1), vectors, words
+
+
+@query()
+def lda_topics_online(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Topics with the usual smoothing of 0.1, which the online optimizer takes."""
+    model, _, words = _lda(spark, sf_dir, apps.LdaOptions(doc_concentration=0.1, topic_concentration=0.1))
+    return tp.topic_terms(model, words)
 
 
 @query()
