@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from ..functions.normalize import normalized
 from ..functions.words import stop_stems
 from ..operators import opinions as ops
+from ..operators.mixtures import best_terms, fit_mixtures
 from ..operators.ranking import retain_top_share
 from ..operators.tfidf import document_tf, stemmed_tf, surface_forms, term_structs, tfidf
 from ..operators.topics import assignments, document_topics, fit_lda, report, topic_terms
@@ -104,6 +105,8 @@ class Result:
     tags: DataFrame
     #: One row about the topic model and its corpus.
     report: DataFrame | None = None
+    #: Terms of comments in the vocabulary: article_id, comment_no, term.
+    comment_terms: DataFrame | None = None
     cached: list[DataFrame] = field(default_factory=list)
 
     def release(self) -> None:
@@ -142,7 +145,15 @@ def assemble(articles: DataFrame, as_of: Column, options: Options = Options()) -
     items = items.select(F.col("article_id").alias("_id"), F.col("article_id").alias("url"), "date_published", "authors", "tags", "topics", "terms", "title", "lead", "opinions", "buzzMeta").persist()
     tags = ops.tag_counts(items, n=options.tags).persist()
     topics = _topics(items, tags, topic_terms(model, words), forms, as_of, options)
-    return Result(items, topics, tags.select(F.col("tag").alias("_id"), F.col("score").cast("int").alias("score")), report(model, vectors, words), [*cached, opinions, vocabulary, vectors, items, tags])
+    return Result(items, topics, tags.select(F.col("tag").alias("_id"), F.col("score").cast("int").alias("score")), report(model, vectors, words), vocabulary.filter(F.col("comment_no") != OWN).select(*KEYS, "term"), [*cached, opinions, vocabulary, vectors, items, tags])
+
+
+def comment_topics(result: Result, k: int = 20, iterations: int = 80, least_topic_score: float = Options.least_topic_score, n: int = 10, seed: int = 1) -> DataFrame:
+    """Topics of the comments on each topic's articles: topic_id, topic, place, term, weight. A comment counts for all topics
+    of its article above a score; all topics' models are fitted together, keyed by topic."""
+    topics = assignments(result.items.select("_id", "topics"), least_topic_score).select(F.col("_id").alias("article_id"), "topic_id")
+    rows = result.comment_terms.join(topics, "article_id").withColumn("n", F.lit(1))
+    return best_terms(fit_mixtures(rows, ["topic_id"], KEYS, k, iterations, seed=seed), ["topic_id"], n)
 
 
 def _topics(items: DataFrame, tags: DataFrame, terms: DataFrame, forms: DataFrame, as_of: Column, options: Options) -> DataFrame:

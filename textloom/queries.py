@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from .functions import text as tx
 from .functions.normalize import CODES, DOUBLED, ENDINGS, normalized, term_form
 from .functions.words import ENTITIES, STOP_WORDS, entity_order, written_forms
-from .operators import counts, phrases, ranking, tfidf, vectors, vocabulary
+from .operators import counts, mixtures, phrases, ranking, tfidf, vectors, vocabulary
 from .operators import opinions as ops
 from .operators import topics as tp
 from .operators.ids import dense_ids
@@ -686,6 +686,16 @@ def lda_doc_topics(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tp.assignments(tp.document_topics(model, vectors, ["id"])).select(F.col("id").alias("doc_id"), "topic_id", "score")
 
 
+@query()
+def lda_training_shares(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Shares of topics in the documents that the model was fitted to, as EM has them."""
+    model, vectors, words = _lda(spark, sf_dir)
+    each = vectors.select("id", F.posexplode(vector_to_array("features")).alias("term", "n")).filter("n > 0").withColumn("term", F.col("term").cast("long"))
+    shares = mixtures.training_shares(each, mixtures.term_weights(model, len(words)), ["id"], apps.LdaOptions.k)
+    vectors.unpersist()
+    return shares.select(F.col("id").alias("doc_id"), F.posexplode("shares").alias("topic_id", "score")).filter("score > 0.05")
+
+
 @query()
 def lda_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     model, vectors, words = _lda(spark, sf_dir)
@@ -716,6 +726,12 @@ def article_topics(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topics.select("id", to_json_line(*topics.columns).alias("line"))
 
 
+@query()
+def comment_topics(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Topics of the comments of each topic; of reduced size as article_topics is."""
+    return articles.comment_topics(_assembled(spark, sf_dir), k=3, iterations=5)
+
+
 @query(
     f"""WITH RECURSIVE {FORMS_SQL}, asked AS (SELECT stem, term FROM (SELECT stem, unnest([stem, stem || '_' || reverse(stem), stem || '_' || left(stem, 3) || '_' || form]) AS term FROM forms)),
 each AS (SELECT DISTINCT a.term, unnest(string_split(a.term, '_')) AS part, generate_subscripts(string_split(a.term, '_'), 1) AS place FROM asked a)
