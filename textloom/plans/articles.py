@@ -87,7 +87,7 @@ def cogroup(first: DataFrame, *others: DataFrame, on: str = "topic_id") -> DataF
     return first
 
 
-def _buzz(by: list[str], opinions: DataFrame, as_of: Column) -> DataFrame:
+def buzz_of(by: list[str], opinions: DataFrame, as_of: Column) -> DataFrame:
     """by, buzzMeta of opinions (by, opinion)."""
     flat = opinions.select(*by, "opinion.date_published", "opinion.votes_up", "opinion.votes_down")
     meta = ops.buzz_meta(flat, by, as_of)
@@ -141,7 +141,7 @@ def assemble(articles: DataFrame, as_of: Column, options: Options = Options()) -
 
     items = with_comments(articles.withColumnRenamed("_id", "article_id").select("article_id", "date_published", "authors", "tags", "title", "lead"), own, options.keep_uncommented)
     items = with_comments(items, gathered(opinions, "article_id", "opinion", "opinions"), options.keep_uncommented)
-    items = items.join(document_topics(model, vectors, ["article_id"]), "article_id").join(_buzz(["article_id"], opinions, as_of), "article_id", "left")
+    items = items.join(document_topics(model, vectors, ["article_id"]), "article_id").join(buzz_of(["article_id"], opinions, as_of), "article_id", "left")
     items = items.select(F.col("article_id").alias("_id"), F.col("article_id").alias("url"), "date_published", "authors", "tags", "topics", "terms", "title", "lead", "opinions", "buzzMeta").persist()
     tags = ops.tag_counts(items, n=options.tags).persist()
     topics = _topics(items, tags, topic_terms(model, words), forms, as_of, options)
@@ -169,8 +169,8 @@ def _topics(items: DataFrame, tags: DataFrame, terms: DataFrame, forms: DataFram
     series = ops.activity(sums, "topic_id").groupBy("topic_id").agg(F.sort_array(F.collect_list(day)).alias("timeseries"))
     # there are options.tags known tags at most
     tagged = by_topic_and_tag(by_topic, tags, "opinions").select("topic_id", "tag", F.explode("opinions").alias("opinion"))
-    per_tag = _buzz(["topic_id", "tag"], tagged, as_of).groupBy("topic_id").agg(F.map_from_entries(F.sort_array(F.collect_list(F.struct("tag", "buzzMeta")))).alias("buzzMetaPerTag"))
-    topics = cogroup(words, _buzz(["topic_id"], opinions, as_of), per_tag, series)
+    per_tag = buzz_of(["topic_id", "tag"], tagged, as_of).groupBy("topic_id").agg(F.map_from_entries(F.sort_array(F.collect_list(F.struct("tag", "buzzMeta")))).alias("buzzMetaPerTag"))
+    topics = cogroup(words, buzz_of(["topic_id"], opinions, as_of), per_tag, series)
     return topics.select(F.col("topic_id").alias("id"), F.lit(None).cast("string").alias("label"), "topicTerms", "buzzMeta", "buzzMetaPerTag", "timeseries")
 
 

@@ -547,6 +547,60 @@ def json_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return back.select(F.col("_id").cast("long").alias("article_id"), F.size("comments").cast("long").alias("n_comments"), votes.alias("votes"), "date_published")
 
 
+SUMMARY_SQL = f"""{THREADS_SQL},
+placed_docs AS (SELECT article_id, (row_number() OVER (PARTITION BY article_id ORDER BY comment_id) - 2)::INTEGER AS comment_no, text FROM docs),
+said AS (SELECT article_id, comment_no, {money_sql('text')} AS m FROM placed_docs WHERE text IS NOT NULL),
+amounts AS (SELECT article_id, comment_no, {amount_sql('m')} AS t FROM said),
+cleaned AS (SELECT article_id, comment_no, {clean_sql('t')} AS c FROM amounts),
+thread_terms AS (SELECT * FROM (SELECT article_id, comment_no, unnest({SPLIT_SQL.format('c')}) AS term FROM cleaned) WHERE term <> ''),
+thread_counts AS (SELECT article_id, comment_no, term, count(*) AS n FROM thread_terms GROUP BY ALL),
+thread_tf AS (SELECT *, n::DOUBLE / max(n) OVER (PARTITION BY article_id, comment_no) AS tf FROM thread_counts),
+totals AS (SELECT term, sum(tf) AS total FROM thread_tf GROUP BY term), given AS (SELECT term FROM totals), {STEMS_SQL},
+forms AS (SELECT stem, arg_max(term, (round(total, 9), term)) AS form FROM totals JOIN formed USING (term) WHERE stem <> '' GROUP BY stem),
+stem_tf AS (SELECT article_id, comment_no, stem, sum(tf) AS tf FROM thread_tf JOIN formed USING (term) WHERE stem <> '' GROUP BY ALL),
+stem_idf AS (SELECT stem, ln(((SELECT count(*) FROM said) + 1.0::DOUBLE) / (count(*) + 1.0::DOUBLE)) AS idf FROM stem_tf GROUP BY stem HAVING count(*) >= 2),
+stem_scores AS (SELECT article_id, comment_no, stem, tf * idf AS score FROM stem_tf JOIN stem_idf USING (stem) WHERE tf * idf > 0),
+ranked AS (SELECT *, rank() OVER (PARTITION BY article_id, comment_no ORDER BY score DESC) AS place, count(*) OVER (PARTITION BY article_id, comment_no) AS k FROM stem_scores),
+summaries AS (SELECT article_id, comment_no, stem, form, score FROM ranked JOIN forms USING (stem) WHERE place <= greatest(floor(k * 0.1::DOUBLE), 1))"""
+
+
+@query(
+    f"""WITH RECURSIVE {SUMMARY_SQL}
+SELECT article_id, comment_no, count(*) AS n_terms, md5(string_agg(stem || '=' || form, ' ' ORDER BY stem)) AS digest, round(max(score), 6) AS best FROM summaries GROUP BY ALL"""
+)
+def thread_summaries(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each text's summary terms with their written forms, of articles and comments, as the assembly has them."""
+    _, _, rows, _ = articles.summarise(conversation_articles(spark, sf_dir))
+    names = F.array_sort(F.transform("terms", lambda t: F.concat(t["normalizedForm"], F.lit("="), F.get(t["originalForms"], F.lit(0)))))
+    best = F.array_max(F.transform("terms", lambda t: t["score"]))
+    return rows.select(
+        F.col("article_id").cast("long").alias("article_id"), "comment_no", F.size("terms").cast("long").alias("n_terms"), F.md5(F.array_join(names, " ")).alias("digest"), F.round(best, 6).alias("best")
+    )
+
+
+@query(
+    f"""WITH RECURSIVE {SUMMARY_SQL},
+opinions AS (SELECT DISTINCT article_id, comment_no FROM summaries WHERE comment_no >= 0),
+votes AS (SELECT o.*, length(text) AS up, (1000000000 + article_id * 3600)::BIGINT AS since FROM opinions o JOIN placed_docs USING (article_id, comment_no)),
+values_of AS (SELECT *, trunc((epoch(TIMESTAMP '2001-09-12') - since) / 3600)::BIGINT AS hours FROM votes),
+meta AS (SELECT article_id, count(*) AS n_opinions, sum(up)::BIGINT AS n_votes, sum(CASE WHEN since > epoch(TIMESTAMP '2001-09-12') THEN 0.0::DOUBLE
+  ELSE ln(2.718281828459045::DOUBLE + up) / ln(2.718281828459045::DOUBLE) * greatest(0.0::DOUBLE, ln(30.0::DOUBLE / (greatest(hours, 1) / 24.0::DOUBLE))) END) AS buzz FROM values_of GROUP BY article_id),
+used AS (SELECT article_id, stem, form, count(*) AS n FROM summaries WHERE comment_no >= 0 GROUP BY ALL),
+top AS (SELECT *, row_number() OVER (PARTITION BY article_id ORDER BY n DESC, form, stem) AS place FROM used)
+SELECT article_id, n_opinions, n_votes, round(buzz, 4) AS buzz, string_agg(form, ' ' ORDER BY place) AS terms FROM meta JOIN top USING (article_id) WHERE place <= 10 GROUP BY ALL"""
+)
+def thread_buzz(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Popularity, votes and top terms of the opinions on each article, as the assembly has them."""
+    made = conversation_articles(spark, sf_dir)
+    _, _, rows, _ = articles.summarise(made)
+    said = articles.opinions_of(made, rows.filter(F.col("comment_no") != articles.OWN))
+    meta = articles.buzz_of(["article_id"], said, F.lit("2001-09-12").cast("timestamp"))
+    return meta.select(
+        F.col("article_id").cast("long").alias("article_id"), F.col("buzzMeta.opinionCount").cast("long").alias("n_opinions"), F.col("buzzMeta.opinionVotes").cast("long").alias("n_votes"),
+        F.round("buzzMeta.buzzScore", 4).alias("buzz"), F.array_join("buzzMeta.opinionTerms", " ").alias("terms"),
+    )
+
+
 # ---------------------------------------------------------------- opinions
 
 OPINIONS_SQL = f"""
