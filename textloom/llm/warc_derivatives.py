@@ -109,16 +109,29 @@ def read_records(data: bytes) -> list[tuple[dict[str, str], bytes]]:
     return out
 
 
+#: What a record begins with.
+START = re.compile(rb"WARC/1\.[0-9]\r\n")
+
+
 def sound_records(data: bytes) -> Iterator[tuple[dict[str, str], bytes, str | None]]:
-    """Records of a WARC; for a broken one its error, and reading goes on where the next one seems to begin."""
-    at = 0
+    """Records of a WARC; for a broken one its error, and reading goes on where the next one seems to begin.
+
+    Linear in the data: the end of a header is looked for once, and a header is broken if another record begins before it.
+    """
+    at, end = 0, 0
     while 0 <= at < len(data):
+        if 0 <= end < at + 4:
+            end = data.find(b"\r\n\r\n", at)
+        inner = START.search(data, at + 1, end if end >= 0 else len(data))
         try:
+            if inner or end < 0:
+                raise ValueError(f"the headers at byte {at} do not end")
             headers, block, at = read_record(data, at)
             yield headers, block, None
         except ValueError as e:
             yield {}, b"", str(e)
-            at = data.find(b"WARC/1.", at + 1)
+            following = inner or START.search(data, at + 1)
+            at = following.start() if following else -1
 
 
 def response(url: str | None, html: str | None) -> bytes:
