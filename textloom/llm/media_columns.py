@@ -28,8 +28,6 @@ ROW = 192
 #: Tile written as NPY: rows, columns. One column more than hash bits in a row.
 TILE = (8, 9)
 
-#: Pixels of the largest image that is decoded.
-MOST_PIXELS = 1 << 28
 BLANKS = b" \t\n\v\f\r"
 
 
@@ -71,8 +69,9 @@ class _Header:
         return int(data[first:at])
 
 
-def _shape(width: int, height: int) -> tuple[int, int]:
-    if width < 1 or height < 1 or width * height > MOST_PIXELS:
+def _shape(width: int, height: int, size: int) -> tuple[int, int]:
+    """The shape that a header names, unless so many bytes can't hold as many pixels: a pixel has one bit at least."""
+    if width < 1 or height < 1 or width * height > 8 * size:
         raise ValueError(f"an image of {width} x {height} pixels is not decoded")
     return height, width
 
@@ -80,7 +79,7 @@ def _shape(width: int, height: int) -> tuple[int, int]:
 def _decode_netpbm(data: bytes) -> np.ndarray:
     kind, header = data[1] - 48, _Header(data)
     width, height = header.number(), header.number()
-    shape = _shape(width, height)
+    shape = _shape(width, height, len(data))
     most = 1 if kind in (1, 4) else header.number()
     if not 1 <= most < 65536:
         raise ValueError(f"samples up to {most} are not decoded")
@@ -122,7 +121,7 @@ def _decode_bmp(data: bytes) -> np.ndarray:
     (start,), (head, w, h), (planes, depth, packed) = struct.unpack_from("<I", data, 10), struct.unpack_from("<Iii", data, 14), struct.unpack_from("<HHI", data, 26)
     if head < 40 or planes != 1 or depth not in (8, 24, 32) or packed:
         raise ValueError("only uncompressed BMP of 8, 24 or 32 bits is decoded")
-    rows, _ = _shape(w, abs(h))
+    rows, _ = _shape(w, abs(h), len(data))
     stride = (w * depth // 8 + 3) // 4 * 4
     if len(data) < start + rows * stride:
         raise ValueError("BMP is cut short")
