@@ -431,6 +431,16 @@ def test_headers_take_linear_time():
         assert time.process_time() - began < 1
 
 
+def test_sizes_that_the_bytes_can_not_hold():
+    """No limit but that: as many pixels as a text fills, however many, and none that are only claimed."""
+    for claim in (b"P5 99999 99999 255 ", b"P4 1000000 1000000 ", b"P1 70000 70000 1 0", b"P6 40 40 255 abc"):
+        with pytest.raises(ValueError):
+            media_columns.decode(claim + bytes(50))
+    assert media_columns.decode(b"P4 80 1\n" + b"\xff" * 10).shape == (1, 80)
+    large = media_columns.encode_netpbm(np.zeros((1 << 15, 1 << 14), np.uint8))
+    assert media_columns.decode(large).size == 1 << 29
+
+
 def test_media(spark):
     rng = np.random.default_rng(1)
     for h, w in ((1, 1), (5, 7), (64, 3), (33, 20)):
@@ -597,6 +607,22 @@ def test_pages_take_linear_time(unit):
     assert time.process_time() - began < 6
 
 
+@pytest.mark.parametrize("unit", ["WARC/1.1\r\n", "WARC/1.1\r\nA: b\r\n", "WARC/1.", "x WARC/1.0\r\n", "WARC/1.0\r\n\r\n", "WARC/1.0\r\nContent-Length: 5\r\n\r\n"])
+@pytest.mark.parametrize("tail", ["", "\r\n\r\n"])
+def test_broken_records_take_linear_time(unit, tail):
+    data = (unit * (1_000_000 // len(unit)) + tail).encode()
+    began = time.process_time()
+    found = list(warc_derivatives.sound_records(data))
+    assert time.process_time() - began < 3 and all(error for _, _, error in found)
+
+
+def test_records_between_broken_ones():
+    good = warc_derivatives.write_record({"WARC-Type": "response", "WARC-Record-ID": "<urn:uuid:1>"}, b"WARC/1.1\r\n in a block\r\n\r\n")
+    for broken in (b"WARC/1.1\r\nA: b\r\n", b"junk", good[:-3], good[:30], b"WARC/1.0\r\n\r\n"):
+        found = list(warc_derivatives.sound_records(good + broken + good + good))
+        assert [block for _, block, error in found if error is None].count(b"WARC/1.1\r\n in a block\r\n\r\n") == 3 and any(e for _, _, e in found)
+
+
 def test_warc_headers(spark):
     """What a real response brings with it stays; broken records are rows of their own."""
     http = "HTTP/1.1 404 Not Found\r\nServer: x\r\nContent-Type: text/html; charset=\"latin1\"\r\n\r\n".encode()

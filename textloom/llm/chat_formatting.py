@@ -3,8 +3,9 @@ r"""Chat formatting with a grammar round trip.
 A turn is rendered as ``### role:\n`` + text + ``\n</turn>\n``. The control strings are
 ``### `` and ``</turn>``. A conversation is first rendered as it is and parsed again; where
 the parser does not give back the same turns, the texts are escaped (each control string and
-the backslashes before it get one backslash more, which the parser takes away) and the result
-is parsed again. The parser always unescapes, so that it is one grammar for both.
+the backslashes before it get one backslash more, which the parser takes away; texts without any
+stay as they are) and the result is parsed again and compared too: a conversation that did not come
+back would be an error. The parser always unescapes, so that it is one grammar for both.
 
 Defined results: null text and null role are empty; turns go by ``turn``, ties by role and
 text; texts of any length and any number of turns are one conversation and one row, so one
@@ -103,7 +104,12 @@ def format_chats(conversations: DataFrame, learn_role: str = "assistant") -> Dat
         "conv_id", "turns", F.when(F.col("fits"), F.col("plain")).otherwise(render(F.col("turns"), escaped=True)).alias("formatted"),
         F.when(F.col("fits"), 0).otherwise(1).alias("rounds"),
     )
-    return chats.withColumn("loss_mask", F.transform(F.filter(parse(F.col("formatted")), lambda t: t["role"] == learn_role), lambda t: F.struct(t["start"].alias("start"), t["end"].alias("end"))))
+    # read once for the mask and, where it was escaped, for the comparison
+    chats = chats.select("*", parse(F.col("formatted")).alias("back"))
+    exact = F.when((F.col("rounds") == 0) | _same(F.col("back"), F.col("turns")), F.col("formatted"))
+    checked = exact.otherwise(F.raise_error(F.concat(F.lit("a conversation does not come back from its escaped form: "), F.coalesce(F.col("conv_id").cast("string"), F.lit("null")))))
+    mask = F.transform(F.filter("back", lambda t: t["role"] == learn_role), lambda t: F.struct(t["start"].alias("start"), t["end"].alias("end")))
+    return chats.select("conv_id", "turns", checked.alias("formatted"), "rounds", mask.alias("loss_mask"))
 
 
 def read_back(chats: DataFrame) -> DataFrame:
