@@ -6,7 +6,8 @@ a DataFrame; all but the last give the columns of documents.
 Defined results: null and empty texts fail the rules and go; texts of any length are read whole;
 of equal or linked documents the one with the smallest id stays, one with a null id only where no
 linked one has an id, of equal ids the one whose text has the smallest hash; documents that share
-an id, or have none, are told apart by their texts; rows of the same id and text count as copies;
+an id, or have none, are told apart by their texts; rows of the same id and text count as copies,
+of which the first by its columns' JSON stays;
 rows of one id, text and source that reach the mix are taken as often as the most taken of them;
 an empty table gives no rows; further columns, whatever their names, are carried along.
 """
@@ -49,7 +50,10 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
     others = _small(classes.filter(~F.col("stays")).select(*named).distinct())
     left = docs.join(others, same, "left_anti")
     again = _small(classes.filter("stays").groupBy(*named).count().filter("count > 1").select(id_, hash_))
-    marked = left.join(again, same, "left_semi").dropDuplicates(["doc_id", "text"])
+    whole = F.struct(*[F.col(f"`{c}`") for c in docs.columns])
+    # of rows of one id and text the first by all their columns, so that reruns agree
+    first = F.min_by(whole, F.to_json(whole, {"ignoreNullFields": "false"})).alias(id_)
+    marked = left.join(again, same, "left_semi").groupBy("doc_id", "text").agg(first).select(f"{id_}.*")
     return left.join(again, same, "left_anti").unionByName(marked)
 
 
