@@ -10,14 +10,14 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.normalize import term_form
 from ..functions.text import multi_terms, once, single_terms
+from .terms import formed
 
 
-def document_tf(docs: DataFrame, keys: list[str], text: str = "text", term_words: int = 1, strict: bool = False) -> DataFrame:
+def document_tf(docs: DataFrame, keys: list[str], text: str = "text", term_words: int = 1, strict: bool = False, dictionary: DataFrame | None = None) -> DataFrame:
     """keys, term, n, tf of documents' texts. Terms of several words are stems, counted after stemming."""
     tf = augmented_tf(term_arrays(docs, keys, text, term_words, strict), keys)
-    return tf if term_words <= 1 else stemmed_terms(tf, keys, strict)
+    return tf if term_words <= 1 else stemmed_terms(tf, keys, strict, dictionary)
 
 
 def run_lengths(values: Column) -> Column:
@@ -72,28 +72,25 @@ def augmented_tf(docs: DataFrame, keys: list[str]) -> DataFrame:
     return docs.select(*keys, "terms").mapInArrow(run, f"{types}, term string, n long, tf double")
 
 
-def stemmed_terms(counts: DataFrame, keys: list[str], strict: bool = False) -> DataFrame:
+def stemmed_terms(counts: DataFrame, keys: list[str], strict: bool = False, dictionary: DataFrame | None = None) -> DataFrame:
     """Counts of written terms (keys, term, n) as those of their stems, with tf anew."""
-    stems = counts.withColumn("term", term_form(F.col("term"), strict))
-    stems = stems if strict else stems.filter(F.col("term") != "")
-    summed = stems.groupBy(*keys, "term").agg(F.sum("n").alias("n"))
+    stems = formed(counts.select(*keys, "term", "n"), dictionary, strict, "_stem")
+    summed = stems.groupBy(*keys, F.col("_stem").alias("term")).agg(F.sum("n").alias("n"))
     return summed.withColumn("tf", F.col("n") / F.max("n").over(Window.partitionBy(*keys)))
 
 
-def surface_forms(tf: DataFrame, strict: bool = False) -> DataFrame:
+def surface_forms(tf: DataFrame, strict: bool = False, dictionary: DataFrame | None = None) -> DataFrame:
     """Each stem's written form of the largest total weight, ties by the form: stem, form, total."""
     totals = tf.groupBy("term").agg(F.sum("tf").alias("total"))
-    stems = totals.withColumn("stem", term_form(F.col("term"), strict))
-    stems = stems if strict else stems.filter(F.col("stem") != "")
     best = F.max(F.struct(F.round("total", 9).alias("total"), F.col("term").alias("form")))
-    return stems.groupBy("stem").agg(best.alias("b")).select("stem", "b.form", "b.total")
+    return formed(totals, dictionary, strict).groupBy("stem").agg(best.alias("b")).select("stem", "b.form", "b.total")
 
 
-def stemmed_tf(tf: DataFrame, keys: list[str], strict: bool = False) -> DataFrame:
-    """Weights of a document's forms of one stem, summed: keys, term (the stem), tf."""
-    stems = tf.withColumn("term", term_form(F.col("term"), strict))
-    stems = stems if strict else stems.filter(F.col("term") != "")
-    return stems.groupBy(*keys, "term").agg(F.sum("tf").alias("tf"))
+def stemmed_tf(tf: DataFrame, keys: list[str], strict: bool = False, dictionary: DataFrame | None = None) -> DataFrame:
+    """Weights of a document's forms of one stem, summed: keys, term (the stem), tf. With a dictionary (term, form) no row passes
+    through Python."""
+    stems = formed(tf.select(*keys, "term", "tf"), dictionary, strict, "_stem")
+    return stems.groupBy(*keys, F.col("_stem").alias("term")).agg(F.sum("tf").alias("tf"))
 
 
 def document_frequency(tf: DataFrame) -> DataFrame:

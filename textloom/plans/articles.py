@@ -12,6 +12,7 @@ from ..functions.words import stop_stems
 from ..operators import opinions as ops
 from ..operators.mixtures import best_terms, fit_mixtures
 from ..operators.ranking import retain_top_share
+from ..operators.terms import extend_dictionary, normal_forms
 from ..operators.tfidf import document_tf, stemmed_tf, surface_forms, term_structs, tfidf
 from ..operators.topics import assignments, document_topics, fit_lda, report, topic_terms
 from ..operators.vocabulary import MOST_WORDS, driver_words, term_vectors, without_stop_words
@@ -41,6 +42,8 @@ class Options:
     keep_uncommented: bool = False
     strict: bool = False
     seed: int = 1
+    #: Path of a dictionary of terms' normal forms that runs share and extend; none if empty.
+    term_dictionary: str = ""
 
 
 def comments_of(articles: DataFrame) -> DataFrame:
@@ -119,10 +122,12 @@ def summarise(articles: DataFrame, options: Options = Options()) -> tuple[DataFr
     """TF-IDF of all documents, the written forms of stems, each document's summary terms, and what is cached."""
     docs = create_docs(articles)
     tf = document_tf(docs, KEYS, term_words=options.term_words, strict=options.strict).persist()
-    forms = surface_forms(tf, options.strict).persist()
-    scored = tfidf(stemmed_tf(tf, KEYS, options.strict), docs, KEYS, options.min_doc_freq).persist()
+    # each different term is normalised once; with a path, once in all runs
+    forms_of = (extend_dictionary(tf, options.term_dictionary) if options.term_dictionary else normal_forms(tf)).persist()
+    forms = surface_forms(tf, options.strict, forms_of).persist()
+    scored = tfidf(stemmed_tf(tf, KEYS, options.strict, forms_of), docs, KEYS, options.min_doc_freq).persist()
     summaries = term_structs(retain_top_share(scored, KEYS, "score", options.summary_top), forms, KEYS).persist()
-    return scored, forms, summaries, [tf, forms, scored, summaries]
+    return scored, forms, summaries, [tf, forms_of, forms, scored, summaries]
 
 
 def assemble(articles: DataFrame, as_of: Column, options: Options = Options()) -> Result:

@@ -18,7 +18,7 @@ def parser() -> argparse.ArgumentParser:
     a = sub.add_parser("articles", help="articles with comments to topic items, topics and tags")
     for name, kind, value in (("retainTop", float, 0.05), ("ldaIterations", int, 70), ("ldaTopics", int, 50), ("termWords", int, 1), ("minDocFreq", int, 2), ("tasks", int, 0)):
         a.add_argument(f"--{name}", type=kind, default=value)
-    for name, kind, value in (("summaryTop", float, 0.1), ("leastTopicScore", float, 0.05), ("tags", int, 100), ("stopwordFile", str, ""), ("mostWords", int, articles.Options.most_words), ("seed", int, 1)):
+    for name, kind, value in (("summaryTop", float, 0.1), ("leastTopicScore", float, 0.05), ("tags", int, 100), ("stopwordFile", str, ""), ("termDictionary", str, ""), ("mostWords", int, articles.Options.most_words), ("seed", int, 1)):
         a.add_argument(f"--{name}", type=kind, default=value)
     for name in ("keepUncommented", "strict"):
         a.add_argument(f"--{name}", action="store_true")
@@ -45,7 +45,7 @@ def main(args: list[str] | None = None) -> None:
     if o.app == "articles":
         options = articles.Options(
             retain_top=o.retainTop, iterations=o.ldaIterations, topics=o.ldaTopics, term_words=o.termWords, min_doc_freq=o.minDocFreq, summary_top=o.summaryTop, least_topic_score=o.leastTopicScore,
-            tags=o.tags, stop_words=o.stopwordFile, most_words=o.mostWords, keep_uncommented=o.keepUncommented, strict=o.strict, seed=o.seed,
+            tags=o.tags, stop_words=o.stopwordFile, term_dictionary=o.termDictionary, most_words=o.mostWords, keep_uncommented=o.keepUncommented, strict=o.strict, seed=o.seed,
         )
         as_of = F.lit(o.asOf).cast("timestamp") if o.asOf else F.current_timestamp()
         began = time.perf_counter()
