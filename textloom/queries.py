@@ -7,6 +7,7 @@ votes, its priority is a tag and its customer number deals topics.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.ml.functions import vector_to_array
@@ -23,6 +24,8 @@ from .operators.ids import dense_ids
 from .plans import apps, articles
 from .sources.readers import parse_articles, spread
 from .sources.sinks import to_json_line
+from .sources.tables import shared_dir
+from .streaming import versions
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -673,6 +676,27 @@ def event_timeseries(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ops.activity(items, "event_type")
 
 
+@query(
+    """WITH last AS (SELECT o_orderpriority AS priority, date_trunc('day', o_orderdate) AS day, CASE WHEN o_orderstatus = 'F' THEN o_custkey % 7 ELSE 1 END AS n, CASE WHEN o_orderstatus = 'F' THEN floor(o_totalprice)::BIGINT % 100 ELSE 2 END AS v FROM orders)
+SELECT priority, day, sum(n)::BIGINT AS opinion_count, sum(v)::BIGINT AS interaction_count FROM last GROUP BY 1, 2"""
+)
+def activity_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Daily activity of orders that come as a stream, filled ones in two versions of which the later one counts."""
+    path, folder = f"{sf_dir}/orders.parquet", f"{shared_dir(spark)}/textloom/stream-{uuid.uuid4().hex}"
+    # a stream takes a folder or a pattern; the table may be either a folder or a file
+    orders = spark.readStream.schema(spark.read.parquet(path).schema).parquet(f"{sf_dir}/order[s].parquet")
+    date, late = F.col("o_orderdate").cast("timestamp"), F.expr("CAST(o_orderdate AS TIMESTAMP) + INTERVAL 1 DAY")
+    one = lambda version, line, n, v: F.struct(version.alias("version"), F.lit(line).alias("line"), n.cast("long").alias("n_opinions"), v.cast("long").alias("n_votes"))
+    known = F.array(one(date, "first", F.lit(1), F.lit(2)), F.when(F.col("o_orderstatus") == "F", one(late, "second", F.col("o_custkey") % 7, F.floor("o_totalprice") % 100)))
+    each = orders.select(F.col("o_orderkey").alias("_id"), F.col("o_orderpriority").alias("by"), F.date_trunc("DAY", date).alias("day"), F.explode(F.filter(known, lambda x: x.isNotNull())).alias("x"))
+    counts_ = each.select("_id", "x.version", "x.line", "by", "day", "x.n_opinions", "x.n_votes", F.array().cast("array<string>").alias("tags"))
+    # a table is no stream in order of time: nothing in it is late
+    changes = versions.article_changes(counts_, late="36500 days")
+    run = changes.writeStream.format("parquet").option("checkpointLocation", f"{folder}/state").outputMode("append").trigger(availableNow=True).start(f"{folder}/changes")
+    run.awaitTermination()
+    return versions.activity_of(spark.read.schema(versions.CHANGES).parquet(f"{folder}/changes")).withColumnRenamed("by", "priority")
+
+
 @query(
     f"""WITH tags AS (SELECT unnest([o_orderpriority, 'Kunde ' || (o_custkey % 211) || ' & Söhne']) AS tag FROM orders)
 SELECT {NORMAL_SQL.format('tag')} AS tag, count(*) AS score FROM tags GROUP BY 1 ORDER BY score DESC, tag LIMIT 100"""
