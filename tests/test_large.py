@@ -116,11 +116,14 @@ def test_online_topics_are_the_planted_ones(spark):
     model = tp.fit_lda(features, 3, 20, doc_concentration=0.1, topic_concentration=0.1)
     assert not model.isDistributed()
     found = {}
-    for x in tp.topic_terms(model, words, 4).collect():
+    rows = tp.topic_terms(model, words, 4).collect()
+    for x in rows:
         found.setdefault(x["topic_id"], set()).add(x["term"])
+    table = spark.createDataFrame([(w, i) for i, w in enumerate(words)], "term string, term_id long")
+    assert sorted(map(tuple, tp.topic_terms(model, table, 4).collect())) == sorted(map(tuple, rows))
     assert sorted(map(sorted, found.values())) == sorted(sorted(t.split()) for t in PLANTED)
     shares = {x["id"]: x["topics"] for x in tp.document_topics(model, features, ["id"]).collect()}
     assert all(abs(sum(t["score"] for t in s) - 1) < 1e-6 and s[0]["score"] > 0.5 for s in shares.values())
-    row = tp.report(model, features, words).first()
+    row = tp.report(model, features, len(words)).first()
     assert (row["n_topics"], row["n_docs"], row["n_words"]) == (3, 240, 12) and row["log_likelihood_per_doc"] < 0
     features.unpersist()

@@ -15,7 +15,9 @@ from ..operators.ranking import retain_top_share
 from ..operators.terms import extend_dictionary, normal_forms
 from ..operators.tfidf import document_tf, stemmed_tf, surface_forms, term_structs, tfidf
 from ..operators.topics import assignments, document_topics, fit_lda, report, topic_terms
-from ..operators.vocabulary import MOST_WORDS, driver_words, term_vectors, without_stop_words
+from ..operators.vectors import MOST_SIZE, ml_vectors, sparse_rows
+from ..operators.vocabulary import vocabulary as term_ids
+from ..operators.vocabulary import without_stop_words
 from ..sources.readers import read_word_list
 from ..sources.sinks import write_json
 
@@ -37,8 +39,8 @@ class Options:
     tags: int = 100
     #: Path of a list of stop words; the built-in one if empty.
     stop_words: str = ""
-    #: A vocabulary of more words is an error: LDA needs its words on the driver.
-    most_words: int = MOST_WORDS
+    #: A vocabulary of more words is an error: an ML vector has no more places.
+    most_words: int = MOST_SIZE
     keep_uncommented: bool = False
     strict: bool = False
     seed: int = 1
@@ -139,9 +141,12 @@ def assemble(articles: DataFrame, as_of: Column, options: Options = Options()) -
     stop = read_word_list(articles.sparkSession, options.stop_words) if options.stop_words else None
     stems = stop_stems([r["word"] for r in stop.collect()]) if stop else stop_stems()  # a word list
     vocabulary = without_stop_words(retain_top_share(scored, KEYS, "score", options.retain_top), stems).persist()
-    words = sorted(driver_words(vocabulary.select("term").distinct(), options.most_words))
-    bags = vocabulary.filter(F.col("comment_no") == OWN).groupBy("article_id").agg(F.collect_set("term").alias("terms"))
-    vectors = term_vectors(bags, words, binary=True).persist()
+    words = term_ids(vocabulary).persist()
+    size = words.count()
+    if size > options.most_words:
+        raise ValueError(f"the vocabulary has more than {options.most_words} words; select fewer")
+    bags = vocabulary.filter(F.col("comment_no") == OWN).select("article_id", "term").distinct()
+    vectors = ml_vectors(sparse_rows(bags, words, ["article_id"], binary=True), size).persist()
     model = fit_lda(vectors, options.topics, options.iterations, seed=options.seed)
 
     items = with_comments(articles.withColumnRenamed("_id", "article_id").select("article_id", "date_published", "authors", "tags", "title", "lead"), own, options.keep_uncommented)
@@ -150,7 +155,7 @@ def assemble(articles: DataFrame, as_of: Column, options: Options = Options()) -
     items = items.select(F.col("article_id").alias("_id"), F.col("article_id").alias("url"), "date_published", "authors", "tags", "topics", "terms", "title", "lead", "opinions", "buzzMeta").persist()
     tags = ops.tag_counts(items, n=options.tags).persist()
     topics = _topics(items, tags, topic_terms(model, words), forms, as_of, options)
-    return Result(items, topics, tags.select(F.col("tag").alias("_id"), F.col("score").cast("int").alias("score")), report(model, vectors, words), vocabulary.filter(F.col("comment_no") != OWN).select(*KEYS, "term"), [*cached, opinions, vocabulary, vectors, items, tags])
+    return Result(items, topics, tags.select(F.col("tag").alias("_id"), F.col("score").cast("int").alias("score")), report(model, vectors, size), vocabulary.filter(F.col("comment_no") != OWN).select(*KEYS, "term"), [*cached, opinions, vocabulary, words, vectors, items, tags])
 
 
 def comment_topics(result: Result, k: int = 20, iterations: int = 80, least_topic_score: float = Options.least_topic_score, n: int = 10, seed: int = 1) -> DataFrame:

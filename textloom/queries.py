@@ -740,44 +740,46 @@ def topic_cogroup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _lda(spark: SparkSession, sf_dir: str, options: apps.LdaOptions = apps.LdaOptions()):  # noqa: ANN202
-    vectors, words = apps.lda_corpus(documents(spark, sf_dir), options, "text", key="doc_id")
-    vectors = vectors.persist()
-    return tp.fit_lda(vectors, options.k, options.iterations, options.doc_concentration, options.topic_concentration, seed=1), vectors, words
+    """The model of all documents, their vectors (a written table), the vocabulary and its size."""
+    features, words, size = apps.lda_corpus(documents(spark, sf_dir), options, "text", key="doc_id")
+    features = features.persist()
+    model = tp.fit_lda(features, options.k, options.iterations, options.doc_concentration, options.topic_concentration, seed=1)
+    features.unpersist()
+    return model, features, words, size
 
 
 @query()
 def lda_topics_online(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Topics with the usual smoothing of 0.1, which the online optimizer takes."""
-    model, _, words = _lda(spark, sf_dir, apps.LdaOptions(doc_concentration=0.1, topic_concentration=0.1))
+    model, _, words, _ = _lda(spark, sf_dir, apps.LdaOptions(doc_concentration=0.1, topic_concentration=0.1))
     return tp.topic_terms(model, words)
 
 
 @query()
 def lda_topics(spark: SparkSession, sf_dir: str) -> DataFrame:
-    model, _, words = _lda(spark, sf_dir)
+    model, _, words, _ = _lda(spark, sf_dir)
     return tp.topic_terms(model, words)
 
 
 @query()
 def lda_doc_topics(spark: SparkSession, sf_dir: str) -> DataFrame:
-    model, vectors, _ = _lda(spark, sf_dir)
-    return tp.assignments(tp.document_topics(model, vectors, ["id"])).select(F.col("id").alias("doc_id"), "topic_id", "score")
+    model, features, *_ = _lda(spark, sf_dir)
+    return tp.assignments(tp.document_topics(model, features, ["id"])).select(F.col("id").alias("doc_id"), "topic_id", "score")
 
 
 @query()
 def lda_training_shares(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Shares of topics in the documents that the model was fitted to, as EM has them."""
-    model, vectors, words = _lda(spark, sf_dir)
-    each = vectors.select("id", F.posexplode(vector_to_array("features")).alias("term", "n")).filter("n > 0").withColumn("term", F.col("term").cast("long"))
-    shares = mixtures.training_shares(each, mixtures.term_weights(model, len(words)), ["id"], apps.LdaOptions.k)
-    vectors.unpersist()
+    model, features, _, size = _lda(spark, sf_dir)
+    each = features.select("id", F.posexplode(vector_to_array("features")).alias("term", "n")).filter("n > 0").withColumn("term", F.col("term").cast("long"))
+    shares = mixtures.training_shares(each, mixtures.term_weights(model, size), ["id"], apps.LdaOptions.k)
     return shares.select(F.col("id").alias("doc_id"), F.posexplode("shares").alias("topic_id", "score")).filter("score > 0.05")
 
 
 @query()
 def lda_report(spark: SparkSession, sf_dir: str) -> DataFrame:
-    model, vectors, words = _lda(spark, sf_dir)
-    return tp.report(model, vectors, words)
+    model, features, _, size = _lda(spark, sf_dir)
+    return tp.report(model, features, size)
 
 
 @query()
