@@ -9,15 +9,24 @@ from pyspark.sql import functions as F
 
 from .normalize import normalize_term
 
-# German function words from stems and endings.
-ARTICLES = tuple(s + e for s in ("ein", "kein", "mein", "dein", "sein", "ihr", "unser") for e in ("", "e", "em", "en", "er", "es"))
-POINTERS = tuple(s + e for s in ("dies", "jed", "jen", "welch", "solch", "manch", "all") for e in ("e", "em", "en", "er", "es"))
+# German function words from stems and endings. A list of one's own is a parameter of whatever takes stop words.
+ARTICLES = tuple(s + e for s in ("ein", "kein", "mein", "dein", "sein", "ihr", "unser", "euer") for e in ("", "e", "em", "en", "er", "es"))
+POINTERS = tuple(s + e for s in ("dies", "jed", "jen", "welch", "solch", "manch", "all", "ander", "einig", "weiter", "folgend") for e in ("e", "em", "en", "er", "es"))
+AMOUNTS = tuple(s + e for s in ("viel", "wenig", "meist", "beid", "mehrer", "sämtlich", "erst", "eigen") for e in ("e", "en", "er", "es"))
+PREPOSITIONS = "an auf aus bei durch für gegen hinter in mit nach neben über um unter von vor zu zwischen".split()
+#: There, where and here with a preposition, an r before a vowel: damit, woran, hiervon.
+JOINED = tuple(f + ("r" if p[0] in "aeiouäöü" and f != "hier" else "") + p for f in ("da", "wo", "hier") for p in PREPOSITIONS)
+#: Present and past of the verbs that others need.
+PAST = tuple(s + e for s in ("hatt", "hätt", "konnt", "könnt", "musst", "müsst", "sollt", "wollt", "durft", "dürft", "mocht", "möcht", "wurd", "würd", "wär") for e in ("e", "en", "est", "et"))
+PRESENT = tuple(s + e for s in ("hab", "könn", "müss", "soll", "woll", "dürf", "mög", "werd", "mach", "geb") for e in ("e", "en", "t", "et"))
 PLAIN = (
-    "aber als am an auch auf aus bei bis da dann das dass dem den denn der des die doch du durch er es für gegen hat hatte ich im in "
-    "ist ja man mit nach nicht noch nur ob oder ohne schon sehr sich sie sind so über um und uns vom von vor war was weil wenn wer wie "
-    "wir wird zu zum zur zwar"
+    "aber als also am an auch auf aus außer außerdem bald bei beim bereits bevor bin bis bist bloß da dabei dadurch daher dahin damals dann darf darum das dass dazu dein dem den denen denn dennoch der deren "
+    "des deshalb dessen dich die dir doch dort du durch ebenfalls ebenso eher entweder er es etwa etwas euch falls fast für ganz gar gegen gehabt genau gewesen geworden gibt hast hat her hin ich ihm ihn "
+    "ihnen im immer in indem innerhalb ins inzwischen irgend ist ja jedoch jemand jetzt kann kaum man mag mehr mich mindestens mir mit muss nach nachdem neben nein nicht nichts nie niemand noch nun nur ob "
+    "obwohl oder oft ohne pro schon sehr sei seid seit seitdem selber selbst sich sie sind so sobald sogar solange somit sondern sonst soweit sowie statt stets trotz trotzdem über um und uns unter vom von "
+    "vor während wann war waren warum was wegen weil weiterhin wem wen wenn wer weshalb wessen wie wieder will wir wird wirst wohl zu zudem zum zur zusammen zwar zwischen"
 ).split()
-STOP_WORDS = frozenset((*ARTICLES, *POINTERS, *PLAIN))
+STOP_WORDS = frozenset((*ARTICLES, *POINTERS, *AMOUNTS, *JOINED, *PAST, *PRESENT, *PLAIN))
 
 
 def stop_stems(words=STOP_WORDS) -> list[str]:  # noqa: ANN001
