@@ -3,6 +3,7 @@
 from collections import Counter
 
 import pytest
+from pyspark.sql import functions as F
 
 import corpus_pipeline
 from textloom.llm import mixing, ngram_join, packing, suffix_dedup
@@ -44,6 +45,17 @@ def test_suffix_dedup(spark, monkeypatch):
         assert {r["doc_id"]: (r["n_bytes"], r["n_removed"], r["n_spans"], r["kept_sha256"]) for r in got} == brute_removal(repeats(), keep)
 
 
+@pytest.mark.parametrize("bound", [10**6, -1])
+def test_suffix_dedup_of_texts_that_share_a_node(spark, monkeypatch, bound):
+    """Nodes of four bits, and of five in the second part: most texts clash, some twice, and none is lost or mistaken."""
+    real = suffix_dedup.node_of_sha
+    monkeypatch.setattr(suffix_dedup, "node_of_sha", lambda part=0: F.pmod(real(part), F.lit(16 if not part else 32)) if part < 2 else real(part))
+    monkeypatch.setattr(suffix_dedup, "BROADCAST_IDS", bound)
+    for keep in ("none", "first"):
+        got = suffix_dedup.remove_repeats(docs_of(spark, repeats()), keep=keep).collect()
+        assert {r["doc_id"]: (r["n_bytes"], r["n_removed"], r["n_spans"], r["kept_sha256"]) for r in got} == brute_removal(repeats(), keep)
+
+
 def test_mixing(spark, monkeypatch):
     docs = docs_of(spark, [prose(5 + k % 40, k) for k in range(200)], ["a", "b", None])
     expected = sorted(map(tuple, mixing.mix(docs).collect()), key=str)

@@ -399,30 +399,53 @@ def cut(raw: bytes, runs: list[bytes]) -> tuple[int, int, bytes, list[tuple[int,
     return int((hi - lo).sum()), len(lo), left, list(zip(lo.tolist(), hi.tolist()))
 
 
-def node_of_sha() -> Column:
-    """64 bits of the text's SHA-256 as a signed long."""
-    high, low = (F.conv(F.substring("sha", k, 8), 16, 10).cast("long") for k in (1, 9))
+#: Parts of 64 bits of a SHA-256.
+PARTS = 4
+
+
+def node_of_sha(part: int = 0) -> Column:
+    """64 bits of the text's SHA-256 as a signed long: the first ones, or a later part."""
+    high, low = (F.conv(F.substring("sha", 16 * part + k, 8), 16, 10).cast("long") for k in (1, 9))
     return F.shiftleft(high, 32).bitwiseOR(low)
 
 
+def _with_nodes(rows: DataFrame, moved: DataFrame | None) -> DataFrame:
+    """The rows (with a column sha) and their nodes. moved: sha, part of the few whose node is not of the first part."""
+    if moved is None:
+        return rows.withColumn("node", node_of_sha())
+    few = F.broadcast(moved) if moved.count() <= BROADCAST_IDS else moved
+    part = F.coalesce(F.col("part"), F.lit(0))
+    return rows.join(few, "sha", "left").withColumn("node", F.coalesce(*[F.when(part == k, node_of_sha(k)) for k in range(PARTS)])).drop("part")
+
+
 def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", keep: str = "none") -> DataFrame:
     """doc_id, n_bytes, n_removed, n_spans, kept_sha256 and spans (half-open byte ranges) of every document."""
     if keep not in ("none", "first"):
         raise ValueError(f"keep is 'none' or 'first', not {keep!r}")
     spark = docs.sparkSession
     text = F.coalesce(F.col(text_col), F.lit(""))
-    # the node is 64 bits of the text's SHA-256, of which two texts that share them are told apart by the rest
+    # the node is 64 bits of the text's SHA-256; of texts that share them all but one get a node of the next 64
     named = docs.select(F.col(id_col).alias("doc_id"), text.alias("text")).withColumn("sha", F.sha2("text", 256))
     facts = materialize(named.select("doc_id", "sha", F.octet_length("text").cast("long").alias("n_bytes")).withColumn("node", node_of_sha()), "suffix-docs")
     total, n_rows = facts.agg(F.coalesce(F.sum("n_bytes"), F.lit(0)), F.count("*")).first()
     buckets = max(4 * shuffle_partitions(spark), total // ANCHOR_BYTES)
     whole_numbers = isinstance(facts.schema["doc_id"].dataType, IntegralType)
     place = F.coalesce(F.col("doc_id").cast("long") if whole_numbers else F.xxhash64("doc_id"), F.lit(-(1 << 63)))
-    firsts = materialize(facts.groupBy("node").agg(F.min(place).alias("doc"), F.count("*").alias("copies"), F.min("sha").alias("sha"), F.max("sha").alias("other")), "suffix-nodes")
-    if firsts.filter("sha <> other").limit(1).count():
-        raise RuntimeError("two texts share 64 bits of their SHA-256")
-
-    long_ones = named.filter(F.octet_length("text") >= LENGTH).select(node_of_sha().alias("node"), "text")
+    by_node = lambda: materialize(facts.groupBy("node").agg(F.min(place).alias("doc"), F.count("*").alias("copies"), F.min("sha").alias("sha"), F.max("sha").alias("other")), "suffix-nodes")
+    firsts, moved = by_node(), None
+    for part in range(1, PARTS):
+        clashing = firsts.filter("sha <> other").select("node", F.col("sha").alias("stays"))
+        if not clashing.limit(1).count():
+            break
+        more = facts.join(clashing, "node").filter("sha <> stays").select("sha").distinct().withColumn("part", F.lit(part))
+        moved = materialize(more if moved is None else moved.unionByName(more).groupBy("sha").agg(F.max("part").alias("part")), "suffix-moved")
+        facts = materialize(_with_nodes(facts.drop("node"), moved), "suffix-docs")
+        firsts = by_node()
+    else:
+        if firsts.filter("sha <> other").limit(1).count():
+            raise RuntimeError("two texts share all parts of their SHA-256")
+
+    long_ones = _with_nodes(named.filter(F.octet_length("text") >= LENGTH).select("sha", "text"), moved).select("node", "text")
     packed = emit_anchors(long_ones, buckets)
     runs, level = None, 0
     while True:
