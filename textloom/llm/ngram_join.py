@@ -20,7 +20,8 @@ that link share more signatures than a set that is not short leaves, all leave b
 and short ones leave none, so the rarest that they share stays); a passage that many documents
 share does not pair them all.
 
-Exact copies (equal sets) are one node throughout. Shingles are compared by 64-bit hashes.
+Exact copies (equal sets) are one node throughout. Shingles are compared by 64-bit hashes, and a node is
+64 bits of its set: of n different sets some n * n / 2**65 pairs are taken for one, which is not verified.
 
 Defined results: null texts and texts without words have n_shingles 0 and link with nothing,
 not with each other; texts of fewer than five words are one shingle; a text of any length is

@@ -52,6 +52,8 @@ MOST_KEY = 1 << 16
 #: Base64 of the beginnings of a JSON object; characters of a header; an object's first name.
 OBJECT = re.compile(r"ey[IJA]|ew[0ko]")
 HEADER = 1 << 14
+#: Characters of the shortest header: an algorithm of no letters.
+SHORTEST = len(base64.urlsafe_b64encode(b'{"alg":""}').rstrip(b"="))
 NAMED = re.compile(rb'\{\s*"(?:[^"\\]|\\.)*(?:"\s*(?::|\Z)|\Z)', re.S)
 ANY_HEX = re.compile(r"[0-9A-Fa-f]{48,}")
 BEGIN = re.compile(r"-----BEGIN ([A-Z0-9 ]*PRIVATE KEY)-----")
@@ -181,7 +183,7 @@ def signed_tokens(run: str) -> Iterator[tuple[int, int]]:
         part = parts[i]
         for m in OBJECT.finditer(part, max(0, len(part) - HEADER)) if parts[i + 1] else ():
             # an object begins with a name and a colon, which most of a repeated beginning does not have
-            if NAMED.match(_decoded(part[m.start() : m.start() + 64], url=True)) and is_signed_token(part[m.start() :]):
+            if len(part) - m.start() >= SHORTEST and NAMED.match(_decoded(part[m.start() : m.start() + 64], url=True)) and is_signed_token(part[m.start() :]):
                 yield starts[i] + m.start(), starts[i + 2] + len(parts[i + 2])
                 i += 2
                 break
