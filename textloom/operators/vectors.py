@@ -9,6 +9,9 @@ from pyspark.sql.types import StructField, StructType
 
 from ..sources.tables import materialize
 
+#: Words of a vocabulary up to this many are broadcast (some tens of bytes each); more meet the documents' terms by shuffle.
+BROADCAST_WORDS = 500_000
+
 #: A dense or sparse vector's size is a 32-bit number.
 MOST_SIZE = (1 << 31) - 1
 
@@ -17,7 +20,9 @@ def sparse_rows(terms: DataFrame, vocabulary: DataFrame, keys: list[str], binary
     """keys, ids (ascending), counts of each document's terms in the vocabulary (term, term_id). terms: keys, term and count,
     one row for each; documents without a known term have no row. A term of very many documents is split as a skewed join is."""
     value = F.lit(1.0) if binary else F.col(count).cast("double")
-    found = terms.select(*keys, F.col(term).alias("_term"), value.alias("_n")).join(vocabulary.select(F.col("term").alias("_term"), F.col("term_id").cast("long").alias("_id")), "_term")
+    words = vocabulary.select(F.col("term").alias("_term"), F.col("term_id").cast("long").alias("_id"))
+    words = F.broadcast(words) if vocabulary.count() <= BROADCAST_WORDS else words
+    found = terms.select(*keys, F.col(term).alias("_term"), value.alias("_n")).join(words, "_term")
     rows = found.groupBy(*keys).agg(F.sort_array(F.collect_list(F.struct("_id", "_n"))).alias("_v"))
     return rows.select(*keys, F.transform("_v", lambda x: x["_id"]).alias("ids"), F.transform("_v", lambda x: x["_n"]).alias("counts"))
 
