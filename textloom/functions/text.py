@@ -63,6 +63,8 @@ MONEY = (
     (rf"(.*?){NUMBER}\s?\.-+(.*)", "$1$2 Franken$3"),
     (rf"(.*?){NUMBER}\s?Fr\.(.*)", "$1$2 Franken$3"),
 )
+# What a text must hold to match each of them: looking for it is cheaper than trying the pattern.
+MONEY_MARKS = ("Fr", "CHF", "Chf", "chf", "CHF ", "CHF ", "EUR ", "Fr. ", "Fr. ", " Franken", ".-", "Fr.")
 # What is replaced before and after.
 BEFORE_MONEY = ((r"\$ Dollar", " Dollar"), (r"([0-9]+)\.([0-9][0-9])\s", "$1,$2 "), (r"([0-9])[`'\.]([0-9])", "$1$2"), (r"([0-9]+)\s([0-9]+)", "$1$2"))
 AFTER_MONEY = ((r"([0-9])[\,]([0-9])", "$1%2C$2"),)
@@ -75,9 +77,9 @@ def process_numbers(text: Column) -> Column:
 
     def amount(t: Column) -> Column:
         out = F.when(F.lit(False), t)
-        for pattern, new in MONEY:
+        for (pattern, new), mark in zip(MONEY, MONEY_MARKS):
             whole = rf"\A(?:{pattern})\z"
-            out = out.when(t.rlike(whole), F.regexp_replace(t, whole, new))
+            out = out.when(t.contains(mark) & t.rlike(whole), F.regexp_replace(t, whole, new))
         return out.otherwise(t)
 
     text = once(text, amount)

@@ -12,13 +12,17 @@ from .schemas import ARTICLE, WIKI_PAGE
 #: Inputs of fewer bytes than this for each core, in fewer files than cores, are dealt anew: a file may be a single row
 #: group, so a single task.
 SMALL_SHARE = 4 << 20
+#: Bytes of a stored input for a task, about, where its rows take long.
+TASK_BYTES = 4 << 20
 
 
-def spread(df: DataFrame) -> DataFrame:
-    """A small input over as many partitions as there are cores; a larger one as its files give it."""
+def spread(df: DataFrame, slow: bool = False) -> DataFrame:
+    """A small input over as many partitions as there are cores; a larger one as its files give it. slow: rows that take long
+    are dealt to more tasks as the input grows, however few files hold it."""
     cores = df.sparkSession.sparkContext.defaultParallelism
     size = int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
-    return df.repartition(cores) if size < SMALL_SHARE * cores and len(df.inputFiles()) < cores else df
+    parts = max(cores, -(-size // TASK_BYTES)) if slow else cores
+    return df.repartition(parts) if (slow or size < SMALL_SHARE * cores) and len(df.inputFiles()) < parts else df
 
 
 def parse_articles(lines: Column) -> Column:
