@@ -35,4 +35,11 @@ def ml_vectors(rows: DataFrame, size: int, out: str = "features") -> DataFrame:
     others = [f for f in rows.schema.fields if f.name not in ("ids", "counts")]
     parts = F.struct(F.lit(0).cast("tinyint").alias("type"), F.lit(size).alias("size"), F.col("ids").cast("array<int>").alias("indices"), F.col("counts").alias("values"))
     stored = materialize(rows.select(*[f.name for f in others], parts.alias(out)), "vectors")
-    return rows.sparkSession.read.schema(StructType([*others, StructField(out, VectorUDT())])).parquet(stored._kept_in)
+    vectors = rows.sparkSession.read.schema(StructType([*others, StructField(out, VectorUDT())])).parquet(stored._kept_in)
+    vectors._parts = stored.select(*[f.name for f in others], F.col(out)["indices"].alias("ids"), F.col(out)["values"].alias("counts"))
+    return vectors
+
+
+def vector_parts(vectors: DataFrame) -> DataFrame:
+    """The ids and counts of what ml_vectors made, as written: a vector has a row of them, not one for each of its places."""
+    return vectors._parts
