@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+import ctypes
 import re
 import tempfile
 import uuid
+from collections.abc import Callable, Iterator
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -59,6 +62,26 @@ def discard(*tables: DataFrame) -> None:
         path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
+def release() -> None:
+    """Gives what this process has freed back to the system; without it a worker that goes on to the next stage, as all
+    do, keeps the most that any stage before took."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # glibc has it
+    if trim:
+        trim(0)
+
+
+def lean(run: Callable[[Iterator], Iterator]) -> Callable[[Iterator], Iterator]:
+    """A function on batches whose worker releases memory before and behind it."""
+
+    def one(batches: Iterator) -> Iterator:
+        release()
+        yield from run(batches)
+        release()
+
+    return one
+
+
 def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 

@@ -43,7 +43,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import discard, materialize, shuffle_partitions
+from .common import discard, lean, materialize, shuffle_partitions
 from .graph import components
 from .hashing import BASE, Ranges, U, mix
 
@@ -250,7 +250,7 @@ def describe(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), *[pa.array(c, t) for c, t in zip(cols, kinds)]], names=names)
 
     picked = docs.select(F.col(id_col).alias("doc_id"), F.xxhash64(text_col).alias("text_hash"), F.col(text_col).alias("text"))
-    return picked.mapInArrow(run, f"doc_id {id_type}, text_hash long, node long, n_shingles long, band int, sketch binary, own array<int>, upper array<int>")
+    return picked.mapInArrow(lean(run), f"doc_id {id_type}, text_hash long, node long, n_shingles long, band int, sketch binary, own array<int>, upper array<int>")
 
 
 def allocate(sets: DataFrame) -> tuple[dict[int, int], int]:
@@ -316,7 +316,7 @@ def emit(docs: DataFrame, chosen: dict[int, int], buckets: int, text_col: str) -
                     seen.clear()
         yield from flush()
 
-    return docs.select(F.col(text_col).alias("text")).mapInArrow(run, "bucket int, nodes binary, schemes binary, counts binary, low binary, high binary")
+    return docs.select(F.col(text_col).alias("text")).mapInArrow(lean(run), "bucket int, nodes binary, schemes binary, counts binary, low binary, high binary")
 
 
 def _groups(table: pa.Table) -> pa.Table:
@@ -407,7 +407,7 @@ def prune(pairs: DataFrame, sets: DataFrame) -> DataFrame:
                 fits = fitting(np.stack([np.arange(k), np.arange(k) + k], 1), size, x.column(4).to_pylist() + x.column(5).to_pylist())
                 yield x.select(["a", "b"]).filter(pa.array(fits, pa.bool_()))
 
-    return pairs.join(one, "a").join(two, "b").select("a", "b", "na", "nb", "sa", "sb").mapInArrow(run, "a long, b long")
+    return pairs.join(one, "a").join(two, "b").select("a", "b", "na", "nb", "sa", "sb").mapInArrow(lean(run), "a long, b long")
 
 
 #: Members of a family's groups that meet in one task, about. Groups of more members are dealt in pairs of blocks.
@@ -515,7 +515,7 @@ def verify(pairs: DataFrame, texts: DataFrame) -> DataFrame:
                 fits.append(linked(s, of(tb.as_py())))
             yield x.select(["a", "b"]).filter(pa.array(fits, pa.bool_()))
 
-    return pairs.join(two, "b").join(one, "a").select("a", "b", "ta", "tb").mapInArrow(run, "a long, b long")
+    return pairs.join(two, "b").join(one, "a").select("a", "b", "ta", "tb").mapInArrow(lean(run), "a long, b long")
 
 
 def _ordered(a, b):  # noqa: ANN001, ANN202

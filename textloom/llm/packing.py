@@ -35,7 +35,7 @@ import tiktoken
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import materialize
+from .common import lean, materialize, release
 
 CAPACITY = 4096
 END_ID = 1
@@ -134,6 +134,7 @@ def pieces(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ids_of = token_ids(path)
+        release()  # what reading the file took
         for batch in batches:
             rows, take = [], []
             for i, x in enumerate(batch.column(1)):
@@ -146,7 +147,7 @@ def pieces(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "
             yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(take, pa.int64())), *[pa.array(c, k) for c, k in zip(cols, kinds)]], names=["doc_id", *names])
 
     picked = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
-    return picked.mapInArrow(run, f"doc_id {id_type}, piece int, start long, length long, ids_crc32 long")
+    return picked.mapInArrow(lean(run), f"doc_id {id_type}, piece int, start long, length long, ids_crc32 long")
 
 
 def best_fit(counts: dict[int, int], capacity: int) -> list[Pattern]:

@@ -31,6 +31,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .common import lean
+
 KINDS = ("assign", "access", "hex", "jwt", "pem", "der")
 BASE_KINDS = KINDS[:3]
 
@@ -339,7 +341,7 @@ def redact_documents(docs: DataFrame, text_col: str = "text") -> DataFrame:
                 texts = pa.array([redact(x.as_py()) for x in batch.column(at)], batch.column(at).type)
                 yield pa.RecordBatch.from_arrays([texts if i == at else c for i, c in enumerate(batch.columns)], schema=batch.schema)
 
-    out = docs.mapInArrow(run, docs.schema)
+    out = docs.mapInArrow(lean(run), docs.schema)
     if "n_chars" in names and text_col == "text":
         out = out.withColumn("n_chars", F.when(F.col("text").isNull(), F.col("n_chars")).otherwise(F.length("text").cast(docs.schema["n_chars"].dataType)))
     return out.select(names)
