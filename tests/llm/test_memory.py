@@ -8,8 +8,8 @@ from tests.conftest import ROOT
 CODE = """
 from textloom.llm.common import lean
 rss = lambda: int(next(l for l in open("/proc/self/status") if l.startswith("VmRSS")).split()[1])
+kept = []
 def run(batches):
-    kept = []
     for b in batches:
         held = [bytes(1000 + i % 500) for i in range(200_000)]
         kept.append(held[-1])  # above the freed ones
