@@ -1,4 +1,4 @@
-"""Sparse term vectors without a vocabulary on the driver: terms meet their ids in a join."""
+"""Sparse term vectors: terms meet their ids in a join, by broadcast where the vocabulary is small."""
 
 from __future__ import annotations
 
