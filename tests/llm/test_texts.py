@@ -234,6 +234,23 @@ def test_ids_of_another_tokenizer(tmp_path):
             assert other(t) == np.array(other.whole.encode(t, add_special_tokens=False).ids, "<u4").tobytes()
 
 
+@pytest.mark.parametrize("kept", [100_000, 3, 0])
+def test_ids_of_words_seen_before(monkeypatch, kept):
+    """op12: a word that comes again is not split and merged again, and its ids are the tokenizer's own."""
+    r = random.Random(kept)
+    monkeypatch.setattr(packing.TokenIds, "KEPT", kept)
+    ids = packing.TokenIds(packing.tokenizer_path())
+    signs = [chr(c) for c in [*range(0x21, 0x7F), *range(0xA1, 0x180), *range(0x2013, 0x2027)]]
+    words = ["It's", "we'll", "İx", "a²b", "12,5%", "x" * 90, "...", "ſß"] + ["".join(r.choices(signs, k=r.randint(1, 9))) for _ in range(1500)]
+    texts = ["", " \t\r\n ", "".join(signs).replace("<|", "")] + [r.choice(" \n\t").join(r.choices(words, k=r.randint(1, 40))) for _ in range(400)]
+    for t in texts * 2:
+        assert ids(t) == np.array(ids.whole.encode(t, add_special_tokens=False).ids, "<u4").tobytes(), t
+    assert len(ids.ids_of_word) <= kept and all(len(w) <= ids.KEPT_CHARS for w in ids.ids_of_word)
+    if kept == 100_000:
+        monkeypatch.setattr(packing.TokenIds, "PIECE", None)  # nothing is split from here on
+        assert ids("it's\n\nWE'LL  12,5% ...") == np.array(ids.whole.encode("it's we'll 12,5% ...", add_special_tokens=False).ids, "<u4").tobytes()
+
+
 # ---------------------------------------------------------------- secrets
 
 DER = bytes.fromhex("302e0201010420" + "11" * 32 + "a00706052b8104000a")

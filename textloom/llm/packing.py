@@ -23,6 +23,7 @@ import bisect
 import json
 import math
 import os
+import re
 import unicodedata
 import zlib
 from collections.abc import Iterator
@@ -62,7 +63,9 @@ class TokenIds:
     merged by tiktoken, whose ranks are the vocabulary's ids with each word's end as a NUL byte.
     That holds only for files that normalise and split as NORMAL and SPLIT say, and whose ids and
     merges are in one order, which is checked. Other texts, those that may hold a special token,
-    and all texts with other files, go through the tokenizer file itself.
+    and all texts with other files, go through the tokenizer file itself. No piece of such a text
+    reaches over a blank, so the ids of its first KEPT different words are kept, and only other words
+    are split and merged, all of a text at once with MARK between them.
     """
 
     NORMAL = {"type": "Sequence", "normalizers": [{"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": "\\s+"}, "content": " "}, {"type": "Lowercase"}]}
@@ -75,7 +78,13 @@ class TokenIds:
     }
 
     SAFE = regex.compile(r"[\t\n\r -~\u00a1-\u017f\u2013-\u2026]*")
-    PIECE = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|\p{L}+|\p{N}|[^\s\p{L}\p{N}]+")
+    #: The letters and numbers that SAFE texts have in lower case, a dot that lower() leaves above an i among the other signs.
+    LETTERS, NUMBERS = ("".join(c for c in map(chr, [*range(0x21, 0x7F), *range(0xA1, 0x180)]) if unicodedata.category(c)[0] == kind) for kind in "LN")
+    PIECE = re.compile(rf"'s|'t|'re|'ve|'m|'ll|'d|[{LETTERS}]+|[{NUMBERS}]|[^\s{LETTERS}{NUMBERS}]+")
+    #: No SAFE text has it.
+    MARK = "\x01"
+    #: Words whose ids are kept, and their longest (some 200 bytes each).
+    KEPT, KEPT_CHARS = 100_000, 40
 
     def __init__(self, path: str) -> None:
         self.path = path
@@ -89,7 +98,7 @@ class TokenIds:
         known = model.get("type") == "BPE" and whole["normalizer"] == self.NORMAL and whole["pre_tokenizer"] == self.SPLIT
         known = known and all(model.get(k) == v for k, v in plain.items()) and all("<|" in x["content"] for x in whole["added_tokens"])
         known = known and not whole.get("truncation") and not whole.get("post_processor")
-        self.fast = None
+        self.fast, self.ids_of_word = None, {}
         if known and end and all(vocab.get(a + b) == first + i for i, (a, b) in enumerate(merges)):
             # byte-level vocabularies write the printable bytes as themselves and the others from U+0100 on
             shown = [*range(33, 127), *range(161, 173), *range(174, 256)]
@@ -100,6 +109,7 @@ class TokenIds:
                 ranks[bytes(byte[c] for c in body) + b"\0" * (body != token)] = i
             if len(ranks) == len(vocab):
                 self.fast = tiktoken.Encoding("words", pat_str=r"[^\x00]+\x00", mergeable_ranks=ranks, special_tokens={})
+                (self.mark,) = self.fast.encode_ordinary(f"{self.MARK}\0")
 
     @cached_property
     def whole(self):  # noqa: ANN202
@@ -112,11 +122,18 @@ class TokenIds:
         text = text or ""
         if self.fast is None or "<|" in text or not self.SAFE.fullmatch(text):
             return np.array(self.whole.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
-        parts = self.PIECE.findall(unicodedata.normalize("NFC", text).lower())
-        if not parts:
-            return b""
-        parts.append("")
-        return self.fast.encode_to_numpy("\0".join(parts), disallowed_special=()).astype("<u4").tobytes()
+        words = unicodedata.normalize("NFC", text).lower().split()
+        found = list(map(self.ids_of_word.get, words))
+        new = [i for i, ids in enumerate(found) if ids is None]
+        if new:
+            parts = self.PIECE.findall(f" {self.MARK} ".join([words[i] for i in new]))
+            ids = self.fast.encode_to_numpy("\0".join([*parts, ""]), disallowed_special=()).astype("<u4")
+            data, at = ids.tobytes(), 0
+            for i, end in zip(new, [*(4 * np.flatnonzero(ids == self.mark)).tolist(), len(data)]):
+                found[i], at = data[at:end], end + 4
+                if len(self.ids_of_word) < self.KEPT and len(words[i]) <= self.KEPT_CHARS:
+                    self.ids_of_word[words[i]] = found[i]
+        return b"".join(found)
 
 
 @lru_cache(1)
