@@ -41,6 +41,8 @@ LEAST, CONTAINED, SCALE, TOP = 30, 80, 2_000_000, 2_000
 MOST_WORDS = 500_000
 #: Occurrences of a pivot in one shard, about.
 PIVOT_ROWS = 50_000
+#: Occurrences of frequent words whose fragments one task mines, about: it holds some 600 bytes for each, and beyond its memory spills them.
+MINED = 400_000
 #: Bytes of text that are split into words at once; rows of fragments, or different words, that are counted in one go.
 SLICE, BUFFER = 1 << 20, 400_000
 #: Parts of one word are spread over so many keys when they meet their counts.
@@ -209,8 +211,8 @@ def _by_shuffle(texts: DataFrame, dictionary: DataFrame, *bounds: int) -> DataFr
     return rows.select("found").mapInArrow(run, FRAGMENT)
 
 
-def mine(fragments: DataFrame, least: int = LEAST) -> DataFrame:
-    """Phrases that are counted often enough: w1 to w4 (0: none), a. Each pivot's group counts its own."""
+def mine(fragments: DataFrame, least: int = LEAST, tasks: int | None = None) -> DataFrame:
+    """Phrases that are counted often enough: w1 to w4 (0: none), a. Each pivot's group counts its own, in so many tasks."""
     grams = []
     for before in range(LONGEST):
         for behind in range(LONGEST - before):
@@ -222,11 +224,12 @@ def mine(fragments: DataFrame, least: int = LEAST) -> DataFrame:
                 words = [F.col(n) for n in names] + [F.lit(0).cast("long")] * (LONGEST - len(names))
                 grams.append(F.when(whole, F.struct(*[w.alias(n) for w, n in zip(words, WORDS)])))
     group = ["pivot", "shard"]
-    own = fragments.repartition(*group).select(*group, "c", F.explode(F.array(*grams)).alias("g")).filter("g IS NOT NULL")
+    dealt = lambda rows, *by: rows.repartition(*[tasks] * bool(tasks), *by)
+    own = dealt(fragments, *group).select(*group, "c", F.explode(F.array(*grams)).alias("g")).filter("g IS NOT NULL")
     local = own.select(*group, "c", "g.*").groupBy(*group, *WORDS).agg(F.sum("c").alias("a"))
     # a pivot's only shard has counted whole; the others' counts are added up
     left = local.filter((F.col("shard") >= 0) | (F.col("a") >= least))
-    return left.groupBy(*WORDS).agg(F.sum("a").alias("a")).filter(F.col("a") >= least)
+    return dealt(left.select(*WORDS, "a"), *WORDS).groupBy(*WORDS).agg(F.sum("a").alias("a")).filter(F.col("a") >= least)
 
 
 def _n(words: list[str] = WORDS) -> Column:
@@ -300,9 +303,10 @@ def collocations(docs: DataFrame, text_col: str = "text", lang_col: str = "lang"
     spark, texts = docs.sparkSession, _texts(docs, text_col, lang_col)
     counts = materialize(count_words(texts), "collocations-words")
     dictionary = materialize(counts.filter(F.col("f") >= least).withColumn("id", F.monotonically_increasing_id() + 1), "collocations-frequent")
-    few = dictionary.count() <= MOST_WORDS
-    fragments = (_by_broadcast if few else _by_shuffle)(texts, dictionary, shuffle_partitions(spark), PIVOT_ROWS, BUFFER)
-    phrases = materialize(mine(fragments, least), "collocations-phrases")
+    n, said = dictionary.agg(F.count("*"), F.coalesce(F.sum("f"), F.lit(0))).first()
+    few, tasks = n <= MOST_WORDS, max(shuffle_partitions(spark), -(-said // MINED))
+    fragments = (_by_broadcast if few else _by_shuffle)(texts, dictionary, tasks, PIVOT_ROWS, BUFFER)
+    phrases = materialize(mine(fragments, least, tasks), "collocations-phrases")
     rows = written(scored(phrases, dictionary).join(free_standing(phrases), WORDS), dictionary, few)
     totals = counts.groupBy("lang").agg(F.sum("f").alias("n"))
     return best(rows, top).join(totals, "lang").select("lang", "rank", "phrase", "a", "l", "r", "n", "score")
