@@ -71,7 +71,8 @@ AFTER_MONEY = ((r"([0-9])[\,]([0-9])", "$1%2C$2"),)
 
 
 def process_numbers(text: Column) -> Column:
-    """Numbers in one form and one amount of money per text with its currency behind it."""
+    """Numbers in one form and one amount of money per text with its currency behind it. Texts without a digit or a dollar stay as they are."""
+    given = text
     for pattern, new in BEFORE_MONEY:
         text = F.regexp_replace(text, pattern, new)
 
@@ -85,7 +86,7 @@ def process_numbers(text: Column) -> Column:
     text = once(text, amount)
     for pattern, new in AFTER_MONEY:
         text = F.regexp_replace(text, pattern, new)
-    return text
+    return F.when(given.rlike("[0-9$]"), text).otherwise(given)
 
 
 def single_terms(text: Column) -> Column:

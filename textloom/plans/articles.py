@@ -13,13 +13,14 @@ from ..operators import opinions as ops
 from ..operators.mixtures import best_terms, fit_mixtures
 from ..operators.ranking import retain_top_share
 from ..operators.terms import extend_dictionary, normal_forms
-from ..operators.tfidf import document_tf, stemmed_tf, surface_forms, term_structs, tfidf
+from ..operators.tfidf import best_stems, block_forms, block_idf, document_tf, stem_arrays, stem_blocks, stemmed_tf, surface_forms, term_arrays, term_structs, tfidf
 from ..operators.topics import assignments, document_topics, fit_lda, report, topic_terms
 from ..operators.vectors import MOST_SIZE, ml_vectors, sparse_rows
 from ..operators.vocabulary import vocabulary as term_ids
 from ..operators.vocabulary import without_stop_words
 from ..sources.readers import read_word_list
 from ..sources.sinks import write_json
+from ..sources.tables import discard, materialize
 
 #: A text's article and its place among the article's comments: ids of comments may be null or repeat.
 KEYS = ["article_id", "comment_no"]
@@ -121,26 +122,40 @@ class Result:
 
 
 def summarise(articles: DataFrame, options: Options = Options()) -> tuple[DataFrame, DataFrame, DataFrame, list[DataFrame]]:
-    """TF-IDF of all documents, the written forms of stems, each document's summary terms, and what is cached."""
+    """Each document's terms for the vocabulary (KEYS, term), the written forms of stems, each document's summary terms, and what is cached."""
     docs = create_docs(articles)
+    if options.term_dictionary or (options.strict and options.term_words > 1):
+        return _summarise_rows(docs, options)
+    terms = term_arrays(docs, KEYS, strict=options.strict) if options.term_words <= 1 else stem_arrays(docs, KEYS, term_words=options.term_words)
+    blocks = stem_blocks(terms, KEYS, options.strict)
+    forms = materialize(block_forms(blocks), "forms")
+    weights = materialize(block_idf(blocks, options.min_doc_freq).join(forms.select("stem", "form"), "stem"), "weights")
+    best = materialize(best_stems(blocks, weights, KEYS, options.summary_top, options.retain_top), "summaries")
+    discard(blocks, weights)
+    return best.select(*KEYS, F.explode("kept").alias("term")), forms, best.select(*KEYS, "terms"), []
+
+
+def _summarise_rows(docs: DataFrame, options: Options) -> tuple[DataFrame, DataFrame, DataFrame, list[DataFrame]]:
+    """The same with a row for each document and term, which join the dictionary of a path."""
     tf = document_tf(docs, KEYS, term_words=options.term_words, strict=options.strict).persist()
     # each different term is normalised once; with a path, once in all runs
     forms_of = (extend_dictionary(tf, options.term_dictionary) if options.term_dictionary else normal_forms(tf)).persist()
     forms = surface_forms(tf, options.strict, forms_of).persist()
     scored = tfidf(stemmed_tf(tf, KEYS, options.strict, forms_of), docs, KEYS, options.min_doc_freq).persist()
     summaries = term_structs(retain_top_share(scored, KEYS, "score", options.summary_top), forms, KEYS).persist()
-    return scored, forms, summaries, [tf, forms_of, forms, scored, summaries]
+    kept = retain_top_share(scored, KEYS, "score", options.retain_top).select(*KEYS, "term")
+    return kept, forms, summaries, [tf, forms_of, forms, scored, summaries]
 
 
 def assemble(articles: DataFrame, as_of: Column, options: Options = Options()) -> Result:
     """Topic items, topics and tags of articles. Articles without a commented summary are left out unless kept."""
-    scored, forms, summaries, cached = summarise(articles, options)
+    kept, forms, summaries, cached = summarise(articles, options)
     own = summaries.filter(F.col("comment_no") == OWN).select("article_id", "terms")
     opinions = opinions_of(articles, summaries.filter(F.col("comment_no") != OWN)).persist()
 
     stop = read_word_list(articles.sparkSession, options.stop_words) if options.stop_words else None
     stems = stop_stems([r["word"] for r in stop.collect()]) if stop else stop_stems()  # a word list
-    vocabulary = without_stop_words(retain_top_share(scored, KEYS, "score", options.retain_top), stems).persist()
+    vocabulary = without_stop_words(kept, stems).persist()
     words = term_ids(vocabulary).persist()
     size = words.count()
     if size > options.most_words:
