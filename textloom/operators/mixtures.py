@@ -2,20 +2,27 @@
 
 One step gives each row's n to the topics by weight of its term and share of its document, and sums that by document and
 by term. Nothing of it is a model in a task: models of many groups are fitted together, keyed by group, and a group of most
-rows is dealt by its documents and terms like all others. The tables of weights and shares are written in every step, so
+rows is dealt by its documents and terms like all others. Documents are held in blocks, so that a term meets its weights and
+leaves its sums once for each block, not for each document. The tables of weights and shares are written in every step, so
 that a lost executor costs the step.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from dataclasses import dataclass
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
+from pyspark import TaskContext
 from pyspark.ml.clustering import LDAModel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..sources.tables import discard, materialize
 from .ranking import first_rows
+from .tfidf import split_blocks
 
 #: Groups whose totals are broadcast at most (k numbers each).
 BROADCAST_GROUPS = 10_000
@@ -64,21 +71,100 @@ def fit_mixtures(
     empty table gives empty ones; a group of fewer terms than topics has topics that are alike.
     """
     alpha, eta = _concentrations(k, doc_concentration, topic_concentration)
-    used = rows.filter(F.col(count) > 0)
-    data = materialize(used.select(*by, *doc, F.col(term).alias("_w"), F.col(count).cast("double").alias("_n")), "mixture-rows")
+    used = rows.filter(F.col(count) > 0).select(*by, *doc, F.col(term).alias("_w"), F.col(count).cast("double").alias("_n")).dropna(subset=[*by, *doc, "_w"])
+    blocks = _blocks(used, by, doc, k)
     noise = lambda i: F.lit(0.5) + F.pmod(F.xxhash64(*by, "_w", F.lit(seed * 1_000 + i)), F.lit(1 << 20)) / float(1 << 20)
-    first = data.select(*by, "_w").distinct().select(*by, "_w", F.array(*[noise(i) for i in range(k)]).alias("weights"))
-    terms, shares = materialize(first, "mixture-terms"), materialize(data.select(*by, *doc).distinct().withColumn("shares", F.array(*[F.lit(1.0)] * k)), "mixture-shares")
+    said = blocks.filter("code is not null").select("block", "code", *by, "_w")
+    terms = materialize(said.select(*by, "_w").distinct().select(*by, "_w", F.array(*[noise(i) for i in range(k)]).alias("weights")), "mixture-terms")
     groups = max(1, terms.select(*by).distinct().count()) if by else 1
+    step = None
     for _ in range(iterations):
-        dealt = materialize(_given(data.join(terms, [*by, "_w"]).join(shares, [*by, *doc]), "weights", "shares").select(*by, *doc, "_w", "_c"), "mixture-step")
-        now_shares = materialize(_sums(dealt, [*by, *doc], k, "shares", alpha - 1), "mixture-shares")
-        now_terms = materialize(_weights(_sums(dealt, [*by, "_w"], k, "weights", eta - 1), by, k, groups), "mixture-terms")
-        discard(dealt, terms, shares)
-        terms, shares = now_terms, now_shares
-    discard(data)
+        now = materialize(_step(blocks, said, terms, step, by, k, alpha), "mixture-step")
+        now_terms = materialize(_weights(_sums(now.filter("_w is not null"), [*by, "_w"], k, "weights", eta - 1), by, k, groups), "mixture-terms")
+        discard(terms, *([step] if step else []))
+        terms, step = now_terms, now
+    docs = blocks.filter("docs is not null").select("block", "docs")
+    shares = docs.join(_shares(step), "block") if step else docs.withColumn("_s", F.array_repeat(F.lit(1.0), F.size("docs") * k))
+    each = shares.select("_s", F.posexplode("docs").alias("_at", "_d")).select(*[F.col("_d")[c].alias(c) for c in [*by, *doc]], F.slice("_s", F.col("_at") * k + 1, k).alias("shares"))
     own = F.transform("shares", lambda x: F.greatest(x - (alpha - 1), F.lit(0.0)))
-    return Mixtures(terms.withColumnRenamed("_w", term), shares.select(*by, *doc, _normed(own).alias("shares")))
+    return Mixtures(terms.withColumnRenamed("_w", term), each.select(*by, *doc, _normed(own).alias("shares")))
+
+
+#: Rows (document and term) of a block, about, times topics: what its terms' weights take.
+BLOCK_WEIGHTS = 2_000_000
+
+
+def _blocks(rows: DataFrame, by: list[str], doc: list[str], k: int) -> DataFrame:
+    """Documents by blocks in which a term of a group has a code: a written table of two kinds of rows, as stem_blocks has them. Of
+    a block there is one row with docs, an array of (by, doc, codes, counts), and for each of its terms one of (code, by, _w)."""
+    bags = rows.groupBy(*by, *doc).agg(F.collect_list(F.struct("_w", "_n")).alias("_v"))
+    # documents of a group have terms in common
+    bags = bags.sortWithinPartitions(*by) if by else bags
+    schema, n_keys = rows.schema, len(by) + len(doc)
+    typed = lambda names, sep: ", ".join(f"`{c}`{sep} {schema[c].dataType.simpleString()}" for c in names)
+    most = max(1, BLOCK_WEIGHTS // k)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        block = TaskContext.get().partitionId() << 33
+        for batch in batches:
+            for first, size in split_blocks(batch.column(n_keys), most, batch.num_rows):
+                part, block = batch.slice(first, size), block + 1
+                at = pa.array(np.r_[0, np.cumsum(pc.list_value_length(part.column(n_keys)).to_numpy(zero_copy_only=False))], pa.int32())
+                words, counts = part.column(n_keys).flatten().flatten()
+                doc_of = np.repeat(np.arange(size), np.diff(at.to_numpy()))
+                # a term's code stands for its group's term
+                groups = np.zeros(size, np.int64)
+                for c in part.columns[: len(by)]:
+                    e = c.dictionary_encode()
+                    groups = np.unique(groups * len(e.dictionary) + e.indices.to_numpy(), return_inverse=True)[1].reshape(-1)
+                e = words.dictionary_encode()
+                _, where, codes = np.unique(groups[doc_of] * len(e.dictionary) + e.indices.to_numpy(), return_index=True, return_inverse=True)
+                different = len(where)
+                lists = [pa.ListArray.from_arrays(at, x) for x in (pa.array(codes.reshape(-1), pa.int32()), counts)]
+                each = pa.StructArray.from_arrays([*part.columns[:n_keys], *lists], names=[*by, *doc, "codes", "counts"])
+                of_docs = pa.ListArray.from_arrays(pa.array([0, size], pa.int32()), each)
+                own = [c.take(pa.array(doc_of[where])) for c in part.columns[: len(by)]]
+                columns = [
+                    [pa.array([block] * (different + 1), pa.int64())], [of_docs, pa.nulls(different, of_docs.type)], [pa.nulls(1, pa.int32()), pa.array(np.arange(different), pa.int32())],
+                    *[[pa.nulls(1, c.type), c] for c in [*own, words.take(pa.array(where))]],
+                ]
+                yield pa.RecordBatch.from_arrays([pa.concat_arrays(c) for c in columns], names=["block", "docs", "code", *by, "_w"])
+
+    types = f"block long, docs array<struct<{typed([*by, *doc], ':')}, codes: array<int>, counts: array<double>>>, code int, {typed([*by, '_w'], '')}"
+    return materialize(bags.mapInArrow(run, types), "mixture-blocks")
+
+
+def _shares(step: DataFrame) -> DataFrame:
+    return step.filter("_s is not null").select("block", "_s")
+
+
+def _step(blocks: DataFrame, said: DataFrame, terms: DataFrame, before: DataFrame | None, by: list[str], k: int, alpha: float) -> DataFrame:
+    """One step over all blocks: of a block a row with _s, its documents' shares one behind the other, and for each of its terms a
+    row (by, _w) with _c, what its occurrences give to each topic. before: the step before, if there was one."""
+    weighed = said.join(terms, [*by, "_w"]).groupBy("block").agg(F.collect_list(F.struct("code", *by, "_w", "weights")).alias("w"))
+    both = blocks.filter("docs is not null").select("block", F.col("docs.codes").alias("codes"), F.col("docs.counts").alias("counts")).join(weighed, "block")
+    both = both.join(_shares(before), "block") if before else both.withColumn("_s", F.lit(None).cast("array<double>"))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for i in range(batch.num_rows):
+                codes, counts, w, s = (batch.column(c).slice(i, 1).flatten() for c in ("codes", "counts", "w", "_s"))
+                doc_of = np.repeat(np.arange(len(codes)), pc.list_value_length(codes).to_numpy(zero_copy_only=False))
+                code, *names, weights = w.flatten()
+                place = np.empty(len(code), np.int64)
+                place[code.to_numpy()] = np.arange(len(code))
+                at = place[codes.flatten().to_numpy()]
+                shares = s.to_numpy().reshape(-1, k) if len(s) else np.ones((len(codes), k))
+                given = weights.flatten().to_numpy().reshape(-1, k)[at] * shares[doc_of]
+                total = given.sum(axis=1)
+                given *= np.divide(counts.flatten().to_numpy(), total, out=np.zeros_like(total), where=total > 0)[:, None]
+                summed = lambda of, n: np.stack([np.bincount(of, given[:, j], n) for j in range(k)], axis=1).reshape(-1)  # noqa: B023, E731
+                lists = [pa.ListArray.from_arrays(pa.array(np.arange(n + 1) * m, pa.int32()), pa.array(x)) for n, m, x in ((1, len(codes) * k, summed(doc_of, len(codes)) + (alpha - 1)), (len(code), k, summed(at, len(code))))]
+                columns = [[batch.column("block").slice(i, 1), pa.nulls(len(code), pa.int64())], [lists[0], pa.nulls(len(code), lists[0].type)], *[[pa.nulls(1, c.type), c] for c in names], [pa.nulls(1, lists[1].type), lists[1]]]
+                yield pa.RecordBatch.from_arrays([pa.concat_arrays(c) for c in columns], names=["block", "_s", *by, "_w", "_c"])
+
+    types = ", ".join(f"`{c}` {said.schema[c].dataType.simpleString()}" for c in [*by, "_w"])
+    return both.select("block", "codes", "counts", "w", "_s").mapInArrow(run, f"block long, _s array<double>, {types}, _c array<double>")
 
 
 def _weights(counts: DataFrame, by: list[str], k: int, groups: int) -> DataFrame:
