@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass, field
+from functools import cached_property
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -107,14 +109,23 @@ def buzz_of(by: list[str], opinions: DataFrame, as_of: Column) -> DataFrame:
 @dataclass(frozen=True)
 class Result:
     items: DataFrame
-    topics: DataFrame
     tags: DataFrame
-    #: One row about the topic model and its corpus.
-    report: DataFrame | None = None
+    #: Topics and report, which run over the model, are made when they are first asked for.
+    make_topics: Callable[[], DataFrame]
+    make_report: Callable[[], DataFrame]
     #: Terms of comments in the vocabulary: article_id, comment_no, term.
     comment_terms: DataFrame | None = None
     cached: list[DataFrame] = field(default_factory=list)
 
+    @cached_property
+    def topics(self) -> DataFrame:
+        return self.make_topics()
+
+    @cached_property
+    def report(self) -> DataFrame:
+        """One row about the topic model and its corpus."""
+        return self.make_report()
+
     def release(self) -> None:
         """Gives back what is cached; what is not yet read is computed anew."""
         for df in self.cached:
@@ -169,8 +180,9 @@ def assemble(articles: DataFrame, as_of: Column, options: Options = Options()) -
     items = items.join(document_topics(model, vectors, ["article_id"]), "article_id").join(buzz_of(["article_id"], opinions, as_of), "article_id", "left")
     items = items.select(F.col("article_id").alias("_id"), F.col("article_id").alias("url"), "date_published", "authors", "tags", "topics", "terms", "title", "lead", "opinions", "buzzMeta").persist()
     tags = ops.tag_counts(items, n=options.tags).persist()
-    topics = _topics(items, tags, topic_terms(model, words), forms, as_of, options)
-    return Result(items, topics, tags.select(F.col("tag").alias("_id"), F.col("score").cast("int").alias("score")), report(model, vectors, size), vocabulary.filter(F.col("comment_no") != OWN).select(*KEYS, "term"), [*cached, opinions, vocabulary, words, vectors, items, tags])
+    make_topics = lambda: _topics(items, tags, topic_terms(model, words), forms, as_of, options)
+    named = tags.select(F.col("tag").alias("_id"), F.col("score").cast("int").alias("score"))
+    return Result(items, named, make_topics, lambda: report(model, vectors, size), vocabulary.filter(F.col("comment_no") != OWN).select(*KEYS, "term"), [*cached, opinions, vocabulary, words, vectors, items, tags])
 
 
 def comment_topics(result: Result, k: int = 20, iterations: int = 80, least_topic_score: float = Options.least_topic_score, n: int = 10, seed: int = 1) -> DataFrame:

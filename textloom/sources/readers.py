@@ -14,6 +14,8 @@ from .schemas import ARTICLE, WIKI_PAGE
 SMALL_SHARE = 4 << 20
 #: Bytes of a stored input for a task, about, where its rows take long.
 TASK_BYTES = 4 << 20
+#: Tasks for each core that slow rows are dealt to at least.
+ROUNDS = 3
 
 
 def spread(df: DataFrame, slow: bool = False) -> DataFrame:
@@ -25,6 +27,13 @@ def spread(df: DataFrame, slow: bool = False) -> DataFrame:
     return df.repartition(parts) if (slow or size < SMALL_SHARE * cores) and len(df.inputFiles()) < parts else df
 
 
+def dealt(df: DataFrame, *keys: str) -> DataFrame:
+    """Rows by keys over some tasks for each core, more as the input grows. Adaptive execution joins partitions by their bytes to
+    hardly more than there are cores, so what takes long for its bytes ends in a second round of few tasks; it leaves these alone."""
+    size = int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
+    return df.repartition(max(ROUNDS * df.sparkSession.sparkContext.defaultParallelism, -(-size // TASK_BYTES)), *keys)
+
+
 def parse_articles(lines: Column) -> Column:
     """A JSON line as an article; malformed lines and those without _id raise, and the error names the line."""
     got = F.from_json(lines, ARTICLE, {"mode": "PERMISSIVE", "timeZone": "UTC"})
