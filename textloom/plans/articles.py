@@ -9,7 +9,7 @@ from functools import cached_property
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.normalize import normalized
+from ..functions.normalize import all_normalized
 from ..functions.words import stop_stems
 from ..operators import opinions as ops
 from ..operators.mixtures import best_terms, fit_mixtures
@@ -82,9 +82,9 @@ def with_comments(own: DataFrame, grouped: DataFrame, keep_uncommented: bool = F
 
 def by_topic_and_tag(by_topic: DataFrame, known: DataFrame, value: str) -> DataFrame:
     """topic_id, tag, value of rows (topic_id, an id, value and an array of tags) for each known tag that a row has, once
-    for each of its normal forms. known: a column tag of a bounded number of rows."""
-    each = by_topic.select("topic_id", "_id", value, F.explode(F.array_distinct("tags")).alias("raw"))
-    named = each.select("topic_id", "_id", value, normalized(F.col("raw")).alias("tag")).dropDuplicates(["topic_id", "_id", "tag"])
+    for each of its normal forms, which are told apart in the row, so no value is shuffled. known: a column tag of a bounded
+    number of rows."""
+    named = by_topic.select("topic_id", value, F.explode(F.array_distinct(all_normalized(F.col("tags")))).alias("tag"))
     return named.join(F.broadcast(known.select("tag")), "tag").select("topic_id", "tag", value)
 
 
