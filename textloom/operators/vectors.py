@@ -37,6 +37,7 @@ def ml_vectors(rows: DataFrame, size: int, out: str = "features") -> DataFrame:
     stored = materialize(rows.select(*[f.name for f in others], parts.alias(out)), "vectors")
     vectors = rows.sparkSession.read.schema(StructType([*others, StructField(out, VectorUDT())])).parquet(stored._kept_in)
     vectors._parts = stored.select(*[f.name for f in others], F.col(out)["indices"].alias("ids"), F.col(out)["values"].alias("counts"))
+    vectors._size = size
     return vectors
 
 
