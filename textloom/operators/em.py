@@ -27,7 +27,7 @@ from ..sources.tables import shared_dir
 #: Numbers (terms times topics) of a model that is broadcast; larger ones are MLlib's to fit.
 MOST_NUMBERS = 16_000_000
 #: Terms of documents in a block at least and at most; a single block's steps are all one task.
-LEAST_BLOCK, BLOCK = 50_000, 1_000_000
+LEAST_BLOCK, BLOCK = 400_000, 1_000_000
 #: Terms of documents that a step looks at in one go, times topics: so many numbers.
 LOOKED = 1_000_000
 #: Bytes of tasks' sums that the driver takes by itself; more are summed on executors first.
@@ -45,6 +45,12 @@ class Fitted:
     n_docs: int
     alpha: float
     eta: float
+    #: The first term of each group of terms; a topic's weights are over its group's total.
+    groups: np.ndarray | None = None
+
+    def weights(self) -> np.ndarray:
+        """What each topic weighs for each term, by topic."""
+        return _smoothed(self.terms, self.eta, self.groups)
 
     def shares(self, spark) -> DataFrame:  # noqa: ANN001
         """id, shares: the topics of each training document, as EM has them after its last step."""
@@ -65,7 +71,7 @@ class Fitted:
 
     def log_likelihood(self, spark) -> float:  # noqa: ANN001
         """Of the training documents' words, with topics and shares smoothed as MLlib has them."""
-        weights = spark.sparkContext.broadcast(_smoothed(self.terms, self.eta))
+        weights = spark.sparkContext.broadcast(self.weights())
         folder, rounds, alpha = self.folder, self.rounds, self.alpha
 
         def one(block: int) -> float:
@@ -183,15 +189,16 @@ def step(sizes: np.ndarray, codes: np.ndarray, counts: np.ndarray, n_terms: int,
     return docs, terms
 
 
-def _smoothed(terms: np.ndarray, eta: float) -> np.ndarray:
-    """What a topic weighs for a term, by topic: (terms' counts + eta - 1) over the topic's total."""
-    total = terms.sum(axis=0) + len(terms) * (eta - 1)
-    return np.ascontiguousarray(((terms + (eta - 1)) / np.maximum(total, np.finfo(float).tiny)).T)
+def _smoothed(terms: np.ndarray, eta: float, groups: np.ndarray | None = None) -> np.ndarray:
+    """What a topic weighs for a term, by topic: (terms' counts + eta - 1) over the topic's total, of a group if there are groups."""
+    own = terms + (eta - 1)
+    total = own.sum(axis=0) if groups is None else np.repeat(np.add.reduceat(own, groups), np.diff(groups, append=len(own)), axis=0)
+    return np.ascontiguousarray((own / np.maximum(total, np.finfo(float).tiny)).T)
 
 
-def _block_step(folder: str, block: int, rounds: int, n_terms: int, k: int, alpha: float, weights: np.ndarray | None, seed: int) -> np.ndarray:
-    """One step over a block: the first one (weights None) deals terms by hashes. Leaves the documents' counts as those of the
-    next round and gives the terms' counts."""
+def _block_step(folder: str, block: int, rounds: int, n_terms: int, k: int, alpha: float, weights: np.ndarray | None, seed: int) -> tuple[np.ndarray, np.ndarray]:
+    """One step over a block: the first one deals terms by hashes (weights None), or by given weights. Leaves the documents' counts
+    as those of the next round and gives the block's terms and their counts."""
     sizes, codes, counts = _read_terms(folder, block)
     target, base = _target(folder)
     # the block's own terms: of a large vocabulary it has few
@@ -203,12 +210,16 @@ def _block_step(folder: str, block: int, rounds: int, n_terms: int, k: int, alph
         seeds = np.frombuffer(_read(folder, f"{block}.seeds"), np.uint64)
         docs, found = step(sizes, codes, counts, len(used), k, lambda at, of, j: _starts(used[at], of, seeds, seed, j))
     else:
-        shares, own = np.ascontiguousarray((_read_counts(folder, block, rounds, k) + (alpha - 1)).T), np.ascontiguousarray(weights[:, used])
+        shares = np.ascontiguousarray((_read_counts(folder, block, rounds, k) + (alpha - 1)).T) if rounds >= 0 else np.ones((k, len(sizes)))
+        own = np.ascontiguousarray(weights[:, used])
         docs, found = step(sizes, codes, counts, len(used), k, lambda at, of, j: own[j][at] * shares[j][of])
     _stored(target, f"{base}/{block}.{rounds + 1}", docs.tobytes())
-    terms = np.zeros((k, n_terms))
-    terms[:, used] = found
-    return terms
+    return used, found
+
+
+def _added(total: np.ndarray, part: tuple[np.ndarray, np.ndarray]) -> np.ndarray:
+    total[:, part[0]] += part[1]
+    return total
 
 
 def _forget(folder: str, block: int, rounds: int) -> None:
@@ -263,41 +274,62 @@ def _written(parts: DataFrame, key: str, folder: str) -> tuple[list[int], int]:
     return sorted(r["block"] for r in made), sum(r["n"] for r in made)
 
 
-def fit(parts: DataFrame, key: str, n_terms: int, k: int, iterations: int, alpha: float, eta: float, seed: int) -> Fitted:
-    """EM over documents (key, ids, counts; terms are numbered below n_terms)."""
+def fit(
+    parts: DataFrame, key: str, n_terms: int, k: int, iterations: int, alpha: float, eta: float, seed: int, groups: np.ndarray | None = None, weights: np.ndarray | None = None
+) -> Fitted:
+    """EM over documents (key, ids, counts; terms are numbered below n_terms). It starts from hashes of documents and terms, as
+    MLlib does from random numbers, or with a first one of its steps from weights (terms, topics). groups: as of Fitted."""
     spark = parts.sparkSession
     sc, folder = spark.sparkContext, f"{shared_dir(spark)}/textloom/em-{uuid.uuid4().hex}"
     blocks, n_docs = _written(parts, key, folder)
-    fitted = lambda terms: Fitted(np.ascontiguousarray(terms.T), folder, parts.schema[key].dataType.simpleString(), iterations, n_docs, alpha, eta)
+    rounds = iterations if weights is None else iterations - 1
+    fitted = lambda terms: Fitted(np.ascontiguousarray(terms.T), folder, parts.schema[key].dataType.simpleString(), rounds, n_docs, alpha, eta, groups)
+    start = None if weights is None else np.ascontiguousarray(weights.T)
     if not blocks:
         return fitted(np.zeros((k, n_terms)))
 
-    def all_rounds(block: int) -> np.ndarray:
-        terms = _block_step(folder, block, -1, n_terms, k, alpha, None, seed)
-        for r in range(iterations):
-            terms = _block_step(folder, block, r, n_terms, k, alpha, _smoothed(terms.T, eta), seed)
+    def steps(of: list[int], r: int, now: np.ndarray | None) -> np.ndarray:
+        """The sums of a task; terms that are in none of its blocks stay 0."""
+        total = np.zeros((k, n_terms))
+        for block in of:
+            _added(total, _block_step(folder, block, r, n_terms, k, alpha, now, seed))
             _forget(folder, block, r - 1)
-        return terms
+        return total
 
     if len(blocks) == 1:
-        return fitted(sc.parallelize(blocks, 1).map(all_rounds).first())
+
+        def all_rounds(of: list[int]) -> np.ndarray:
+            now = start
+            for r in range(-1, rounds):
+                terms = steps(of, r, now)
+                now = _smoothed(terms.T, eta, groups)
+            return terms
+
+        return fitted(sc.parallelize([blocks], 1).map(all_rounds).first())
     tasks = min(len(blocks), 2 * sc.defaultParallelism)
-    # a block is in the same task in all rounds
-    dealt = sc.parallelize([blocks[i::tasks] for i in range(tasks)], tasks)
+    # blocks that lie side by side, which have terms in common, are in the same task in all rounds
+    dealt = sc.parallelize([[int(b) for b in of] for of in np.array_split(np.array(blocks), tasks)], tasks)
     deep = tasks * n_terms * k * 8 > DRIVER_BYTES
-    terms = None
-    for r in range(-1, iterations):
-        given = sc.broadcast(None if terms is None else _smoothed(terms.T, eta))
-
-        def one(of: list[int], r: int = r, given=given) -> np.ndarray:  # noqa: ANN001
-            total = np.zeros((k, n_terms))
-            for block in of:
-                total += _block_step(folder, block, r, n_terms, k, alpha, given.value, seed)
-                _forget(folder, block, r - 1)
-            return total
-
-        sums = dealt.map(one)
-        terms = sums.treeReduce(np.add) if deep else sums.reduce(np.add)
+
+    def filled(total: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        used = np.flatnonzero(total.any(axis=0))
+        return used, np.ascontiguousarray(total[:, used])
+
+    def both(a: tuple[np.ndarray, np.ndarray], b: tuple[np.ndarray, np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+        used = np.union1d(a[0], b[0])
+        total = np.zeros((k, len(used)))
+        for terms, found in (a, b):
+            total[:, np.searchsorted(used, terms)] += found
+        return used, total
+
+    now = start
+    for r in range(-1, rounds):
+        given = sc.broadcast(now)
+        sums = dealt.map(lambda of, r=r, given=given: filled(steps(of, r, given.value)))
+        terms = np.zeros((k, n_terms))
+        for part in [sums.treeReduce(both)] if deep else sums.collect():
+            _added(terms, part)
+        now = _smoothed(terms.T, eta, groups)
         given.destroy()
     return fitted(terms)
 

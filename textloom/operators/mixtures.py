@@ -21,8 +21,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..sources.tables import discard, materialize
+from . import em
+from .ids import dense_ids
 from .ranking import first_rows
-from .tfidf import split_blocks
+from .tfidf import BROADCAST_TERMS, split_blocks
 
 #: Groups whose totals are broadcast at most (k numbers each).
 BROADCAST_GROUPS = 10_000
@@ -35,6 +37,14 @@ class Mixtures:
     #: by, doc, shares (array of k, sum 1).
     shares: DataFrame
 
+    def named(self, term: str) -> Mixtures:
+        return Mixtures(self.terms.withColumnRenamed("_w", term), self.shares)
+
+
+def _noise(by: list[str], seed: int, i: int) -> Column:
+    """What a topic weighs for a term at first, of their hash."""
+    return F.lit(0.5) + F.pmod(F.xxhash64(*by, "_w", F.lit(seed * 1_000 + i)), F.lit(1 << 20)) / float(1 << 20)
+
 
 def _normed(values: Column) -> Column:
     total = F.aggregate(values, F.lit(0.0), lambda a, x: a + x)
@@ -73,9 +83,8 @@ def fit_mixtures(
     alpha, eta = _concentrations(k, doc_concentration, topic_concentration)
     used = rows.filter(F.col(count) > 0).select(*by, *doc, F.col(term).alias("_w"), F.col(count).cast("double").alias("_n")).dropna(subset=[*by, *doc, "_w"])
     blocks = _blocks(used, by, doc, k)
-    noise = lambda i: F.lit(0.5) + F.pmod(F.xxhash64(*by, "_w", F.lit(seed * 1_000 + i)), F.lit(1 << 20)) / float(1 << 20)
     said = blocks.filter("code is not null").select("block", "code", *by, "_w")
-    terms = materialize(said.select(*by, "_w").distinct().select(*by, "_w", F.array(*[noise(i) for i in range(k)]).alias("weights")), "mixture-terms")
+    terms = materialize(said.select(*by, "_w").distinct().select(*by, "_w", F.array(*[_noise(by, seed, i) for i in range(k)]).alias("weights")), "mixture-terms")
     groups = max(1, terms.select(*by).distinct().count()) if by else 1
     step = None
     for _ in range(iterations):
@@ -205,3 +214,32 @@ def best_terms(fitted: Mixtures, by: list[str], n: int = 10, term: str = "term")
     each = fitted.terms.select(*by, term, F.posexplode("weights").alias("topic", "weight"))
     rows = first_rows(each, [*by, "topic"], [F.desc("weight"), F.asc(term)], n, [term])
     return rows.select(*by, "topic", "place", term, "weight")
+
+
+def fit_small(
+    rows: DataFrame, by: list[str], doc: list[str], k: int = 20, iterations: int = 80, doc_concentration: float = -1, topic_concentration: float = -1, seed: int = 1, term: str = "term", count: str = "n"
+) -> Mixtures:
+    """fit_mixtures, where all groups' weights are few enough to be broadcast to a step (em.MOST_NUMBERS): documents stay in the
+    files of their blocks, and nothing is shuffled in a step. More are fitted as fit_mixtures does."""
+    alpha, eta = _concentrations(k, doc_concentration, topic_concentration)
+    used = rows.filter(F.col(count) > 0).select(*by, *doc, F.col(term).alias("_w"), F.col(count).cast("double").alias("_n")).dropna(subset=[*by, *doc, "_w"])
+    used = materialize(used.groupBy(*by, *doc, "_w").agg(F.sum("_n").alias("_n")), "mixture-rows")
+    known = materialize(dense_ids(used.select(*by, "_w").distinct(), [*by, "_w"], "_code"), "mixture-codes")
+    n = known.count()
+    if not n or iterations < 1 or n * k > em.MOST_NUMBERS:
+        return fit_mixtures(used, by, doc, k, iterations, doc_concentration, topic_concentration, seed, "_w", "_n").named(term)
+    # a group's terms have numbers in a row
+    bounds = known.groupBy(*by).agg(F.min("_code").alias("_first")) if by else known.agg(F.min("_code").alias("_first"))
+    first = np.sort(bounds.select("_first").toArrow()["_first"].to_numpy())
+    start = known.select("_code", F.array(*[_noise(by, seed, i) for i in range(k)]).alias("weights")).toArrow()
+    weights = np.empty((n, k))
+    weights[start["_code"].to_numpy()] = start["weights"].combine_chunks().flatten().to_numpy().reshape(-1, k)
+    coded = used.join(F.broadcast(known) if n <= BROADCAST_TERMS else known, [*by, "_w"])
+    bags = coded.groupBy(*by, *doc).agg(F.sort_array(F.collect_list(F.struct("_code", "_n"))).alias("_v"))
+    parts = bags.select(F.struct(*by, *doc).alias("key"), F.transform("_v", lambda x: x["_code"]).alias("ids"), F.transform("_v", lambda x: x["_n"]).alias("counts"))
+    # documents of a group have terms in common
+    parts = materialize(parts.sortWithinPartitions("key"), "mixture-bags")
+    fitted = em.fit(parts, "key", n, k, iterations, alpha, eta, seed, first, weights)
+    made = used.sparkSession.createDataFrame(pa.table({"_code": np.arange(n), "weights": pa.ListArray.from_arrays(pa.array(np.arange(n + 1) * k, pa.int32()), pa.array(fitted.weights().T.reshape(-1)))}))
+    terms = materialize(known.join(made, "_code").select(*by, F.col("_w").alias(term), "weights"), "mixture-terms")
+    return Mixtures(terms, fitted.shares(used.sparkSession).select("id.*", "shares"))

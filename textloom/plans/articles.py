@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from ..functions.normalize import all_normalized
 from ..functions.words import stop_stems
 from ..operators import opinions as ops
-from ..operators.mixtures import best_terms, fit_mixtures
+from ..operators.mixtures import best_terms, fit_small
 from ..operators.ranking import retain_top_share
 from ..operators.terms import extend_dictionary, normal_forms
 from ..operators.tfidf import best_stems, block_forms, block_idf, document_tf, stem_arrays, stem_blocks, stemmed_tf, surface_forms, term_arrays, term_structs, tfidf
@@ -190,7 +190,7 @@ def comment_topics(result: Result, k: int = 20, iterations: int = 80, least_topi
     of its article above a score; all topics' models are fitted together, keyed by topic."""
     topics = assignments(result.items.select("_id", "topics"), least_topic_score).select(F.col("_id").alias("article_id"), "topic_id")
     rows = result.comment_terms.join(topics, "article_id").withColumn("n", F.lit(1))
-    return best_terms(fit_mixtures(rows, ["topic_id"], KEYS, k, iterations, seed=seed), ["topic_id"], n)
+    return best_terms(fit_small(rows, ["topic_id"], KEYS, k, iterations, seed=seed), ["topic_id"], n)
 
 
 def _topics(items: DataFrame, tags: DataFrame, terms: DataFrame, forms: DataFrame, as_of: Column, options: Options) -> DataFrame:
